@@ -146,14 +146,15 @@ def verified(asks: DataFrame, members: DataFrame, sets: DataFrame, percent: int)
     left = asks.join(counts, "grp").withColumn("qb", spread("nq", 1)).withColumn("mb", every("nm"))
     right = members.join(counts, "grp").withColumn("mb", spread("nm", 2)).withColumn("qb", every("nq"))
     left = left.join(sets, "doc").select("grp", "qb", "mb", "doc", "tokens")
-    right = right.join(sets, "doc").select("grp", "qb", "mb", "doc", "tokens")
+    again = sets.select(F.col("doc").alias("member"), F.col("tokens").alias("held"))
+    right = right.join(again, F.col("doc") == F.col("member")).select(*[F.col(c).alias(f"of_{c}") for c in ("grp", "qb", "mb")], "member", "held")
 
     def meet(asked: pa.Table, held: pa.Table) -> pa.Table:
         u: list[int] = []
         v: list[int] = []
         if asked.num_rows and held.num_rows:
-            ids = held["doc"].to_numpy()
-            rows = [np.frombuffer(x, np.uint64) for x in held["tokens"].to_pylist()]
+            ids = held["member"].to_numpy()
+            rows = [np.frombuffer(x, np.uint64) for x in held["held"].to_pylist()]
             n = np.array([len(r) for r in rows])
             tokens, owner = np.concatenate(rows), np.repeat(np.arange(len(rows)), n)
             order = np.argsort(tokens, kind="stable")
@@ -171,8 +172,7 @@ def verified(asks: DataFrame, members: DataFrame, sets: DataFrame, percent: int)
                     u.append(doc), v.append(int(ids[on].min()))
         return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
-    key = ["grp", "qb", "mb"]
-    return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(meet, "u long, v long")
+    return left.groupBy("grp", "qb", "mb").cogroup(right.groupBy("of_grp", "of_qb", "of_mb")).applyInArrow(meet, "u long, v long")
 
 
 def _need(n: Column, m: Column, percent: int) -> Column:
