@@ -4,7 +4,8 @@
    all sources). Sizes are summed per source and per block, with partial sums before the shuffle.
 2. A source's target is met by whole passes over its blocks and one partial pass over the first
    blocks in permuted order; the pass ends inside one block, whose end is found by sub-blocks and
-   then by the documents of one sub-block: the nearest document boundary.
+   then by the documents of one sub-block, never beyond the target; then the one further document
+   whose size comes nearest to what is left is added, if that leaves less.
 3. The drawn (block, pass) units of all sources are split among output shards: a tree over shard
    ranges draws each left half's share of every source from the multivariate hypergeometric
    distribution, with a seed per node. Leaves hold exact unit quotas; each source's permuted units
@@ -24,9 +25,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .shared import Scratch
+
 MAX_BLOCKS = 32768  # over all sources, and one more for each source
 SUB_BLOCKS = 1024
 MAX_SOURCES = 100_000
+PLACES = 1 << 37  # values of the permutation hash; times MAX_BLOCKS they are exact in doubles
 WEIGHTS, SHARE, CEILING = (3.0, 1.0, 2.0), 1.5, 2.0
 WORD = "[^\\x20\\x09-\\x0D]+"
 
@@ -76,6 +80,19 @@ def deal(quotas: np.ndarray, shards: int, seed: int) -> np.ndarray:
     return out
 
 
+def _partial() -> Column:
+    """Whether a document lies before the end of its source's partial pass."""
+    inside = (F.col("s_") < F.col("m_sub")) | ((F.col("s_") == F.col("m_sub")) & (F.col("place_") <= F.col("m_end")))
+    return (F.col("b_") < F.col("m_edge")) | ((F.col("b_") == F.col("m_edge")) & inside)
+
+
+def _drawn(edge: int, blocks: int, extra: int) -> list[int]:
+    """Blocks of the partial pass: up to its edge block, and that of the further document."""
+    out = list(range(min(edge + 1, blocks)))
+    own = int(np.floor(extra * blocks / PLACES))
+    return out if extra < 0 or own <= edge else [*out, own]
+
+
 @dataclass
 class Mix:
     """``rows``: the documents with size, source_size, target, copies and shards (one per copy)."""
@@ -89,7 +106,7 @@ class Mix:
         return copies.withColumn("place", F.xxhash64("doc_id", "copy", F.lit("place")))
 
 
-def mix(docs: DataFrame, shards: int | None = None, seed: int = 17, shard_words: int = 1 << 24) -> Mix:
+def mix(docs: DataFrame, scratch: Scratch, shards: int | None = None, seed: int = 17, shard_words: int = 1 << 24) -> Mix:
     """Draws ``docs`` (doc_id, text, source, others) to the target weights.
 
     A null text has size 0; a document of size 0 is taken as often as its block is, and counts
@@ -97,8 +114,8 @@ def mix(docs: DataFrame, shards: int | None = None, seed: int = 17, shard_words:
     drawn together. An empty table gives no rows. Columns of docs stay; size, source_size, target,
     copies and shards are added and replace any of those names. No document has more than two copies.
     """
-    place = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 52))  # uniform on 52 bits
-    sized = docs.select("source", size_of(F.col("text")).alias("size"), place.alias("place"))
+    place = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(PLACES))  # uniform
+    sized = scratch.put(docs.select("source", size_of(F.col("text")).alias("size"), place.alias("place")), "sized")
     listed = sized.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).orderBy(F.col("source").asc_nulls_last()).limit(MAX_SOURCES + 1).collect()
     if len(listed) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
@@ -108,8 +125,8 @@ def mix(docs: DataFrame, shards: int | None = None, seed: int = 17, shard_words:
     spark = docs.sparkSession
     schema = T.StructType([T.StructField("m_source", docs.schema["source"].dataType), T.StructField("m_blocks", T.LongType()), T.StructField("m_size", T.LongType()), T.StructField("m_target", T.DoubleType())])
     known = F.broadcast(spark.createDataFrame([(r["source"], b, s, t) for r, b, s, t in zip(listed, blocks, sizes, wanted, strict=True)], schema))
-    block = F.floor(F.col("place") * F.col("m_blocks") / F.lit(1 << 52))
-    sub = F.floor((F.col("place") * F.col("m_blocks") / F.lit(1 << 52) - block) * SUB_BLOCKS)
+    block = F.floor(F.col("place") * F.col("m_blocks") / F.lit(PLACES))
+    sub = F.floor((F.col("place") * F.col("m_blocks") / F.lit(PLACES) - block) * SUB_BLOCKS)
     placed = sized.join(known, F.col("source").eqNullSafe(F.col("m_source"))).select("m_source", "place", "size", block.alias("block"), sub.alias("sub"))
 
     at = {r["source"]: i for i, r in enumerate(listed)}
@@ -147,15 +164,22 @@ def mix(docs: DataFrame, shards: int | None = None, seed: int = 17, shard_words:
     run: dict[int, float] = {}
     for r in last.groupBy("m_source", "place", "e_rest").agg(F.sum("size").alias("size")).orderBy("place").collect():  # one sub-block a source
         i = at[r["m_source"]]
-        if run.setdefault(i, 0.0) + r["size"] / 2 <= r["e_rest"] and ends.get(i, -1) >= -1:
+        if run.setdefault(i, 0.0) + r["size"] <= r["e_rest"]:
             run[i] += r["size"]
             ends[i] = r["place"]
+            final[i] = r["e_rest"] - run[i]
         else:
-            ends.setdefault(i, -1)
             run[i] = float("inf")
+    # one further document that comes nearest to what is left
+    gaps = [(r["source"], edge[i], edge_sub[i], ends.get(i, -1), float(final[i]) if edge[i] >= 0 else 0.0) for i, r in enumerate(listed)]
+    gap = spark.createDataFrame(gaps, T.StructType([schema[0], *(T.StructField(n, T.LongType()) for n in ("m_edge", "m_sub", "m_end")), T.StructField("gap", T.DoubleType())]))
+    after = placed.withColumnsRenamed({"block": "b_", "sub": "s_", "place": "place_"}).join(F.broadcast(gap.withColumnRenamed("m_source", "g_source")), F.col("m_source").eqNullSafe(F.col("g_source")))
+    whole = after.where(~_partial()).groupBy("m_source", "place_", "gap").agg(F.sum("size").alias("size")).where("size > 0 and size < 2 * gap")
+    nearest = whole.groupBy("m_source").agg(F.min(F.struct(F.abs(F.col("gap") - F.col("size")), "place_")).alias("x"))
+    extra = {at[r["m_source"]]: r["x"]["place_"] for r in nearest.collect()}  # a row a source
 
     # units: (source, block, pass); the partial pass includes its edge block
-    units = [(i, b, p) for i in range(len(listed)) for p in range(passes[i] + 1) for b in (range(blocks[i]) if p < passes[i] else range(min(edge[i] + 1, blocks[i])))]
+    units = [(i, b, p) for i in range(len(listed)) for p in range(passes[i] + 1) for b in (range(blocks[i]) if p < passes[i] else _drawn(edge[i], blocks[i], extra.get(i, -1)))]
     shards = shards or max(1, -(-round(SHARE * total) // shard_words))
     quotas = np.bincount([u[0] for u in units], minlength=len(listed)) if units else np.zeros(len(listed), np.int64)
     dealt = deal(quotas, shards, seed)
@@ -167,18 +191,18 @@ def mix(docs: DataFrame, shards: int | None = None, seed: int = 17, shard_words:
         for u, shard in zip(order, np.repeat(np.arange(shards), dealt[:, i]), strict=True):
             home.setdefault((i, own[u][1]), [0] * 3)[own[u][2]] = int(shard) + 1
         start += q
-    table = [(listed[i]["source"], b, sizes[i], wanted[i], passes[i], edge[i], edge_sub[i], ends.get(i, -1), [x - 1 for x in home.get((i, b), [0] * 3)]) for i in range(len(listed)) for b in range(blocks[i])]
-    fields = [schema[0], *(T.StructField(n, T.LongType()) for n in ("m_block", "m_size")), T.StructField("m_target", T.DoubleType()), *(T.StructField(n, T.LongType()) for n in ("m_passes", "m_edge", "m_sub", "m_end")), T.StructField("m_home", T.ArrayType(T.LongType()))]
+    table = [(listed[i]["source"], b, sizes[i], wanted[i], passes[i], edge[i], edge_sub[i], ends.get(i, -1), extra.get(i, -1), [x - 1 for x in home.get((i, b), [0] * 3)]) for i in range(len(listed)) for b in range(blocks[i])]
+    fields = [schema[0], *(T.StructField(n, T.LongType()) for n in ("m_block", "m_size")), T.StructField("m_target", T.DoubleType()), *(T.StructField(n, T.LongType()) for n in ("m_passes", "m_edge", "m_sub", "m_end", "m_extra")), T.StructField("m_home", T.ArrayType(T.LongType()))]
     plan = F.broadcast(spark.createDataFrame(table, T.StructType(fields)).withColumnRenamed("m_source", "u_source"))  # at most MAX_BLOCKS + MAX_SOURCES rows
 
     added = ["size", "source_size", "target", "copies", "shards"]
     kept = [c for c in docs.columns if c not in added]
     rows = docs.select(*kept, size_of(F.col("text")).alias("size"), place.alias("place_")).join(known, F.col("source").eqNullSafe(F.col("m_source")))
     rows = rows.withColumnRenamed("m_size", "k_size").withColumnRenamed("m_target", "k_target")
-    b = F.floor(F.col("place_") * F.col("m_blocks") / F.lit(1 << 52))
-    s = F.floor((F.col("place_") * F.col("m_blocks") / F.lit(1 << 52) - b) * SUB_BLOCKS)
+    b = F.floor(F.col("place_") * F.col("m_blocks") / F.lit(PLACES))
+    s = F.floor((F.col("place_") * F.col("m_blocks") / F.lit(PLACES) - b) * SUB_BLOCKS)
     rows = rows.withColumns({"b_": b, "s_": s}).join(plan, F.col("source").eqNullSafe(F.col("u_source")) & (F.col("b_") == F.col("m_block")))
-    partial = (F.col("b_") < F.col("m_edge")) | ((F.col("b_") == F.col("m_edge")) & ((F.col("s_") < F.col("m_sub")) | ((F.col("s_") == F.col("m_sub")) & (F.col("place_") <= F.col("m_end")))))
-    copies = (F.col("m_passes") + F.when(partial, 1).otherwise(0)).cast("int")
+    copies = (F.col("m_passes") + F.when(_partial() | (F.col("place_") == F.col("m_extra")), 1).otherwise(0)).cast("int")
     rows = rows.withColumn("copies", copies)
+    scratch.drop("sized")
     return Mix(rows.select(*kept, "size", F.col("k_size").alias("source_size"), F.col("k_target").alias("target"), "copies", F.slice("m_home", 1, F.col("copies")).alias("shards")), shards)
