@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .textbytes import buffers, ngram_codes, slices
+from .textbytes import buffers, ngram_codes, slices, word_hashes
 
 QUALITY_BITS, QUALITY_ORDERS, QUALITY_SAMPLE = 18, (1, 2, 3, 4), 6000
 LANGUAGE_SAMPLE, LANDMARKS = 3000, 128
@@ -49,13 +49,32 @@ def _fit_on_executor(sample: DataFrame, fit, label: str) -> bytes:
 # ---- naive Bayes support vectors -------------------------------------------------------------
 
 
+def _codes_of(names: list[str]) -> np.ndarray:
+    return np.array([int(ngram_codes(np.frombuffer(f"\0{n}".encode(), np.uint8), (len(n) + 1,), QUALITY_BITS)[0]) for n in names])
+
+
+RUNS = (2, 3, 4, 6, 10)  # lengths of runs of one word that have an indicator of their own
+_RUN_CODES, _VARIETY_CODES = _codes_of([f"run{n}" for n in RUNS]), _codes_of([f"variety{n}" for n in range(11)])
+
+
+def repetition(words: np.ndarray) -> np.ndarray:
+    """Codes of the word n-grams w w ... w up to the longest run, and of the tenth of distinct words."""
+    if not len(words):
+        return np.zeros(0, np.int64)
+    edges = np.flatnonzero(np.concatenate([[True], words[1:] != words[:-1], [True]]))
+    longest = int(np.diff(edges).max())
+    variety = 10 * len(np.unique(words)) // len(words)
+    return np.concatenate([_RUN_CODES[: int(np.searchsorted(RUNS, longest, "right"))], _VARIETY_CODES[variety : variety + 1]])
+
+
 def indicators(texts: pa.Array) -> Iterator[np.ndarray]:
-    """Sorted distinct hashed byte n-grams of each whole text."""
+    """Sorted distinct hashed byte n-grams of each whole text, with the codes of its repeated words."""
     data, offsets = buffers(texts)
     seen = np.zeros(1 << QUALITY_BITS, bool)
     for lo, hi in zip(offsets[:-1], offsets[1:], strict=True):
         for at in range(int(lo), max(int(hi), int(lo) + 1), 1 << 18):  # long texts by overlapping windows
             seen[ngram_codes(data[at : min(int(hi), at + (1 << 18) + max(QUALITY_ORDERS) - 1)], QUALITY_ORDERS, QUALITY_BITS)] = True
+        seen[repetition(word_hashes(data[lo:hi])[0])] = True
         found = np.flatnonzero(seen)
         seen[found] = False
         yield found.astype(np.int32)
