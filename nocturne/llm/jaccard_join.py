@@ -5,16 +5,18 @@ representative. Tokens have one global order: those whose sketch bucket is crowd
 by hash; two sets of Jaccard t or more share a token among their first n - ceil(t n) + 1 ones (the
 signature).
 
-Groups. Similar documents are first partitioned into groups: a document is compared with a few
-leaders (per signature token the documents of least hash under several permutations), links are
-verified on whole sets, and their components are the groups. The token-group matrix holds each
-group's union of signature tokens with its least and largest set size.
+Groups. Similar documents are partitioned into groups: a document is compared with a few leaders
+(per signature token the documents of least hash under several permutations); those linked by whole
+sets form components, and a document without a link joins the group of the leader with which it
+shares most tokens. The token-group matrix holds each group's union of signature tokens with its
+least and largest set size.
 
 Bound and open. A document's tokens are joined with the matrix of the groups it isn't in. The number
 of shared signature tokens bounds the overlap with any member from above; groups that may still
 hold a partner are opened: their members' whole sets, in blocks, meet the document's set. Of two
-groups the smaller asks. New links join groups. No link between different texts is lost, while
-pairs inside a group are never formed.
+groups the smaller asks; an unlinked document asks its own group too. A block returns a spanning
+forest of the components that its links join, not the links. No link between different texts is
+lost, while pairs inside a group are never formed.
 
 Hashes have 64 bits (sets are told apart by 128); equal hashes are taken as equal shingles.
 """
@@ -25,14 +27,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .shared import Scratch, components
 from .textbytes import mix, shingle_sets, slices
 
-SKETCH_BITS = 20
-CHUNK_BITS = 14
+SKETCH_BITS = (16, 26)  # least and most; the bitmap of crowded buckets has at most 8 MB
+SKETCHED = 0.4  # share of the hash range that is counted: signatures hardly reach beyond
 LEADERS = 4
 BLOCK = 256  # members or askers that meet at once
 BLOOM_BITS = 23
@@ -47,48 +50,64 @@ def signature_size(n: int, percent: int) -> int:
     return n - ceil_share(n, percent) + 1
 
 
-def crowded(docs: DataFrame, k: int) -> np.ndarray:
-    """Bitmap over 2^SKETCH_BITS token buckets: True where the bucket counts over twice the mean plus 32.
+def sketch_bits(docs: DataFrame) -> int:
+    """About eight counted tokens a bucket, by the size of the files that docs reads."""
+    size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return min(max((size // 120).bit_length(), SKETCH_BITS[0]), SKETCH_BITS[1])
 
-    Only an order hint: a bucket's state never changes a result. Counts cover all documents.
+
+def crowded(docs: DataFrame, k: int) -> tuple[int, bytes]:
+    """(bits, bitmap over 2^bits token buckets): set where a bucket counts over twice the mean plus 12.
+
+    Only an order hint: a bucket's state never changes a result. Counts cover all documents. Tasks
+    send sorted 16-bit offsets by chunk of the buckets; a chunk's counts are added up in a stream.
     """
-    size, chunk = 1 << SKETCH_BITS, 1 << CHUNK_BITS
+    bits = sketch_bits(docs)
+    limit = np.uint64(int(SKETCHED * 2**64))
+
+    def flush(held: list[np.ndarray]) -> pa.RecordBatch:
+        buckets = np.sort(np.concatenate([np.zeros(0, np.uint64), *held]) >> np.uint64(64 - bits))
+        chunks, starts = np.unique(buckets >> np.uint64(16), return_index=True)
+        low = (buckets & np.uint64(0xFFFF)).astype(np.uint16)
+        return pa.RecordBatch.from_arrays([pa.array(chunks.astype(np.int32)), pa.array([x.tobytes() for x in np.split(low, starts[1:])] if len(chunks) else [], pa.binary())], ["chunk", "offsets"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size, np.int64)
+        held, n = [], 0
         for batch in batches:
             text = batch.column(0)
             for lo, hi in slices(text):
                 for s in shingle_sets(text.slice(lo, hi - lo), k):
-                    np.add.at(total, (s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
-        if total.any():
-            parts = total.astype(np.int32).reshape(-1, chunk)
-            yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], ["chunk", "counts"])
+                    held.append(s[: np.searchsorted(s, limit)])
+                    n += len(held[-1])
+                if n > 4_000_000:
+                    yield flush(held)
+                    held, n = [], 0
+        yield flush(held)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
         for batch in batches:
             for c, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                part = np.frombuffer(raw.as_py(), np.int32).astype(np.int64)
+                part = np.bincount(np.frombuffer(raw.as_py(), np.uint16), minlength=65536)
                 total[c] = total[c] + part if c in total else part
-        if total:
-            parts = [np.minimum(v, 2**31 - 1).astype(np.int32).tobytes() for v in total.values()]
-            yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array(parts, pa.binary())], ["chunk", "counts"])
+        mean = [float(v.sum()) for v in total.values()]
+        full = [np.packbits(v > 2 * m / 65536 + 12).tobytes() for v, m in zip(total.values(), mean, strict=True)]
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array(full, pa.binary())], ["chunk", "full"])
 
-    partial = docs.select("text").mapInArrow(count, "chunk int, counts binary")
-    summed = partial.repartition(16, "chunk", F.floor(F.rand(3) * 4)).mapInArrow(add, "chunk int, counts binary")  # then a few rows a chunk
-    total = np.zeros(size, np.int64)
-    for r in summed.toLocalIterator():  # bounded by the sketch, not by the corpus
-        total[r["chunk"] * chunk : (r["chunk"] + 1) * chunk] += np.frombuffer(bytes(r["counts"]), np.int32)
-    return total > 2 * total.mean() + 32
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = docs.select("text").mapInArrow(count, "chunk int, offsets binary").repartition(parts, "chunk").mapInArrow(add, "chunk int, full binary")
+    bitmap = bytearray(1 << (bits - 3))
+    for r in found.toLocalIterator():  # 2^bits bits in all, whatever the corpus
+        bitmap[r["chunk"] * 8192 : (r["chunk"] + 1) * 8192] = r["full"]
+    return bits, bytes(bitmap)
 
 
-def profiles(docs: DataFrame, k: int, percent: int, heavy: np.ndarray) -> DataFrame:
+def profiles(docs: DataFrame, k: int, percent: int, bits: int, bitmap: bytes) -> DataFrame:
     """doc_id, n, d1, d2 (set digest) and signature of each row with a non-empty set."""
-    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(heavy))
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        late = np.unpackbits(shared.value).astype(bool)
+        late = np.unpackbits(np.frombuffer(shared.value, np.uint8)).astype(bool)
         for batch in batches:
             text = batch.column(1)
             for lo, hi in slices(text):
@@ -98,7 +117,7 @@ def profiles(docs: DataFrame, k: int, percent: int, heavy: np.ndarray) -> DataFr
                     d1.append(int(s.sum(dtype=np.uint64).astype(np.int64)))
                     d2.append(int(mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).astype(np.int64)))
                     take = signature_size(len(s), percent) if len(s) else 0
-                    slow = late[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
+                    slow = late[(s >> np.uint64(64 - bits)).astype(np.int64)]
                     first = s[~slow][:take]
                     sig.append(np.concatenate([first, s[slow][: take - len(first)]]).view(np.int64))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(n, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(sig, pa.list_(pa.int64()))], ["doc_id", "n", "d1", "d2", "sig"])
@@ -106,11 +125,11 @@ def profiles(docs: DataFrame, k: int, percent: int, heavy: np.ndarray) -> DataFr
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, d1 long, d2 long, sig array<long>")
 
 
-def whole_sets(docs: DataFrame, wanted: DataFrame, k: int, scratch: Scratch, name: str) -> DataFrame:
-    """doc, tokens (packed sorted hashes) of the documents in ``wanted`` (doc).
+def wanted_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
+    """doc, tokens (packed sorted hashes) of at least the documents in ``wanted`` (doc).
 
-    A bitmap of fixed size over the wanted ids spares the others the work; a join then drops the
-    few that got through by chance.
+    A bitmap of fixed size over the wanted ids spares the others the work; the few that get through
+    by chance are dropped by the join that follows.
     """
     bits = 1 << BLOOM_BITS
     spot = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
@@ -123,56 +142,73 @@ def whole_sets(docs: DataFrame, wanted: DataFrame, k: int, scratch: Scratch, nam
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             b = batch.column(2).to_numpy()
-            on = (shared.value[b >> 6] >> (b & 63)) & 1
-            ids, text = batch.column(0).filter(pa.array(on.astype(bool))), batch.column(1).filter(pa.array(on.astype(bool)))
+            on = pa.array(((shared.value[b >> 6] >> (b & 63)) & 1).astype(bool))
+            ids, text = batch.column(0).filter(on), batch.column(1).filter(on)
             for lo, hi in slices(text):
                 yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo), pa.array([s.tobytes() for s in shingle_sets(text.slice(lo, hi - lo), k)], pa.binary())], ["doc", "tokens"])
 
-    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null").withColumn("b", spot(F.col("doc_id"))).mapInArrow(run, "doc long, tokens binary")
-    return scratch.put(found.join(wanted.select("doc").distinct(), "doc", "left_semi").dropDuplicates(["doc"]), name)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null").withColumn("b", spot(F.col("doc_id"))).mapInArrow(run, "doc long, tokens binary")
+
+
+def spanning(pairs: Iterator[tuple[int, int, int, int]]) -> Iterator[tuple[int, int]]:
+    """Of links (doc, its component, partner, its component) those that join components not yet joined here."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (up := parent.setdefault(x, x)) != x:
+            parent[x] = parent[up]
+            x = parent[x]
+        return x
+
+    for u, cu, v, cv in pairs:
+        a, b = root(cu), root(cv)
+        if a != b:
+            parent[max(a, b)] = min(a, b)
+            yield u, v
 
 
-def verified(asks: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Opens groups: for each (doc, group) in ``asks`` one link (u, v) per block of the group's ``members``
-    (group, doc) that holds a partner of doc.
+def verified(asks: DataFrame, members: DataFrame, docs: DataFrame, k: int, percent: int, scratch: Scratch, name: str) -> DataFrame:
+    """Opens groups: links (u, v) that join the components of asking documents and of partners.
 
-    Members and askers of a group meet in blocks of BLOCK by BLOCK, so that neither a large group nor
-    one that many ask fills a task.
+    ``asks`` has (doc, comp, grp), ``members`` (grp, doc, comp). Members and askers of a group meet in
+    blocks of BLOCK by BLOCK, so that neither a large group nor one that many ask fills a task. Each
+    document's set is made once, meets its routes by id and goes to its blocks.
     """
-    sized = lambda df, name: df.groupBy("grp").agg(F.ceil(F.count("*") / BLOCK).alias(name))
+    sized = lambda df, n: df.groupBy("grp").agg(F.ceil(F.count("*") / BLOCK).alias(n))
     spread = lambda n, seed: F.pmod(F.xxhash64("doc", F.lit(seed)), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), (F.col(n) - 1).cast("int")))
     counts = sized(asks, "nq").join(sized(members, "nm"), "grp")
-    left = asks.join(counts, "grp").withColumn("qb", spread("nq", 1)).withColumn("mb", every("nm"))
-    right = members.join(counts, "grp").withColumn("mb", spread("nm", 2)).withColumn("qb", every("nq"))
-    left = left.join(sets, "doc").select("grp", "qb", "mb", "doc", "tokens")
-    again = sets.select(F.col("doc").alias("member"), F.col("tokens").alias("held"))
-    right = right.join(again, F.col("doc") == F.col("member")).select(*[F.col(c).alias(f"of_{c}") for c in ("grp", "qb", "mb")], "member", "held")
-
-    def meet(asked: pa.Table, held: pa.Table) -> pa.Table:
-        u: list[int] = []
-        v: list[int] = []
-        if asked.num_rows and held.num_rows:
-            ids = held["member"].to_numpy()
-            rows = [np.frombuffer(x, np.uint64) for x in held["held"].to_pylist()]
-            n = np.array([len(r) for r in rows])
-            tokens, owner = np.concatenate(rows), np.repeat(np.arange(len(rows)), n)
-            order = np.argsort(tokens, kind="stable")
-            tokens, owner = tokens[order], owner[order]
-            for doc, raw in zip(asked["doc"].to_pylist(), asked["tokens"].to_pylist(), strict=True):
-                mine = np.frombuffer(raw, np.uint64)
-                lo, hi = np.searchsorted(tokens, mine, "left"), np.searchsorted(tokens, mine, "right")
-                spans = hi - lo
-                if not spans.any():
-                    continue
-                at = np.repeat(lo - np.concatenate([[0], np.cumsum(spans)[:-1]]), spans) + np.arange(spans.sum())
-                common = np.bincount(owner[at], minlength=len(rows))
-                on = np.flatnonzero((100 * common >= percent * (n + len(mine) - common)) & (ids != doc))
-                if len(on):
-                    u.append(doc), v.append(int(ids[on].min()))
-        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
-
-    return left.groupBy("grp", "qb", "mb").cogroup(right.groupBy("of_grp", "of_qb", "of_mb")).applyInArrow(meet, "u long, v long")
+    left = asks.join(counts, "grp").withColumn("qb", spread("nq", 1)).withColumn("mb", every("nm")).withColumn("asks", F.lit(True))
+    right = members.join(counts, "grp").withColumn("mb", spread("nm", 2)).withColumn("qb", every("nq")).withColumn("asks", F.lit(False))
+    columns = ["doc", "comp", "grp", "qb", "mb", "asks"]
+    routes = scratch.put(left.select(*columns).union(right.select(*columns)), f"routes_{name}")
+    routed = wanted_sets(docs, routes.select("doc"), k).join(routes, "doc")
+
+    def links(asked: pa.Table, held: pa.Table) -> Iterator[tuple[int, int, int, int]]:
+        ids, comps = held["doc"].to_numpy(), held["comp"].to_numpy()
+        rows = [np.frombuffer(x, np.uint64) for x in held["tokens"].to_pylist()]
+        n = np.array([len(r) for r in rows])
+        tokens, owner = np.concatenate(rows), np.repeat(np.arange(len(rows)), n)
+        order = np.argsort(tokens, kind="stable")
+        tokens, owner = tokens[order], owner[order]
+        for doc, comp, raw in zip(asked["doc"].to_pylist(), asked["comp"].to_pylist(), asked["tokens"].to_pylist(), strict=True):
+            mine = np.frombuffer(raw, np.uint64)
+            lo, hi = np.searchsorted(tokens, mine, "left"), np.searchsorted(tokens, mine, "right")
+            spans = hi - lo
+            at = np.repeat(lo - np.concatenate([[0], np.cumsum(spans)[:-1]]), spans) + np.arange(spans.sum())
+            common = np.bincount(owner[at], minlength=len(rows))
+            for i in np.flatnonzero((100 * common >= percent * (n + len(mine) - common)) & (ids != doc)):
+                yield doc, comp, int(ids[i]), int(comps[i])
+
+    def meet(block: pa.Table) -> pa.Table:
+        on = block["asks"].combine_chunks()
+        asked, held = block.filter(on), block.filter(pc.invert(on))
+        found = list(spanning(links(asked, held))) if asked.num_rows and held.num_rows else []
+        return pa.table({"u": pa.array([u for u, _ in found], pa.int64()), "v": pa.array([v for _, v in found], pa.int64())})
+
+    links_ = scratch.put(routed.groupBy("grp", "qb", "mb").applyInArrow(meet, "u long, v long"), f"links_{name}")
+    scratch.drop(f"routes_{name}")
+    return links_
 
 
 def _need(n: Column, m: Column, percent: int) -> Column:
@@ -190,46 +226,48 @@ def similar_groups(docs: DataFrame, scratch: Scratch, k: int = 5, percent: int =
     Rows that repeat a doc_id are distinct rows of one document: they share a component when their
     sets do. A null doc_id is its own component. More columns of docs are ignored.
     """
-    late = crowded(docs, k)
-    rows = scratch.put(profiles(docs, k, percent, late), "profiles")
+    rows = scratch.put(profiles(docs, k, percent, *crowded(docs, k)), "profiles")
     classes = rows.where("n > 0 and doc_id is not null").groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
     classes = scratch.put(classes, "classes")
     reps = rows.join(classes.select("n", "d1", "d2", F.col("rep").alias("doc_id")), ["n", "d1", "d2", "doc_id"], "left_semi")
-    posted = reps.select(F.col("doc_id").alias("doc"), "n", F.explode("sig").alias("token")).distinct()
-    # tokens of two documents at least, with their leaders under several permutations
+    # one exchange by token serves the count, the filter and the leaders of shared tokens
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    every = reps.select(F.col("doc_id").alias("doc"), "n", F.explode("sig").alias("token")).repartition(parts, "token")
+    shared = every.groupBy("token").agg(F.count("*").alias("df")).where("df > 1").select("token")
+    several = every.join(shared, "token", "left_semi")
     lead = [F.min_by(F.struct("doc", "n"), F.xxhash64("doc", F.lit(i))).alias(f"l{i}") for i in range(LEADERS)]
-    shared = posted.groupBy("token").agg(F.count("*").alias("df"), *lead).where("df > 1").drop("df")
-    posted = scratch.put(posted.join(shared, "token"), "posted")
+    posted = scratch.put(several.join(several.groupBy("token").agg(*lead), "token"), "posted")
 
     leaders = posted.select("doc", "n", "token", F.explode(F.array_distinct(F.array(*[f"l{i}" for i in range(LEADERS)]))).alias("l"))
     pairs = leaders.where("doc <> l.doc").groupBy("doc", "n", F.col("l.doc").alias("grp"), F.col("l.n").alias("m")).agg(F.count("*").alias("c"))
     fits = (F.col("c") >= _need(F.col("n"), F.col("m"), percent)) & (100 * F.least("n", "m") >= percent * F.greatest("n", "m"))
-    asks = scratch.put(pairs.where(fits).select("doc", "grp"), "asks_0")
-    own = asks.select("grp").distinct().select("grp", F.col("grp").alias("doc"))
-    sets = whole_sets(docs, asks.select("doc").union(own.select("doc")), k, scratch, "sets_0")
-    links = scratch.put(verified(asks, own, sets, percent), "links_0")
-    groups = scratch.put(components(links, scratch, "groups"), "grouped")
-    scratch.drop("asks_0", "sets_0")
+    asks = scratch.put(pairs.where(fits).select("doc", F.col("doc").alias("comp"), "grp", "c"), "asks_0")
+    own = asks.select("grp").distinct().select("grp", F.col("grp").alias("doc"), F.col("grp").alias("comp"))
+    links = verified(asks.drop("c"), own, docs, k, percent, scratch, "0")
+    linked = scratch.put(components(links, scratch, "groups"), "linked")
+    nearest = asks.groupBy("doc").agg(F.max_by("grp", F.struct("c", -F.col("grp"))).alias("leader"))
+    of_leader = linked.select(F.col("node").alias("leader"), F.col("root").alias("leader_root"))
+    nearest = nearest.join(of_leader, "leader", "left").select("doc", F.coalesce("leader_root", "leader").alias("near"))
 
     # the matrix: union of signature tokens, with set sizes, of each group
-    in_group = posted.select("doc", "n", "token").join(groups.select(F.col("node").alias("doc"), "root"), "doc", "left").withColumn("grp", F.coalesce("root", "doc")).drop("root")
-    weight = in_group.groupBy("grp").agg(F.count_distinct("doc").alias("size"))
-    in_group = scratch.put(in_group.join(weight, "grp"), "in_group")
-    matrix = in_group.groupBy("token", "grp", "size").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
-    several = matrix.groupBy("token").agg(F.count("*").alias("g")).where("g > 1").drop("g")
-    matrix = scratch.put(matrix.join(several, "token"), "matrix")
-    asked = in_group.select("token", "doc", "n", F.col("grp").alias("own"), F.col("size").alias("own_size")).join(several, "token", "left_semi")
-    smaller = (F.col("own_size") < F.col("size")) | ((F.col("own_size") == F.col("size")) & (F.col("own") > F.col("grp")))
-    met = asked.join(matrix, "token").where(smaller & (F.col("own") != F.col("grp"))).groupBy("doc", "n", "grp").agg(F.count("*").alias("c"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    placed = posted.select("doc", "n").distinct().join(linked.select(F.col("node").alias("doc"), "root"), "doc", "left").join(nearest, "doc", "left")
+    placed = placed.select("doc", F.coalesce("root", "doc").alias("comp"), F.coalesce("root", "near", "doc").alias("grp"), (F.col("root").isNull() & F.col("near").isNotNull()).alias("loose"))
+    weight = placed.groupBy("grp").agg(F.count("*").alias("size"))
+    placed = scratch.put(placed.join(weight, "grp"), "placed")
+    in_group = scratch.put(posted.select("doc", "n", "token").join(placed, "doc"), "in_group")
+    matrix = in_group.groupBy("token", "grp", "size").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("loose").alias("open"))
+    several = matrix.groupBy("token").agg(F.count("*").alias("g"), F.max("open").alias("open")).where("g > 1 or open").select("token")
+    matrix = scratch.put(matrix.drop("open").join(several, "token"), "matrix")
+    asked = in_group.select("token", "doc", "comp", "n", "loose", F.col("grp").alias("own"), F.col("size").alias("own_size")).join(several, "token", "left_semi")
+    smaller = (F.col("own") != F.col("grp")) & ((F.col("own_size") < F.col("size")) | ((F.col("own_size") == F.col("size")) & (F.col("own") > F.col("grp"))))
+    met = asked.join(matrix, "token").where(smaller | (F.col("loose") & (F.col("own") == F.col("grp")))).groupBy("doc", "comp", "n", "grp").agg(F.count("*").alias("c"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     low = F.greatest(F.col("lo"), F.ceil(F.lit(percent) * F.col("n") / 100))
     high = F.least(F.col("hi"), F.floor(F.lit(100) * F.col("n") / percent))
     bound = F.least(_need(F.col("n"), low, percent), _need(F.col("n"), high, percent))
-    asks = scratch.put(met.where((low <= high) & (F.col("c") >= bound)).select("doc", "grp"), "asks_1")
-    opened = in_group.select("grp", "doc").distinct().join(asks.select("grp").distinct(), "grp", "left_semi")
-    opened = scratch.put(opened, "opened")
-    sets = whole_sets(docs, asks.select("doc").union(opened.select("doc")), k, scratch, "sets_1")
-    more = scratch.put(verified(asks, opened, sets, percent), "links_1")
-    scratch.drop("posted", "in_group", "matrix", "asks_1", "opened", "sets_1")
+    asks = scratch.put(met.where((low <= high) & (F.col("c") >= bound)).select("doc", "comp", "grp"), "asks_1")
+    opened = scratch.put(placed.select("grp", "doc", "comp").join(asks.select("grp").distinct(), "grp", "left_semi"), "opened")
+    more = verified(asks, opened, docs, k, percent, scratch, "1")
+    scratch.drop("posted", "placed", "in_group", "matrix", "asks_0", "asks_1", "opened")
 
     roots = scratch.put(components(links.union(more), scratch, "roots"), "final")
     several = classes.join(roots, F.col("rep") == F.col("node"), "left").where("copies > 1 or root is not null").select("n", "d1", "d2", F.coalesce("root", "rep").alias("root"))

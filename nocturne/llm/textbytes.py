@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-PIECE = 1 << 19
+PIECE = 1 << 18
 U = np.uint64
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -40,14 +40,16 @@ def _tables(n: int) -> list[np.ndarray]:
 
 def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string array; nulls count as empty."""
-    texts = texts.cast(pa.large_string()).fill_null("")
-    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
-    data = texts.buffers()[2]
+    if texts.null_count:
+        texts = texts.fill_null("")
+    kind = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+    _, raw, data = texts.buffers()
+    offsets = np.frombuffer(raw, kind)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64) if raw is not None and len(texts) else np.zeros(len(texts) + 1, np.int64)
     whole = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     return whole[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def slices(texts: pa.Array, limit: int = 2 << 20) -> Iterator[tuple[int, int]]:
+def slices(texts: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Row ranges of about ``limit`` bytes; a longer text is a range of its own."""
     _, offsets = buffers(texts)
     lo = 0
