@@ -102,7 +102,7 @@ class Mix:
 
     def drawn(self) -> DataFrame:
         """One row per drawn copy, with shard and its place in the shard's shuffled order (``place``)."""
-        copies = self.rows.select("*", F.posexplode("shards").alias("copy", "shard")).drop("shards")
+        copies = self.rows.drop("copy", "shard", "place").select("*", F.posexplode("shards").alias("copy", "shard")).drop("shards")
         return copies.withColumn("place", F.xxhash64("doc_id", "copy", F.lit("place")))
 
 
@@ -197,12 +197,13 @@ def mix(docs: DataFrame, scratch: Scratch, shards: int | None = None, seed: int
 
     added = ["size", "source_size", "target", "copies", "shards"]
     kept = [c for c in docs.columns if c not in added]
-    rows = docs.select(*kept, size_of(F.col("text")).alias("size"), place.alias("place_")).join(known, F.col("source").eqNullSafe(F.col("m_source")))
+    rows = docs.select(F.struct(*kept).alias("doc"), F.col("source").alias("d_source"), size_of(F.col("text")).alias("size"), place.alias("place_"))
+    rows = rows.join(known, F.col("d_source").eqNullSafe(F.col("m_source")))
     rows = rows.withColumnRenamed("m_size", "k_size").withColumnRenamed("m_target", "k_target")
     b = F.floor(F.col("place_") * F.col("m_blocks") / F.lit(PLACES))
     s = F.floor((F.col("place_") * F.col("m_blocks") / F.lit(PLACES) - b) * SUB_BLOCKS)
-    rows = rows.withColumns({"b_": b, "s_": s}).join(plan, F.col("source").eqNullSafe(F.col("u_source")) & (F.col("b_") == F.col("m_block")))
+    rows = rows.withColumns({"b_": b, "s_": s}).join(plan, F.col("d_source").eqNullSafe(F.col("u_source")) & (F.col("b_") == F.col("m_block")))
     copies = (F.col("m_passes") + F.when(_partial() | (F.col("place_") == F.col("m_extra")), 1).otherwise(0)).cast("int")
     rows = rows.withColumn("copies", copies)
     scratch.drop("sized")
-    return Mix(rows.select(*kept, "size", F.col("k_size").alias("source_size"), F.col("k_target").alias("target"), "copies", F.slice("m_home", 1, F.col("copies")).alias("shards")), shards)
+    return Mix(rows.select("doc.*", "size", F.col("k_size").alias("source_size"), F.col("k_target").alias("target"), "copies", F.slice("m_home", 1, F.col("copies")).alias("shards")), shards)
