@@ -27,9 +27,18 @@ def fold_of(doc_id: Column, n: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % n
 
 
-def bounded_sample(rows: DataFrame, bound: int) -> DataFrame:
-    """The ``bound`` rows of least hash of (doc_id, text); ties by doc_id."""
-    return rows.orderBy(F.xxhash64("doc_id", "text"), "doc_id").limit(bound)
+def bounded_sample(labels: DataFrame, docs: DataFrame, bound: int) -> DataFrame:
+    """doc_id, text and label of the ``bound`` labelled ids of least hash (doc_id breaks ties).
+
+    Ids are chosen first, from the narrow ``labels`` (doc_id, label) and below a hash that leaves half
+    as many again; at most ``bound`` of them are then broadcast to the texts, so no text is shuffled
+    but those of the sample.
+    """
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))
+    n = labels.count()
+    below = (1 << 40) if n <= 2 * bound else int((1 << 40) * (1.5 * bound / n))
+    ids = labels.where(place < below).orderBy(place, "doc_id").limit(bound)
+    return docs.select("doc_id", "text").where("text is not null").join(F.broadcast(ids), "doc_id")
 
 
 def _fit_on_executor(sample: DataFrame, fit, label: str) -> bytes:
@@ -43,7 +52,7 @@ def _fit_on_executor(sample: DataFrame, fit, label: str) -> bytes:
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(texts, labels))], pa.binary())], ["model"])
 
     model = sample.select("doc_id", "text", label).repartition(1).mapInArrow(run, "model binary").first()
-    return bytes(model["model"])
+    return bytes(model["model"]) if model else pickle.dumps(fit(pa.array([], pa.string()), []))  # without rows no task may run
 
 
 # ---- naive Bayes support vectors -------------------------------------------------------------
@@ -142,14 +151,14 @@ def quality_scores(model: dict, texts: pa.Array) -> np.ndarray:
     return out
 
 
-def score_quality(docs: DataFrame, labelled: DataFrame, keep: tuple[str, ...] = ("doc_id",), bound: int = QUALITY_SAMPLE) -> DataFrame:
-    """``keep`` columns and score of each row of docs, by a model of ``labelled`` (doc_id, text, quality).
+def score_quality(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ("doc_id",), bound: int = QUALITY_SAMPLE) -> DataFrame:
+    """``keep`` columns and score of each row of docs, by a model of the docs in ``labels`` (doc_id, quality).
 
     Null and empty texts have no n-gram and score by the bias alone; texts of any length are read
-    whole. Rows of ``labelled`` without a label or text are left out; with one class or none, every
+    whole. Labels that are null or whose document has no text are left out; with one class or none, every
     score is the smoothed share of label 1. Repeated rows stay.
     """
-    sample = bounded_sample(labelled.where("quality is not null and text is not null"), bound)
+    sample = bounded_sample(labels.where("quality is not null").select("doc_id", "quality"), docs, bound)
     fitted = docs.sparkSession.sparkContext.broadcast(pickle.loads(_fit_on_executor(sample, fit_support_vectors, "quality")))
     out = ", ".join([*(docs.schema[c].simpleString().replace(":", " ", 1) for c in keep), "score double"])
 
@@ -211,14 +220,14 @@ def fit_kernel(texts: pa.Array, labels: list[str], landmarks: int = LANDMARKS, r
     return {"names": names, "landmarks": marks, "weights": weights.astype(np.float32)}
 
 
-def predict_language(docs: DataFrame, labelled: DataFrame, keep: tuple[str, ...] = ("doc_id",), bound: int = LANGUAGE_SAMPLE) -> DataFrame:
-    """``keep`` columns, lang_pred and score of each row of docs, by a model of ``labelled`` (doc_id, text, lang).
+def predict_language(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ("doc_id",), bound: int = LANGUAGE_SAMPLE) -> DataFrame:
+    """``keep`` columns, lang_pred and score of each row of docs, by a model of the docs in ``labels`` (doc_id, lang).
 
     ``und`` with score 0 where the text is null or has no letter, and everywhere if nothing could be
     learned. The score is the softmax share of the winning class; equal outputs go to the class
     first in code-point order. Whole texts of any length; repeated rows stay.
     """
-    sample = bounded_sample(labelled.where("lang is not null and text is not null"), bound)
+    sample = bounded_sample(labels.where("lang is not null").select("doc_id", "lang"), docs, bound)
     fitted = docs.sparkSession.sparkContext.broadcast(pickle.loads(_fit_on_executor(sample, fit_kernel, "lang")))
     out = ", ".join([*(docs.schema[c].simpleString().replace(":", " ", 1) for c in keep), "lang_pred string", "score double"])
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding_dedup, html_main, jaccard_join, linear_models, mixing, pieces, pii, topk, url_filter
+from . import embedding_dedup, html_main, jaccard_join, linear_models, mixing, oracle, pieces, pii, topk, url_filter
 from .shared import Scratch, table
 
 RULES = [
@@ -36,8 +36,7 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = linear_models.fold_of(F.col("doc_id"), 3) == 1
-    learn = docs.join(table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id").where(~out)
-    scored = linear_models.score_quality(docs, learn)
+    scored = linear_models.score_quality(docs, table(spark, sf_dir, "labels").where(~out))
     return scored.select("doc_id", (linear_models.fold_of(F.col("doc_id"), 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
@@ -59,7 +58,7 @@ def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = table(spark, sf_dir, "documents")
     out = linear_models.fold_of(F.col("doc_id"), 4) == 2
     found = linear_models.predict_language(docs, docs.where(~out))
     return found.select("doc_id", out.alias("held_out"), "lang_pred", "score")
@@ -78,7 +77,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_sentencepiece, op2_url_filter, op3_quality, op4_embedding_dedup, op5_mixing, op6_jaccard_join, op7_html_extraction, op8_language_id, op9_pii, op10_exact_topk)
 }
 
-_NUMBER = url_filter.rule_sql("p.url", RULES)
-_ORDERED = sorted(RULES, key=lambda r: -len(r.name))
-
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_url_filter": oracle.url_filter_sql(RULES),
+    "op4_embedding_dedup": oracle.VECTORS_SQL,
+    "op6_jaccard_join": oracle.groups_sql(4, 85),
+    "op10_exact_topk": oracle.TOP_K_SQL,
+}

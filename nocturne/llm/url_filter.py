@@ -12,7 +12,6 @@ found by distributed contraction, so neither links nor classes reach the driver.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -118,11 +117,3 @@ def judge(pages: DataFrame, rules: list[Rule], scratch: Scratch, edges: DataFram
     judged = pages.select("page_id", host_of(url).alias("host"), path_of(url).alias("path"), F.when(url.contains("://"), node_of(url)).alias("node"))
     judged = judged.withColumn("own", rule_of(F.col("host"), F.col("path"), rules)).join(aliases, "node", "left")
     return judged.select("page_id", "host", "path", F.col("own.rule").alias("rule"), F.coalesce(F.col("own.verdict"), "alias_verdict", F.lit("allow")).alias("verdict"), "alias_verdict")
-
-
-def rule_sql(url_sql: str, rules: list[Rule]) -> str:
-    """DuckDB expression of the rule number (1 is the longest) that fits; used by the oracle and tests."""
-    host, path = f"translate(regexp_extract({url_sql}, '://([^/?#]*)', 1), '{UPPER}', '{LOWER}')", f"regexp_extract({url_sql}, '://[^/?#]*([^?#]*)', 1)"
-    ordered = sorted(rules, key=lambda r: -len(r.name))
-    whens = [f"WHEN ({host} = '{r.host}' OR ends_with({host}, '.{r.host}')) AND starts_with({path}, '{r.path}') THEN {i}" for i, r in enumerate(ordered, 1)]
-    return reduce(lambda a, b: f"{a} {b}", whens, "CASE") + " END"
