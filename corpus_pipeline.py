@@ -19,7 +19,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     ``lang`` becomes the predicted language. The model learns from the stage's own labelled rows.
     """
-    found = linear_models.predict_language(docs.withColumn("text_", F.col("text")), docs, keep=("doc_id", "text_", "source", "n_chars"))
+    found = linear_models.predict_language(docs.withColumn("text_", F.col("text")), docs.select("doc_id", "lang"), keep=("doc_id", "text_", "source", "n_chars"))
     kept = found.where("lang_pred <> 'und'")
     return kept.select("doc_id", F.col("text_").alias("text"), F.col("lang_pred").alias("lang"), "source", "n_chars")
 
