@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import passages, stem, tokens
+from .components import Workspace
 
 
 def chunk_documents(docs: DataFrame, key: str, source: str, text: str = "text", words: int = 220, overlap: int = 40) -> DataFrame:
@@ -51,7 +52,7 @@ class PassageIndex:
 
     @classmethod
     def build(cls, chunks: DataFrame) -> PassageIndex:
-        counts = term_counts(chunks)
+        counts = Workspace(chunks.sparkSession).put(term_counts(chunks), "counts")  # read twice: for frequencies and for weights
         idf = inverse_frequency(counts, chunks)
         return cls(chunks, idf, weights(counts, idf))
 
