@@ -25,10 +25,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .textbytes import slices
+
 MARK = "▁"
 SHORT = 48  # characters of a chunk that the matrix form takes
-CACHE = 1_000_000
-SLICE = 3 << 20  # characters encoded together
+CACHE = 350_000  # about 80 MB a worker
+SLICE = 2 << 20  # bytes of text encoded together
 
 
 class PieceModel:
@@ -216,9 +218,10 @@ class PieceModel:
         """
         split = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+").findall
         chunks = [split(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
-        if len(self.cache) > CACHE:
-            self.cache.clear()
-        new = list(set(chain.from_iterable(chunks)).difference(self.cache))
+        used = set(chain.from_iterable(chunks))
+        new = list(used.difference(self.cache))
+        if len(self.cache) + len(new) > CACHE:  # frequent chunks are in use just now, and stay
+            self.cache = {c: self.cache[c] for c in used.intersection(self.cache)}
         self._matrix([c for c in new if len(c) <= SHORT])
         for c in new:
             if len(c) > SHORT:
@@ -248,17 +251,6 @@ def model(path: str) -> PieceModel:
     return _models[path]
 
 
-def _groups(texts: list[str]) -> Iterator[tuple[int, int]]:
-    lo = size = 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > SLICE:
-            yield lo, i
-            lo, size = i, 0
-        size += len(t) + 1
-    if lo < len(texts):
-        yield lo, len(texts)
-
-
 def encode_documents(docs: DataFrame, model_file: str, keep: tuple[str, ...] = ("doc_id",), with_ids: bool = False, with_text: bool = False) -> DataFrame:
     """``keep`` columns, n_tokens, ids_sha256, decoded_sha256 and, on demand, ids and decoded of each row of docs.
 
@@ -271,13 +263,13 @@ def encode_documents(docs: DataFrame, model_file: str, keep: tuple[str, ...] = (
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model(model_file)
-        gc.freeze()  # the cache holds a million tuples and no cycles: collections would walk them over and over
+        gc.freeze()  # the cache holds many tuples and no cycles: collections would walk them over and over
         gc.disable()
         names = m.text_of_id.__getitem__
         for batch in batches:
-            texts = batch.column(len(keep)).fill_null("").to_pylist()
-            for lo, hi in _groups(texts):
-                part = texts[lo:hi]
+            texts = batch.column(len(keep)).fill_null("")
+            for lo, hi in slices(texts, SLICE):
+                part = texts.slice(lo, hi - lo).to_pylist()
                 ids = m.encode(part, checked=True)
                 text = m.decode(ids)
                 columns = [batch.column(i).slice(lo, hi - lo) for i in range(len(keep))]
