@@ -1,4 +1,4 @@
-"""Command line: demo, run, synth, init-config, instruments and ask."""
+"""Command line: demo, run, synth, init-config, instruments, ask and serve."""
 
 from __future__ import annotations
 
@@ -88,11 +88,19 @@ def cmd_ask(args) -> int:
     return 0
 
 
+def cmd_serve(args) -> int:
+    from .session import get_session
+    from .web import serve
+
+    serve(get_session(), args.out, port=args.port).serve_forever()
+    return 0
+
+
 def build_parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser("nocturne", description="Time-domain sky catalogues on Spark")
     p.add_argument("--version", action="version", version=__version__)
     sub = p.add_subparsers(dest="command", required=True)
-    for name, run, extra in (("demo", cmd_demo, ("out", "size")), ("run", cmd_run, ("config", "raw", "out_opt")), ("synth", cmd_synth, ("out", "size")), ("init-config", cmd_init_config, ("out",)), ("instruments", cmd_instruments, ()), ("ask", cmd_ask, ("ask",))):
+    for name, run, extra in (("demo", cmd_demo, ("out", "size")), ("run", cmd_run, ("config", "raw", "out_opt")), ("synth", cmd_synth, ("out", "size")), ("init-config", cmd_init_config, ("out",)), ("instruments", cmd_instruments, ()), ("ask", cmd_ask, ("ask",)), ("serve", cmd_serve, ("out", "port"))):
         c = sub.add_parser(name)
         c.set_defaults(run=run)
         c.add_argument("--instrument")
@@ -105,6 +113,8 @@ def build_parser() -> argparse.ArgumentParser:
         if "config" in extra:
             c.add_argument("--config")
             c.add_argument("--raw")
+        if "port" in extra:
+            c.add_argument("--port", type=int, default=8770)
         if "ask" in extra:
             c.add_argument("question")
             c.add_argument("files", nargs="+")

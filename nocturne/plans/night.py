@@ -152,8 +152,8 @@ def process_frame(image: np.ndarray, row, masters: dict, inst: Instrument, confi
         quality |= hits.astype(np.uint8)
     if masters["bad"] is not None:
         quality |= (masters["bad"] * 2).astype(np.uint8)
-    if config.denoise.enabled and config.denoise.method == "tv":
-        data = kernels.denoise_tv(data, config.denoise.weight)
+    if config.denoise.enabled:
+        data = kernels.denoise(data, config.denoise.method, config.denoise.strength)
     d = config.detect
     bkg = kernels.background(data, config.background.box_size, config.background.estimator, d.nsigma, d.npixels, config.background.mask_sources_iters)
     smooth = kernels.convolve(bkg["sub"], kernels.gaussian_kernel(d.kernel_fwhm))

@@ -5,6 +5,7 @@ Tables are written by Spark. Rendering collects only ranked top rows and one row
 
 from __future__ import annotations
 
+import base64
 import html
 import json
 import math
@@ -99,9 +100,27 @@ def html_report(result, summary: str, records: list[dict]) -> str:
     return _page("Night report", f"<pre>{html.escape(summary)}</pre><h2>Candidates</h2>{_table(CANDIDATE_COLUMNS, best)}<ul>{links}</ul><h2>Frames</h2>{_table(shown, frames)}")
 
 
-def dossier_page(d: dict, report: str) -> str:
+def stamps(sources: DataFrame, d: dict, reduced: str, size: int = 31, most: int = 6) -> list[bytes]:
+    """PNG cutouts about an object's detections from the reduced frames, at most a few."""
+    from ..images.kernels import cutout, stamp_png
+    from ..operators.crossmatch import cone_search
+    from ..sources.fits import read_fits
+
+    near = cone_search(sources.where("ra is not null"), d["ra"], d["dec"], 3.0 / 3600.0).select("frame", "x", "y").orderBy("frame").limit(most).collect()
+    out = []
+    for r in near:
+        path = Path(reduced) / f"{Path(r['frame']).stem}_reduced.fits"
+        if path.exists():
+            part = cutout(read_fits(path.read_bytes())[1], r["x"], r["y"], size)
+            if min(part.shape) >= 4:
+                out.append(stamp_png(part))
+    return out
+
+
+def dossier_page(d: dict, report: str, images: list[bytes] = ()) -> str:
+    shown = "".join(f"<img width='93' src='data:image/png;base64,{base64.b64encode(i).decode()}'> " for i in images)
     checks = _table(["service", "status", "detail"], d["checks"])
-    return _page(f"Object {d['obj_id']}: {d['kind']}", f"<p>{html.escape(d['verdict'])}. {html.escape(d['action'])}.</p><p>{html.escape(d['notes'] or '')}</p>{checks}<pre>{html.escape(report)}</pre>")
+    return _page(f"Object {d['obj_id']}: {d['kind']}", f"<p>{html.escape(d['verdict'])}. {html.escape(d['action'])}.</p><p>{html.escape(d['notes'] or '')}</p>{shown}{checks}<pre>{html.escape(report)}</pre>")
 
 
 def report_lines(sources: DataFrame, lights: DataFrame, near_ra: float, near_dec: float, designation: str, radius_arcsec: float = 3.0) -> list[str]:
@@ -132,6 +151,6 @@ def write_products(result, config: NightConfig) -> dict[str, str]:
     lights = result.frames.where("ftype = 'light'")
     for d in records:
         text = "\n".join(report_lines(result.sources, lights, d["ra"], d["dec"], f"OBJ{d['obj_id']:04d}"))
-        (reports / d["html_name"]).write_text(dossier_page(d, text))
+        (reports / d["html_name"]).write_text(dossier_page(d, text, stamps(result.sources, d, config.paths.reduced)))
     (reports / "report.html").write_text(html_report(result, summary, records))
     return {"report": str(reports / "report.html"), "qa": str(reports / "qa_summary.json"), "summary": str(reports / "run_summary.txt"), "dossiers": str(reports / "dossiers.json"), "catalogs": str(catalogs)}

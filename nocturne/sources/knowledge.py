@@ -137,3 +137,41 @@ def fetch_page(url: str, get, resolve=None) -> str:
         text = body.decode("utf-8", "replace")
         return (page_text(text) if "html" in headers.get("content-type", "html") else text)[:URL_CHARS]
     raise ValueError("too many redirects")
+
+
+def _listed(path) -> list[str]:
+    """Lines of a list file in any common encoding, without blanks, comments and quotes."""
+    raw = path.read_bytes()
+    text = raw.decode("utf-16", "replace") if raw[:2] in (b"\xff\xfe", b"\xfe\xff") else raw.decode("utf-8-sig", "replace")
+    return [s for line in text.splitlines() if (s := line.strip().strip('"')) and not s.startswith("#")]
+
+
+def default_base(spark: SparkSession, root: str, data_dirs: tuple[str, ...] = (), get=None, resolve=None) -> DataFrame:
+    """source, text of a project's notes: README and docs, configuration without credentials, the latest
+    products, the files of kb/, and the pages and folders that kb/urls.txt and kb/sources.txt list.
+    Pages need ``get``; one that can't be fetched is left out.
+    """
+    from pathlib import Path
+
+    base = Path(root)
+    files = [base / "README.md", *sorted((base / "docs").glob("*.md")), *sorted((base / "config").glob("*.yaml"))]
+    for d in data_dirs:
+        files += [Path(d) / n for n in ("reports/run_summary.txt", "reports/night_brief.md", "reports/qa_summary.json")] + sorted((Path(d) / "catalogs" / "candidates").glob("*.csv"))
+    kb = base / "kb"
+    files += [p for p in sorted(kb.iterdir()) if p.is_file() and p.name not in ("urls.txt", "sources.txt")] if kb.is_dir() else []
+    there = [str(p) for p in files if p.is_file()]
+    out = read_files(spark, *there) if there else read_files_schema(spark)
+    if (kb / "sources.txt").is_file():
+        for folder in _listed(kb / "sources.txt"):
+            if Path(folder).is_dir():
+                out = out.unionByName(read_vault(spark, folder))
+    if get is not None and (kb / "urls.txt").is_file():
+        pages = []
+        for url in _listed(kb / "urls.txt"):
+            try:
+                pages.append((url, fetch_page(url, get, resolve)))
+            except (ValueError, OSError):
+                continue
+        if pages:
+            out = out.unionByName(spark.createDataFrame(pages, "source string, text string"))
+    return out
