@@ -20,6 +20,20 @@ from .components import Workspace, connected_components
 from .crossmatch import flag_matched, radius_pairs, with_cell, with_neighbour_cells
 
 
+#: Base rank of each kind, its default, and the texts of notes.
+RANK_BASE = {"mover": 0.85, "transient": 0.8, "variable": 0.55, "single": 0.2, "known": 0.02}
+RANK_OTHER = 0.1
+NOTES = {
+    "unmatched": "unmatched source; novelty flagging disabled",
+    "transient": "stationary source with no catalog match, %d detections",
+    "single": "single unmatched detection (low confidence)",
+    "orphan": "single unmatched detection",
+    "instrumental": "light curve in instrumental mags (calibration unavailable)",
+    "variable": "variable: rms=%.3f mag, %d/%d epochs >4 sigma, reduced chi2=%.0f, amp=%.2f mag (%s mags)",
+    "mover": "moving object: %.2f arcsec/min at PA %.0f deg, %d epochs linked",
+}
+
+
 @dataclass(frozen=True)
 class Settings:
     """Discovery settings with their defaults."""
@@ -137,9 +151,10 @@ def predicted_matches(seeds: DataFrame, orphans: DataFrame, tol_deg: float) -> D
     ahead = seeds.join(start, "a").join(F.broadcast(times), (F.col("frame_c") != F.col("frame_a")) & (F.col("frame_c") != F.col("frame_b")))
     dt = F.col("tf") - F.col("t0")
     placed = ahead.withColumns({"p_ra": F.col("ra0") + F.col("v_ra") * dt, "p_dec": F.col("dec0") + F.col("v_dec") * dt})
-    band = lambda c: F.floor(c / F.lit(2 * tol_deg)).cast("long")
-    placed = placed.withColumn("band", F.explode(F.array(*[band(F.col("p_dec")) + i for i in (-1, 0, 1)])))
-    near = placed.join(other.withColumn("band", band(F.col("decc"))), ["frame_c", "band"]).where((F.col("tc") == F.col("tf")))
+    # a box of half side tol lies within tol * sqrt(2); detections are fewer than predictions and take the 27 cells
+    reach = tol_deg * 3600.0 * 1.5
+    cells = ["frame_c", "cx", "cy", "cz"]
+    near = with_cell(placed, "p_ra", "p_dec", reach).join(with_neighbour_cells(other, "rac", "decc", reach), cells).where(F.col("tc") == F.col("tf"))
     inside = (F.abs(wrap_deg(F.col("rac") - F.col("p_ra"))) * F.cos(F.radians("decc")) < tol_deg) & (F.abs(F.col("decc") - F.col("p_dec")) < tol_deg)
     return near.where(inside).groupBy("a", "b", "frame_c").agg(F.min("c").alias("c"))
 
@@ -280,7 +295,7 @@ def real_bogus(fwhm: Column, ellipticity: Column, snr: Column, edge: Column, n:
 
 
 def composite_rank(kind: Column, mean_snr: Column, n_det: Column, rb: Column, significance: Column) -> Column:
-    base = F.when(kind == "mover", 0.85).when(kind == "transient", 0.8).when(kind == "variable", 0.55).when(kind == "single", 0.2).when(kind == "known", 0.02).otherwise(0.1)
+    base = F.coalesce(*[F.when(kind == k, F.lit(v)) for k, v in RANK_BASE.items()], F.lit(RANK_OTHER))
     score = base * (F.lit(0.4) + F.lit(0.3) * (F.lit(1.0) - F.exp(-mean_snr / 20.0)) + F.lit(0.3) * F.least(F.lit(1.0), n_det / 4.0)) * (F.lit(0.4) + F.lit(0.6) * rb)
     boosted = F.when((kind == "variable") & significance.isNotNull(), score * F.least(F.lit(1.3), F.lit(1.0) + significance / 30.0)).otherwise(score)
     return F.least(F.greatest(boosted, F.lit(0.0)), F.lit(1.0))
@@ -304,7 +319,7 @@ def discover(sources: DataFrame, reference: DataFrame | None, settings: Settings
     dets = work.put(dets.withColumn("orphan", (F.count("*").over(size) == 1) & ~F.col("matched_ref") & F.lit(settings.moving_object_link)), "clustered")
     fixed = work.put(_scored(dets.where("not orphan"), "cluster", False), "fixed")
     kind = F.when(F.col("matched_reference"), "known").when(F.lit(not settings.flag_unmatched), "known").when(F.col("n_det") >= 2, "transient").otherwise("single")
-    note = F.when(F.col("matched_reference"), F.lit("")).when(F.lit(not settings.flag_unmatched), "unmatched source; novelty flagging disabled").when(F.col("n_det") >= 2, F.format_string("stationary source with no catalog match, %d detections", F.col("n_det"))).otherwise("single unmatched detection (low confidence)")
+    note = F.when(F.col("matched_reference"), F.lit("")).when(F.lit(not settings.flag_unmatched), NOTES["unmatched"]).when(F.col("n_det") >= 2, F.format_string(NOTES["transient"], F.col("n_det"))).otherwise(NOTES["single"])
     fixed = fixed.withColumns({"kind": kind, "notes": note, "class": F.lit(0), "speed": F.lit(None).cast("double"), "pa": F.lit(None).cast("double")})
     known = dets.where("not orphan").join(fixed.where("matched_reference").select("cluster"), "cluster", "left_semi")
     epochs = work.put(selected_epochs(known, "cluster"), "epochs")
@@ -313,12 +328,12 @@ def discover(sources: DataFrame, reference: DataFrame | None, settings: Settings
     if not settings.variability:
         judged = judged.limit(0)
     fixed = fixed.join(stats.drop("n"), "cluster", "left").join(judged, "cluster", "left")
-    text = F.format_string("variable: rms=%.3f mag, %d/%d epochs >4 sigma, reduced chi2=%.0f, amp=%.2f mag (%s mags)", "mag_rms", "n_sig", "n_det", "red_chi2", "amplitude", "system")
+    text = F.format_string(NOTES["variable"], "mag_rms", "n_sig", "n_det", "red_chi2", "amplitude", "system")
     dim = (F.col("system") == "instrumental") & F.col("mean_mag").isNotNull()
     fixed = fixed.withColumns(
         {
             "kind": F.when(F.coalesce("is_variable", F.lit(False)), "variable").otherwise(F.col("kind")),
-            "notes": F.when(F.coalesce("is_variable", F.lit(False)), text).when(dim, "light curve in instrumental mags (calibration unavailable)").otherwise(F.col("notes")),
+            "notes": F.when(F.coalesce("is_variable", F.lit(False)), text).when(dim, NOTES["instrumental"]).otherwise(F.col("notes")),
             "var_chi2": F.coalesce("red_chi2", "var_chi2"),
         }
     )
@@ -331,10 +346,10 @@ def discover(sources: DataFrame, reference: DataFrame | None, settings: Settings
         movers = _scored(linked, "track", True).join(ends, "track")
         sep = separation_arcsec(F.col("a_ra"), F.col("a_dec"), F.col("z_ra"), F.col("z_dec"))
         movers = movers.withColumns({"speed": F.try_divide(sep, F.col("z_time_min") - F.col("a_time_min")), "pa": position_angle_deg(F.col("a_ra"), F.col("a_dec"), F.col("z_ra"), F.col("z_dec"))})
-        movers = movers.withColumns({"kind": F.lit("mover"), "class": F.lit(1), "notes": F.format_string("moving object: %.2f arcsec/min at PA %.0f deg, %d epochs linked", "speed", "pa", "n_det")})
+        movers = movers.withColumns({"kind": F.lit("mover"), "class": F.lit(1), "notes": F.format_string(NOTES["mover"], "speed", "pa", "n_det")})
         left = _scored(orphans.join(tracks, "det_idx", "left_anti").withColumn("lone", F.col("det_idx")), "lone", False)
         lone = F.when(F.lit(settings.flag_unmatched), "single").otherwise("known")
-        left = left.withColumns({"kind": lone, "class": F.lit(2), "notes": F.when(F.lit(settings.flag_unmatched), "single unmatched detection").otherwise("unmatched source; novelty flagging disabled")})
+        left = left.withColumns({"kind": lone, "class": F.lit(2), "notes": F.when(F.lit(settings.flag_unmatched), NOTES["orphan"]).otherwise(NOTES["unmatched"])})
         parts += [movers.drop(*[c for c in movers.columns if c[:2] in ("a_", "z_")]).withColumnRenamed("track", "cluster"), left.withColumnRenamed("lone", "cluster")]
     merged = parts[0]
     for p in parts[1:]:
