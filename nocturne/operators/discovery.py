@@ -135,11 +135,11 @@ def seed_pairs(orphans: DataFrame, max_speed: float) -> DataFrame:
     b = with_neighbour_cells(side.select(*[F.col(c).alias(f"b_{c}") for c in side.columns]), "b_ra", "b_dec", reach)
     dt = F.col("b_time_min") - F.col("a_time_min")
     met = a.join(b, ["cx", "cy", "cz"]).where((F.col("b_frame_index") > F.col("a_frame_index")) & (dt > 0))
-    speed = separation_arcsec(F.col("a_ra"), F.col("a_dec"), F.col("b_ra"), F.col("b_dec")) / dt
+    speed = F.try_divide(separation_arcsec(F.col("a_ra"), F.col("a_dec"), F.col("b_ra"), F.col("b_dec")), dt)  # conditions may be evaluated in any order
     return (
         met.withColumn("speed", speed)
         .where((F.col("speed") > 0) & (F.col("speed") <= max_speed))
-        .select(F.col("a_det_idx").alias("a"), F.col("b_det_idx").alias("b"), F.col("a_frame_index").alias("frame_a"), F.col("b_frame_index").alias("frame_b"), "speed", (wrap_deg(F.col("b_ra") - F.col("a_ra")) / dt).alias("v_ra"), ((F.col("b_dec") - F.col("a_dec")) / dt).alias("v_dec"))
+        .select(F.col("a_det_idx").alias("a"), F.col("b_det_idx").alias("b"), F.col("a_frame_index").alias("frame_a"), F.col("b_frame_index").alias("frame_b"), "speed", F.try_divide(wrap_deg(F.col("b_ra") - F.col("a_ra")), dt).alias("v_ra"), F.try_divide(F.col("b_dec") - F.col("a_dec"), dt).alias("v_dec"))
     )
 
 
