@@ -66,16 +66,20 @@ def crossmatch(left: DataFrame, right: DataFrame, radius_arcsec: float, left_id:
     Neighbours beyond the radius are still reported: unmatched rows search on with a radius grown
     four-fold each round up to ``reach_arcsec``, each round over only the rows that are left.
     """
-    rest, found, radius = left.select(left_id, "ra", "dec"), None, float(radius_arcsec)
+    from .components import Workspace
+
+    work, radius, parts = Workspace(left.sparkSession), float(radius_arcsec), []
+    rest = left.select(left_id, "ra", "dec").where("ra is not null and dec is not null")
     while True:
-        hits = nearest_match(rest, right, radius, left_id, right_id)
-        found = hits if found is None else found.unionByName(hits)
-        if radius >= reach_arcsec:
-            break
-        rest = rest.join(hits.select(left_id), left_id, "left_anti")
-        radius = min(radius * 4.0 if radius < 1000 else reach_arcsec, reach_arcsec)
-        if radius >= 3600.0 * 10 and rest.isEmpty():
+        hits = work.put(nearest_match(rest, right, radius, left_id, right_id), f"hits_{len(parts)}")
+        parts.append(hits)
+        rest = work.put(rest.join(hits.select(left_id), left_id, "left_anti"), f"rest_{len(parts)}")
+        if radius >= reach_arcsec or rest.isEmpty():
             break
+        radius = min(radius * 4.0, reach_arcsec)
+    found = parts[0]
+    for p in parts[1:]:
+        found = found.unionByName(p)
     out = left.select(left_id).join(found, left_id, "left")
     return out.select(left_id, F.coalesce(F.col(right_id), F.lit(-1)).alias("idx"), "sep_arcsec", F.coalesce(F.col("sep_arcsec") <= radius_arcsec, F.lit(False)).alias("matched"))
 
