@@ -26,8 +26,14 @@ def stem_once(token: Column) -> Column:
 
 
 def stem(token: Column) -> Column:
-    """Passes repeated to the fixpoint (a pass that changes nothing repeats itself)."""
-    return F.aggregate(F.sequence(F.lit(1), F.lit(STEM_PASSES)), token, lambda t, _: stem_once(t))
+    """Passes repeated to the fixpoint; a pass that changes nothing ends the work on its token."""
+    start = F.struct(token.alias("t"), F.lit(False).alias("done"))
+
+    def step(state: Column, _: Column) -> Column:
+        after = stem_once(state["t"])
+        return F.when(state["done"], state).otherwise(F.struct(after.alias("t"), (after == state["t"]).alias("done")))
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(STEM_PASSES)), start, step, lambda state: state["t"])
 
 
 def passages(text: Column, words: int = 220, overlap: int = 40, shortest: int = 80) -> Column:
