@@ -159,43 +159,43 @@ def predicted_matches(seeds: DataFrame, orphans: DataFrame, tol_deg: float) -> D
     return near.where(inside).groupBy("a", "b", "frame_c").agg(F.min("c").alias("c"))
 
 
-def _resolve_tracks(group: pd.DataFrame, max_speed: float, tol_deg: float, least: int) -> list[list[int]]:
-    """Greedy tracks of one component: seeds in order of (frame, row) pairs; members are used once."""
-    g = group.sort_values(["frame_index", "det_idx"]).drop_duplicates("det_idx")
+def _resolve_tracks(group: pd.DataFrame, tol_deg: float, least: int) -> list[list[int]]:
+    """Greedy tracks of one component: its seeds in order of (frame, row) pairs; members are used once.
+
+    ``group`` holds the detections (other is null) and the seeds (det_idx, other).
+    """
+    g = group[group["other"].isna()].sort_values(["frame_index", "det_idx"]).drop_duplicates("det_idx")
     ids, frame, t = g["det_idx"].to_numpy(), g["frame_index"].to_numpy(), g["time_min"].to_numpy()
     ra, dec = g["ra"].to_numpy(), g["dec"].to_numpy()
     wrap = lambda d: np.mod(d + 180.0, 360.0) - 180.0
+    row = {int(d): i for i, d in enumerate(ids)}
+    pairs = group[group["other"].notna()]
+    seeds: dict[int, list[int]] = {}
+    for a, b in zip(pairs["det_idx"], pairs["other"], strict=True):
+        seeds.setdefault(row[int(a)], []).append(row[int(b)])
     used, out = np.zeros(len(ids), bool), []
-    rows = {f: np.flatnonzero(frame == f) for f in np.unique(frame)}
-
-    def speed(i: int, js: np.ndarray) -> np.ndarray:
-        d1, d2, da = np.radians(dec[i]), np.radians(dec[js]), np.radians(ra[js] - ra[i])
-        sep = np.arctan2(np.hypot(np.cos(d2) * np.sin(da), np.cos(d1) * np.sin(d2) - np.sin(d1) * np.cos(d2) * np.cos(da)), np.sin(d1) * np.sin(d2) + np.cos(d1) * np.cos(d2) * np.cos(da))
-        dt = t[js] - t[i]
-        return np.where(dt > 0, np.degrees(sep) * 3600.0 / np.where(dt > 0, dt, 1.0), np.inf)
-
+    frames = [(f, np.flatnonzero(frame == f)) for f in np.unique(frame)]
     for i in range(len(ids)):
-        if used[i]:
-            continue
-        later = np.flatnonzero((frame > frame[i]) & ~used)
-        v = speed(i, later)
-        for j in later[(v > 0) & (v <= max_speed)]:
-            dt = t[j] - t[i]
-            v_ra, v_dec = wrap(ra[j] - ra[i]) / dt, (dec[j] - dec[i]) / dt
+        for j in sorted(seeds.get(i, ())):  # rows stand in order of frame and index
+            if used[i]:
+                break
+            if used[j]:
+                continue
+            v_ra, v_dec = wrap(ra[j] - ra[i]) / (t[j] - t[i]), (dec[j] - dec[i]) / (t[j] - t[i])
             track = [i, j]
-            for f, of in rows.items():
+            for f, of in frames:
                 if f in (frame[i], frame[j]):
                     continue
                 free = of[~used[of]]
-                off = np.abs(wrap(ra[free] - (ra[i] + v_ra * (t[free] - t[i])))) * np.cos(np.radians(dec[free]))
-                hit = free[(off < tol_deg) & (np.abs(dec[free] - (dec[i] + v_dec * (t[free] - t[i]))) < tol_deg)]
+                near = free[np.abs(dec[free] - (dec[i] + v_dec * (t[free] - t[i]))) < tol_deg]
+                off = np.abs(wrap(ra[near] - (ra[i] + v_ra * (t[near] - t[i])))) * np.cos(np.radians(dec[near]))
+                hit = near[off < tol_deg]
                 if len(hit):
                     track.append(hit[0])
             if len(track) >= least:
                 track.sort(key=lambda k: frame[k])
                 used[track] = True
                 out.append([int(ids[k]) for k in track])
-                break
     return out
 
 
@@ -210,15 +210,19 @@ def link_movers(orphans: DataFrame, settings: Settings) -> DataFrame:
     triples = found.select(F.col("a").alias("u"), F.col("b").alias("v")).union(found.select(F.col("a").alias("u"), F.col("c").alias("v")))
     links = triples if settings.min_tracklet_points > 2 else seeds.select(F.col("a").alias("u"), F.col("b").alias("v"))
     labels = connected_components(links)
-    members = orphans.join(labels, F.col("det_idx") == F.col("node")).select("root", "det_idx", "frame_index", "time_min", "ra", "dec")
-    speed, least = settings.max_motion_arcsec_per_min, settings.min_tracklet_points
+    spot = ["frame_index", "time_min", "ra", "dec"]
+    members = orphans.join(labels, F.col("det_idx") == F.col("node")).select("root", "det_idx", *spot, F.lit(None).cast("long").alias("other"))
+    viable = (found if settings.min_tracklet_points > 2 else seeds).select("a", F.col("b").alias("other")).distinct()
+    none = [F.lit(None).cast(orphans.schema[c].dataType).alias(c) for c in spot]
+    starts = viable.join(labels, F.col("a") == F.col("node")).select("root", F.col("a").alias("det_idx"), *none, "other")
+    least = settings.min_tracklet_points
 
     def solve(group: pd.DataFrame) -> pd.DataFrame:
-        tracks = _resolve_tracks(group, speed, tol, least)
+        tracks = _resolve_tracks(group, tol, least)
         rows = [(min(t), k, d) for t in tracks for k, d in enumerate(t)]
         return pd.DataFrame(rows, columns=["track", "pos", "det_idx"]).astype("int64")
 
-    return members.groupBy("root").applyInPandas(solve, "track long, pos long, det_idx long")
+    return members.unionByName(starts).groupBy("root").applyInPandas(solve, "track long, pos long, det_idx long")
 
 
 # ---- light curves and variability ------------------------------------------------------------
