@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,15 +27,43 @@ class Workspace:
         return self.spark.read.schema(df.schema).parquet(f"{self.base}/{name}")
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 200) -> DataFrame:
+ONE_TASK_EDGES = 500_000
+
+
+def _in_one_task(edges: DataFrame) -> DataFrame:
+    """Union-find over a counted, bounded number of edges."""
+
+    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parent: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while (up := parent.setdefault(x, x)) != x:
+                parent[x] = parent[up]
+                x = parent[x]
+            return x
+
+        for pdf in batches:
+            for u, v in zip(pdf["u"].tolist(), pdf["v"].tolist(), strict=True):
+                a, b = root(u), root(v)
+                if a != b:
+                    parent[max(a, b)] = min(a, b)
+        nodes = list(parent)
+        yield pd.DataFrame({"node": nodes, "root": [root(n) for n in nodes]}, dtype="int64")
+
+    return edges.coalesce(1).mapInPandas(solve, "node long, root long")
+
+
+def connected_components(edges: DataFrame, max_rounds: int = 200, one_task_edges: int = ONE_TASK_EDGES) -> DataFrame:
     """node, root (the least node reachable) of undirected edges u, v.
 
-    Every round takes the least label among neighbours and then the label's own label, so paths
+    Up to ``one_task_edges`` distinct edges are solved in one task. Beyond that, every round takes the least label among neighbours and then the label's own label, so paths
     shorten geometrically. Labels are written to the shared folder each round: lineage stays short
     and lost executors cost one round.
     """
     put = Workspace(edges.sparkSession).put
     both = put(edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).where("u <> v").distinct(), "edges")
+    if both.count() <= 2 * one_task_edges:
+        return put(_in_one_task(both.where("u < v")), "labels")
     labels = put(both.groupBy("u").agg(F.least("u", F.min("v")).alias("label")).withColumnRenamed("u", "node"), "labels_0")
     for i in range(1, max_rounds + 1):
         near = both.join(labels.select(F.col("node").alias("v"), "label"), "v").groupBy(F.col("u").alias("node")).agg(F.min("label").alias("near"))

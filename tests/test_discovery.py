@@ -13,9 +13,10 @@ DET = "det_idx long, frame_index long, time_min double, ra double, dec double"
 SRC = "frame_index long, id long, time_min double, ra double, dec double, snr double, fwhm double, ellipticity double, flag_edge boolean, flag_saturated boolean, mag_inst double, mag_calib double, mag_err double"
 
 
-def test_components(spark):
+@pytest.mark.parametrize("one_task", [0, 1000])
+def test_components(spark, one_task):
     edges = spark.createDataFrame([(i, i + 1) for i in range(30)] + [(50, 51), (52, 51)], "u long, v long")
-    assert {r.node: r.root for r in connected_components(edges).collect()} == {**dict.fromkeys(range(31), 0), 50: 50, 51: 50, 52: 50}
+    assert {r.node: r.root for r in connected_components(edges, one_task_edges=one_task).collect()} == {**dict.fromkeys(range(31), 0), 50: 50, 51: 50, 52: 50}
 
 
 def test_no_cluster_holds_two_detections_of_a_frame(spark):
