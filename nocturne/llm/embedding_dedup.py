@@ -49,7 +49,7 @@ def fit_rotation(x: np.ndarray, bits: int = BITS, rounds: int = ROUNDS, seed: in
     return mean, projection
 
 
-def unit_vectors(rows: DataFrame, *keep: str) -> DataFrame:
+def unit_vectors(rows: DataFrame) -> DataFrame:
     """vec_id, dim and packed unit vector in doubles of usable rows."""
     usable = "embedding is not null and size(embedding) > 0 and forall(embedding, x -> x is not null and not isnan(x) and abs(x) < double('Infinity')) and exists(embedding, x -> x <> 0)"
 

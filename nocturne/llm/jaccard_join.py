@@ -28,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .shared import Scratch, components
@@ -36,7 +36,8 @@ from .textbytes import mix, shingle_sets, slices
 
 SKETCH_BITS = (16, 26)  # least and most; the bitmap of crowded buckets has at most 8 MB
 SKETCHED = 0.4  # share of the hash range that is counted: signatures hardly reach beyond
-LEADERS = 4
+LEADERS = 4  # candidates for leaders by token; of all that a document meets it asks ASKED
+ASKED = 2
 BLOCK = 256  # members or askers that meet at once
 BLOOM_BITS = 23
 
@@ -50,10 +51,10 @@ def signature_size(n: int, percent: int) -> int:
     return n - ceil_share(n, percent) + 1
 
 
-def sketch_bits(docs: DataFrame) -> int:
-    """About eight counted tokens a bucket, by the size of the files that docs reads."""
+def size_bits(docs: DataFrame) -> int:
+    """About the logarithm of an eighth of the tokens, by the size of the files that docs reads."""
     size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return min(max((size // 120).bit_length(), SKETCH_BITS[0]), SKETCH_BITS[1])
+    return (size // 120).bit_length()
 
 
 def crowded(docs: DataFrame, k: int) -> tuple[int, bytes]:
@@ -62,7 +63,7 @@ def crowded(docs: DataFrame, k: int) -> tuple[int, bytes]:
     Only an order hint: a bucket's state never changes a result. Counts cover all documents. Tasks
     send sorted 16-bit offsets by chunk of the buckets; a chunk's counts are added up in a stream.
     """
-    bits = sketch_bits(docs)
+    bits = min(max(size_bits(docs), SKETCH_BITS[0]), SKETCH_BITS[1])
     limit = np.uint64(int(SKETCHED * 2**64))
 
     def flush(held: list[np.ndarray]) -> pa.RecordBatch:
@@ -103,7 +104,12 @@ def crowded(docs: DataFrame, k: int) -> tuple[int, bytes]:
 
 
 def profiles(docs: DataFrame, k: int, percent: int, bits: int, bitmap: bytes) -> DataFrame:
-    """doc_id, n, d1, d2 (set digest) and signature of each row with a non-empty set."""
+    """doc_id, n, d1, d2 (set digest) and signature of each row.
+
+    Signature tokens are cut to 16 bits more than the corpus has tokens by its size: rare collisions
+    only add candidates, and posting lists are a third smaller.
+    """
+    cut = np.uint64(max(1, 64 - (size_bits(docs) + 19)))
     shared = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,7 +125,7 @@ def profiles(docs: DataFrame, k: int, percent: int, bits: int, bitmap: bytes) ->
                     take = signature_size(len(s), percent) if len(s) else 0
                     slow = late[(s >> np.uint64(64 - bits)).astype(np.int64)]
                     first = s[~slow][:take]
-                    sig.append(np.concatenate([first, s[slow][: take - len(first)]]).view(np.int64))
+                    sig.append((np.concatenate([first, s[slow][: take - len(first)]]) >> cut).view(np.int64))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(n, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(sig, pa.list_(pa.int64()))], ["doc_id", "n", "d1", "d2", "sig"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, d1 long, d2 long, sig array<long>")
@@ -233,15 +239,20 @@ def similar_groups(docs: DataFrame, scratch: Scratch, k: int = 5, percent: int =
     # one exchange by token serves the count, the filter and the leaders of shared tokens
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     every = reps.select(F.col("doc_id").alias("doc"), "n", F.explode("sig").alias("token")).repartition(parts, "token")
-    shared = every.groupBy("token").agg(F.count("*").alias("df")).where("df > 1").select("token")
-    several = every.join(shared, "token", "left_semi")
+    shared = every.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
+    several = every.join(shared, "token")
     lead = [F.min_by(F.struct("doc", "n"), F.xxhash64("doc", F.lit(i))).alias(f"l{i}") for i in range(LEADERS)]
     posted = scratch.put(several.join(several.groupBy("token").agg(*lead), "token"), "posted")
+    rows = scratch.put(rows.drop("sig"), "slim")
+    scratch.drop("profiles")
 
-    leaders = posted.select("doc", "n", "token", F.explode(F.array_distinct(F.array(*[f"l{i}" for i in range(LEADERS)]))).alias("l"))
-    pairs = leaders.where("doc <> l.doc").groupBy("doc", "n", F.col("l.doc").alias("grp"), F.col("l.n").alias("m")).agg(F.count("*").alias("c"))
+    leaders = posted.select("doc", "n", "df", F.explode(F.array_distinct(F.array(*[f"l{i}" for i in range(LEADERS)]))).alias("l"))
+    one_way = (F.col("doc") > F.col("l.doc")) | ((F.col("doc") < F.col("l.doc")) & (F.col("df") > 2))  # of two documents one asks
+    pairs = leaders.where(one_way).groupBy("doc", "n", F.col("l.doc").alias("grp"), F.col("l.n").alias("m")).agg(F.count("*").alias("c"))
     fits = (F.col("c") >= _need(F.col("n"), F.col("m"), percent)) & (100 * F.least("n", "m") >= percent * F.greatest("n", "m"))
-    asks = scratch.put(pairs.where(fits).select("doc", F.col("doc").alias("comp"), "grp", "c"), "asks_0")
+    best = F.row_number().over(Window.partitionBy("doc").orderBy(F.desc("c"), "grp"))  # the most promising leaders; the matrix finds what they miss
+    asks = pairs.where(fits).withColumn("best", best).where(F.col("best") <= ASKED).select("doc", F.col("doc").alias("comp"), "grp", "c")
+    asks = scratch.put(asks, "asks_0")
     own = asks.select("grp").distinct().select("grp", F.col("grp").alias("doc"), F.col("grp").alias("comp"))
     links = verified(asks.drop("c"), own, docs, k, percent, scratch, "0")
     linked = scratch.put(components(links, scratch, "groups"), "linked")
