@@ -1,8 +1,11 @@
 """Embedding near-duplicates: iterative quantisation, multi-index Hamming tables, exact reranking.
 
 1. Identical vectors are folded into one with its copies (a grouped minimum and count).
-2. A rotation of the centred vectors is learned by iterative quantisation on a bounded sample (the
-   rows of least hash); signs of the rotated components are 64-bit codes of every vector.
+2. Rotations of the centred vectors are learned by iterative quantisation on a bounded sample (the
+   rows of least hash); signs of the rotated components are 64-bit codes of every vector. The number
+   of rotations and the Hamming radius are the least whose recall, measured on the sample, reaches
+   TARGET. Where none does (vectors with a strong common direction, a loose group of most rows),
+   steps 3 and 4 are left out and all pairs of blocks of vectors are compared.
 3. Vectors sorted by code are gathered into balls: members within the pivot's half angle are linked
    with each other by the triangle inequality, so a dense group needs no pairs of its own.
 4. Multi-index tables: a code falls into substrings; two-sided probing of one bit each way meets all
@@ -11,7 +14,7 @@
 5. Candidate balls are opened and compared with their original vectors in doubles. Links are counted
    per vector; balls with a link are joined, and connected components follow.
 
-Every row is indexed; no bucket is capped. Recall is set by the radii alone (see the tests).
+Every row is indexed; no bucket is capped.
 """
 
 from __future__ import annotations
@@ -26,7 +29,10 @@ from pyspark.sql import functions as F
 from .shared import Scratch, components
 
 SAMPLE, ROUNDS, BITS = 8192, 40, 64
-TABLES, RADIUS = 4, 18
+TABLES = 4
+LADDER = ((1, 18), (2, 18), (2, 24), (4, 18), (4, 24))  # rotations and Hamming radius, by cost
+TARGET, LEAST = 0.99, 50  # recall asked for; links of the sample from which their own recall counts
+BLOCK, SLICE = 4096, 512  # vectors of a block where all pairs are compared; rows compared at once
 BALL = 256  # members of a ball at most; further ones open another ball
 
 
@@ -73,23 +79,68 @@ def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.float64).reshape(len(column), -1)
 
 
-def _codes(distinct: DataFrame, dim: int) -> DataFrame:
-    sample = distinct.orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE).select("unit").toArrow()
-    mean, projection = fit_rotation(_matrix(sample["unit"]))
-    weight = (1 << np.arange(BITS, dtype=np.uint64))[::-1]
-
+WEIGHT = (1 << np.arange(BITS, dtype=np.uint64))[::-1]
+
+
+def _code(x: np.ndarray, fit: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    mean, projection = fit
+    return (((x - mean) @ projection > 0) * WEIGHT).sum(1, dtype=np.uint64)
+
+
+def _kinds_of_pairs(x: np.ndarray, cosine: float) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Pairs to measure recall on: planted at the threshold, in any direction and towards other vectors, and the sample's own links that no ball holds."""
+    random = np.random.default_rng(7)
+    angle = np.arccos(np.clip(cosine, -1.0, 1.0))
+    kinds = []
+    for u in (random.normal(size=x.shape), x[random.permutation(len(x))] - x):
+        u = u - (u * x).sum(1, keepdims=True) * x
+        size = np.linalg.norm(u, axis=1)
+        on = size > 1e-9
+        if on.any():
+            kinds.append((x[on], np.cos(angle) * x[on] + np.sin(angle) * u[on] / size[on, None]))
+    left, right = [], []
+    for lo in range(0, len(x), 1024):
+        g = x[lo : lo + 1024] @ x.T
+        i, j = np.nonzero((g >= cosine) & (g < np.cos(angle / 2)))
+        keep = i + lo < j
+        left.append(i[keep][:8192] + lo)
+        right.append(j[keep][:8192])
+    i, j = np.concatenate(left), np.concatenate(right)
+    return [*kinds, (x[i], x[j])] if len(i) >= LEAST else kinds
+
+
+def choose(x: np.ndarray, cosine: float) -> tuple[list[tuple[np.ndarray, np.ndarray]], int]:
+    """(rotations, radius), the cheapest of LADDER that reaches TARGET for each kind of pairs; no rotations if none does."""
+    kinds = _kinds_of_pairs(x, cosine)
+    fits: list[tuple[np.ndarray, np.ndarray]] = []
+    apart: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in kinds]  # bits that differ: in all, and in the nearest part
+    width = np.uint64(BITS // TABLES)
+    for count, radius in LADDER:
+        while len(fits) < count:
+            fits.append(fit_rotation(x, seed=5 + len(fits)))
+            for seen, (a, b) in zip(apart, kinds, strict=True):
+                d = _code(a, fits[-1]) ^ _code(b, fits[-1])
+                parts = [np.bitwise_count((d >> (np.uint64(t) * width)) & np.uint64((1 << int(width)) - 1)) for t in range(TABLES)]
+                seen.append((np.bitwise_count(d), np.min(parts, 0)))
+        if all(np.any([(h <= radius) & (part <= 2) for h, part in seen[:count]], 0).mean() >= TARGET for seen in apart):
+            return fits, radius
+    return [], 0
+
+
+def _codes(distinct: DataFrame, fits: list[tuple[np.ndarray, np.ndarray]]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                on = (_matrix(batch.column(2)) - mean) @ projection > 0
-                code = (on * weight).sum(1, dtype=np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(code)], ["rep", "copies", "unit", "code"])
+                x = _matrix(batch.column(2))
+                codes = np.stack([_code(x, fit) for fit in fits], 1).view(np.int64)
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * len(fits), pa.int32()), pa.array(codes.ravel()))
+                yield pa.RecordBatch.from_arrays([*batch.columns, lists], ["rep", "copies", "unit", "codes"])
 
-    return distinct.select("rep", "copies", "unit").mapInArrow(run, "rep long, copies long, unit binary, code long")
+    return distinct.select("rep", "copies", "unit").mapInArrow(run, "rep long, copies long, unit binary, codes array<long>")
 
 
 def _balls(coded: DataFrame, cosine: float) -> DataFrame:
-    """ball (its least rep), rep, copies, unit, code: pivot groups among neighbours in code order."""
+    """ball (its least rep), rep, copies, unit, codes: pivot groups among neighbours in code order."""
     half = np.cos(np.arccos(min(1.0, cosine)) / 2) + 1e-9 if cosine > -1 else 2.0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,23 +155,70 @@ def _balls(coded: DataFrame, cosine: float) -> DataFrame:
                         inside = free[v[free] @ v[i] >= half][: BALL - 1]
                         inside = inside if i in inside[:1] else np.concatenate([[i], inside[inside != i]])
                         ball[inside] = reps[inside].min()
-                yield pa.RecordBatch.from_arrays([pa.array(ball), *batch.columns], ["ball", "rep", "copies", "unit", "code"])
+                yield pa.RecordBatch.from_arrays([pa.array(ball), *batch.columns], ["ball", "rep", "copies", "unit", "codes"])
 
-    return coded.repartitionByRange("code", "rep").sortWithinPartitions("code", "rep").mapInArrow(run, "ball long, rep long, copies long, unit binary, code long")
+    first = F.col("codes")[0]
+    return coded.repartitionByRange(first, "rep").sortWithinPartitions(first, "rep").mapInArrow(run, "ball long, rep long, copies long, unit binary, codes array<long>")
 
 
-def _candidates(balls: DataFrame) -> DataFrame:
+def _candidates(balls: DataFrame, radius: int) -> DataFrame:
     """Pairs (p, q), p < q, of balls with codes that meet in a table and lie within the Hamming radius."""
     width = BITS // TABLES
     probes = [0, *(1 << b for b in range(width))]
     part = F.expr(f"shiftrightunsigned(code, t * {width}) & {(1 << width) - 1}L")
-    probed = balls.select("ball", "code").distinct().withColumn("t", F.explode(F.array(*map(F.lit, range(TABLES))))).withColumn("part", part)
-    probed = probed.withColumn("probe", F.explode(F.array(*[F.lit(p).cast("long") for p in probes]))).select("t", F.col("part").bitwiseXOR(F.col("probe")).alias("key"), "ball", "code")
+    probed = balls.select("ball", F.posexplode("codes").alias("c", "code")).distinct().withColumn("t", F.explode(F.array(*map(F.lit, range(TABLES))))).withColumn("part", part)
+    probed = probed.withColumn("probe", F.explode(F.array(*[F.lit(p).cast("long") for p in probes]))).select((F.col("c") * TABLES + F.col("t")).alias("t"), F.col("part").bitwiseXOR(F.col("probe")).alias("key"), "ball", "code")
     a, b = probed.alias("a"), probed.alias("b")
-    met = a.join(b, (F.col("a.t") == F.col("b.t")) & (F.col("a.key") == F.col("b.key")) & (F.col("a.ball") < F.col("b.ball")) & (F.bit_count(F.col("a.code").bitwiseXOR(F.col("b.code"))) <= RADIUS))
+    met = a.join(b, (F.col("a.t") == F.col("b.t")) & (F.col("a.key") == F.col("b.key")) & (F.col("a.ball") < F.col("b.ball")) & (F.bit_count(F.col("a.code").bitwiseXOR(F.col("b.code"))) <= radius))
     return met.select(F.col("a.ball").alias("p"), F.col("b.ball").alias("q")).distinct()
 
 
+def _least_reached(u: np.ndarray, v: np.ndarray, n: int) -> np.ndarray:
+    """The least of each of n nodes' connected component under the edges (u, v)."""
+    label = np.arange(n)
+    while True:
+        low, after = np.minimum(label[u], label[v]), label.copy()
+        for at in (u, v, label[u], label[v]):
+            np.minimum.at(after, at, low)
+        after = after[after]
+        if (after == label).all():
+            return label
+        label = after
+
+
+def _compare_all(distinct: DataFrame, cosine: float, n: int) -> DataFrame:
+    """The links of ``_open`` from all pairs of vectors: kind 0 counts, kind 1 edges that span each block pair's links."""
+    blocks = -(-n // BLOCK)
+    own = distinct.select("rep", "copies", "unit", F.pmod(F.xxhash64("rep"), F.lit(blocks)).cast("int").alias("block"))
+    dealt = own.withColumn("with", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select("rep", "copies", "unit", "block", F.least("block", "with").alias("p"), F.greatest("block", "with").alias("q"))
+
+    def run(group: pa.Table) -> pa.Table:
+        reps, copies, block = (group[c].to_numpy() for c in ("rep", "copies", "block"))
+        x = _matrix(group["unit"])
+        p, q = group["p"][0].as_py(), group["q"][0].as_py()
+        left, right = np.flatnonzero(block == p), np.flatnonzero(block == q)
+        found, edges = np.zeros(len(reps), np.int64), np.zeros((2, 0), np.int64)
+        y = x[right]
+        for lo in range(0, len(left), SLICE):
+            at = left[lo : lo + SLICE]
+            on = x[at] @ y.T >= cosine
+            if p == q:
+                on[np.arange(len(at)), lo + np.arange(len(at))] = False
+            found[at] += on @ copies[right]
+            if p != q:
+                found[right] += on.T @ copies[at]
+            i, j = np.nonzero(on)
+            if len(i):
+                u, v = np.concatenate([edges[0], at[i]]), np.concatenate([edges[1], right[j]])
+                ends = np.unique(np.concatenate([u, v]))
+                edges = np.stack([ends, _least_reached(u, v, len(reps))[ends]])
+        some = np.flatnonzero(found)
+        kind = np.repeat([0, 1], [len(some), edges.shape[1]])
+        return pa.table({"kind": kind, "id": np.concatenate([reps[some], reps[edges[0]]]), "other": np.concatenate([found[some], reps[edges[1]]])})
+
+    return dealt.groupBy("p", "q").applyInArrow(run, "kind long, id long, other long")
+
+
 def _open(pairs: DataFrame, balls: DataFrame, cosine: float) -> DataFrame:
     """kind 0: (id=rep, other=links to vectors of the other ball); kind 1: linked balls (id=p, other=q)."""
     packed = balls.groupBy("ball").agg(F.array_sort(F.collect_list(F.struct("rep", "copies", "unit"))).alias("m"))  # BALL members at most
@@ -156,11 +254,17 @@ def near_duplicates(rows: DataFrame, scratch: Scratch, cosine: float = 0.9) -> D
     keyed = units.select("vec_id", "unit", *key())
     distinct = scratch.put(keyed.groupBy("dim", "h", "s").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("unit").alias("unit")), "distinct")
     links, edges = [], []
-    dims = [r["dim"] for r in distinct.groupBy("dim").count().orderBy("dim").collect()]  # a row a vector length
-    for dim in dims:
-        balls = scratch.put(_balls(_codes(distinct.where(F.col("dim") == dim), dim), cosine), f"balls_{dim}")
-        pairs = scratch.put(_candidates(balls), f"pairs_{dim}")
-        opened = scratch.put(_open(pairs, balls, cosine), f"opened_{dim}")
+    dims = {r["dim"]: r["count"] for r in distinct.groupBy("dim").count().orderBy("dim").collect()}  # a row a vector length
+    for dim, n in dims.items():
+        alike = distinct.where(F.col("dim") == dim)
+        fits, radius = choose(_matrix(alike.orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE).select("unit").toArrow()["unit"]), cosine)
+        if fits:
+            balls = scratch.put(_balls(_codes(alike, fits), cosine), f"balls_{dim}")
+            pairs = scratch.put(_candidates(balls, radius), f"pairs_{dim}")
+            opened = scratch.put(_open(pairs, balls, cosine), f"opened_{dim}")
+        else:
+            balls = alike.select(F.col("rep").alias("ball"), "rep", "copies", "unit")
+            opened = scratch.put(_compare_all(alike, cosine, n), f"opened_{dim}")
         inner = balls.groupBy("ball").agg(F.sum("copies").alias("all"))
         links += [opened.where("kind = 0").select(F.col("id").alias("rep"), F.col("other").alias("n")), balls.join(inner, "ball").select("rep", (F.col("all") - 1).alias("n"))]
         edges += [opened.where("kind = 1").select(F.col("id").alias("u"), F.col("other").alias("v")), balls.select(F.col("rep").alias("u"), F.col("ball").alias("v"))]

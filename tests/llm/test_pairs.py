@@ -99,6 +99,26 @@ def test_links_of_vectors(spark):
     assert near_duplicates(df.limit(0), Scratch(spark)).count() == 0
 
 
+@pytest.mark.parametrize("share", [1.0, 0.9])
+def test_links_of_vectors_with_a_common_direction(spark, share):
+    """Pairs at a cosine of 0.91 to 0.93 among rows of which all, or 90%, share a direction."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(5000, 64)) / 8
+    x[: int(share * len(x)), 3] += 1.5
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    u = rng.normal(size=(400, 64))
+    u -= (u * x[:400]).sum(1, keepdims=True) * x[:400]
+    c = rng.uniform(0.91, 0.93, (400, 1))
+    x = np.concatenate([x, c * x[:400] + np.sqrt(1 - c * c) * u / np.linalg.norm(u, axis=1, keepdims=True)])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(4)
+    got = {r.vec_id: r for r in near_duplicates(df, Scratch(spark)).collect()}
+    a, b = np.nonzero(np.triu(x @ x.T >= 0.9, 1))
+    found = sum(r.n_links for r in got.values()) // 2
+    assert len(a) >= 400 and 0.99 * len(a) <= found <= len(a)
+    exact = roots(range(len(x)), zip(a.tolist(), b.tolist(), strict=True))
+    assert np.mean([got[i].component_id == exact[i] for i in exact]) > 0.99
+
+
 def test_top_k_equals_brute_force(spark):
     rng = np.random.default_rng(4)
     rows = vectors(rng, 260, 40, 0.5) + [[0.25] * 32] * 30 + [None, [float("nan")] * 32, [0.0] * 32, [1.0, 2.0], [3.0, 4.0], []]
