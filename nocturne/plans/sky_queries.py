@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -9,9 +11,10 @@ from ..functions import headers, photometric, sky
 from ..operators import calibration, crossmatch, discovery, motion, pointings
 from ..operators.components import connected_components
 from . import views
-from .registry import query
-from .views import FLAGGED_SQL, FRAMES_SQL, LIGHTCURVES_SQL, SKY_SQL, SOURCES_SQL, TRACKS_SQL, load, pa_sql, sep_sql, wrap_sql
+from .registry import ORACLE_SQL, QUERIES, query
+from .views import ALL_TRACKS_SQL, FLAGGED_SQL, FRAMES_SQL, LIGHTCURVES_SQL, SKY_SQL, SOURCES_SQL, TRACKS_SQL, load, pa_sql, sep_sql, wrap_sql
 
+View = Callable[[SparkSession, str], DataFrame]
 R = 120.0  # match radius in arcseconds that suits the views
 
 
@@ -450,14 +453,14 @@ SEEDS_SQL = f"""trk AS ({TRACKS_SQL}), sd AS (SELECT a.det_idx AS a, b.det_idx A
  {sep_sql('a.ra', 'a.dec', 'b.ra', 'b.dec')} / (b.time_min - a.time_min) AS speed, {wrap_sql('b.ra - a.ra')} / (b.time_min - a.time_min) AS v_ra, (b.dec - a.dec) / (b.time_min - a.time_min) AS v_dec FROM trk a JOIN trk b ON {SEED_COND})"""
 
 
-def seeds_of(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    t = views.tracks(spark, sf_dir)
+def seeds_of(spark: SparkSession, sf_dir: str, tracks: View) -> tuple[DataFrame, DataFrame]:
+    t = tracks(spark, sf_dir)
     return t, discovery.seed_pairs(t, MAX_SPEED)
 
 
 @query(f"WITH {SEEDS_SQL} SELECT a, b, round(speed, 6) AS speed, round(v_ra, 9) AS v_ra, round(v_dec, 9) AS v_dec FROM sd")
-def seed_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return seeds_of(spark, sf_dir)[1].select("a", "b", r6("speed"), F.round("v_ra", 9).alias("v_ra"), F.round("v_dec", 9).alias("v_dec"))
+def seed_pairs(spark: SparkSession, sf_dir: str, tracks: View = views.tracks) -> DataFrame:
+    return seeds_of(spark, sf_dir, tracks)[1].select("a", "b", r6("speed"), F.round("v_ra", 9).alias("v_ra"), F.round("v_dec", 9).alias("v_dec"))
 
 
 EXTEND_SQL = f"""ex AS (SELECT sd.a, sd.b, c.frame_index AS frame_c, min(c.det_idx) AS c FROM sd JOIN trk c ON c.frame_index <> frame_a AND c.frame_index <> frame_b
@@ -465,20 +468,20 @@ EXTEND_SQL = f"""ex AS (SELECT sd.a, sd.b, c.frame_index AS frame_c, min(c.det_i
 
 
 @query(f"WITH {SEEDS_SQL}, {EXTEND_SQL} SELECT a, b, frame_c, c FROM ex")
-def first_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t, s = seeds_of(spark, sf_dir)
+def first_match(spark: SparkSession, sf_dir: str, tracks: View = views.tracks) -> DataFrame:
+    t, s = seeds_of(spark, sf_dir, tracks)
     return discovery.predicted_matches(s, t, TOL)
 
 
 @query(f"WITH {SEEDS_SQL}, {EXTEND_SQL} SELECT a, b, CAST(count(*) + 2 AS BIGINT) AS points FROM ex GROUP BY 1, 2 HAVING count(*) + 2 >= 3")
-def tracklet_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t, s = seeds_of(spark, sf_dir)
+def tracklet_extend(spark: SparkSession, sf_dir: str, tracks: View = views.tracks) -> DataFrame:
+    t, s = seeds_of(spark, sf_dir, tracks)
     return discovery.predicted_matches(s, t, TOL).groupBy("a", "b").agg((F.count("*") + 2).alias("points")).where("points >= 3")
 
 
 @query()
 def link_movers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = views.tracks(spark, sf_dir)
+    t = views.all_tracks(spark, sf_dir)
     return discovery.link_movers(t, discovery.Settings(max_motion_arcsec_per_min=MAX_SPEED))
 
 
@@ -487,22 +490,22 @@ FIT_SQL = f"""trk AS ({TRACKS_SQL}), pt AS (SELECT *, time_min - min(time_min) O
 
 
 @query(f"WITH {FIT_SQL} SELECT user_id, n, round(sqrt(pow(v_ra * cos(radians(md)), 2) + pow(v_dec, 2)) * 3600, 5) AS speed, round(degrees(atan2(v_ra * cos(radians(md)), v_dec)), 4) AS pa_deg, round(arc, 6) AS arc_minutes FROM ft")
-def motion_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return motion.fit_motion(views.tracks(spark, sf_dir), "user_id").select("user_id", "n", F.round("speed_arcsec_min", 5).alias("speed"), F.round("pa_deg", 4).alias("pa_deg"), r6("arc_minutes"))
+def motion_fit(spark: SparkSession, sf_dir: str, tracks: View = views.tracks) -> DataFrame:
+    return motion.fit_motion(tracks(spark, sf_dir), "user_id").select("user_id", "n", F.round("speed_arcsec_min", 5).alias("speed"), F.round("pa_deg", 4).alias("pa_deg"), r6("arc_minutes"))
 
 
 @query(f"WITH {FIT_SQL} SELECT user_id, round(ra0 + v_ra * (arc + 60), 6) AS ra_1h, round(dec0 + v_dec * (arc + 60), 6) AS dec_1h, round(ra0 + v_ra * (arc + 1440), 6) AS ra_24h, round(dec0 + v_dec * (arc + 1440), 6) AS dec_24h FROM ft")
-def motion_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return motion.fit_motion(views.tracks(spark, sf_dir), "user_id").select("user_id", r6("ra_1h"), r6("dec_1h"), r6("ra_24h"), r6("dec_24h"))
+def motion_predict(spark: SparkSession, sf_dir: str, tracks: View = views.tracks) -> DataFrame:
+    return motion.fit_motion(tracks(spark, sf_dir), "user_id").select("user_id", r6("ra_1h"), r6("dec_1h"), r6("ra_24h"), r6("dec_24h"))
 
 
 CIRCLE_SQL = f"SELECT det_idx, user_id, time_min, (user_id * 7 + time_min * 5) - 360 * floor((user_id * 7 + time_min * 5) / 360) AS ra FROM ({TRACKS_SQL})"
 
 
 @query(f"WITH c AS ({CIRCLE_SQL}), s AS (SELECT *, ra - lag(ra) OVER (PARTITION BY user_id ORDER BY time_min, det_idx) AS d FROM c) SELECT det_idx, round(ra + sum(coalesce({wrap_sql('d')} - d, 0)) OVER (PARTITION BY user_id ORDER BY time_min, det_idx), 6) AS ra_u FROM s")
-def ra_unwrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ra_unwrap(spark: SparkSession, sf_dir: str, tracks: View = views.tracks) -> DataFrame:
     turn = F.col("user_id") * 7 + F.col("time_min") * 5
-    t = views.tracks(spark, sf_dir).withColumn("ra", turn - F.lit(360.0) * F.floor(turn / 360.0))
+    t = tracks(spark, sf_dir).withColumn("ra", turn - F.lit(360.0) * F.floor(turn / 360.0))
     return motion.unwrap_ra(t, "user_id", ["time_min", "det_idx"]).select("det_idx", r6("ra_u"))
 
 
@@ -510,15 +513,30 @@ PICK_BASE = f"SELECT *, count(*) OVER (PARTITION BY user_id) AS n, row_number()
 
 
 @query(f"SELECT user_id, det_idx FROM ({PICK_BASE}) WHERE CASE WHEN user_id % 2 = 0 THEN i = 1 OR i = n // 2 + 1 OR i = n ELSE s = 1 END")
-def mover_picks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = views.tracks(spark, sf_dir)
+def mover_picks(spark: SparkSession, sf_dir: str, tracks: View = views.tracks) -> DataFrame:
+    t = tracks(spark, sf_dir)
     kinds = t.select("user_id").distinct().withColumn("kind", F.when(F.col("user_id") % 2 == 0, "mover").otherwise("transient"))
     return motion.picks(t, kinds, "user_id").select("user_id", "det_idx")
 
 
 @query(f"SELECT user_id, det_idx, time_min FROM ({PICK_BASE}) WHERE i = n // 2 + 1")
-def mid_epoch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return motion.middle_epoch(views.tracks(spark, sf_dir), "user_id", ["frame_index", "det_idx"]).select("user_id", "det_idx", "time_min")
+def mid_epoch(spark: SparkSession, sf_dir: str, tracks: View = views.tracks) -> DataFrame:
+    return motion.middle_epoch(tracks(spark, sf_dir), "user_id", ["frame_index", "det_idx"]).select("user_id", "det_idx", "time_min")
+
+
+def over_all_days(name: str) -> None:
+    """Registers NAME_all_days: the query and its SQL over every day instead of the first six."""
+    f = QUERIES[name]
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return f(spark, sf_dir, views.all_tracks)
+
+    run.__name__ = f"{name}_all_days"
+    query(ORACLE_SQL[name].replace(TRACKS_SQL, ALL_TRACKS_SQL))(run)
+
+
+for _name in ("seed_pairs", "first_match", "tracklet_extend", "motion_fit", "motion_predict", "ra_unwrap", "mover_picks", "mid_epoch"):
+    over_all_days(_name)
 
 
 # ---- objects and candidates ------------------------------------------------------------------

@@ -121,14 +121,27 @@ TRACKS_SQL = """SELECT row_number() OVER (ORDER BY day, user_id) - 1 AS det_idx,
  FROM (SELECT user_id, date_diff('day', CAST((SELECT min(ts) FROM events) AS DATE), CAST(ts AS DATE)) AS day, max(10 + value) AS snr FROM events GROUP BY 1, 2) WHERE day BETWEEN 0 AND 5"""
 
 
+#: The same over all days.
+ALL_TRACKS_SQL = TRACKS_SQL.removesuffix(" WHERE day BETWEEN 0 AND 5")
+
+
 def tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Movers: one detection a user and day of the first six that exists, along straight lines."""
+    return _tracks(spark, sf_dir, "day between 0 and 5")
+
+
+def all_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Movers: one detection a user and day that exists, along straight lines."""
+    return _tracks(spark, sf_dir, "true")
+
+
+def _tracks(spark: SparkSession, sf_dir: str, days: str) -> DataFrame:
     from ..operators.discovery import numbered
 
     events = load(spark, sf_dir, "events")
     first = F.broadcast(events.agg(F.to_date(F.min("ts")).alias("d0")))
     day = F.date_diff(F.to_date("ts"), F.col("d0"))
-    rows = events.crossJoin(first).groupBy("user_id", day.alias("day")).agg(F.max(F.lit(10.0) + F.col("value")).alias("snr")).where("day between 0 and 5")
+    rows = events.crossJoin(first).groupBy("user_id", day.alias("day")).agg(F.max(F.lit(10.0) + F.col("value")).alias("snr")).where(days)
     u = F.col("user_id") * F.lit(137.508)
     placed = rows.select("user_id", F.col("day").cast("long").alias("frame_index"), (F.lit(8.0) * F.col("day")).alias("time_min"), (F.lit(130.0) + (u - F.lit(20.0) * F.floor(u / F.lit(20.0))) + F.lit(0.005) * F.col("day")).alias("ra"), (F.lit(10.0) + F.lit(0.003) * F.col("day")).alias("dec"), "snr")
     return numbered(placed, "frame_index", "user_id")
