@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -246,14 +247,20 @@ def cone_search(spark: SparkSession, sf_dir: str) -> DataFrame:
  n AS (SELECT id, ra, dec, z + k AS z FROM r, unnest([-1, 0, 1]) AS t(k)), p AS (SELECT l.id AS left_id, n.id AS right_id, {sep_sql('l.ra', 'l.dec', 'n.ra', 'n.dec')} AS sep FROM l JOIN n ON l.z = n.z AND {sep_sql('l.ra', 'l.dec', 'n.ra', 'n.dec')} <= 60)
  SELECT left_id, right_id, round(sep, 5) AS sep_arcsec FROM (SELECT *, row_number() OVER (PARTITION BY left_id ORDER BY round(sep, 7), right_id) AS k FROM p) WHERE k = 1"""
 )
-def sky_crossmatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sky_crossmatch(spark: SparkSession, sf_dir: str, left: str = "frame_index = 1", right: str = "frame_index = 2") -> DataFrame:
     s = views.sky(spark, sf_dir)
-    a, b = s.where("frame_index = 1").withColumnRenamed("id", "left_id"), s.where("frame_index = 2").withColumnRenamed("id", "right_id")
+    a, b = s.where(left).withColumnRenamed("id", "left_id"), s.where(right).withColumnRenamed("id", "right_id")
     pairs = crossmatch.pairs_within(a.select("left_id", "ra", "dec"), b.select("right_id", "ra", "dec"), 60.0).select("l.left_id", "r.right_id", "sep_arcsec")
     rank = F.row_number().over(Window.partitionBy("left_id").orderBy(F.round("sep_arcsec", 7), "right_id"))
     return pairs.withColumn("k", rank).where("k = 1").select("left_id", "right_id", F.round("sep_arcsec", 5).alias("sep_arcsec"))
 
 
+@query(ORACLE_SQL["sky_crossmatch"].replace("WHERE frame_index = 1)", "WHERE frame_index % 2 = 1)").replace("WHERE frame_index = 2)", "WHERE frame_index % 2 = 0)"))
+def sky_crossmatch_all_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Odd frames against even ones: every line item takes part."""
+    return sky_crossmatch(spark, sf_dir, "frame_index % 2 = 1", "frame_index % 2 = 0")
+
+
 ISOLATED_SQL = f"""SELECT s.*, NOT EXISTS (SELECT 1 FROM f o WHERE o.frame_index = s.frame_index AND o.id <> s.id AND sqrt(pow(o.x - s.x, 2) + pow(o.y - s.y, 2)) <= t.reach) AS isolated
  FROM f s JOIN (SELECT frame_index, greatest(10, 3 * CASE WHEN median(fwhm) > 0 THEN median(fwhm) ELSE 4 END) AS reach FROM f GROUP BY 1) t ON t.frame_index = s.frame_index"""
 
@@ -622,6 +629,15 @@ def night_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.unionByName(s.where("frame_index = 2").select("frame_index", "id", r6("snr")), allowMissingColumns=True)
 
 
+@query(f"SELECT frame_index, id, round(snr, 6) AS snr, CASE WHEN frame_index % 3 <> 2 THEN round(mag, 6) END AS mag_calib FROM ({SOURCES_SQL})")
+def night_union_all_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of each frame, every third without calibrated magnitudes, in one: every source takes part."""
+    s = views.sources(spark, sf_dir)
+    frames = [r["frame_index"] for r in s.select("frame_index").distinct().orderBy("frame_index").collect()]  # a row a frame
+    parts = [s.where(F.col("frame_index") == f).select("frame_index", "id", r6("snr"), *[F.round("mag", 6).alias("mag_calib")] * (f % 3 != 2)) for f in frames]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 @query("SELECT s_nationkey AS k, CAST(NULL AS DOUBLE) AS mag FROM supplier UNION SELECT c_nationkey, NULL FROM customer")
 def union_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = load(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("k"), F.lit(None).cast("double").alias("mag"))

@@ -43,3 +43,15 @@ def test_movers_are_linked_over_all_days(spark, sf_dir):
     assert sorted(map(sorted, got.values())) == brute_tracks(rows, 4.0, 2.5 * 2.5 / 3600, 3)
     late = {r[0] for r in rows if r[1] > 5}
     assert late & {d for t in got.values() for d in t}
+
+
+def test_every_frame_is_matched(spark, sf_dir, db):
+    same_as_sql(spark, sf_dir, db, "sky_crossmatch_all_frames")
+    left = {r.left_id % 8 for r in driver.queries()["sky_crossmatch_all_frames"](spark, sf_dir).select("left_id").collect()}
+    assert left == {1, 3, 5, 7}
+
+
+def test_every_frame_is_united(spark, sf_dir, db):
+    same_as_sql(spark, sf_dir, db, "night_union_all_frames")
+    n = driver.queries()["night_union_all_frames"](spark, sf_dir).count()
+    assert n == db.sql("SELECT count(*) FROM embeddings").fetchall()[0][0]
