@@ -306,7 +306,7 @@ def composite_rank(kind: Column, mean_snr: Column, n_det: Column, rb: Column, si
 
 
 def discover(sources: DataFrame, reference: DataFrame | None, settings: Settings, frame_fwhm: DataFrame | None = None) -> DataFrame:
-    """Objects of a sequence of source tables, ranked: obj_id, kind, rank_score and their evidence.
+    """Objects of a sequence of source tables, ranked: obj_id, kind, rank_score, members and their evidence.
 
     ``sources`` needs frame_index, id, time_min, ra, dec, snr, fwhm, ellipticity, flag_edge,
     flag_saturated, mag_inst, mag_calib and mag_err; ``frame_fwhm`` (median_fwhm per frame)
@@ -364,7 +364,7 @@ def discover(sources: DataFrame, reference: DataFrame | None, settings: Settings
 
 
 def _scored(members: DataFrame, key: str, mover: bool) -> DataFrame:
-    """key, position, counts, mean S/N, real/bogus score and frames of detections grouped by ``key``."""
+    """key, position, counts, mean S/N, real/bogus score, frames and members of detections grouped by ``key``."""
     first = members.groupBy(key).agg(F.min_by("ra", "det_idx").alias("ra0"))
     grouped = members.join(first, key).groupBy(key, "ra0").agg(
         F.median(wrap_deg(F.col("ra") - F.col("ra0"))).alias("dra"),
@@ -378,6 +378,7 @@ def _scored(members: DataFrame, key: str, mover: bool) -> DataFrame:
         F.min("det_idx").alias("first_det"),
         F.first("typical_fwhm").alias("typical_fwhm"),
         F.array_join(F.transform(F.array_sort(F.collect_set("frame_index")), lambda x: x.cast("string")), ",").alias("frames"),
+        F.array_sort(F.collect_list(F.struct("frame_index", "id", "det_idx"))).alias("members"),
     )
     rb = real_bogus(F.col("fwhm"), F.col("ellipticity"), F.col("mean_snr"), F.col("edge"), F.col("n_det"), F.col("typical_fwhm"), F.lit(mover))
     return grouped.withColumns({"ra": F.pmod(F.col("ra0") + F.col("dra"), F.lit(360.0)), "rb_score": rb}).drop("ra0", "dra", "fwhm", "ellipticity", "edge", "typical_fwhm")

@@ -57,16 +57,30 @@ def run_summary(result, n_frames: int) -> str:
     return "\n".join(lines) + "\n"
 
 
-def dossiers(result, top: int = 8) -> list[dict]:
-    """A record for each interesting object: verdict, checks, motion and report lines."""
+def member_points(result, top: int = 8) -> DataFrame:
+    """obj_id, kind, det_idx and the source row of every detection of the interesting objects."""
+    members = interesting(result.objects, top).select("obj_id", "kind", F.explode("members").alias("m")).select("obj_id", "kind", "m.*")
+    return result.sources.join(F.broadcast(members), ["frame_index", "id"])
+
+
+def _motions(points: DataFrame) -> dict[int, dict]:
+    """Fitted motion of each mover by obj_id."""
+    rows = motion.fit_motion(points.where("kind = 'mover'"), "obj_id").collect()  # a row a dossier
+    ahead = lambda r: {f"+{h}": {"ra": r[f"ra_{h}"], "dec": r[f"dec_{h}"]} for h in ("1h", "24h")}
+    return {r["obj_id"]: {**{k: r[k] for k in ("speed_arcsec_min", "pa_deg", "fit_rms_arcsec")}, "predictions": ahead(r), "arc_minutes": r["arc_minutes"], "n_epochs": r["n"]} for r in rows}
+
+
+def dossiers(result, points: DataFrame, top: int = 8) -> list[dict]:
+    """A record for each interesting object: verdict, checks and the motion fitted to its ``points``."""
     chosen = motion.identity_checks(interesting(result.objects, top))
+    fitted = _motions(points)
     verdict, action = motion.verdict(F.col("kind"), F.col("checks"), F.col("speed"))
-    rows = chosen.select("obj_id", "kind", "ra", "dec", F.round("rank_score", 4).alias("rank"), "notes", verdict.alias("verdict"), action.alias("action"), F.to_json("checks").alias("checks"), "speed", "pa", "n_det", "frames").collect()
+    rows = chosen.select("obj_id", "kind", "ra", "dec", F.round("rank_score", 4).alias("rank"), "notes", verdict.alias("verdict"), action.alias("action"), F.to_json("checks").alias("checks"), "n_det", "frames").collect()
     out = []
     for r in rows:
         d = r.asDict()
         d["checks"] = json.loads(d["checks"])
-        d["motion"] = {"speed_arcsec_min": d.pop("speed"), "pa_deg": d.pop("pa")} if r["kind"] == "mover" else {}
+        d["motion"] = fitted.get(r["obj_id"], {})
         d["html_name"] = f"dossier_{r['obj_id']}.html"
         out.append(d)
     return out
@@ -100,13 +114,12 @@ def html_report(result, summary: str, records: list[dict]) -> str:
     return _page("Night report", f"<pre>{html.escape(summary)}</pre><h2>Candidates</h2>{_table(CANDIDATE_COLUMNS, best)}<ul>{links}</ul><h2>Frames</h2>{_table(shown, frames)}")
 
 
-def stamps(sources: DataFrame, d: dict, reduced: str, size: int = 31, most: int = 6) -> list[bytes]:
-    """PNG cutouts about an object's detections from the reduced frames, at most a few."""
+def stamps(points: DataFrame, reduced: str, size: int = 31, most: int = 8) -> list[bytes]:
+    """PNG cutouts about an object's first detections from the reduced frames."""
     from ..images.kernels import cutout, stamp_png
-    from ..operators.crossmatch import cone_search
     from ..sources.fits import read_fits
 
-    near = cone_search(sources.where("ra is not null"), d["ra"], d["dec"], 3.0 / 3600.0).select("frame", "x", "y").orderBy("frame").limit(most).collect()
+    near = points.select("frame", "frame_index", "det_idx", "x", "y").orderBy("frame_index", "det_idx").limit(most).collect()
     out = []
     for r in near:
         path = Path(reduced) / f"{Path(r['frame']).stem}_reduced.fits"
@@ -123,13 +136,11 @@ def dossier_page(d: dict, report: str, images: list[bytes] = ()) -> str:
     return _page(f"Object {d['obj_id']}: {d['kind']}", f"<p>{html.escape(d['verdict'])}. {html.escape(d['action'])}.</p><p>{html.escape(d['notes'] or '')}</p>{shown}{checks}<pre>{html.escape(report)}</pre>")
 
 
-def report_lines(sources: DataFrame, lights: DataFrame, near_ra: float, near_dec: float, designation: str, radius_arcsec: float = 3.0) -> list[str]:
-    """80-column lines of the detections about a position, with mid-exposure times."""
-    from ..operators.crossmatch import cone_search
-
-    found = cone_search(sources.where("ra is not null"), near_ra, near_dec, radius_arcsec / 3600.0).join(F.broadcast(lights.select("frame", "dateobs")), "frame")
+def report_lines(points: DataFrame, lights: DataFrame, designation: str) -> list[str]:
+    """80-column lines of all detections of an object, with mid-exposure times."""
+    found = points.join(F.broadcast(lights.select("frame", "dateobs")), "frame")
     line = motion.report_line(F.lit(designation), F.col("ra"), F.col("dec"), headers.time_minutes(F.col("dateobs")), F.col("exptime"), F.col("mag_calib"))
-    return [r["line"] for r in found.select("time_min", line.alias("line")).where("line is not null").orderBy("time_min").limit(200).collect()]
+    return [r["line"] for r in found.select("time_min", "det_idx", line.alias("line")).where("line is not null").orderBy("time_min", "det_idx").collect()]  # a row a frame
 
 
 def write_products(result, config: NightConfig) -> dict[str, str]:
@@ -145,12 +156,14 @@ def write_products(result, config: NightConfig) -> dict[str, str]:
     write_json(reports / "qa_summary.json", {"instrument": result.instrument.name, "telescope": result.instrument.telescope, "frames": frames, "reference_size": n_ref})
     summary = run_summary(result, len(frames))
     (reports / "run_summary.txt").write_text(summary)
-    records = dossiers(result) if config.discovery.dossiers else []
+    points = member_points(result)
+    records = dossiers(result, points) if config.discovery.dossiers else []
     write_json(reports / "dossiers.json", records)
     (reports / "night_brief.md").write_text(night_brief(records))
     lights = result.frames.where("ftype = 'light'")
     for d in records:
-        text = "\n".join(report_lines(result.sources, lights, d["ra"], d["dec"], f"OBJ{d['obj_id']:04d}"))
-        (reports / d["html_name"]).write_text(dossier_page(d, text, stamps(result.sources, d, config.paths.reduced)))
+        own = points.where(F.col("obj_id") == d["obj_id"])
+        text = "\n".join(report_lines(own, lights, f"OBJ{d['obj_id']:04d}"))
+        (reports / d["html_name"]).write_text(dossier_page(d, text, stamps(own, config.paths.reduced)))
     (reports / "report.html").write_text(html_report(result, summary, records))
     return {"report": str(reports / "report.html"), "qa": str(reports / "qa_summary.json"), "summary": str(reports / "run_summary.txt"), "dossiers": str(reports / "dossiers.json"), "catalogs": str(catalogs)}

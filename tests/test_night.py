@@ -154,6 +154,23 @@ def test_products(night):
     assert list(Path(config.paths.reduced).glob("*_reduced.fits")) and list(Path(config.paths.catalogs).glob("candidates/*.csv"))
 
 
+def test_dossiers_hold_every_detection(night):
+    result, config = night
+    reports = Path(config.paths.reports)
+    n_det = {r.obj_id: r.n_det for r in result.objects.collect()}
+    dossiers = json.loads((reports / "dossiers.json").read_text())
+    assert {"mover", "transient"} <= {d["kind"] for d in dossiers}
+    for d in dossiers:
+        page = (reports / d["html_name"]).read_text()
+        lines = page.split("<pre>")[1].split("</pre>")[0].splitlines()
+        assert len(lines) == n_det[d["obj_id"]] == len(set(lines)) and all(len(x) == 80 for x in lines)
+        assert page.count("data:image/png") <= min(8, n_det[d["obj_id"]])
+    mover = next(d for d in dossiers if d["kind"] == "mover")
+    assert mover["motion"].keys() == {"speed_arcsec_min", "pa_deg", "fit_rms_arcsec", "predictions", "arc_minutes", "n_epochs"}
+    assert mover["motion"]["n_epochs"] == n_det[mover["obj_id"]] and mover["motion"]["fit_rms_arcsec"] < 3.0
+    assert mover["motion"]["predictions"].keys() == {"+1h", "+24h"}
+
+
 def test_no_science_frames(spark, tmp_path):
     config = NightConfig()
     config.paths.raw = str(tmp_path)
