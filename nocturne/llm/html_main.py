@@ -3,9 +3,11 @@
 1. Each page's containers are scored by the text they hold outside links, boilerplate and form
    fields, with hints from tag and class names.
 2. Pages vote: the score of a container goes to its generalised path (tags and classes from the
-   root, digits struck out), summed per host in Spark; each host's path of most votes wins.
-3. Every page is read again and the container on its host's winning path is rendered; a page that
-   has none falls back to its own best container.
+   root, digits struck out), summed per host in Spark. A host may have several layouts: the paths that
+   hold much of most pages they occur on win, in order of votes.
+3. Every page is read again and the container on the first of its host's winning paths that holds a
+   fair share of the page's own best score is rendered. On a page with little text for its host any
+   winning path will do; other pages fall back to their own best container.
 
 Votes are partial sums before the shuffle, so a host with a third of all pages is no hot group. The
 winning paths are broadcast behind a check of their number; beyond it, pages are joined by salted
@@ -27,6 +29,8 @@ from .url_filter import host_of
 
 BROADCAST_HOSTS = 200_000
 SALTS = 16
+FAIR = 0.5  # of the page's best score, of the host's mean best score, and of votes over pages
+SUPPORT = 0.01  # of a host's pages, as votes; rarer paths are left to the page's own best container
 #: Fixed lists of element and class names.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
@@ -37,6 +41,7 @@ CLOSES_P = frozenset("address article aside blockquote center details dialog dir
 NOISE = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion comment comments disqus respond replies reply sidebar side nav navbar navigation menu breadcrumb breadcrumbs footer header masthead cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe signup login share sharing social related recommended widget toolbar pagination pager tracking skip".split()
 )
+COMPOUND = frozenset("has no with without not hide hides".split())  # has-sidebar names the whole, not a sidebar
 GOOD = frozenset("article content main post entry body text story".split())
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
@@ -45,14 +50,12 @@ NAME = re.compile(r"[A-Za-z]+")
 
 
 class Node:
-    __slots__ = ("children", "names", "parent", "tag")
+    __slots__ = ("children", "good", "holds", "names", "noise", "parent", "size", "tag")
 
-    def __init__(self, tag: str, names: frozenset[str], parent: Node | None):
+    def __init__(self, tag: str, names: frozenset[str], parent: Node | None, noisy: bool = False, good: bool = False):
         self.tag, self.names, self.parent, self.children = tag, names, parent, []
-
-    @property
-    def noise(self) -> bool:
-        return self.tag in SKIP or (self.tag not in ("html", "body", "article", "main") and bool(self.names & NOISE))
+        self.noise = tag in SKIP or (noisy and tag not in ("html", "body", "article", "main"))
+        self.good, self.holds, self.size = good, False, 0
 
     def path(self) -> str:
         part, at = [], self
@@ -65,6 +68,7 @@ class Node:
 def parse(source: str) -> Node:
     """A tolerant tree: implied ends of p, li, td, tr and options; strayed end tags are ignored."""
     root = at = Node("#root", frozenset(), None)
+    order = [root]
     pos = 0
     for m in iter(lambda: TOKEN.search(source, pos), None):
         if m.start() > pos:
@@ -97,11 +101,17 @@ def parse(source: str) -> Node:
             while node.tag in alike:
                 at = node = node.parent
         names: set[str] = set()
+        noisy = good = False
         if m.group(3):
             for a in ATTRIBUTE.finditer(m.group(3)):
                 if a.group(1).lower() in ("class", "id", "role", "itemprop"):
-                    names.update(x.lower() for x in NAME.findall(a.group(2) or a.group(3) or a.group(4) or ""))
-        node = Node(tag, frozenset(names), at)
+                    for token in (a.group(2) or a.group(3) or a.group(4) or "").split():
+                        parts = [x.lower() for x in NAME.findall(token)]
+                        names.update(parts)
+                        noisy |= not NOISE.isdisjoint(parts) and parts[0] not in COMPOUND
+                        good |= token.lower() in GOOD
+        node = Node(tag, frozenset(names), at, noisy, good)
+        order.append(node)
         at.children.append(node)
         if tag in RAW:
             end = re.compile(f"</{re.escape(tag)}[^>]*>", re.I).search(source, pos)
@@ -110,9 +120,33 @@ def parse(source: str) -> Node:
             at = node
     if pos < len(source) and not source.startswith("<", pos):
         at.children.append(source[pos:])
+    _keep_wrappers(order)
     return root
 
 
+def _keep_wrappers(order: list[Node]) -> None:
+    """Noisy names are no ground to drop what holds most of the page's text and looks like its content.
+
+    That is so if it is also named as content, has an article or main element, or if the page has
+    hardly any other text. ``order`` has parents before their children.
+    """
+    for node in reversed(order):
+        node.size += sum(len(c.strip()) for c in node.children if isinstance(c, str))
+        if node.parent is not None and node.tag not in SKIP:
+            node.parent.size += node.size
+            node.parent.holds |= node.holds or node.tag in ("article", "main")
+    most = [n for n in order if n.noise and n.tag not in SKIP and 2 * n.size > order[0].size]
+    for wrapper in most:
+        if not (wrapper.good or wrapper.holds):
+            clean, inside = 0, {id(order[0]): True}
+            for node in order[1:]:
+                on = inside[id(node)] = inside[id(node.parent)] and not node.noise
+                clean += on and sum(len(c.strip()) for c in node.children if isinstance(c, str))
+            if 10 * clean > wrapper.size:
+                continue
+        wrapper.noise = False
+
+
 def scores(root: Node) -> list[tuple[float, Node]]:
     """Containers with their scores: own text, half that of child containers, hints of names."""
     out: list[tuple[float, Node]] = []
@@ -186,27 +220,59 @@ def on_path(root: Node, path: str) -> list[Node]:
 
 
 def votes(pages: DataFrame) -> DataFrame:
-    """host, path, votes: each page gives its containers' scores, as shares of its best one's."""
+    """host, path, votes, pages: each page gives its containers' scores, as shares of its best one's.
+
+    The path null has the sum of the best scores and the number of pages that have one.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            total: dict[tuple[str, str], float] = {}
+            total: dict[tuple[str, str | None], tuple[float, int]] = {}
             for host, page in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 found = scores(parse(page.as_py() or ""))
                 top = max((s for s, _ in found), default=0.0)
+                own: dict[str | None, float] = {None: round(top)} if found else {}
                 for s, node in found:
-                    if s >= 0.2 * top:
-                        key = (host, node.path())
-                        total[key] = total.get(key, 0.0) + round(1000 * s / top)
-            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in total], pa.string()), pa.array([k[1] for k in total], pa.string()), pa.array([int(v) for v in total.values()], pa.int64())], ["host", "path", "votes"])
+                    path = node.path()
+                    own[path] = own.get(path, 0.0) + (round(1000 * s / top) if s >= 0.2 * top else 0)
+                for path, vote in own.items():
+                    v, n = total.get((host, path), (0.0, 0))
+                    total[host, path] = (v + vote, n + 1)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k[0] for k in total], pa.string()), pa.array([k[1] for k in total], pa.string()), pa.array([int(v) for v, _ in total.values()], pa.int64()), pa.array([n for _, n in total.values()], pa.int64())], ["host", "path", "votes", "pages"]
+            )
 
     hosts = pages.select(host_of(F.col("url")).alias("host"), "html")
-    return hosts.mapInArrow(run, "host string, path string, votes long").groupBy("host", "path").agg(F.sum("votes").alias("votes"))
+    return hosts.mapInArrow(run, "host string, path string, votes long, pages long").groupBy("host", "path").agg(F.sum("votes").alias("votes"), F.sum("pages").alias("pages"))
+
 
+def winners(counted: DataFrame) -> DataFrame:
+    """host, path (of most votes, the first in order among equals), paths (all that win, in this order) and typical, the mean best score."""
+    hosts = counted.where("path is null").select("host", (F.col("votes") / F.col("pages")).alias("typical"), F.col("pages").alias("all"))
+    named = counted.where("path is not null").join(hosts, "host")
+    ranked = F.struct((-F.col("votes")).alias("v"), "path")
+    wins = (F.col("votes") >= FAIR * 1000 * F.col("pages")) & (F.col("votes") >= SUPPORT * 1000 * F.col("all"))
+    grouped = named.groupBy("host").agg(F.min(ranked).alias("w"), F.array_sort(F.collect_list(F.when(wins, ranked))).alias("all"), F.first("typical").alias("typical"))
+    return grouped.select("host", F.col("w.path").alias("path"), F.col("all.path").alias("paths"), "typical")
 
-def winners(pages: DataFrame) -> DataFrame:
-    """host, path: the path of most votes, the first in order among equals."""
-    return votes(pages).groupBy("host").agg(F.min(F.struct(-F.col("votes"), "path")).alias("w")).select("host", F.col("w.path").alias("path"))
+
+def choose(root: Node, paths: list[str], typical: float) -> str:
+    """The page's text: that on a winning path of its host, or of its own best container."""
+    found = scores(root)
+    if not found:
+        return render(root)
+    top, own = max(found, key=lambda s: s[0])
+    held: dict[str, float] = {}
+    if paths:
+        wanted = set(paths)
+        for s, node in found:
+            if (path := node.path()) in wanted:
+                held[path] = max(held.get(path, 0.0), s)
+    fair = [p for p in paths if held.get(p, 0.0) >= FAIR * top]
+    if not fair and held and top < FAIR * typical:
+        fair = [max(held, key=lambda p: (held[p], p))]
+    text = "\n".join(filter(None, map(render, on_path(root, fair[0])))) if fair else ""
+    return text or render(own)
 
 
 def extract(pages: DataFrame, scratch: Scratch) -> DataFrame:
@@ -215,7 +281,7 @@ def extract(pages: DataFrame, scratch: Scratch) -> DataFrame:
     Null and empty html give an empty text. A null url or one without host belongs to the empty
     host, whose pages vote together. Repeated rows stay; more columns are ignored.
     """
-    won = scratch.put(winners(pages), "host_paths")
+    won = scratch.put(winners(scratch.put(votes(pages), "votes")), "host_paths")
     keyed = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
     if won.count() <= BROADCAST_HOSTS:
         chosen = keyed.join(F.broadcast(won), "host", "left")
@@ -225,13 +291,9 @@ def extract(pages: DataFrame, scratch: Scratch) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = []
-            for page, path in zip(batch.column(2), batch.column(3).to_pylist(), strict=True):
-                root = parse(page.as_py() or "")
-                nodes = on_path(root, path) if path else []
-                text = "\n".join(filter(None, map(render, nodes)))
-                texts.append(text or render(best(root)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64()), batch.column(3)], ["page_id", "url", "text", "n_chars", "host_path"])
+            columns = (batch.column(3).to_pylist(), batch.column(4).to_pylist())
+            texts = [choose(parse(page.as_py() or ""), paths or [], typical or 0.0) for page, paths, typical in zip(batch.column(2), *columns, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64()), batch.column(5)], ["page_id", "url", "text", "n_chars", "host_path"])
 
     kind = pages.schema["page_id"].dataType.simpleString()
-    return chosen.select("page_id", "url", "html", "path").mapInArrow(run, f"page_id {kind}, url string, text string, n_chars long, host_path string")
+    return chosen.select("page_id", "url", "html", "paths", "typical", "path").mapInArrow(run, f"page_id {kind}, url string, text string, n_chars long, host_path string")

@@ -34,6 +34,26 @@ def test_hosts_vote(spark, scratch):
     assert extract(spark.createDataFrame([], "page_id long, url string, html string"), scratch).count() == 0
 
 
+def test_layouts_of_one_host(spark, scratch):
+    long = "<p>words of the article that go on and on</p>" * 20
+    pages = [f"<body><div>{long}</div></body>"] * 8 + [f"<body><div>teaser</div><article>{long}</article></body>"] * 3
+    pages += ["<body><div>teaser</div><article><p>short article</p></article></body>", f"<body><div>teaser</div><section>{long}</section></body>"]
+    df = spark.createDataFrame([(i, f"http://h.example.com/{i}", p) for i, p in enumerate(pages)], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in extract(df, scratch).collect()}
+    full = "\n".join(["words of the article that go on and on"] * 20)
+    assert got == {i: "short article" if i == 11 else full for i in range(13)}
+
+
+def test_names_of_wrappers():
+    text = "<p>words of the article that go on and on</p>" * 9
+    plain = "\n".join(["words of the article that go on and on"] * 9)
+    for names in ("content has-sidebar", "no-sidebar", "post social", "layout sidebar"):
+        page = f"<body><div class='{names}'>{text}<div class=share>Share this</div></div><div class=sidebar><p>Side</p></div></body>"
+        assert render(best(parse(page))) == plain, names
+    comments = f"<body><div class=story>{text}</div><div class=comments>{text * 4}</div></body>"
+    assert render(best(parse(comments))) == plain
+
+
 def test_long_page(spark, scratch):
     page = "<body><article>" + "".join(f"<p>paragraph {i}</p>" for i in range(20000)) + "</article></body>"
     row = extract(spark.createDataFrame([(1, "http://a.b/", page)], "page_id long, url string, html string"), scratch).first()
