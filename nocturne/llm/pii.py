@@ -5,7 +5,7 @@ and identifier cues. From each anchor a deterministic local parser expands to th
 e-mail address, a network address, a card, a phone number or an account and validates it. The four
 base kinds give exactly the leftmost non-overlapping matches of their patterns; failing matches are
 dropped and not tried again. The method adds two kinds: ``account`` (a cue such as IBAN, account
-number or passport followed by an identifier with a digit) and ``login`` (user information before
+number or passport followed by an identifier with three digits, in one word or in groups) and ``login`` (user information before
 the at-sign of scheme://user@host).
 """
 
@@ -28,7 +28,13 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
 CUES = ("iban", "account number", "account no", "account id", "acct", "passport", "ssn", "social security number", "customer id", "user id", "kontonummer", "numéro de compte", "número de cuenta")
-ACCOUNT = re.compile(r"[\s:#.=№-]{1,4}((?=[A-Za-z0-9-]*[0-9]{3})[A-Za-z0-9][A-Za-z0-9-]{4,32}[A-Za-z0-9])(?![A-Za-z0-9])")
+AFTER = r"[\s:#.=№-]{1,4}"
+#: Between a cue and its identifier: separators and up to three of these words.
+LEAD = re.compile(rf"(?:{AFTER}(?i:is|was|are|the|my|your|no|nr|num|number|nummer|id|code|reads|ist|lautet|est|es|le|la)(?![A-Za-z0-9])){{0,3}}{AFTER}")
+ACCOUNT = re.compile(r"(?=(?:[A-Za-z-]{0,33}[0-9]){3})[A-Za-z0-9][A-Za-z0-9-]{4,32}[A-Za-z0-9](?![A-Za-z0-9])")
+GROUPED_IBAN = re.compile(r"[A-Za-z]{2}[0-9]{2}(?:[\x20-][A-Za-z0-9]{4}){2,7}(?:[\x20-][A-Za-z0-9]{1,3})?(?![A-Za-z0-9])")
+#: Groups apart by single spaces or hyphens, each with a digit but for letters at the ends.
+GROUPED = re.compile(r"(?:[A-Z]{1,4}[\x20-])?[A-Z]{0,4}[0-9][A-Z0-9]{0,5}(?:[\x20-][A-Z]{0,4}[0-9][A-Z0-9]{0,7}){1,8}(?:[\x20-][A-Z](?=[.,;:)]|\Z))?(?![A-Za-z0-9])")
 LOGIN = re.compile(r"[^\s/@:?#\"'<>]+(?::[^\s/@?#\"'<>]*)?(?=@[A-Za-z0-9-])")
 
 
@@ -64,6 +70,27 @@ def _digits(text: str) -> str:
     return "".join(c for c in text if "0" <= c <= "9")
 
 
+def iban(text: str) -> bool:
+    """Whether the letters and digits are those of an IBAN: the check digits, modulo 97."""
+    chars = [c for c in text.upper() if c.isalnum()]
+    return 15 <= len(chars) <= 34 and int("".join(str(int(c, 36)) for c in chars[4:] + chars[:4])) % 97 == 1
+
+
+def _account(text: str, at: int) -> tuple[int, int] | None:
+    """The identifier after a cue that ends at ``at``: a grouped IBAN, else the longer of one word and of groups."""
+    if not (lead := LEAD.match(text, at)):
+        return None
+    start = lead.end()
+    if m := GROUPED_IBAN.match(text, start):
+        for end in [m.end(), *(i for i in range(m.end() - 1, start, -1) if text[i] in " -")]:  # the next word may look like a group
+            if iban(text[start:end]):
+                return start, end
+    ends = [m.end()] if (m := ACCOUNT.match(text, start)) else []
+    if (m := GROUPED.match(text, start)) and sum(c.isalnum() for c in m.group()) >= 6 and len(_digits(m.group())) >= 3:
+        ends.append(m.end())
+    return (start, max(ends)) if ends else None
+
+
 def spans(text: str | None) -> list[tuple[int, int, str]]:
     """(start, end, kind) in code points, by start and then kind; base kinds before added ones."""
     global _anchors
@@ -106,9 +133,9 @@ def spans(text: str | None) -> list[tuple[int, int, str]]:
             if at >= past["login"] and (m := LOGIN.match(text, last + 1)):
                 past["login"] = m.end()
                 found.append((last + 1, m.end(), "login"))
-        elif at >= past["account"] and (at == 0 or not text[at - 1].isalnum()) and (m := ACCOUNT.match(text, last + 1)):
-            past["account"] = m.end(1)
-            found.append((m.start(1), m.end(1), "account"))
+        elif at >= past["account"] and (at == 0 or not text[at - 1].isalnum()) and (where := _account(text, last + 1)):
+            past["account"] = where[1]
+            found.append((*where, "account"))
     order = {k: i for i, k in enumerate((*KINDS, *ADDED))}
     found.sort(key=lambda s: (s[0], order[s[2]], s[1]))
     return found

@@ -53,6 +53,32 @@ def test_added_kinds_leave_base_spans():
     assert [s for s in spans("librarian iban-free text") if s[2] == "account"] == []
 
 
+def test_identifiers_in_groups_and_after_filler_words():
+    cases = {
+        "IBAN: {DE89 3704 0044 0532 0130 00}, thanks": 1,
+        "IBAN {GB82 WEST 1234 5698 7654 32} from here": 1,
+        "IBAN FR14-2004-1010-0505-0001-3M02-606": 1,
+        "my account number is {12345678}.": 1,
+        "passport: {C01X00T47}": 1,
+        "Passport number: {X1234567}": 1,
+        "ssn was {078 05 1120}; gone": 1,
+        "SSN: {078-05-1120}": 1,
+        "account number {1234 5678 90} and": 1,
+        "account number {12345678} and": 1,
+        "account number is not known in 1999": 0,
+        "passport control at noon, 12 people": 0,
+        "user id: none": 0,
+    }
+    for marked, n in cases.items():
+        text = marked.replace("{", "").replace("}", "")
+        found = [text[a:b] for a, b, k in spans(text) if k == "account"]
+        assert len(found) == n, (marked, found)
+        assert "{" not in marked or found == [marked.split("{")[1].split("}")[0]]
+        assert base(text) == brute(text)
+    text = "IBAN: DE89 3704 0044 0532 0130 00"
+    assert redact(text, spans(text)) == "IBAN: [ACCOUNT]"
+
+
 def test_redaction_covers_overlaps():
     assert redact("a@b.co 10.0.0.1", spans("a@b.co 10.0.0.1")) == "[EMAIL] [IP]"
     assert redact(None, []) is None and redact("", []) == ""
