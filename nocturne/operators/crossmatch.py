@@ -60,11 +60,12 @@ def nearest_match(left: DataFrame, right: DataFrame, radius_arcsec: float, left_
     return pairs.withColumn("rank", rank).where("rank = 1").select(F.col(f"l.{left_id}").alias(left_id), F.col(f"r.{right_id}").alias(right_id), "sep_arcsec")
 
 
-def crossmatch(left: DataFrame, right: DataFrame, radius_arcsec: float, left_id: str, right_id: str, reach_arcsec: float = 3.6e5) -> DataFrame:
+def crossmatch(left: DataFrame, right: DataFrame, radius_arcsec: float, left_id: str, right_id: str, reach_arcsec: float = 6.48e5) -> DataFrame:
     """The full contract: every left row with idx (right id or -1), sep_arcsec (null is no neighbour) and matched.
 
     Neighbours beyond the radius are still reported: unmatched rows search on with a radius grown
-    four-fold each round up to ``reach_arcsec``, each round over only the rows that are left.
+    four-fold each round up to ``reach_arcsec`` (the whole sphere), each round over only the rows that
+    are left.
     """
     from .components import Workspace
 

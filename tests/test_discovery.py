@@ -72,6 +72,14 @@ def test_tracks_equal_the_greedy_rule(spark, seed):
     assert sorted(map(sorted, got.values())) == brute_tracks(rows, 3.0, 2.5 * 2.5 / 3600, 3)
 
 
+def test_seeds_reach_over_the_sphere(spark):
+    rng = np.random.default_rng(5)
+    dec, ra = np.degrees(np.arcsin(rng.uniform(-1, 1, 60))), rng.uniform(0, 360, 60)
+    rows = [(i, i % 2, 20000.0 * (i % 2), float(ra[i]), float(dec[i])) for i in range(60)]  # 180 degrees take 10800 minutes
+    got = {(r.a, r.b) for r in discovery.seed_pairs(spark.createDataFrame(rows, DET), 60.0).collect()}
+    assert got == {(a, b) for a in range(0, 60, 2) for b in range(1, 60, 2)}
+
+
 def test_rank_goldens(spark):
     one = lambda **k: spark.range(1).select(discovery.composite_rank(F.lit(k["kind"]), F.lit(k["snr"]), F.lit(k["n"]), F.lit(k["rb"]), F.lit(k.get("sig")).cast("double")).alias("v")).first().v
     assert round(one(kind="single", snr=1e4, n=1, rb=0.75), 4) == 0.1318

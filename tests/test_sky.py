@@ -145,6 +145,13 @@ def test_report_lines_have_80_columns(spark, name):
     assert one(spark, motion.report_line(F.lit(name), F.lit(1.0), F.lit(1.0), F.lit(None).cast("double"), F.lit(0.0), F.lit(1.0))) is None
 
 
+def test_the_nearest_is_found_at_any_distance(spark):
+    left = spark.createDataFrame([(1, 0.0, 0.0), (2, 170.0, 10.0)], "a long, ra double, dec double")
+    right = spark.createDataFrame([(7, 180.0, 0.0)], "b long, ra double, dec double")
+    got = {r.a: (r.idx, r.sep_arcsec, r.matched) for r in crossmatch.crossmatch(left, right, 60.0, "a", "b").collect()}
+    assert got[1] == (7, pytest.approx(648000.0), False) and got[2][0] == 7
+
+
 def test_stems(spark):
     words = ["discovery", "discoveries", "discovered", "discovers", "source", "sources", "sky"]
     got = {r.w: r.s for r in spark.createDataFrame([(w,) for w in words], "w string").select("w", text.stem(F.col("w")).alias("s")).collect()}
