@@ -10,7 +10,6 @@ TOKEN = r"[a-z0-9][a-z0-9_.\-]{1,}"
 STOP_WORDS = (
     "a an and are as at be but by for from has have if in into is it its of on or that the this to was were will with what which how why when where who your you we our i me my they them their he she his her do does did not no yes can could should would"
 ).split()
-STEM_PASSES = 16
 
 
 def tokens(text: Column) -> Column:
@@ -26,14 +25,17 @@ def stem_once(token: Column) -> Column:
 
 
 def stem(token: Column) -> Column:
-    """Passes repeated to the fixpoint; a pass that changes nothing ends the work on its token."""
+    """Passes repeated to the fixpoint; a pass that changes nothing ends the work on its token.
+
+    A pass removes a character at least and leaves three, which bounds the passes by the token's length.
+    """
     start = F.struct(token.alias("t"), F.lit(False).alias("done"))
 
     def step(state: Column, _: Column) -> Column:
         after = stem_once(state["t"])
         return F.when(state["done"], state).otherwise(F.struct(after.alias("t"), (after == state["t"]).alias("done")))
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(STEM_PASSES)), start, step, lambda state: state["t"])
+    return F.aggregate(F.sequence(F.lit(1), F.greatest(F.length(token) - 2, F.lit(1))), start, step, lambda state: state["t"])
 
 
 def passages(text: Column, words: int = 220, overlap: int = 40, shortest: int = 80) -> Column:

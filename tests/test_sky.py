@@ -1,6 +1,7 @@
 """Scalar functions, spatial joins and calibration against analytic values."""
 
 import math
+import re
 
 import numpy as np
 import pytest
@@ -152,6 +153,18 @@ def test_the_nearest_is_found_at_any_distance(spark):
     assert got[1] == (7, pytest.approx(648000.0), False) and got[2][0] == 7
 
 
+def test_stems_of_junk_reach_the_fixpoint(spark):
+    words = ["s" * 30, "x" + "es" * 40, "abc" + "ing" * 25, "e" * 50, "bcd" + "ers" * 30 + "ed", "q" * 40]
+    once = lambda t: u if (u := re.sub(r"^(.{3,}?)(ing|ers|ies|ed|es|er|s)$", r"\1", t)) != t else re.sub(r"^(.{4,})[ey]$", r"\1", t)
+    got = {r.w: r.s for r in spark.createDataFrame([(w,) for w in words], "w string").select("w", text.stem(F.col("w")).alias("s")).collect()}
+    assert got["s" * 30] == "sss"
+    for w in words:
+        t = w
+        while once(t) != t:
+            t = once(t)
+        assert got[w] == t
+
+
 def test_stems(spark):
     words = ["discovery", "discoveries", "discovered", "discovers", "source", "sources", "sky"]
     got = {r.w: r.s for r in spark.createDataFrame([(w,) for w in words], "w string").select("w", text.stem(F.col("w")).alias("s")).collect()}
