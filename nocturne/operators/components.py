@@ -1,77 +1,84 @@
-"""Connected components by label propagation with pointer jumping."""
+"""Intermediate tables in the shared folder, and connected components by star contraction."""
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def shared_folder(spark) -> str:
-    """The cluster's checkpoint folder, or a folder of the warehouse where none is set."""
-    return spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's checkpoint folder; on a local master that sets none (tests), a folder of the warehouse.
 
-
-class Workspace:
-    """Intermediate tables in the shared folder: a step that several later ones read is computed once,
-    and lost executors cost no more than the step at hand."""
-
-    def __init__(self, spark):
-        self.spark, self.base = spark, f"{shared_folder(spark)}/nocturne-ws-{uuid.uuid4().hex}"
-
-    def put(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("overwrite").parquet(f"{self.base}/{name}")
-        return self.spark.read.schema(df.schema).parquet(f"{self.base}/{name}")
+    A cluster has to name one: a folder of one machine would be empty for the others.
+    """
+    if folder := spark.conf.get("spark.checkpoint.dir", None):
+        return folder
+    if not (spark.sparkContext.master + "[").startswith("local["):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
+    return f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
 
 
-ONE_TASK_EDGES = 500_000
+class Workspace:
+    """Parquet tables in the shared folder that cut lineage; they survive the loss of executors.
 
+    ``put`` writes a table and returns it re-read; ``drop`` deletes tables that nothing will read
+    again, ``clear`` all of them. Tables that a returned lazy frame still reads must not be dropped:
+    who gets such a frame from a function calls ``clear`` on the workspace it gave once the rows are
+    stored elsewhere.
+    """
 
-def _in_one_task(edges: DataFrame) -> DataFrame:
-    """Union-find over a counted, bounded number of edges."""
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.root = f"{shared_folder(spark)}/nocturne-{uuid.uuid4().hex}"
 
-    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        parent: dict[int, int] = {}
+    def put(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.root}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
-        def root(x: int) -> int:
-            while (up := parent.setdefault(x, x)) != x:
-                parent[x] = parent[up]
-                x = parent[x]
-            return x
+    def drop(self, *names: str) -> None:
+        for name in names:
+            self._delete(f"{self.root}/{name}")
 
-        for pdf in batches:
-            for u, v in zip(pdf["u"].tolist(), pdf["v"].tolist(), strict=True):
-                a, b = root(u), root(v)
-                if a != b:
-                    parent[max(a, b)] = min(a, b)
-        nodes = list(parent)
-        yield pd.DataFrame({"node": nodes, "root": [root(n) for n in nodes]}, dtype="int64")
+    def clear(self) -> None:
+        self._delete(self.root)
 
-    return edges.coalesce(1).mapInPandas(solve, "node long, root long")
+    def _delete(self, folder: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 200, one_task_edges: int = ONE_TASK_EDGES) -> DataFrame:
-    """node, root (the least node reachable) of undirected edges u, v.
+def connected_components(edges: DataFrame, work: Workspace | None = None, name: str = "cc") -> DataFrame:
+    """node, root (the least node reachable) of undirected edges (u, v) of any ordered type.
 
-    Up to ``one_task_edges`` distinct edges are solved in one task. Beyond that, every round takes the least label among neighbours and then the label's own label, so paths
-    shorten geometrically. Labels are written to the shared folder each round: lineage stays short
-    and lost executors cost one round.
+    Alternating large-star and small-star contraction until a round changes nothing. Each round is a
+    grouped minimum (combined before the shuffle, so a hub with millions of neighbours costs one row
+    per task) and a join on the node; rounds grow with the logarithm of the graph, however long its
+    paths. Self-loops and repeated edges are ignored; an edge with a null end is dropped. An empty
+    input gives no rows. The last round's table stays in ``work``, as the result reads it.
     """
-    put = Workspace(edges.sparkSession).put
-    both = put(edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).where("u <> v").distinct(), "edges")
-    if both.count() <= 2 * one_task_edges:
-        return put(_in_one_task(both.where("u < v")), "labels")
-    labels = put(both.groupBy("u").agg(F.least("u", F.min("v")).alias("label")).withColumnRenamed("u", "node"), "labels_0")
-    for i in range(1, max_rounds + 1):
-        near = both.join(labels.select(F.col("node").alias("v"), "label"), "v").groupBy(F.col("u").alias("node")).agg(F.min("label").alias("near"))
-        best = labels.join(near, "node").select("node", F.least("label", "near").alias("label"), F.col("label").alias("old"))
-        jump = best.join(labels.select(F.col("node").alias("label"), F.col("label").alias("up")), "label", "left")
-        after = put(jump.select("node", F.least("label", F.coalesce("up", "label")).alias("label"), "old"), f"labels_{i}")
-        changed = not after.where("label <> old").isEmpty()
-        labels = after.select("node", "label")
-        if not changed:
+    work = work or Workspace(edges.sparkSession)
+
+    def star(e: DataFrame, larger_only: bool) -> DataFrame:
+        both = e if larger_only else e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
+        moved = both.join(least, "u")
+        if larger_only:  # u > v: v and u itself go to the least neighbour
+            out = moved.select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
+        else:  # larger neighbours go to the least one
+            out = moved.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        return out.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+
+    now = work.put(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), f"{name}_0")
+    digest = lambda e: tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+    seen, i = digest(now), 0
+    while seen[0]:
+        i += 1
+        now = work.put(star(star(now, False), True), f"{name}_{i}")
+        work.drop(f"{name}_{i - 1}")
+        last, seen = seen, digest(now)
+        if last == seen:
             break
-    return labels.withColumnRenamed("label", "root")
+    return now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

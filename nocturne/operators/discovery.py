@@ -7,6 +7,7 @@ time, so their groups are bounded by the density of the sky and not by the night
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 import numpy as np
@@ -57,18 +58,20 @@ def significant(sources: DataFrame, min_snr: float) -> DataFrame:
     return sources.where((F.col("snr") >= min_snr) & ~F.col("flag_saturated") & F.col("ra").isNotNull() & F.col("dec").isNotNull())
 
 
-def numbered(detections: DataFrame, *order: str) -> DataFrame:
-    """Adds det_idx, a dense index in the given order, without a single-task window.
+def numbered(detections: DataFrame, *order: str, work: Workspace | None = None) -> DataFrame:
+    """Adds det_idx, a dense index from 0 in the given order, which must be total.
 
-    Rows are range-partitioned by the order; each partition's offset is the sum of the counts of
-    those before it (a row a partition).
+    Rows are range-partitioned by the order, sorted and stored once with their partition and their
+    place in it; the offsets are counted from the same stored rows (a row a partition), so that rows
+    and offsets can't come from two different partitionings.
     """
-    # the order must be total for a deterministic index
-    ranged = detections.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())
-    inside = ranged.withColumn("_row", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
-    counts = ranged.groupBy("_part").count()
-    before = counts.withColumn("_before", F.coalesce(F.sum("count").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("_part", "_before")
-    return inside.join(F.broadcast(before), "_part").withColumn("det_idx", F.col("_before") + F.col("_row") - 1).drop("_part", "_row", "_before")
+    work = work or Workspace(detections.sparkSession)
+    ranged = detections.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions(*order)
+    stored = work.put(ranged.withColumn("_at", F.monotonically_increasing_id()), f"numbered_{uuid.uuid4().hex}")
+    part, place = F.shiftrightunsigned("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))  # the layout of that id
+    counts = stored.groupBy(part.alias("_part")).agg(F.count("*").alias("n"))
+    before = counts.select("_part", (F.sum("n").over(Window.orderBy("_part")) - F.col("n")).alias("_before"))
+    return stored.withColumn("_part", part).join(F.broadcast(before), "_part").withColumn("det_idx", F.col("_before") + place).drop("_part", "_at", "_before")
 
 
 def as_detections(sources: DataFrame, reference: DataFrame | None, settings: Settings, order: tuple[str, ...] = ("frame_index", "id")) -> DataFrame:

@@ -1,22 +1,53 @@
 """Clusters, tracks, variability and ranks against plain versions."""
 
 import itertools
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from nocturne.operators import discovery, pointings
-from nocturne.operators.components import connected_components
+from nocturne.operators.components import Workspace, connected_components
+from nocturne.plans import views
 
 DET = "det_idx long, frame_index long, time_min double, ra double, dec double"
 SRC = "frame_index long, id long, time_min double, ra double, dec double, snr double, fwhm double, ellipticity double, flag_edge boolean, flag_saturated boolean, mag_inst double, mag_calib double, mag_err double"
 
 
-@pytest.mark.parametrize("one_task", [0, 1000])
-def test_components(spark, one_task):
-    edges = spark.createDataFrame([(i, i + 1) for i in range(30)] + [(50, 51), (52, 51)], "u long, v long")
-    assert {r.node: r.root for r in connected_components(edges, one_task_edges=one_task).collect()} == {**dict.fromkeys(range(31), 0), 50: 50, 51: 50, 52: 50}
+def test_components(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(30)] + [(50, 51), (52, 51), (60, 60), (70, None)], "u long, v long")
+    assert {r.node: r.root for r in connected_components(edges).collect()} == {**dict.fromkeys(range(31), 0), 50: 50, 51: 50, 52: 50}
+
+
+def test_components_of_a_long_path(spark):
+    n = 20_000
+    path = spark.range(n).select(F.xxhash64("id").alias("u"), F.xxhash64(F.col("id") + 1).alias("v"))
+    work = Workspace(spark)
+    got = connected_components(path, work).agg(F.count("*").alias("n"), F.count_distinct("root").alias("roots"), F.min("node").alias("least"), F.max("root").alias("root")).first()
+    assert (got.n, got.roots) == (n + 1, 1) and got.least == got.root
+    work.clear()
+    assert not Path(work.root).exists()
+
+
+@pytest.mark.parametrize(("adaptive", "parts"), [("true", 4), ("true", 8), ("true", 200), ("false", 4), ("false", 8), ("false", 200)])
+def test_numbers_are_dense_at_any_partitioning(spark, adaptive, parts):
+    rows = views.sky(spark, "/root/testdata/sf0.1").unionByName(views.sky(spark, "/root/testdata/sf0.1").withColumn("frame_index", F.col("frame_index") + 10))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive), spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        work = Workspace(spark)
+        got = work.put(discovery.numbered(rows, "frame_index", "id", work=work), "got")
+        n = rows.count()
+        seen = got.agg(F.count("*").alias("n"), F.count_distinct("det_idx").alias("distinct"), F.min("det_idx").alias("lo"), F.max("det_idx").alias("hi")).first()
+        assert n > 1_000_000 and tuple(seen) == (n, n, 0, n - 1)
+        key = F.struct("frame_index", "id")
+        ends = got.groupBy(F.floor(F.col("det_idx") / 10_000).alias("g")).agg(F.min(key).alias("lo"), F.max(key).alias("hi"), F.min_by(key, "det_idx").alias("first"), F.max_by(key, "det_idx").alias("last")).orderBy("g").collect()
+        assert all(r.lo == r.first and r.hi == r["last"] for r in ends) and all(a.hi <= b.lo for a, b in zip(ends, ends[1:], strict=False))  # some rows repeat
+        work.clear()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def test_no_cluster_holds_two_detections_of_a_frame(spark):
