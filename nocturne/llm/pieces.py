@@ -4,12 +4,12 @@ Encoding keeps an agenda of adjacent symbol pairs whose concatenation is a piece
 again merges the pair of highest score, the leftmost among equals. No piece of such a vocabulary
 holds the space mark after another character, so no merge crosses the start of a space run: a text
 falls into chunks, each with an agenda of its own. Short chunks are merged many at a time (a matrix
-of pair scores is the agenda of each row); long ones with a heap. Chunk results are kept in a
-bounded cache. Characters without a piece fall back to bytes, else to the unknown id.
+of pair scores is the agenda of each row); long ones with a heap. The ids of short chunks are kept
+in a store of bounded size. Characters without a piece fall back to bytes, else to the unknown id.
 
-In every Arrow batch each chunk that the cache doesn't hold is checked against the sentencepiece
-library before it is used; any difference raises. As texts are nothing but chunks, every id of every
-text stands under that check, and a chunk that comes back is not checked again.
+In every Arrow batch every whole text's ids are held against the sentencepiece library before they
+are used; any difference raises. Models whose pieces or normalisation would not allow chunks (other
+than spaces to marks with a mark in front) are refused when they are loaded.
 """
 
 from __future__ import annotations
@@ -28,8 +28,9 @@ from pyspark.sql import DataFrame
 from .textbytes import slices
 
 MARK = "▁"
-SHORT = 48  # characters of a chunk that the matrix form takes
-CACHE = 350_000  # about 80 MB a worker
+SHORT = 48  # characters of a chunk that the matrix form takes and the store keeps
+CACHE = 500_000  # chunks kept at most: a string of SHORT characters, a place and its ids, under 200 MB a worker at the worst
+PROBES = ("a b", " a  b ", "\ufb01 \u2460 e\u0301 \u00e9 \uff21\t\u3000x")  # what other normalisations change
 SLICE = 2 << 20  # bytes of text encoded together
 
 
@@ -45,6 +46,8 @@ class PieceModel:
         self.piece_id = {sp.id_to_piece(i): i for i in range(n) if not special[i]}
         if any(MARK in p.lstrip(MARK) for p in self.piece_id):
             raise ValueError("a piece holds a space mark after another character: chunks would not be independent")
+        if any(sp.normalize(t) != MARK + t.replace(" ", MARK) for t in PROBES):
+            raise ValueError("the model normalises texts: chunks of the text itself would not be what it encodes")
         self.byte_id = {int(sp.id_to_piece(i)[3:5], 16): i for i in range(n) if sp.is_byte(i)}
         self.unknown = sp.unk_id()
         # symbols: pieces, then single characters that occur only inside pieces, then all others
@@ -66,7 +69,7 @@ class PieceModel:
         self.ids = [(self.piece_id[s],) if s in self.piece_id else self._bytes(s) for s in self.symbols]
         self.plain_id = np.array([*(self.piece_id.get(s, -2) for s in self.symbols), -2, -1], np.int32)  # the last is for index -1
         self.text_of_id = [str(i) for i in range(n)]
-        self.cache: dict[str, tuple[int, ...]] = {}
+        self.kept = _Kept()
 
     def _bytes(self, char: str) -> tuple[int, ...]:
         raw = char.encode("utf-8", "surrogatepass")
@@ -109,8 +112,8 @@ class PieceModel:
     def _scores(self, joined: np.ndarray) -> np.ndarray:
         return np.where(joined >= 0, self.score[joined], -np.inf)
 
-    def _matrix(self, chunks: list[str]) -> None:
-        """Agendas of many short chunks at once; results go to the cache."""
+    def _matrix(self, chunks: list[str]) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
+        """Agendas of many short chunks at once: (chunks, their numbers of ids, all ids) by groups of alike length."""
         order = sorted(chunks, key=len)
         for lo in range(0, len(order), 8192):
             part = order[lo : lo + 8192]
@@ -123,11 +126,11 @@ class PieceModel:
             flat[both] = self.joined(symbols[:, :-1][both], symbols[:, 1:][both])
             self._merge(symbols, flat)
             plain = self.plain_id[symbols]  # -1: a free cell, -2: a character without a piece
-            length = (symbols >= 0).sum(1).tolist()
             odd = (plain == -2).any(1)
-            self.cache.update((chunk, tuple(row[:n])) for chunk, row, n in zip(part, plain.tolist(), length, strict=True))
-            for i in np.flatnonzero(odd).tolist():
-                self._keep(part[i], symbols[i].tolist())
+            yield [c for c, x in zip(part, odd.tolist(), strict=True) if not x], (plain >= 0).sum(1)[~odd], plain[~odd][plain[~odd] >= 0]
+            if odd.any():
+                ids = [self._ids(part[i], symbols[i].tolist()) for i in np.flatnonzero(odd).tolist()]
+                yield [part[i] for i in np.flatnonzero(odd).tolist()], np.array([len(x) for x in ids]), np.array(list(chain.from_iterable(ids)), np.int32)
 
     def _merge(self, symbols: np.ndarray, joined: np.ndarray) -> None:
         """Merges in place; a row's free cells at its end are -1."""
@@ -196,8 +199,8 @@ class PieceModel:
             slot = (slot + 1) & self.mask
         return -1
 
-    def _keep(self, chunk: str, symbols: list[int]) -> None:
-        """Caches the ids; characters unknown to every piece are read from the chunk by position."""
+    def _ids(self, chunk: str, symbols: list[int]) -> list[int]:
+        """The ids of a chunk's symbols; characters unknown to every piece are read from the chunk by position."""
         out: list[int] = []
         at = 0
         for x in symbols:
@@ -209,38 +212,86 @@ class PieceModel:
             else:
                 out.extend(self.ids[x])
                 at += len(self.symbols[x])
-        self.cache[chunk] = tuple(out)
-
-    def encode(self, texts: list[str], checked: bool = False) -> list[list[int]]:
-        """The ids of each whole text, as the library gives them without options.
+        return out
 
-        ``checked``: chunks new to the cache are held against the library.
-        """
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        """The ids of each whole text, as the library gives them without options."""
+        kept = self.kept
         split = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+").findall
         chunks = [split(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
-        used = set(chain.from_iterable(chunks))
-        new = list(used.difference(self.cache))
-        if len(self.cache) + len(new) > CACHE:  # frequent chunks are in use just now, and stay
-            self.cache = {c: self.cache[c] for c in used.intersection(self.cache)}
-        self._matrix([c for c in new if len(c) <= SHORT])
-        for c in new:
-            if len(c) > SHORT:
-                self._keep(c, self._heap(c))
-        of = self.cache.__getitem__
-        if checked:  # the library puts the first mark itself
-            self.check([c[1:].replace(MARK, " ") for c in new], [list(of(c)) for c in new], (MARK,))
-        return [list(chain.from_iterable(map(of, c))) for c in chunks]
+        counts = np.array([len(c) for c in chunks], np.int64)
+        at = np.fromiter(map(kept.__getitem__, chain.from_iterable(chunks)), np.int64, int(counts.sum()))
+        for names, n, ids in self._matrix(kept.new):
+            kept.store(names, n, ids)
+        long_ids = [self._ids(c, self._heap(c)) for c in kept.long]
+        n_long = np.array([len(x) for x in long_ids], np.int64)
+        flat = np.concatenate([kept.flat[: kept.used], np.array(list(chain.from_iterable(long_ids)), np.int32)])
+        start = np.concatenate([kept.start[: len(kept)], kept.used + np.cumsum(n_long) - n_long])
+        n = np.concatenate([kept.n[: len(kept)], n_long])
+        at[at < 0] = len(kept) - 1 - at[at < 0]
+        n_at = n[at]
+        ends = np.concatenate([[0], np.cumsum(n_at)])
+        ids = flat[np.repeat(start[at] - ends[:-1], n_at) + np.arange(ends[-1])].tolist()
+        bounds = ends[np.concatenate([[0], np.cumsum(counts)])].tolist()
+        kept.trim(at)
+        return [ids[lo:hi] for lo, hi in zip(bounds[:-1], bounds[1:], strict=True)]
 
     def decode(self, ids: list[list[int]]) -> list[str]:
         return self.library.decode(ids, num_threads=1)
 
-    def check(self, texts: list[str], ids: list[list[int]], bare: tuple[str, ...] = ()) -> None:
-        """Raises unless the library gives the same ids. The chunk of the first mark alone has no text."""
+    def check(self, texts: list[str], ids: list[list[int]]) -> None:
+        """Raises unless the library gives the same ids."""
         for text, ours, theirs in zip(texts, ids, self.library.encode(texts, num_threads=1), strict=True):
-            if ours != theirs and not (bare and not text and ours == [self.piece_id[MARK]]):
+            if ours != theirs:
                 raise AssertionError(f"agenda and library differ on a text of {len(text)} characters: {text[:80]!r}")
 
 
+class _Kept(dict):
+    """Places of chunks in a flat store of ids. Asking for an unknown chunk gives it a place and lists it
+    in ``new``, or for a long one a negative place of this round (-1, -2, ...), listed in ``long``."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self._empty()
+
+    def _empty(self) -> None:
+        self.clear()
+        self.new: list[str] = []
+        self.long: dict[str, int] = {}
+        self.flat, self.used = np.zeros(1 << 16, np.int32), 0
+        self.start, self.n = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+
+    def __missing__(self, chunk: str) -> int:
+        if len(chunk) > SHORT:
+            return self.long.setdefault(chunk, -1 - len(self.long))
+        at = self[chunk] = len(self)
+        self.new.append(chunk)
+        return at
+
+    def store(self, names: list[str], n: np.ndarray, ids: np.ndarray) -> None:
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        while len(self) > len(self.n):
+            self.start, self.n = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.n))
+        places = np.fromiter(map(self.__getitem__, names), np.int64, len(names))
+        self.start[places], self.n[places] = self.used + np.cumsum(n) - n, n
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.used += len(ids)
+
+    def trim(self, used: np.ndarray) -> None:
+        """Ends a round; a store beyond its bound keeps the chunks that this round used."""
+        self.new, self.long = [], {}
+        if len(self) > CACHE:
+            on = np.zeros(len(self), bool)
+            on[used[used < len(self)]] = True
+            names = [c for c, x in zip(self, on.tolist(), strict=True) if x]
+            n, start, flat = self.n[: len(self)][on], self.start[: len(self)][on], self.flat
+            self._empty()
+            if len(names) <= CACHE:
+                self.update((c, i) for i, c in enumerate(names))
+                self.store(names, n, flat[np.repeat(start - np.cumsum(n) + n, n) + np.arange(n.sum())])
+
+
 _models: dict[str, PieceModel] = {}
 
 
@@ -254,7 +305,8 @@ def model(path: str) -> PieceModel:
 def encode_documents(docs: DataFrame, model_file: str, keep: tuple[str, ...] = ("doc_id",), with_ids: bool = False, with_text: bool = False) -> DataFrame:
     """``keep`` columns, n_tokens, ids_sha256, decoded_sha256 and, on demand, ids and decoded of each row of docs.
 
-    A narrow map over Arrow batches: no shuffle, memory bounded by the batch and the cache. A null
+    A narrow map over Arrow batches: no shuffle, memory bounded by the batch and the store of chunks,
+    in scripts without spaces too, as long chunks are not kept. A null
     text counts as empty: no ids, and the hashes of the empty string. Repeated rows stay. Columns
     other than ``keep`` and text are ignored, so clashing names cannot matter; the new columns win.
     """
@@ -263,23 +315,28 @@ def encode_documents(docs: DataFrame, model_file: str, keep: tuple[str, ...] = (
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model(model_file)
-        gc.freeze()  # the cache holds many tuples and no cycles: collections would walk them over and over
-        gc.disable()
         names = m.text_of_id.__getitem__
-        for batch in batches:
-            texts = batch.column(len(keep)).fill_null("")
-            for lo, hi in slices(texts, SLICE):
-                part = texts.slice(lo, hi - lo).to_pylist()
-                ids = m.encode(part, checked=True)
-                text = m.decode(ids)
-                columns = [batch.column(i).slice(lo, hi - lo) for i in range(len(keep))]
-                columns.append(pa.array([len(x) for x in ids], pa.int64()))
-                columns.append(pa.array([hashlib.sha256(",".join(map(names, x)).encode()).hexdigest() for x in ids]))
-                columns.append(pa.array([hashlib.sha256(x.encode("utf-8")).hexdigest() for x in text]))
-                if with_ids:
-                    columns.append(pa.array(ids, pa.list_(pa.int32())))
-                if with_text:
-                    columns.append(pa.array(text, pa.string()))
-                yield pa.RecordBatch.from_arrays(columns, [*keep, "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids, *["decoded"] * with_text])
+        gc.freeze()  # the lists at hand hold no cycles: collections would walk them over and over
+        gc.disable()
+        try:
+            for batch in batches:
+                texts = batch.column(len(keep)).fill_null("")
+                for lo, hi in slices(texts, SLICE):
+                    part = texts.slice(lo, hi - lo).to_pylist()
+                    ids = m.encode(part)
+                    m.check(part, ids)
+                    text = m.decode(ids)
+                    columns = [batch.column(i).slice(lo, hi - lo) for i in range(len(keep))]
+                    columns.append(pa.array([len(x) for x in ids], pa.int64()))
+                    columns.append(pa.array([hashlib.sha256(",".join(map(names, x)).encode()).hexdigest() for x in ids]))
+                    columns.append(pa.array([hashlib.sha256(x.encode("utf-8")).hexdigest() for x in text]))
+                    if with_ids:
+                        columns.append(pa.array(ids, pa.list_(pa.int32())))
+                    if with_text:
+                        columns.append(pa.array(text, pa.string()))
+                    yield pa.RecordBatch.from_arrays(columns, [*keep, "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids, *["decoded"] * with_text])
+        finally:
+            gc.enable()
+            gc.unfreeze()
 
     return docs.select(*keep, "text").mapInArrow(run, out)

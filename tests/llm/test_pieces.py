@@ -1,8 +1,11 @@
+import gc
 import hashlib
 import random
 
+import pyarrow as pa
 import pytest
 
+from nocturne.llm import pieces
 from nocturne.llm.pieces import PieceModel, encode_documents
 from nocturne.llm.queries import op1_sentencepiece, tokenizer_file
 
@@ -27,6 +30,41 @@ def test_long_chunks_take_the_heap(model):
     assert model.encode([text]) == [model.library.encode(text)]
 
 
+def test_the_store_is_bounded_and_holds_no_long_chunk(model, monkeypatch):
+    monkeypatch.setattr(pieces, "CACHE", 300)
+    rng = random.Random(4)
+    han = [chr(0x4E00 + i) for i in range(9000)]
+    for _ in range(12):
+        texts = ["".join(rng.choices(han, k=400)) for _ in range(5)] + [" ".join(f"w{rng.randint(0, 400)}" for _ in range(150)), "same words here"]
+        ids = model.encode(texts)
+        model.check(texts, ids)
+        assert len(model.kept) <= 300 and max(map(len, model.kept), default=0) <= pieces.SHORT and not model.kept.long
+    monkeypatch.setattr(pieces, "CACHE", 2)
+    model.check(["more than two chunks in here"] * 2, model.encode(["more than two chunks in here"] * 2))
+    assert len(model.kept) == 0
+
+
+def test_collections_go_on_after_a_task(docs, monkeypatch):
+    class Docs:
+        schema = docs.schema
+        select = lambda self, *_: self
+        mapInArrow = lambda self, run, _: run
+
+    run = encode_documents(Docs(), tokenizer_file())
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array(["a text"])], ["doc_id", "text"])
+    assert len(list(run(iter([batch])))) == 1 and gc.isenabled() and gc.get_freeze_count() == 0
+    run(iter([batch])).close()
+    assert gc.isenabled()
+
+
+def test_a_wrong_id_in_a_batch_raises(model, monkeypatch):
+    texts = ["first text", "second text"]
+    ids = model.encode(texts)
+    ids[1][-1] += 1
+    with pytest.raises(AssertionError, match="second"):
+        model.check(texts, ids)
+
+
 def test_a_difference_raises(model):
     with pytest.raises(AssertionError):
         model.check(["some text"], [[5]])
