@@ -2,19 +2,7 @@
 
 from __future__ import annotations
 
-from .url_filter import LOWER, UPPER, Rule
-
-
-def host_sql(u: str) -> str:
-    return f"translate(regexp_extract({u}, '://([^/?#]*)', 1), '{UPPER}', '{LOWER}')"
-
-
-def path_sql(u: str) -> str:
-    return f"regexp_extract({u}, '://[^/?#]*([^?#]*)', 1)"
-
-
-def node_sql(u: str) -> str:
-    return f"{host_sql(u)} || CASE WHEN {path_sql(u)} = '' THEN '/' ELSE {path_sql(u)} END || regexp_extract({u}, '://[^/?#]*[^?#]*(\\?[^#]*)', 1)"
+from .url_filter import REFERENCES, Rule
 
 
 def rule_sql(host: str, path: str, rules: list[Rule], what: str) -> str:
@@ -24,24 +12,59 @@ def rule_sql(host: str, path: str, rules: list[Rule], what: str) -> str:
 
 
 def url_filter_sql(rules: list[Rule]) -> str:
-    value = lambda n: f"regexp_replace(regexp_extract(tag, '(?is)\\b{n}\\s*=\\s*(\"[^\"]*\"|''[^'']*''|[^\\s\"''>]+)', 1), '^[\"'']|[\"'']$', '', 'g')"
-    root = "regexp_extract(url, '^([^:/?#]*):', 1) || '://' || regexp_extract(url, '://([^/?#]*)', 1)"
-    folder = f"regexp_extract({path_sql('url')}, '^(.*/)', 1)"
-    absolute = f"""CASE WHEN regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN link WHEN starts_with(link, '//') THEN regexp_extract(url, '^([^:/?#]*):', 1) || ':' || link
- WHEN starts_with(link, '/') THEN {root} || link WHEN starts_with(link, '?') THEN {root} || {path_sql('url')} || link ELSE {root} || CASE WHEN {folder} = '' THEN '/' ELSE {folder} END || link END"""
-    url = "('x://' || node)"
-    return f"""WITH RECURSIVE tags AS (SELECT url, unnest(regexp_extract_all(regexp_replace(html, '(?is)<!--.*?-->|<script\\b.*?</script\\s*>', ' ', 'g'), '(?is)<(?:link|meta)\\b[^>]*>')) AS tag FROM pages
-  WHERE url IS NOT NULL AND html IS NOT NULL AND regexp_matches(html, '(?i)canonical|refresh')),
- links AS (SELECT url, trim(replace(CASE WHEN regexp_matches({value('rel')}, '(?i)(^|\\s)canonical(\\s|$)') THEN {value('href')} WHEN lower({value('http-equiv')}) = 'refresh' THEN regexp_extract({value('content')}, '(?is)url\\s*=\\s*[''"]?([^''"\\s]+)', 1) END, '&amp;', '&')) AS link FROM tags),
- ends AS (SELECT url, {absolute} AS target FROM links WHERE link <> ''), pairs AS (SELECT {node_sql('url')} AS u, {node_sql('target')} AS v FROM ends),
- both_ways AS (SELECT u, v FROM pairs WHERE u <> v AND NOT starts_with(u, '/') AND NOT starts_with(v, '/') UNION SELECT v, u FROM pairs WHERE u <> v AND NOT starts_with(u, '/') AND NOT starts_with(v, '/')),
- reach(node, root) AS (SELECT u, u FROM both_ways UNION SELECT b.v, r.root FROM reach r JOIN both_ways b ON b.u = r.node),
+    """Own rules by text functions, aliases by a recursive closure over links that are resolved segment by segment."""
+
+    def lower(h: str) -> str:
+        return f"translate({h}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+    def rest(u: str) -> str:
+        return f"substr({u}, strpos({u}, '://') + 3)"
+
+    def plain(path: str) -> str:
+        return f"""CASE WHEN NOT regexp_matches({path}, '(^|/)[.][.]?(/|$)') THEN {path} ELSE (SELECT '/' || array_to_string(k, '/') || CASE WHEN w[-1] IN ('.', '..') AND len(k) > 0 THEN '/' ELSE '' END FROM (
+  SELECT w, list_reduce(list_prepend(CAST([] AS VARCHAR[]), list_transform(w, lambda x: [x])), lambda a, x: CASE x[1] WHEN '.' THEN a WHEN '..' THEN a[:len(a) - 1] ELSE a || x END) AS k FROM (SELECT string_split(regexp_replace({path}, '^/', ''), '/') AS w))) END"""
+
+    def attribute(tag: str, name: str) -> str:
+        return f"""trim(regexp_extract({tag}, '(?is)[\\s"''/]{name}\\s*=\\s*("[^"]*"|''[^'']*''|[^\\s"''>]+)', 1), '"''')"""
+
+    names = "MAP {" + ", ".join("'" + k + "': " + ("chr(9)" if v == "\t" else "chr(10)" if v == "\n" else "'" + v.replace("'", "''") + "'") for k, v in REFERENCES.items()) + "}"
+    number = "coalesce(TRY_CAST('0x' || nullif(regexp_extract(x, '^&#[xX]([0-9a-fA-F]+)', 1), '') AS BIGINT), TRY_CAST(regexp_extract(x, '^&#([0-9]+)', 1) AS BIGINT))"
+
+    def decode(t: str) -> str:
+        char = f"CASE WHEN {number} BETWEEN 1 AND 55295 OR {number} BETWEEN 57344 AND 1114111 THEN chr(CAST({number} AS INTEGER)) ELSE chr(65533) END"
+        return f"""array_to_string(list_transform(regexp_extract_all({t}, '&#[0-9]+;?|&#[xX][0-9a-fA-F]+;?|&[A-Za-z]+;|[^&]+|&'), lambda x: CASE WHEN starts_with(x, '&#') AND length(x) > 2 THEN {char} ELSE coalesce({names}[regexp_extract(x, '^&([A-Za-z]+);$', 1)], x) END), '')"""
+
+    def clean(t: str) -> str:
+        return f"regexp_replace(regexp_replace({t}, '^\\s+|\\s+$|[\\t\\n\\r]', '', 'g'), '(?s)#.*$', '')"
+
+    def against(link: str, base: str) -> str:
+        head = f"substr({base}, 1, strpos({base}, '://') + 2) || regexp_extract({rest(base)}, '^[^/?#]*')"
+        path = f"regexp_extract({rest(base)}, '^[^/?#]*([^?#]*)', 1)"
+        return f"""CASE WHEN {link} = '' THEN regexp_replace({base}, '(?s)#.*$', '') WHEN regexp_matches({link}, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN CASE WHEN regexp_matches({link}, '(?i)^https?://[^/?#]') THEN {link} END
+  WHEN starts_with({link}, '//') THEN CASE WHEN regexp_matches({link}, '^//[^/?#]') THEN substr({base}, 1, strpos({base}, '://')) || {link} END WHEN starts_with({link}, '/') THEN {head} || {link}
+  WHEN starts_with({link}, '?') THEN {head} || {path} || {link} ELSE {head} || CASE WHEN contains({path}, '/') THEN regexp_extract({path}, '^(.*/)', 1) ELSE '/' END || {link} END"""
+
+    def host(u: str) -> str:
+        return lower(f"regexp_extract({rest(u)}, '^[^/?#]*')")
+
+    def node(u: str) -> str:
+        path = f"regexp_extract({rest(u)}, '^[^/?#]*([^?#]*)', 1)"
+        return f"{host(u)} || CASE WHEN {path} = '' THEN '/' ELSE {plain(path)} END || regexp_extract({rest(u)}, '^[^?#]*([?][^#]*)', 1)"
+
+    first_base = "list_filter(tags, lambda t: regexp_matches(t, '(?is)^<base\\b.*\\shref\\s*='))[1]"
+    is_link, is_refresh = "regexp_matches(tag, '(?i)^<link')", f"regexp_matches(tag, '(?i)^<meta') AND lower({attribute('tag', 'http-equiv')}) = 'refresh'"
+    target = f"""CASE WHEN {is_link} THEN CASE WHEN regexp_matches({attribute('tag', 'rel')}, '(?i)(^|\\s)canonical(\\s|$)') THEN {attribute('tag', 'href')} END WHEN {is_refresh} THEN regexp_extract({attribute('tag', 'content')}, '(?is)url\\s*=\\s*[''"]?([^''"\\s]+)', 1) END"""
+    return f"""WITH RECURSIVE sources AS (SELECT url, regexp_extract_all(regexp_replace(html, '(?is)<!--.*?-->|<script\\b.*?</script\\s*>', ' ', 'g'), '(?is)<(?:link|meta|base)\\b(?:[^>"'']|"[^"]*"|''[^'']*'')*>') AS tags FROM pages WHERE contains(url, '://') AND regexp_matches(html, '(?i)canonical|refresh')),
+ bases AS (SELECT url, tags, {clean(decode(attribute(first_base, 'href')))} AS base FROM sources),
+ placed AS (SELECT url, coalesce({against('base', 'url')}, url) AS base, unnest(tags) AS tag FROM bases),
+ links AS (SELECT url, base, {target} AS raw FROM placed), cleaned AS (SELECT url, base, {clean(decode('raw'))} AS link FROM links WHERE raw <> ''), ends AS (SELECT url, {against('link', 'base')} AS target FROM cleaned),
+ pairs AS (SELECT {node('url')} AS u, {node('target')} AS v FROM ends WHERE target IS NOT NULL), far AS (SELECT u, v FROM pairs WHERE u <> v AND NOT starts_with(u, '/') AND NOT starts_with(v, '/')),
+ both_ways AS (SELECT u, v FROM far UNION SELECT v, u FROM far), reach(node, root) AS (SELECT u, u FROM both_ways UNION SELECT b.v, r.root FROM reach r JOIN both_ways b ON b.u = r.node),
  classes AS (SELECT node, min(root) AS root FROM reach GROUP BY node),
- own AS (SELECT node, root, {rule_sql(host_sql(url), path_sql(url), rules, 'verdict')} AS verdict FROM classes),
- decided AS (SELECT root, coalesce(max(CASE WHEN verdict = 'allow' THEN verdict END), max(CASE WHEN verdict = 'block' THEN verdict END)) AS alias_verdict FROM own GROUP BY root),
- judged AS (SELECT page_id, coalesce({host_sql('url')}, '') AS host, coalesce({path_sql('url')}, '') AS path, CASE WHEN contains(url, '://') THEN {node_sql('url')} END AS node FROM pages)
-SELECT page_id, host, path, {rule_sql('host', 'path', rules, 'name')} AS rule, coalesce({rule_sql('host', 'path', rules, 'verdict')}, alias_verdict, 'allow') AS verdict, alias_verdict
-FROM judged LEFT JOIN own USING (node) LEFT JOIN decided USING (root)"""
+ own AS (SELECT node, root, {rule_sql("regexp_extract(node, '^[^/?#]*')", "regexp_extract(node, '^[^/?#]*([^?#]*)', 1)", rules, 'verdict')} AS verdict FROM classes),
+ decided AS (SELECT root, coalesce(max(CASE WHEN verdict = 'allow' THEN verdict END), max(verdict)) AS alias_verdict FROM own GROUP BY root),
+ judged AS (SELECT page_id, CASE WHEN contains(url, '://') THEN {host('url')} ELSE '' END AS host, CASE WHEN contains(url, '://') THEN regexp_extract({rest('url')}, '^[^/?#]*([^?#]*)', 1) ELSE '' END AS path, CASE WHEN contains(url, '://') THEN {node('url')} END AS node FROM pages)
+SELECT page_id, host, path, {rule_sql('host', 'path', rules, 'name')} AS rule, coalesce({rule_sql('host', 'path', rules, 'verdict')}, alias_verdict, 'allow') AS verdict, alias_verdict FROM judged LEFT JOIN own USING (node) LEFT JOIN decided USING (root)"""
 
 
 VECTORS_SQL = """WITH RECURSIVE v AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings),
@@ -57,7 +80,7 @@ TOP_K_SQL = """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: flo
 
 
 def groups_sql(k: int, percent: int) -> str:
-    return f"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+    return f"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
  s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + {k - 1}], ' ') AS sh FROM w, unnest(range(1, greatest(len(w) - {k - 1}, 1) + 1)) AS t(i) WHERE len(w) > 0),
  n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
  both_ways AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id <> b.doc_id GROUP BY 1, 2),

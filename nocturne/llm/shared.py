@@ -2,76 +2,18 @@
 
 from __future__ import annotations
 
-import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from ..operators.components import Workspace as Scratch
+from ..operators.components import connected_components as components
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; where none is set (tests), a folder in the warehouse."""
-    return spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
-
-
-class Scratch:
-    """Parquet tables in the shared folder that cut lineage; they survive the loss of executors.
-
-    ``put`` writes a table and returns it re-read; ``drop`` deletes tables that nothing will read
-    again. Tables that a returned lazy frame still reads must not be dropped.
-    """
-
-    def __init__(self, spark: SparkSession):
-        self.spark = spark
-        self.root = f"{shared_folder(spark)}/nocturne-{uuid.uuid4().hex}"
+__all__ = ["Scratch", "components", "table", "union_all"]
 
-    def put(self, df: DataFrame, name: str) -> DataFrame:
-        path = f"{self.root}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
 
-    def drop(self, *names: str) -> None:
-        jvm = self.spark._jvm
-        for name in names:
-            path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-            path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
-
-
-def components(edges: DataFrame, scratch: Scratch, name: str = "cc") -> DataFrame:
-    """Connected components of undirected edges (u, v): rows (node, root), root the least node.
-
-    Alternating large-star and small-star contraction. Each round is a grouped minimum (combined
-    before the shuffle, so a hub with millions of neighbours costs one row per task) and a join on
-    the node; rounds grow with the logarithm of the graph. Self-loops and repeated edges are
-    ignored; an edge with a null end is dropped. An empty input gives no rows.
-    """
-
-    def star(e: DataFrame, larger_only: bool) -> DataFrame:
-        both = e if larger_only else e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        moved = both.join(least, "u")
-        if larger_only:  # u > v: v and u itself go to the least neighbour
-            out = moved.select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
-        else:  # larger neighbours go to the least one
-            out = moved.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        return out.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-
-    now = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    now = scratch.put(now, f"{name}_0")
-    digest = lambda e: tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-    seen, i = digest(now), 0
-    while seen[0]:
-        i += 1
-        now = scratch.put(star(star(now, False), True), f"{name}_{i}")
-        scratch.drop(f"{name}_{i - 1}")
-        last, seen = seen, digest(now)
-        if last == seen:
-            break
-    return now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def union_all(*frames: DataFrame) -> DataFrame:
