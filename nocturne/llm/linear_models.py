@@ -27,18 +27,23 @@ def fold_of(doc_id: Column, n: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % n
 
 
-def bounded_sample(labels: DataFrame, docs: DataFrame, bound: int) -> DataFrame:
-    """doc_id, text and label of the ``bound`` labelled ids of least hash (doc_id breaks ties).
+def bounded_sample(labels: DataFrame, docs: DataFrame, bound: int, label: str) -> DataFrame:
+    """doc_id, text and ``label`` of the ``bound`` labelled ids of least hash (doc_id breaks ties), one row an id.
 
     Ids are chosen first, from the narrow ``labels`` (doc_id, label) and below a hash that leaves half
     as many again; at most ``bound`` of them are then broadcast to the texts, so no text is shuffled
-    but those of the sample.
+    but those of the sample. Where ``docs`` has the label itself, text and label are those of one row.
+    An id with several labels or texts takes the least label and, of the rows with it, the text of
+    least hash: rows that repeat an id, however many, add nothing to the sample. Null ids are left out.
     """
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))
-    n = labels.count()
+    known = labels.where(f"doc_id is not null and {label} is not null")
+    n = known.agg(F.approx_count_distinct("doc_id", 0.02).alias("n")).first()["n"]
     below = (1 << 40) if n <= 2 * bound else int((1 << 40) * (1.5 * bound / n))
-    ids = labels.where(place < below).orderBy(place, "doc_id").limit(bound)
-    return docs.select("doc_id", "text").where("text is not null").join(F.broadcast(ids), "doc_id")
+    ids = known.where(place < below).groupBy("doc_id").agg(F.min(label).alias(label)).orderBy(place, "doc_id").limit(bound)
+    on = ["doc_id", label] if label in docs.columns else ["doc_id"]
+    rows = docs.select("text", *on).where("text is not null").join(F.broadcast(ids), on)
+    return rows.groupBy("doc_id", label).agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")).select("doc_id", "text", label)
 
 
 def _fit_on_executor(sample: DataFrame, fit, label: str) -> bytes:
@@ -156,9 +161,10 @@ def score_quality(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ("
 
     Null and empty texts have no n-gram and score by the bias alone; texts of any length are read
     whole. Labels that are null or whose document has no text are left out; with one class or none, every
-    score is the smoothed share of label 1. Repeated rows stay.
+    score is the smoothed share of label 1. Repeated rows stay; the sample has one row an id, whatever
+    repeats. A null doc_id is scored and never learned from (the query's held_out is null there).
     """
-    sample = bounded_sample(labels.where("quality is not null").select("doc_id", "quality"), docs, bound)
+    sample = bounded_sample(labels.select("doc_id", "quality"), docs.select("doc_id", "text"), bound, "quality")
     fitted = docs.sparkSession.sparkContext.broadcast(pickle.loads(_fit_on_executor(sample, fit_support_vectors, "quality")))
     out = ", ".join([*(docs.schema[c].simpleString().replace(":", " ", 1) for c in keep), "score double"])
 
@@ -225,9 +231,12 @@ def predict_language(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] =
 
     ``und`` with score 0 where the text is null or has no letter, and everywhere if nothing could be
     learned. The score is the softmax share of the winning class; equal outputs go to the class
-    first in code-point order. Whole texts of any length; repeated rows stay.
+    first in code-point order. Whole texts of any length; repeated rows stay, but an id is learned
+    once, with text and label of one row where ``docs`` has ``lang``. A null doc_id is predicted and
+    never learned from (the query's held_out is null there).
     """
-    sample = bounded_sample(labels.where("lang is not null").select("doc_id", "lang"), docs, bound)
+    same_rows = docs.select("doc_id", "text", *["lang"] * ("lang" in docs.columns))
+    sample = bounded_sample(labels.select("doc_id", "lang"), same_rows, bound, "lang")
     fitted = docs.sparkSession.sparkContext.broadcast(pickle.loads(_fit_on_executor(sample, fit_kernel, "lang")))
     out = ", ".join([*(docs.schema[c].simpleString().replace(":", " ", 1) for c in keep), "lang_pred string", "score double"])
 

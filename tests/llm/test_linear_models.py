@@ -4,7 +4,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from nocturne.llm.linear_models import fit_kernel, fit_support_vectors, fold_of, predict_language, presence, quality_scores, score_quality
+from nocturne.llm.linear_models import bounded_sample, fit_kernel, fit_support_vectors, fold_of, predict_language, presence, quality_scores, score_quality
 from nocturne.llm.queries import op3_quality, op8_language_id
 
 
@@ -50,6 +50,25 @@ def test_edge_rows(spark, docs, no_docs):
     assert predict_language(no_docs, no_docs).count() == 0
 
 
+def test_the_sample_has_one_row_an_id(spark):
+    rows = [(i % 2, f"text {i % 7}", "de" if i % 3 else "en") for i in range(100)] + [(None, "no id", "en"), (9, None, "en"), (10, "x", None), (11, "only", "fr")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    got = bounded_sample(docs.select("doc_id", "lang"), docs, 50, "lang").collect()
+    assert sorted(r.doc_id for r in got) == [0, 1, 11]
+    assert all((r.doc_id, r.text, r.lang) in rows for r in got) and {r.lang for r in got} == {"de", "fr"}
+    assert sorted(got) == sorted(bounded_sample(docs.select("doc_id", "lang"), docs.repartition(5), 50, "lang").collect())
+    labels = spark.createDataFrame([(i % 2, i % 2) for i in range(60)] + [(0, 1), (None, 1), (11, None)], "doc_id long, quality int")
+    assert sorted((r.doc_id, r.quality) for r in bounded_sample(labels, docs.select("doc_id", "text"), 50, "quality").collect()) == [(0, 0), (1, 1)]
+    assert bounded_sample(labels, docs.select("doc_id", "text"), 1, "quality").count() == 1
+
+
+def test_text_and_label_come_from_one_row(spark):
+    rows = [(i, "hello world and the words of it", "en") for i in range(20)] + [(i, "der hund und die katze sind es", "de") for i in range(20)] + [(i, "der hund und die katze sind es", "de") for i in range(20, 40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = bounded_sample(docs.select("doc_id", "lang"), docs, 100, "lang").collect()
+    assert len(got) == 40 and all(r.lang == "de" and r.text.startswith("der") for r in got)
+
+
 def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.01"
     truth = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
