@@ -70,7 +70,7 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings")
-    return topk.exact_top_k(rows, rows.where("vec_id % 100 = 0"))
+    return topk.exact_top_k(rows, rows.where("vec_id % 100 = 0"), Scratch(spark))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

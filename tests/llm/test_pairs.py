@@ -1,5 +1,8 @@
 """Near duplicates, exact top-k and their brute-force versions."""
 
+import math
+from fractions import Fraction
+
 import numpy as np
 import pytest
 
@@ -119,21 +122,45 @@ def test_links_of_vectors_with_a_common_direction(spark, share):
     assert np.mean([got[i].component_id == exact[i] for i in exact]) > 0.99
 
 
-def test_top_k_equals_brute_force(spark):
+@pytest.mark.parametrize("blocks", [((8, 8), (64, 64)), ((1024, 4096), (4096, 4096))])
+def test_top_k_equals_brute_force(spark, blocks):
     rng = np.random.default_rng(4)
     rows = vectors(rng, 260, 40, 0.5) + [[0.25] * 32] * 30 + [None, [float("nan")] * 32, [0.0] * 32, [1.0, 2.0], [3.0, 4.0], []]
     data = [(i, v, "clash") for i, v in enumerate(rows)]
     df = spark.createDataFrame(data, "vec_id long, embedding array<float>, rank string").repartition(3)
     asked = df.where("vec_id % 10 = 0 or vec_id > 285")
     got = {}
-    for r in topk.exact_top_k(df, asked, 10, query_block=8, candidate_block=64).orderBy("query_id", "rank").collect():
+    for r in topk.exact_top_k(df, asked, Scratch(spark), 10, *blocks).orderBy("query_id", "rank").collect():
         got.setdefault(r.query_id, []).append((r.vec_id, r.score))
         assert r.rank == len(got[r.query_id])
     good = {i: np.floor(np.array(v, np.float32).astype(float) * 1024) for i, v, _ in data if v and np.isfinite(v).all()}
     for q in [i for i in good if i % 10 == 0 or i > 285]:
         expect = sorted(((i, int(x @ good[q])) for i, x in good.items() if i != q and len(x) == len(good[q])), key=lambda p: (-p[1], p[0]))[:10]
         assert got.get(q, []) == expect, q
-    assert topk.exact_top_k(df.limit(0), asked.limit(0)).count() == 0
+    assert topk.exact_top_k(df.limit(0), asked.limit(0), Scratch(spark)).count() == 0
+
+
+@pytest.mark.parametrize("block", [(4, 4), (4096, 4096)])
+def test_top_k_of_any_finite_vector(spark, block):
+    """Small and huge components, scores beyond 2^53 and beyond 64 bits, null ids and ids beyond 2^53."""
+    rng = np.random.default_rng(11)
+    rows = [[float(x) for x in rng.normal(size=8)] for _ in range(30)] + [[1e10] * 8, [-1e10] * 8, [1e10] * 7 + [1.0], [1e307] * 8, [1.5e308] + [0.0] * 7, [-1.7e308] * 8, [5e-324] * 8, [2.0**40 + 0.5] * 8]
+    data = [(2**60 + i, v) for i, v in enumerate(rows)] + [(None, [1.0] * 8), (2**60 + 3, rows[3])]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>").repartition(3)
+    whole = {i: [math.floor(Fraction(x) * 1024) for x in v] for i, v in data if i}
+    got = {}
+    for r in topk.exact_top_k(df, df, Scratch(spark), 5, block, block).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    assert got.keys() == whole.keys()
+    for q, mine in whole.items():
+        scores = [(i, sum(a * b for a, b in zip(mine, whole[i], strict=True))) for i, _ in data if i and i != q]
+        best = sorted(scores, key=lambda p: (-p[1], p[0]))[:5]
+        assert got[q] == [(i, max(-(2**63), min(2**63 - 1, s))) for i, s in best], q
+
+
+def test_keys_order_like_integers():
+    values = sorted([0, 1, -1, 255, 256, -255, -256, 2**63, -(2**63), 10**400, -(10**400), 7, -7])
+    assert sorted(values, key=topk.sort_key) == values
 
 
 def test_threshold_stops_early():
@@ -145,3 +172,4 @@ def test_threshold_stops_early():
     best = sorted(((int(rows[i] @ rows[5]), -i) for i in range(3000) if i != 5), reverse=True)[:10]
     assert [(s, -i) for i, s in zip(found, scores, strict=True)] == best
     assert depth < 3000
+    assert topk.threshold_search(order, rows, ids, rows[5], 5, 10, floor=scores[0] + 1.0)[2] <= depth
