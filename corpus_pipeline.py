@@ -44,7 +44,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     drawn = mix.drawn()
     if mix.shards > 1:
         drawn = drawn.repartition("shard", F.pmod("place", F.lit(16)))
-    return drawn.sortWithinPartitions("shard", "place").select(*docs.columns)
+    return drawn.sortWithinPartitions("shard", "place").select("doc.*")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

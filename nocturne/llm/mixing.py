@@ -1,19 +1,23 @@
 """Mixing sources to target weights: exact block quotas dealt by a multivariate-hypergeometric tree.
 
-1. A permutation hash puts each document of a source into one of its blocks (bounded in number over
-   all sources). Sizes are summed per source and per block, with partial sums before the shuffle.
+1. A permutation hash of id and text puts each document of a source into one of its blocks (bounded
+   in number over all sources). Sizes are summed per source and per block, with partial sums before
+   the shuffle.
 2. A source's target is met by whole passes over its blocks and one partial pass over the first
    blocks in permuted order; the pass ends inside one block, whose end is found by sub-blocks and
-   then by the documents of one sub-block, never beyond the target; then the one further document
-   whose size comes nearest to what is left is added, if that leaves less.
+   then by the documents of one sub-block, never beyond the target. Rows that repeat one document
+   share a place: if the pass ends among them, as many of them are taken as fit. Then the further
+   document whose size comes nearest to what is left is added, if that leaves less, and others while
+   more than a small share of the target is left (a matter of sources with few documents).
 3. The drawn (block, pass) units of all sources are split among output shards: a tree over shard
    ranges draws each left half's share of every source from the multivariate hypergeometric
    distribution, with a seed per node. Leaves hold exact unit quotas; each source's permuted units
    are dealt to the shards in those numbers, so that shards are disjoint.
 4. Inside a shard, documents are shuffled by a hash.
 
-Everything is a function of (doc_id, source, seed): reruns agree. The driver holds a row per source
-and at most MAX_BLOCKS block sums; documents only meet a broadcast of those (bounded by MAX_BLOCKS).
+Everything is a function of (doc_id, text, source, seed): reruns agree. The driver holds a few rows a
+source and at most MAX_BLOCKS block sums, whatever the documents; their number of sources has no cap.
+Documents meet a broadcast of those rows, or beyond BROADCAST_SOURCES sources a salted join.
 """
 
 from __future__ import annotations
@@ -21,15 +25,19 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.discovery import numbered
 from .shared import Scratch
 
 MAX_BLOCKS = 32768  # over all sources, and one more for each source
 SUB_BLOCKS = 1024
-MAX_SOURCES = 100_000
+BROADCAST_SOURCES = 100_000  # sources whose few rows each are broadcast; more are joined by salted keys
+MAX_SHARDS = MAX_BLOCKS // 8  # unless the caller asks for more: a shard should hold several units
+SALTS = 16
+FURTHER, NEAR = 8, 0.005  # further documents at most, and the share of a target below which no other is looked for
 PLACES = 1 << 37  # values of the permutation hash; times MAX_BLOCKS they are exact in doubles
 WEIGHTS, SHARE, CEILING = (3.0, 1.0, 2.0), 1.5, 2.0
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -62,22 +70,29 @@ def targets(sizes: list[int], weights: tuple[float, ...] = WEIGHTS, share: float
 
 
 def deal(quotas: np.ndarray, shards: int, seed: int) -> np.ndarray:
-    """(shards, sources) unit counts: columns sum to the quotas, rows to nearly equal totals."""
-    out = np.zeros((shards, len(quotas)), np.int64)
+    """The shard of each unit, units in order of their source: each source's quota, and nearly equal totals a shard."""
+    found: list[tuple[int, np.ndarray, np.ndarray]] = []
 
-    def split(lo: int, hi: int, left: np.ndarray) -> None:
+    def split(lo: int, hi: int, of: np.ndarray, left: np.ndarray) -> None:
+        of, left = of[left > 0], left[left > 0]  # the tree holds no more than the units there are
+        if not len(of):
+            return
         if hi - lo == 1:
-            out[lo] = left
+            found.append((lo, of, left))
             return
         mid, total = (lo + hi) // 2, int(left.sum())
-        draws = total * (mid - lo) // (hi - lo)
         random = np.random.Generator(np.random.PCG64([seed, lo, hi]))
-        first = random.multivariate_hypergeometric(left, draws, method="marginals") if total else left * 0
-        split(lo, mid, first)
-        split(mid, hi, left - first)
+        first = random.multivariate_hypergeometric(left, total * (mid - lo) // (hi - lo), method="marginals")
+        split(lo, mid, of, first)
+        split(mid, hi, of, left - first)
 
-    split(0, shards, quotas.astype(np.int64))
-    return out
+    split(0, shards, np.arange(len(quotas)), quotas.astype(np.int64))
+    if not found:
+        return np.zeros(0, np.int64)
+    shard = np.concatenate([np.full(len(of), s) for s, of, _ in found])
+    source, n = np.concatenate([of for _, of, _ in found]), np.concatenate([c for _, _, c in found])
+    order = np.lexsort((shard, source))
+    return np.repeat(shard[order], n[order])
 
 
 def _partial() -> Column:
@@ -86,53 +101,71 @@ def _partial() -> Column:
     return (F.col("b_") < F.col("m_edge")) | ((F.col("b_") == F.col("m_edge")) & inside)
 
 
-def _drawn(edge: int, blocks: int, extra: int) -> list[int]:
-    """Blocks of the partial pass: up to its edge block, and that of the further document."""
-    out = list(range(min(edge + 1, blocks)))
-    own = int(np.floor(extra * blocks / PLACES))
-    return out if extra < 0 or own <= edge else [*out, own]
+def _further() -> Column:
+    return F.coalesce(F.array_contains("m_extra", F.col("place_")), F.lit(False))
+
+
+def _drawn(edge: int, blocks: int, extra: list[int]) -> list[int]:
+    """Blocks of the partial pass: up to its edge block, and those of the further documents."""
+    own = {int(np.floor(x * blocks / PLACES)) for x in extra}
+    return [*range(min(edge + 1, blocks)), *sorted(b for b in own if b > edge)]
 
 
 @dataclass
 class Mix:
-    """``rows``: the documents with size, source_size, target, copies and shards (one per copy)."""
+    """``rows``: doc (a struct of the document's own columns), size, source_size, target, copies and shards (one per copy)."""
 
     rows: DataFrame
     shards: int
 
     def drawn(self) -> DataFrame:
-        """One row per drawn copy, with shard and its place in the shard's shuffled order (``place``)."""
-        copies = self.rows.drop("copy", "shard", "place").select("*", F.posexplode("shards").alias("copy", "shard")).drop("shards")
-        return copies.withColumn("place", F.xxhash64("doc_id", "copy", F.lit("place")))
+        """doc, copy, shard and place (the order inside the shard): one row per drawn copy."""
+        copies = self.rows.select("doc", F.posexplode("shards").alias("copy", "shard"))
+        return copies.withColumn("place", F.xxhash64("doc.doc_id", "copy", F.lit("place")))
 
 
 def mix(docs: DataFrame, scratch: Scratch, shards: int | None = None, seed: int = 17, shard_words: int = 1 << 24) -> Mix:
     """Draws ``docs`` (doc_id, text, source, others) to the target weights.
 
     A null text has size 0; a document of size 0 is taken as often as its block is, and counts
-    nothing. A null source is a source of its own, last in order. Rows of one doc_id and source are
-    drawn together. An empty table gives no rows. Columns of docs stay; size, source_size, target,
-    copies and shards are added and replace any of those names. No document has more than two copies.
+    nothing. A null source is a source of its own, last in order. Rows that repeat an id are rows of
+    their own: those with different texts have different places, and of those with one text any number
+    may be taken, so that targets are met however often a row repeats. An empty table gives no rows.
+    All columns of docs stay in ``doc`` under their own names. No row has more than two copies.
     """
-    place = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(PLACES))  # uniform
+    spark = docs.sparkSession
+    place = F.pmod(F.xxhash64("doc_id", F.xxhash64("text"), F.lit(seed)), F.lit(PLACES))  # uniform
     sized = scratch.put(docs.select("source", size_of(F.col("text")).alias("size"), place.alias("place")), "sized")
-    listed = sized.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).orderBy(F.col("source").asc_nulls_last()).limit(MAX_SOURCES + 1).collect()
-    if len(listed) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
+    listed = sized.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).orderBy(F.col("source").asc_nulls_last()).collect()  # a row a source
     sizes = [int(r["size"]) for r in listed]
     wanted, total = targets(sizes), max(1, sum(sizes))
     blocks = [max(1, min(int(r["n"]), round(MAX_BLOCKS * s / total))) for r, s in zip(listed, sizes, strict=True)]
-    spark = docs.sparkSession
-    schema = T.StructType([T.StructField("m_source", docs.schema["source"].dataType), T.StructField("m_blocks", T.LongType()), T.StructField("m_size", T.LongType()), T.StructField("m_target", T.DoubleType())])
-    known = F.broadcast(spark.createDataFrame([(r["source"], b, s, t) for r, b, s, t in zip(listed, blocks, sizes, wanted, strict=True)], schema))
+    at = {r["source"]: i for i, r in enumerate(listed)}
+
+    def a_row_each(rows: list[tuple], **fields: T.DataType) -> DataFrame:
+        """A table with k_source first; ``rows`` gives the index of the source there."""
+        schema = T.StructType([T.StructField("k_source", docs.schema["source"].dataType), *(T.StructField(n, t) for n, t in fields.items())])
+        return spark.createDataFrame([(listed[r[0]]["source"], *r[1:]) for r in rows], schema)
+
+    def meet(rows: DataFrame, source: str, few: DataFrame, *more: Column) -> DataFrame:
+        """Joins ``few`` rows a source to many; of ``more`` conditions all must hold."""
+        on = F.col(source).eqNullSafe(F.col("k_source"))
+        for c in more:
+            on &= c
+        if len(listed) <= BROADCAST_SOURCES:
+            return rows.join(F.broadcast(few), on).drop("k_source")
+        salted = few.withColumn("k_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        return rows.withColumn("salt_", F.pmod(F.xxhash64("place"), F.lit(SALTS)).cast("int")).join(salted, on & (F.col("salt_") == F.col("k_salt"))).drop("k_source", "k_salt", "salt_")
+
+    long, double = T.LongType(), T.DoubleType()
+    known = a_row_each([(i, b) for i, b in enumerate(blocks)], m_blocks=long)
     block = F.floor(F.col("place") * F.col("m_blocks") / F.lit(PLACES))
     sub = F.floor((F.col("place") * F.col("m_blocks") / F.lit(PLACES) - block) * SUB_BLOCKS)
-    placed = sized.join(known, F.col("source").eqNullSafe(F.col("m_source"))).select("m_source", "place", "size", block.alias("block"), sub.alias("sub"))
+    placed = meet(sized, "source", known).select("source", "place", "size", block.alias("block"), sub.alias("sub"))
 
-    at = {r["source"]: i for i, r in enumerate(listed)}
     sums = [np.zeros(b, np.int64) for b in blocks]
-    for r in placed.groupBy("m_source", "block").agg(F.sum("size").alias("size")).collect():  # at most MAX_BLOCKS and a row a source
-        sums[at[r["m_source"]]][r["block"]] = r["size"]
+    for r in placed.groupBy("source", "block").agg(F.sum("size").alias("size")).collect():  # at most MAX_BLOCKS and a row a source
+        sums[at[r["source"]]][r["block"]] = r["size"]
     passes, edge, rest = [], [], []
     for s, t, per in zip(sizes, wanted, sums, strict=True):
         whole = int(t // s) if s else 1
@@ -141,69 +174,78 @@ def mix(docs: DataFrame, scratch: Scratch, shards: int | None = None, seed: int
         e = -1 if whole >= CEILING or not s else int(np.searchsorted(before, left, "right")) - 1  # -1: no partial pass
         passes.append(whole), edge.append(e), rest.append(float(left - before[e]) if e >= 0 else 0.0)
 
-    # the edge block of each source: to a sub-block, then to a document boundary
-    cut = spark.createDataFrame([(r["source"], e, x) for r, e, x in zip(listed, edge, rest, strict=True)], T.StructType([schema[0], T.StructField("e_block", T.LongType()), T.StructField("e_rest", T.DoubleType())]))
-    cut = cut.withColumnRenamed("m_source", "e_source")
-    inside = placed.join(F.broadcast(cut), F.col("m_source").eqNullSafe(F.col("e_source")) & (F.col("block") == F.col("e_block")))
-    by_sub: dict = {}
-    for r in inside.groupBy("m_source", "sub").agg(F.sum("size").alias("size")).collect():  # at most SUB_BLOCKS a source
-        by_sub.setdefault(at[r["m_source"]], {})[r["sub"]] = r["size"]
-    edge_sub, final = [], []
-    for i in range(len(listed)):
-        left, chosen = rest[i], SUB_BLOCKS
-        for k in sorted(by_sub.get(i, {})):
-            if by_sub[i][k] > left:
-                chosen = k
-                break
-            left -= by_sub[i][k]
-        edge_sub.append(chosen), final.append(left)
-    fine = spark.createDataFrame([(r["source"], e, k, x) for r, e, k, x in zip(listed, edge, edge_sub, final, strict=True)], T.StructType([schema[0], T.StructField("e_block", T.LongType()), T.StructField("e_sub", T.LongType()), T.StructField("e_rest", T.DoubleType())]))
-    fine = fine.withColumnRenamed("m_source", "e_source")
-    last = placed.join(F.broadcast(fine), F.col("m_source").eqNullSafe(F.col("e_source")) & (F.col("block") == F.col("e_block")) & (F.col("sub") == F.col("e_sub")))
-    ends: dict[int, int] = {}
-    run: dict[int, float] = {}
-    for r in last.groupBy("m_source", "place", "e_rest").agg(F.sum("size").alias("size")).orderBy("place").collect():  # one sub-block a source
-        i = at[r["m_source"]]
-        if run.setdefault(i, 0.0) + r["size"] <= r["e_rest"]:
-            run[i] += r["size"]
-            ends[i] = r["place"]
-            final[i] = r["e_rest"] - run[i]
-        else:
-            run[i] = float("inf")
-    # one further document that comes nearest to what is left
-    gaps = [(r["source"], edge[i], edge_sub[i], ends.get(i, -1), float(final[i]) if edge[i] >= 0 else 0.0) for i, r in enumerate(listed)]
-    gap = spark.createDataFrame(gaps, T.StructType([schema[0], *(T.StructField(n, T.LongType()) for n in ("m_edge", "m_sub", "m_end")), T.StructField("gap", T.DoubleType())]))
-    after = placed.withColumnsRenamed({"block": "b_", "sub": "s_", "place": "place_"}).join(F.broadcast(gap.withColumnRenamed("m_source", "g_source")), F.col("m_source").eqNullSafe(F.col("g_source")))
-    whole = after.where(~_partial()).groupBy("m_source", "place_", "gap").agg(F.sum("size").alias("size")).where("size > 0 and size < 2 * gap")
-    nearest = whole.groupBy("m_source").agg(F.min(F.struct(F.abs(F.col("gap") - F.col("size")), "place_")).alias("x"))
-    extra = {at[r["m_source"]]: r["x"]["place_"] for r in nearest.collect()}  # a row a source
+    # the edge block of each source: to a sub-block, then to a place, then among the rows of one place
+    cut = a_row_each([(i, edge[i], rest[i]) for i in range(len(listed))], e_block=long, e_rest=double)
+    inside = meet(placed, "source", cut, F.col("block") == F.col("e_block")).groupBy("source", "sub", "e_rest").agg(F.sum("size").alias("size"))
+    upto = F.sum("size").over(Window.partitionBy("source").orderBy("sub"))  # SUB_BLOCKS rows a source
+    held = inside.withColumn("upto", upto).groupBy("source").agg(F.min(F.when(F.col("upto") > F.col("e_rest"), F.col("sub"))).alias("sub"), F.max(F.when(F.col("upto") <= F.col("e_rest"), F.col("upto"))).alias("held"))
+    edge_sub, final = [SUB_BLOCKS] * len(listed), list(rest)
+    for r in held.collect():  # a row a source
+        i = at[r["source"]]
+        edge_sub[i], final[i] = SUB_BLOCKS if r["sub"] is None else r["sub"], rest[i] - (r["held"] or 0)
+    fine = a_row_each([(i, edge[i], edge_sub[i], final[i]) for i in range(len(listed))], e_block=long, e_sub=long, e_rest=double)
+    last = meet(placed, "source", fine, F.col("block") == F.col("e_block"), F.col("sub") == F.col("e_sub")).groupBy("source", "place", "e_rest").agg(F.sum("size").alias("size"), F.max("size").alias("most"), F.count("*").alias("n"))
+    upto = F.sum("size").over(Window.partitionBy("source").orderBy("place"))  # the places of one sub-block a source
+    fits = F.col("upto") <= F.col("e_rest")
+    first_over = F.min(F.when(~fits, F.struct("place", "size", "most", "n")))
+    held = last.withColumn("upto", upto).groupBy("source").agg(F.max(F.when(fits, F.col("place"))).alias("end"), F.max(F.when(fits, F.col("upto"))).alias("held"), first_over.alias("over"))
+    ends, among = [-1] * len(listed), {}
+    for r in held.collect():  # a row a source
+        i, over = at[r["source"]], r["over"]
+        ends[i], final[i] = -1 if r["end"] is None else r["end"], final[i] - (r["held"] or 0)
+        if over and over["n"] > 1 and (take := int(final[i] // over["most"])):  # rows of one document share the place
+            among[i] = (over["place"], take)
+            final[i] -= take * over["size"] / over["n"]
+    # further documents, each the one that comes nearest to what is left
+    gap = [float(x) if e >= 0 else 0.0 for x, e in zip(final, edge, strict=True)]
+    extra: list[list[int]] = [[] for _ in listed]
+    open_ = [i for i, x in enumerate(gap) if x > 0]
+    for _ in range(FURTHER):
+        if not open_:
+            break
+        few = a_row_each([(i, edge[i], edge_sub[i], ends[i], gap[i], extra[i]) for i in open_], m_edge=long, m_sub=long, m_end=long, gap=double, m_extra=T.ArrayType(long))
+        after = meet(placed, "source", few).withColumnsRenamed({"block": "b_", "sub": "s_", "place": "place_"})
+        single = after.where(~_partial() & ~_further()).groupBy("source", "place_", "gap").agg(F.sum("size").alias("size"), F.count("*").alias("n")).where("n = 1 and size > 0 and size < 2 * gap")
+        nearest = single.groupBy("source").agg(F.min(F.struct(F.abs(F.col("gap") - F.col("size")), "place_", "size")).alias("x"))
+        open_ = []
+        for r in nearest.collect():  # a row a source
+            i = at[r["source"]]
+            extra[i].append(r["x"]["place_"])
+            gap[i] -= r["x"]["size"]
+            if gap[i] > NEAR * wanted[i]:
+                open_.append(i)
 
     # units: (source, block, pass); the partial pass includes its edge block
-    units = [(i, b, p) for i in range(len(listed)) for p in range(passes[i] + 1) for b in (range(blocks[i]) if p < passes[i] else _drawn(edge[i], blocks[i], extra.get(i, -1)))]
-    shards = shards or max(1, -(-round(SHARE * total) // shard_words))
+    units = [(i, b, p) for i in range(len(listed)) for p in range(passes[i] + 1) for b in (range(blocks[i]) if p < passes[i] else _drawn(edge[i], blocks[i], extra[i]))]
+    shards = shards or max(1, min(-(-round(SHARE * total) // shard_words), MAX_SHARDS))
     quotas = np.bincount([u[0] for u in units], minlength=len(listed)) if units else np.zeros(len(listed), np.int64)
     dealt = deal(quotas, shards, seed)
     home: dict[tuple[int, int], list[int]] = {}
     start = 0
-    for i, q in enumerate(quotas):
-        own = units[start : start + q]
-        order = np.random.Generator(np.random.PCG64([seed, i])).permutation(len(own))
-        for u, shard in zip(order, np.repeat(np.arange(shards), dealt[:, i]), strict=True):
-            home.setdefault((i, own[u][1]), [0] * 3)[own[u][2]] = int(shard) + 1
+    for i, q in enumerate(quotas.tolist()):
+        order = np.random.Generator(np.random.PCG64([seed, i])).permutation(q)
+        for u, shard in zip(order.tolist(), dealt[start : start + q].tolist(), strict=True):
+            _, b, p = units[start + u]
+            home.setdefault((i, b), [0] * 3)[p] = shard + 1
         start += q
-    table = [(listed[i]["source"], b, sizes[i], wanted[i], passes[i], edge[i], edge_sub[i], ends.get(i, -1), extra.get(i, -1), [x - 1 for x in home.get((i, b), [0] * 3)]) for i in range(len(listed)) for b in range(blocks[i])]
-    fields = [schema[0], *(T.StructField(n, T.LongType()) for n in ("m_block", "m_size")), T.StructField("m_target", T.DoubleType()), *(T.StructField(n, T.LongType()) for n in ("m_passes", "m_edge", "m_sub", "m_end", "m_extra")), T.StructField("m_home", T.ArrayType(T.LongType()))]
-    plan = F.broadcast(spark.createDataFrame(table, T.StructType(fields)).withColumnRenamed("m_source", "u_source"))  # at most MAX_BLOCKS + MAX_SOURCES rows
-
-    added = ["size", "source_size", "target", "copies", "shards"]
-    kept = [c for c in docs.columns if c not in added]
-    rows = docs.select(F.struct(*kept).alias("doc"), F.col("source").alias("d_source"), size_of(F.col("text")).alias("size"), place.alias("place_"))
-    rows = rows.join(known, F.col("d_source").eqNullSafe(F.col("m_source")))
-    rows = rows.withColumnRenamed("m_size", "k_size").withColumnRenamed("m_target", "k_target")
-    b = F.floor(F.col("place_") * F.col("m_blocks") / F.lit(PLACES))
-    s = F.floor((F.col("place_") * F.col("m_blocks") / F.lit(PLACES) - b) * SUB_BLOCKS)
-    rows = rows.withColumns({"b_": b, "s_": s}).join(plan, F.col("d_source").eqNullSafe(F.col("u_source")) & (F.col("b_") == F.col("m_block")))
-    copies = (F.col("m_passes") + F.when(_partial() | (F.col("place_") == F.col("m_extra")), 1).otherwise(0)).cast("int")
-    rows = rows.withColumn("copies", copies)
+    table = [(i, b, sizes[i], wanted[i], passes[i], edge[i], edge_sub[i], ends[i], extra[i], among.get(i, (-1, 0))[0], [x - 1 for x in home.get((i, b), [0] * 3)]) for i in range(len(listed)) for b in range(blocks[i])]
+    plan = a_row_each(table, m_block=long, source_size=long, target=double, m_passes=long, m_edge=long, m_sub=long, m_end=long, m_extra=T.ArrayType(long), m_among=long, m_home=T.ArrayType(long))
+
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), F.col("source").alias("source_"), size_of(F.col("text")).alias("size"), place.alias("place"))
+    rows = meet(rows, "source_", known)
+    rows = rows.withColumns({"b_": block, "s_": sub, "place_": F.col("place")})
+    rows = meet(rows, "source_", plan, F.col("b_") == F.col("m_block"))
+    more = _partial() | _further()
+    if among:  # the rows of each such place are numbered, and the first ones taken
+        shared = F.col("place_") == F.col("m_among")
+        few = a_row_each([(i, p, n) for i, (p, n) in among.items()], a_place=long, a_take=long)
+        every = numbered(rows.where(shared).withColumn("place", F.col("place_")), "place", work=scratch)
+        first = every.groupBy("place").agg(F.min("det_idx").alias("first")).withColumnRenamed("place", "f_place")  # a row a source
+        every = meet(every.join(F.broadcast(first), F.col("place") == F.col("f_place")), "source_", few, F.col("place") == F.col("a_place"))
+        taken = every.withColumn("more", F.col("det_idx") - F.col("first") < F.col("a_take"))
+        rows = rows.where(~shared).withColumn("more", more).select(*(keep := ["doc", "size", "source_size", "target", "m_passes", "m_home", "more"])).union(taken.select(*keep))
+    else:
+        rows = rows.withColumn("more", more)
+    rows = rows.withColumn("copies", (F.col("m_passes") + F.col("more").cast("int")).cast("int"))
     scratch.drop("sized")
-    return Mix(rows.select("doc.*", "size", F.col("k_size").alias("source_size"), F.col("k_target").alias("target"), "copies", F.slice("m_home", 1, F.col("copies")).alias("shards")), shards)
+    return Mix(rows.select("doc", "size", "source_size", "target", "copies", F.slice("m_home", 1, F.col("copies")).alias("shards")), shards)

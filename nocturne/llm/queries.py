@@ -46,7 +46,7 @@ def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return mixing.mix(docs, Scratch(spark)).rows.select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("shards")).alias("taken"), "source", "shards")
+    return mixing.mix(docs, Scratch(spark)).rows.select("doc.doc_id", "size", "source_size", "target", (F.col("size") * F.size("shards")).alias("taken"), "doc.source", "shards")
 
 
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

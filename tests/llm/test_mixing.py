@@ -2,9 +2,12 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pytest
 
+from nocturne.llm import mixing
 from nocturne.llm.mixing import deal, mix, targets
 from nocturne.llm.queries import op5_mixing
+from nocturne.llm.shared import Scratch
 
 
 def test_targets_stop_at_the_ceiling_and_use_the_whole_share():
@@ -18,9 +21,11 @@ def test_targets_stop_at_the_ceiling_and_use_the_whole_share():
 def test_tree_keeps_quotas_and_shares():
     q = np.array([100, 7, 0, 33])
     d = deal(q, 6, 1)
-    assert (d.sum(0) == q).all() and (d >= 0).all()
-    assert d.sum(1).max() - d.sum(1).min() <= 1
-    assert (d == deal(q, 6, 1)).all()
+    assert len(d) == q.sum() and set(d) == set(range(6))
+    totals = np.bincount(d)
+    assert totals.max() - totals.min() <= 1
+    assert (d == deal(q, 6, 1)).all() and len(deal(q * 0, 6, 1)) == 0
+    assert len(set(deal(np.array([2, 1]), 1000, 1))) <= 3
 
 
 def words(text):
@@ -30,12 +35,12 @@ def words(text):
 def test_edge_rows(spark, docs, no_docs, scratch):
     rows = mix(docs, scratch, shards=3).rows.collect()
     assert len(rows) == docs.count()
-    assert all(r["size"] == words(r.text) and len(r.shards) == r.copies <= 2 for r in rows)
+    assert all(r["size"] == words(r.doc.text) and len(r.shards) == r.copies <= 2 for r in rows)
     again = mix(docs, scratch, shards=3).rows.collect()
-    key = lambda r: (r.doc_id, r.copies, tuple(r.shards))
+    key = lambda r: (r.doc.doc_id, r.copies, tuple(r.shards))
     assert sorted(map(key, rows)) == sorted(map(key, again))
     drawn = mix(docs, scratch, shards=3).drawn()
-    assert drawn.count() == sum(r.copies for r in rows)
+    assert drawn.count() == sum(r.copies for r in rows) and drawn.select("doc.*").columns == docs.columns
     assert mix(no_docs, scratch).rows.count() == 0
 
 
@@ -50,3 +55,41 @@ def test_targets_are_met(spark):
     for s, size, t in zip(order, sizes, targets(sizes), strict=True):
         assert by[s][0].source_size == size and abs(by[s][0].target - t) < 1e-6
         assert abs(sum(r.taken for r in by[s]) - t) <= 0.05 * t + min(r["size"] for r in by[s])
+
+
+def near_targets(rows):
+    """Taken words of each source against brute-force targets, beside the size of the smallest document."""
+    by = defaultdict(list)
+    for r in rows:
+        assert r.copies <= 2 and len(r.shards) == r.copies
+        by[r.doc.source].append(r)
+    order = sorted(by, key=lambda s: (s is None, s))
+    weights = [(3, 1, 2)[i % 3] for i in range(len(order))]
+    sizes = [sum(r["size"] for r in by[s]) for s in order]
+    lo, hi = 0.0, 4.0 * sum(sizes) + 1  # the level at which weights, stopped at twice the sizes, fill the share
+    for _ in range(200):
+        mid = (lo + hi) / 2
+        lo, hi = (mid, hi) if sum(min(mid * w, 2 * s) for w, s in zip(weights, sizes, strict=True)) < 1.5 * sum(sizes) else (lo, mid)
+    for s, w, size in zip(order, weights, sizes, strict=True):
+        target = min(hi * w, 2 * size)
+        assert abs(by[s][0].target - target) <= 1e-6 * target + 1e-6 and by[s][0].source_size == size
+        assert abs(sum(r["size"] * r.copies for r in by[s]) - target) <= max(r["size"] for r in by[s]), s
+
+
+@pytest.mark.parametrize("broadcast", [100_000, 0])
+def test_rows_that_repeat_an_id_meet_the_targets(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", broadcast)
+    rows = [(1, "five words in this text", "a")] * 900 + [(2, f"text {i} of one id", "b") for i in range(300)] + [(i, "many ids with one text", None) for i in range(200)] + [(None, "no id", "c")] * 50
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mix(docs.repartition(3), Scratch(spark)).rows.collect()
+    assert len(got) == len(rows)
+    near_targets(got)
+    key = lambda r: (r.doc.doc_id or 0, r.doc.text, r.copies)
+    again = mix(docs.repartition(7), Scratch(spark)).rows.collect()
+    assert sorted(map(key, got)) == sorted(map(key, again))
+
+
+def test_sources_without_number(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 50)
+    docs = spark.createDataFrame([(i, "w " * (1 + i % 9), f"s{i % 700:03d}") for i in range(3000)], "doc_id long, text string, source string")
+    near_targets(mix(docs, Scratch(spark), shards=5).rows.collect())
