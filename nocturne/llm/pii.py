@@ -4,9 +4,10 @@ An Aho-Corasick automaton over the whole text finds anchors: at-signs, schemes,
 and identifier cues. From each anchor a deterministic local parser expands to the boundaries of an
 e-mail address, a network address, a card, a phone number or an account and validates it. The four
 base kinds give exactly the leftmost non-overlapping matches of their patterns; failing matches are
-dropped and not tried again. The method adds two kinds: ``account`` (a cue such as IBAN, account
-number or passport followed by an identifier with three digits, in one word or in groups) and ``login`` (user information before
-the at-sign of scheme://user@host).
+dropped and not tried again. The method adds two kinds: ``account`` (a cue such as account number or
+passport, in any case, followed by an identifier with three digits, in one word or in groups; after
+the cue IBAN only one whose check digits are right) and ``login`` (user information before the
+at-sign of scheme://user@host).
 """
 
 from __future__ import annotations
@@ -47,8 +48,7 @@ def _automaton():
     for word, kind in (("@", "at"), ("+", "plus"), ("://", "scheme")):
         a.add_word(word, (kind, len(word)))
     for cue in CUES:
-        for form in {cue, cue.upper(), cue.title(), cue.capitalize()}:
-            a.add_word(form, ("cue", len(form)))
+        a.add_word(cue, ("iban" if cue == "iban" else "cue", len(cue)))
     a.make_automaton()
     return a
 
@@ -76,8 +76,8 @@ def iban(text: str) -> bool:
     return 15 <= len(chars) <= 34 and int("".join(str(int(c, 36)) for c in chars[4:] + chars[:4])) % 97 == 1
 
 
-def _account(text: str, at: int) -> tuple[int, int] | None:
-    """The identifier after a cue that ends at ``at``: a grouped IBAN, else the longer of one word and of groups."""
+def _account(text: str, at: int, only_iban: bool) -> tuple[int, int] | None:
+    """The identifier after a cue that ends at ``at``: a right IBAN, else (after other cues) the longer of one word and of groups."""
     if not (lead := LEAD.match(text, at)):
         return None
     start = lead.end()
@@ -85,12 +85,21 @@ def _account(text: str, at: int) -> tuple[int, int] | None:
         for end in [m.end(), *(i for i in range(m.end() - 1, start, -1) if text[i] in " -")]:  # the next word may look like a group
             if iban(text[start:end]):
                 return start, end
-    ends = [m.end()] if (m := ACCOUNT.match(text, start)) else []
+    m = ACCOUNT.match(text, start)
+    if only_iban:
+        return (start, m.end()) if m and iban(m.group()) else None
+    ends = [m.end()] if m else []
     if (m := GROUPED.match(text, start)) and sum(c.isalnum() for c in m.group()) >= 6 and len(_digits(m.group())) >= 3:
         ends.append(m.end())
     return (start, max(ends)) if ends else None
 
 
+def _lowered(text: str) -> str:
+    """Lower case with every character at its place."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+
+
 def spans(text: str | None) -> list[tuple[int, int, str]]:
     """(start, end, kind) in code points, by start and then kind; base kinds before added ones."""
     global _anchors
@@ -100,7 +109,7 @@ def spans(text: str | None) -> list[tuple[int, int, str]]:
         _anchors = _automaton()
     found: list[tuple[int, int, str]] = []
     past = dict.fromkeys((*KINDS, *ADDED), 0)  # where the next match of a kind may begin
-    for last, (kind, length) in _anchors.iter(text):
+    for last, (kind, length) in _anchors.iter(_lowered(text)):
         at = last - length + 1
         if kind == "digit":
             if at >= past["ip"]:
@@ -133,7 +142,7 @@ def spans(text: str | None) -> list[tuple[int, int, str]]:
             if at >= past["login"] and (m := LOGIN.match(text, last + 1)):
                 past["login"] = m.end()
                 found.append((last + 1, m.end(), "login"))
-        elif at >= past["account"] and (at == 0 or not text[at - 1].isalnum()) and (where := _account(text, last + 1)):
+        elif at >= past["account"] and (at == 0 or not text[at - 1].isalnum()) and (where := _account(text, last + 1, kind == "iban")):
             past["account"] = where[1]
             found.append((*where, "account"))
     order = {k: i for i, k in enumerate((*KINDS, *ADDED))}

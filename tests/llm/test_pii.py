@@ -68,6 +68,16 @@ def test_identifiers_in_groups_and_after_filler_words():
         "account number is not known in 1999": 0,
         "passport control at noon, 12 people": 0,
         "user id: none": 0,
+        "IBAN: DE88 3704 0044 0532 0130 00": 0,
+        "iban DE88370400440532013000": 0,
+        "Iban is {DE89370400440532013000}.": 1,
+        "iBaN: {de89 3704 0044 0532 0130 00}": 1,
+        "PassPort NUMBER: {X1234567}": 1,
+        "pASSPORT number: {X1234567}": 1,
+        "account number is {12345678}": 1,
+        "Account Number: {12-3456-78}": 1,
+        "NÚMERO DE CUENTA: {1234567890}": 1,
+        "İİİ account number: {12345678}": 1,
     }
     for marked, n in cases.items():
         text = marked.replace("{", "").replace("}", "")
