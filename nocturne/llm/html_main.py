@@ -9,6 +9,11 @@
    fair share of the page's own best score is rendered. On a page with little text for its host any
    winning path will do; other pages fall back to their own best container.
 
+Boilerplate is told by elements and by class or id names, but a name counts only if all its words
+speak of page furniture ("share-price" and "no-sidebar" don't), and neither a name nor a form is a
+ground to drop what holds most of the page's text. Work is linear in the page: paths are rolling
+hashes that pass from parent to child, and the parser never climbs further than it closes.
+
 Votes are partial sums before the shuffle, so a host with a third of all pages is no hot group. The
 winning paths are broadcast behind a check of their number; beyond it, pages are joined by salted
 host.
@@ -16,6 +21,7 @@ host.
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 from collections.abc import Iterator
@@ -41,137 +47,176 @@ CLOSES_P = frozenset("address article aside blockquote center details dialog dir
 NOISE = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion comment comments disqus respond replies reply sidebar side nav navbar navigation menu breadcrumb breadcrumbs footer header masthead cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe signup login share sharing social related recommended widget toolbar pagination pager tracking skip".split()
 )
-COMPOUND = frozenset("has no with without not hide hides".split())  # has-sidebar names the whole, not a sidebar
+FURNITURE = frozenset("site page global top bottom left right first second primary secondary block box bar area section container wrapper wrap inner outer holder slot zone unit module panel list item items link links button buttons icon icons text label title main mobile desktop sticky fixed js google dfp".split())
+ABOUT = frozenset("post posts article articles entry entries story stories reader readers user users".split())  # with other noise than headers and footers
 GOOD = frozenset("article content main post entry body text story".split())
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
-NAME = re.compile(r"[A-Za-z]+")
+#: A comment, a declaration or a tag. Quotes hold an attribute value only after "="; possessive, so that nothing is read twice.
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)>", re.S)
+TAG_START = re.compile(r"<[a-zA-Z/!?]")
+ATTRIBUTE = re.compile(r"([^\s=/>\"']++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++)))?")
+NAME = re.compile(r"[A-Z]*[a-z]+|[A-Z]+")
+EMPTY = re.compile(r"(?:^|[\s\"'])/$")
+WALLS = frozenset("td th table article main body".split())  # what most end tags don't reach over
+THROUGH = frozenset("table tr tbody article main body html section div".split())  # the end tags that do
+SCOPES = frozenset("ul ol table select dl tbody thead".split())
+#: The open elements that a new one ends.
+ALIKE = {"li": ("li",), "option": ("option",), "td": ("td", "th"), "th": ("td", "th"), "tr": ("td", "th", "tr"), "dd": ("dd", "dt"), "dt": ("dd", "dt")}
+STEP, MODULUS = 1_000_003, (1 << 61) - 1  # of the rolling hash of paths
 
 
 class Node:
-    __slots__ = ("children", "good", "holds", "names", "noise", "parent", "size", "tag")
-
-    def __init__(self, tag: str, names: frozenset[str], parent: Node | None, noisy: bool = False, good: bool = False):
-        self.tag, self.names, self.parent, self.children = tag, names, parent, []
-        self.noise = tag in SKIP or (noisy and tag not in ("html", "body", "article", "main"))
-        self.good, self.holds, self.size = good, False, 0
-
-    def path(self) -> str:
+    __slots__ = ("children", "dropped", "good", "hash", "held", "hint", "holds", "label", "noise", "order", "own", "parent", "size", "tag")
+
+    def __init__(self, tag: str, label: str, parent: Node | None, noise: bool = False, good: bool = False):
+        self.tag, self.label, self.parent, self.children = tag, label, parent, []
+        self.noise, self.good = noise, good
+        self.hash = (parent.hash * STEP + _label_hash(label)) % MODULUS if parent is not None else 0
+        self.own = self.size = 0
+        self.held, self.holds, self.dropped, self.hint = 0.0, False, False, False
+        self.order: list[Node] = []  # of the root: all nodes, parents first
+
+    def path(self, most: int = 12) -> str:
+        """The innermost steps from the root, for people to read; ``hash`` stands for the whole path."""
         part, at = [], self
-        while at is not None and at.tag != "#root":
-            part.append(".".join([at.tag, *sorted(at.names)]))
+        while at.parent is not None and len(part) < most:
+            part.append(at.label)
             at = at.parent
-        return ">".join(reversed(part))
+        return ">".join([*(["..."] if at.parent is not None else []), *reversed(part)])
+
+
+_label_hashes: dict[str, int] = {}
+
+
+def _label_hash(label: str) -> int:
+    if label not in _label_hashes:
+        if len(_label_hashes) > 50_000:
+            _label_hashes.clear()
+        _label_hashes[label] = int.from_bytes(hashlib.blake2b(label.encode("utf-8", "replace"), digest_size=8).digest(), "big") % MODULUS
+    return _label_hashes[label]
+
+
+def noisy(token: str) -> bool:
+    """Whether all words of a class or id speak of page furniture, one of them of boilerplate."""
+    words = {w.lower() for w in NAME.findall(token)}
+    told = words & NOISE
+    rest = words - NOISE - FURNITURE
+    return bool(told) and (not rest or (rest <= ABOUT and not told & {"header", "footer", "title"}))
+
+
+def _names(attributes: str) -> tuple[set[str], bool, bool]:
+    """(words of class, id, role and itemprop, whether one names boilerplate, whether one names content)."""
+    words: set[str] = set()
+    noise = good = False
+    for a in ATTRIBUTE.finditer(attributes):
+        if a.group(1).lower() in ("class", "id", "role", "itemprop"):
+            for token in (a.group(2) or a.group(3) or a.group(4) or "").split():
+                words.update(w.lower() for w in re.findall("[A-Za-z]+", token))
+                noise |= noisy(token)
+                good |= token.lower() in GOOD
+    return words, noise, good
 
 
 def parse(source: str) -> Node:
     """A tolerant tree: implied ends of p, li, td, tr and options; strayed end tags are ignored."""
-    root = at = Node("#root", frozenset(), None)
-    order = [root]
+    root = Node("#root", "", None)
+    order, open_ = [root], [root]
+    where: dict[str, list[int]] = {}  # places in open_ by tag, and of blocks, walls and item scopes
+    blocks, walls, scopes = [], [], []
+
+    def close(to: int) -> None:
+        while len(open_) > to:
+            node, at = open_.pop(), len(open_)
+            where[node.tag].pop()
+            for places in (blocks, walls, scopes):
+                if places and places[-1] == at:
+                    places.pop()
+
+    def put_text(text: str) -> None:
+        open_[-1].children.append(text)
+        open_[-1].own += len(text.strip())
+
+    if unfinished := TAG_START.search(source, source.rfind(">") + 1):  # a tag that the page ends in is dropped
+        source = source[: unfinished.start()]
     pos = 0
     for m in iter(lambda: TOKEN.search(source, pos), None):
         if m.start() > pos:
-            at.children.append(source[pos : m.start()])
+            put_text(source[pos : m.start()])
         pos = m.end()
         tag = (m.group(2) or "").lower()
         if not tag:
             continue
         if m.group(1):
-            node = at
-            while node is not None and node.tag != tag:
-                if node.tag in ("td", "th", "table", "article", "main", "body") and tag not in ("table", "tr", "tbody", "article", "main", "body", "html", "section", "div"):
-                    node = None
-                    break
-                node = node.parent
-            if node is not None and node.parent is not None:
-                at = node.parent
+            if (places := where.get(tag)) and (tag in THROUGH or not walls or walls[-1] <= places[-1]):
+                close(places[-1])
             continue
-        if tag in CLOSES_P:
-            node = at
-            while node.parent is not None and node.tag not in BLOCK:
-                node = node.parent
-            if node.tag == "p":
-                at = node.parent
-        if tag in ("li", "td", "th", "tr", "option", "dd", "dt"):
-            alike = {"td": ("td", "th"), "th": ("td", "th"), "tr": ("td", "th", "tr"), "dd": ("dd", "dt"), "dt": ("dd", "dt")}.get(tag, (tag,))
-            node = at
-            while node.parent is not None and node.tag not in ("ul", "ol", "table", "select", "dl", "tbody", "thead", *alike):
-                node = node.parent
-            while node.tag in alike:
-                at = node = node.parent
-        names: set[str] = set()
-        noisy = good = False
-        if m.group(3):
-            for a in ATTRIBUTE.finditer(m.group(3)):
-                if a.group(1).lower() in ("class", "id", "role", "itemprop"):
-                    for token in (a.group(2) or a.group(3) or a.group(4) or "").split():
-                        parts = [x.lower() for x in NAME.findall(token)]
-                        names.update(parts)
-                        noisy |= not NOISE.isdisjoint(parts) and parts[0] not in COMPOUND
-                        good |= token.lower() in GOOD
-        node = Node(tag, frozenset(names), at, noisy, good)
+        if tag in CLOSES_P and blocks and open_[blocks[-1]].tag == "p":
+            close(blocks[-1])
+        if alike := ALIKE.get(tag):
+            at = next((i for i in reversed(scopes) if open_[i].tag in SCOPES or open_[i].tag in alike), 0)
+            while open_[at].tag in alike:
+                close(at)
+                at -= 1
+        words, noise, good = _names(m.group(3)) if m.group(3) else ((), False, False)
+        node = Node(tag, ".".join([tag, *sorted(words)]), open_[-1], tag in SKIP or (noise and tag not in ("html", "body", "article", "main")), good)
+        node.hint = not GOOD.isdisjoint(words)
         order.append(node)
-        at.children.append(node)
+        open_[-1].children.append(node)
         if tag in RAW:
-            end = re.compile(f"</{re.escape(tag)}[^>]*>", re.I).search(source, pos)
+            end = re.compile(f"</{re.escape(tag)}[^>]*+>", re.I).search(source, pos)
             pos = end.end() if end else len(source)
-        elif tag not in VOID and not m.group(3).endswith("/"):
-            at = node
-    if pos < len(source) and not source.startswith("<", pos):
-        at.children.append(source[pos:])
+        elif tag not in VOID and not EMPTY.search(m.group(3)):
+            at = len(open_)
+            open_.append(node)
+            where.setdefault(tag, []).append(at)
+            for kind, places in ((BLOCK, blocks), (WALLS, walls)):
+                if tag in kind:
+                    places.append(at)
+            if tag in SCOPES or tag in ALIKE:
+                scopes.append(at)
+    if pos < len(source):
+        put_text(source[pos:])
+    root.order = order
     _keep_wrappers(order)
     return root
 
 
 def _keep_wrappers(order: list[Node]) -> None:
-    """Noisy names are no ground to drop what holds most of the page's text and looks like its content.
+    """A name or a form is no ground to drop what holds most of the page's text and looks like its content.
 
     That is so if it is also named as content, has an article or main element, or if the page has
-    hardly any other text. ``order`` has parents before their children.
+    hardly any other text. Nodes with more than half of the text lie within one another, so each
+    node is looked at once.
     """
-    for node in reversed(order):
-        node.size += sum(len(c.strip()) for c in node.children if isinstance(c, str))
-        if node.parent is not None and node.tag not in SKIP:
-            node.parent.size += node.size
-            node.parent.holds |= node.holds or node.tag in ("article", "main")
-    most = [n for n in order if n.noise and n.tag not in SKIP and 2 * n.size > order[0].size]
-    for wrapper in most:
-        if not (wrapper.good or wrapper.holds):
-            clean, inside = 0, {id(order[0]): True}
-            for node in order[1:]:
-                on = inside[id(node)] = inside[id(node.parent)] and not node.noise
-                clean += on and sum(len(c.strip()) for c in node.children if isinstance(c, str))
-            if 10 * clean > wrapper.size:
-                continue
-        wrapper.noise = False
+    clean = {}
+    for node in reversed(order):  # size: text of the subtree; clean: of its part that nothing inside drops
+        node.size += node.own
+        clean[id(node)] = clean.get(id(node), 0) + node.own
+        if (up := node.parent) is not None and (node.tag not in SKIP or node.tag == "form"):
+            up.size += node.size
+            up.holds |= node.holds or node.tag in ("article", "main")
+            if not node.noise:
+                clean[id(up)] = clean.get(id(up), 0) + clean[id(node)]
+    outside = clean[id(order[0])]
+    for node in order:
+        if node.noise and (node.tag not in SKIP or node.tag == "form") and 2 * node.size > order[0].size:
+            if node.good or node.holds or 10 * outside <= node.size:
+                node.noise = False
+                outside += clean[id(node)]
 
 
 def scores(root: Node) -> list[tuple[float, Node]]:
-    """Containers with their scores: own text, half that of child containers, hints of names."""
-    out: list[tuple[float, Node]] = []
-    stack: list[tuple[Node, bool]] = [(root, False)]
-    held: dict[int, float] = {}
-    while stack:
-        node, after = stack.pop()
-        if node.noise:
-            held[id(node)] = 0.0
-            continue
-        if not after:
-            stack.append((node, True))
-            stack.extend((c, False) for c in node.children if isinstance(c, Node))
-            continue
-        total = 0.0
-        for c in node.children:
-            if isinstance(c, str):
-                total += len(c.strip()) * (0.1 if node.tag == "a" else 1.0)
-            else:
-                total += held[id(c)] * (0.5 if c.tag in CONTAINER else 0.2 if c.tag == "a" else 1.0)
-        held[id(node)] = total
-        if node.tag in CONTAINER and total > 0:
-            hint = {"article": 3.0, "main": 2.5, "section": 1.2, "body": 0.8}.get(node.tag, 1.0) * (1.5 if node.names & GOOD else 1.0)
-            out.append((total * hint, node))
-    return out
+    """Containers with their scores, in page order: own text, half that of child containers, hints of names."""
+    for node in root.order:
+        node.dropped = node.noise or (node.parent is not None and node.parent.dropped)
+        node.held = 0.0
+    for node in reversed(root.order):
+        if not node.dropped:
+            node.held += node.own * (0.1 if node.tag == "a" else 1.0)
+            if node.parent is not None:
+                node.parent.held += node.held * (0.5 if node.tag in CONTAINER else 0.2 if node.tag == "a" else 1.0)
+    hint = {"article": 3.0, "main": 2.5, "section": 1.2, "body": 0.8}
+    return [(n.held * hint.get(n.tag, 1.0) * (1.5 if n.hint else 1.0), n) for n in root.order if n.tag in CONTAINER and n.held > 0 and not n.dropped]
 
 
 def render(node: Node) -> str:
@@ -208,82 +253,77 @@ def best(root: Node) -> Node:
     return max(found, key=lambda s: s[0])[1] if found else root
 
 
-def on_path(root: Node, path: str) -> list[Node]:
-    stack, out = [root], []
-    while stack:
-        node = stack.pop()
-        if node.tag in CONTAINER and node.path() == path:
-            out.append(node)
-        else:
-            stack.extend(c for c in reversed(node.children) if isinstance(c, Node) and not c.noise)
-    return out
+def on_path(found: list[tuple[float, Node]], path: int) -> list[Node]:
+    """The outermost containers on a path (a node that lies on it holds no other one: its path is longer)."""
+    return [n for _, n in found if n.hash == path]
 
 
 def votes(pages: DataFrame) -> DataFrame:
-    """host, path, votes, pages: each page gives its containers' scores, as shares of its best one's.
+    """host, hash, path, votes, pages: each page gives its containers' scores, as shares of its best one's.
 
-    The path null has the sum of the best scores and the number of pages that have one.
+    The hash null has the sum of the best scores and the number of pages that have one.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            total: dict[tuple[str, str | None], tuple[float, int]] = {}
+            total: dict[tuple[str, int | None], tuple[int, int]] = {}
+            names: dict[int | None, str | None] = {None: None}
             for host, page in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 found = scores(parse(page.as_py() or ""))
                 top = max((s for s, _ in found), default=0.0)
-                own: dict[str | None, float] = {None: round(top)} if found else {}
+                own: dict[int | None, int] = {None: round(top)} if found else {}
                 for s, node in found:
-                    path = node.path()
-                    own[path] = own.get(path, 0.0) + (round(1000 * s / top) if s >= 0.2 * top else 0)
+                    if node.hash not in names:
+                        names[node.hash] = node.path()
+                    own[node.hash] = own.get(node.hash, 0) + (round(1000 * s / top) if s >= 0.2 * top else 0)
                 for path, vote in own.items():
-                    v, n = total.get((host, path), (0.0, 0))
+                    v, n = total.get((host, path), (0, 0))
                     total[host, path] = (v + vote, n + 1)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in total], pa.string()), pa.array([k[1] for k in total], pa.string()), pa.array([int(v) for v, _ in total.values()], pa.int64()), pa.array([n for _, n in total.values()], pa.int64())], ["host", "path", "votes", "pages"]
-            )
+            columns = [pa.array([k[0] for k in total], pa.string()), pa.array([k[1] for k in total], pa.int64()), pa.array([names[k[1]] for k in total], pa.string()), pa.array([v for v, _ in total.values()], pa.int64()), pa.array([n for _, n in total.values()], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["host", "hash", "path", "votes", "pages"])
 
     hosts = pages.select(host_of(F.col("url")).alias("host"), "html")
-    return hosts.mapInArrow(run, "host string, path string, votes long, pages long").groupBy("host", "path").agg(F.sum("votes").alias("votes"), F.sum("pages").alias("pages"))
+    return hosts.mapInArrow(run, "host string, hash long, path string, votes long, pages long").groupBy("host", "hash").agg(F.min("path").alias("path"), F.sum("votes").alias("votes"), F.sum("pages").alias("pages"))
 
 
 def winners(counted: DataFrame) -> DataFrame:
-    """host, path (of most votes, the first in order among equals), paths (all that win, in this order) and typical, the mean best score."""
-    hosts = counted.where("path is null").select("host", (F.col("votes") / F.col("pages")).alias("typical"), F.col("pages").alias("all"))
-    named = counted.where("path is not null").join(hosts, "host")
-    ranked = F.struct((-F.col("votes")).alias("v"), "path")
+    """host, path (of most votes, the first in order among equals), paths (hashes of all that win, in this order) and typical, the mean best score."""
+    hosts = counted.where("hash is null").select("host", (F.col("votes") / F.col("pages")).alias("typical"), F.col("pages").alias("all"))
+    named = counted.where("hash is not null").join(hosts, "host")
+    ranked = F.struct((-F.col("votes")).alias("v"), "path", "hash")
     wins = (F.col("votes") >= FAIR * 1000 * F.col("pages")) & (F.col("votes") >= SUPPORT * 1000 * F.col("all"))
     grouped = named.groupBy("host").agg(F.min(ranked).alias("w"), F.array_sort(F.collect_list(F.when(wins, ranked))).alias("all"), F.first("typical").alias("typical"))
-    return grouped.select("host", F.col("w.path").alias("path"), F.col("all.path").alias("paths"), "typical")
+    return grouped.select("host", F.col("w.path").alias("path"), F.col("all.hash").alias("paths"), "typical")
 
 
-def choose(root: Node, paths: list[str], typical: float) -> str:
+def choose(root: Node, paths: list[int], typical: float) -> str:
     """The page's text: that on a winning path of its host, or of its own best container."""
     found = scores(root)
     if not found:
         return render(root)
     top, own = max(found, key=lambda s: s[0])
-    held: dict[str, float] = {}
-    if paths:
-        wanted = set(paths)
-        for s, node in found:
-            if (path := node.path()) in wanted:
-                held[path] = max(held.get(path, 0.0), s)
+    wanted, held = set(paths), {}
+    for s, node in found:
+        if node.hash in wanted:
+            held[node.hash] = max(held.get(node.hash, 0.0), s)
     fair = [p for p in paths if held.get(p, 0.0) >= FAIR * top]
     if not fair and held and top < FAIR * typical:
-        fair = [max(held, key=lambda p: (held[p], p))]
-    text = "\n".join(filter(None, map(render, on_path(root, fair[0])))) if fair else ""
+        fair = [max(held, key=lambda p: (held[p], -paths.index(p)))]
+    text = "\n".join(filter(None, map(render, on_path(found, fair[0])))) if fair else ""
     return text or render(own)
 
 
-def extract(pages: DataFrame, scratch: Scratch) -> DataFrame:
-    """page_id, url, text, n_chars and host_path of every row of pages.
+def extract(pages: DataFrame, scratch: Scratch, broadcast_hosts: int = BROADCAST_HOSTS) -> DataFrame:
+    """page_id, url, text, n_chars and host_path (the end of the host's first path) of every row of pages.
 
     Null and empty html give an empty text. A null url or one without host belongs to the empty
-    host, whose pages vote together. Repeated rows stay; more columns are ignored.
+    host, whose pages vote together. Nesting of any depth is read in linear time. Repeated rows stay;
+    more columns are ignored.
     """
     won = scratch.put(winners(scratch.put(votes(pages), "votes")), "host_paths")
+    scratch.drop("votes")
     keyed = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
-    if won.count() <= BROADCAST_HOSTS:
+    if won.count() <= broadcast_hosts:
         chosen = keyed.join(F.broadcast(won), "host", "left")
     else:
         salted = won.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))

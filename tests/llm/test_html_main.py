@@ -1,4 +1,8 @@
-from nocturne.llm.html_main import best, extract, parse, render
+import re
+import time
+from html import unescape
+
+from nocturne.llm.html_main import best, choose, extract, parse, render
 from nocturne.llm.queries import op7_html_extraction
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><script>var a="</p>";</script><style>p{}</style></head><body>
@@ -54,6 +58,67 @@ def test_names_of_wrappers():
     assert render(best(parse(comments))) == plain
 
 
+def test_names_are_no_verdict():
+    text = "<p>words of the article that go on and on</p>" * 9
+    plain = "\n".join(["words of the article that go on and on"] * 9)
+    cases = {
+        f"<body><div class='entry-content no-sidebar'>{text}</div><div class=box><p>junk beside it</p></div></body>": plain,
+        f"<body><article>{text}<p class='share-price'>The price of a share is 7.</p></article></body>": plain + "\nThe price of a share is 7.",
+        f"<body><article><h1>Outer</h1>{text}<article class=quote><p>An inner article.</p></article></article></body>": "Outer\n" + plain + "\nAn inner article.",
+        f"<body><form id=aspnetForm><input name=q><div class=page>{text}</div><button>Send</button></form></body>": plain,
+        f"<body><main>{text}<form><label>Your name</label></form></main></body>": plain,
+        f"<body><article>{text}<div class='ad-slot-top'>Buy</div><div id=site-footer>Us</div><ul class=related-posts><li>More</ul><div class='article-comments'><p>No!</p></div></article></body>": plain,
+        f"<body><article><div class=entry-header><h1>Title</h1></div>{text}<p id=comment-free-zone>A last word.</p></article></body>": "Title\n" + plain + "\nA last word.",
+    }
+    for page, expect in cases.items():
+        assert render(best(parse(page))) == expect, page
+
+
+def test_markup_of_any_kind():
+    cases = {
+        "<p title=\"a > b\">one</p><p title='>'>two</p><p data-x=it's>three</p>": "one\ntwo\nthree",
+        "<p title=\"never closed>one</p><p>two</p>": "one\ntwo",
+        "<p>a<!-- x > y --></p><!-- never closed <p>b": "a",
+        "<p>a</p></div></span></p><p>b": "a\nb",
+        "<ul><li>a<ul><li>b<li>c</ul><li>d</ul>": "a\nb\nc\nd",
+        "<table><tr><td>a<td>b<tr><td>c<table><tr><td>d</table>e</table>": "a\nb\nc\nd\ne",
+        "1 < 2 <3 > 2<": "1 < 2 <3 > 2<",
+        "kept<a href='x": "kept",
+        "<p><b>bold<br><p>next</b> text &amp;lt; &#x41;&nbsp;B": "bold\nnext text &lt; A B",
+        "<P CLASS=x/>kept<br/>too": "kept too",
+    }
+    for page, expect in cases.items():
+        assert render(parse(page)) == expect, page
+
+
+def test_deep_and_hostile_pages_take_linear_time():
+    n = 100_000
+    start = time.monotonic()
+    assert render(best(parse("<div>" * n + "deep" + "</div>" * n))) == "deep"
+    n //= 4
+    for page in ("<div>" * n + "x" + "</span></p></li>" * n, "<p><div>" + "<span>" * n + "<p>x" * n, "<em><table><td>" + "<span>" * n + "</em>" * n, "<a '" * n, '<a ="' * n, '<a ="<b>' * n + '"', "<!" * n, "<!--" * n, "< " * n, "<div class=ad>" * n + "x" * n, "<li><td><dd>" * n):
+        root = parse(page)
+        choose(root, [root.order[-1].hash], 1.0)
+    assert time.monotonic() - start < 60
+
+
+def template_text(html):
+    """The article of the tables' template, by patterns of its own."""
+    inner = re.search(r"<article>(.*?)</article>", html, re.S).group(1)
+    blocks = re.split(r"</?(?:h1|h2|p|ul|li|blockquote|pre|table|tr|td)>", inner)
+    return "\n".join(t for b in blocks if (t := " ".join(unescape(re.sub(r"<[^>]+>", lambda m: " " if m.group() == "<br>" else "", b)).split())))
+
+
+def test_pages_of_the_table_have_their_article(spark, scratch):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    html = {r.page_id: r.html for r in pages.collect()}
+    for hosts in (10_000, 0):  # broadcast, and joined by salted host
+        got = {r.page_id: r.text for r in extract(pages, scratch, broadcast_hosts=hosts).collect()}
+        assert got.keys() == html.keys()
+        for i, text in got.items():
+            assert text == (template_text(html[i]) if html[i] else ""), i
+
+
 def test_long_page(spark, scratch):
     page = "<body><article>" + "".join(f"<p>paragraph {i}</p>" for i in range(20000)) + "</article></body>"
     row = extract(spark.createDataFrame([(1, "http://a.b/", page)], "page_id long, url string, html string"), scratch).first()
