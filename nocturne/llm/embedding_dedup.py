@@ -2,15 +2,17 @@
 
 1. Identical vectors are folded into one with its copies (a grouped minimum and count).
 2. Rotations of the centred vectors are learned by iterative quantisation on a bounded sample (the
-   rows of least hash); signs of the rotated components are 64-bit codes of every vector. The number
-   of rotations and the Hamming radius are the least whose recall, measured on the sample, reaches
-   TARGET. Where none does (vectors with a strong common direction, a loose group of most rows),
-   steps 3 and 4 are left out and all pairs of blocks of vectors are compared.
+   rows of least hash); signs of the rotated components are 64-bit codes of every vector. The width
+   of the tables' keys, the number of rotations and the Hamming radius are the cheapest for the number
+   of rows (keys grow with its logarithm) whose recall, measured on the sample, reaches TARGET. Where
+   none does (vectors with a strong common direction, a loose group of most rows), steps 3 and 4 are
+   left out and all pairs of blocks of vectors are compared.
 3. Vectors sorted by code are gathered into balls: members within the pivot's half angle are linked
    with each other by the triangle inequality, so a dense group needs no pairs of its own.
 4. Multi-index tables: a code falls into substrings; two-sided probing of one bit each way meets all
    codes whose substring differs in two bits at most. Met balls whose codes lie within the Hamming
-   radius are candidates, kept once per pair of balls.
+   radius are candidates, kept once per pair of balls. Keys that many codes share are dealt over
+   several tasks.
 5. Candidate balls are opened and compared with their original vectors in doubles. Links are counted
    per vector; balls with a link are joined, and connected components follow.
 
@@ -29,8 +31,9 @@ from pyspark.sql import functions as F
 from .shared import Scratch, components
 
 SAMPLE, ROUNDS, BITS = 8192, 40, 64
-TABLES = 4
-LADDER = ((1, 18), (2, 18), (2, 24), (4, 18), (4, 24))  # rotations and Hamming radius, by cost
+WIDTHS, ROTATIONS, RADII = (16, 18, 20, 21, 24, 26, 28, 32), (1, 2, 3, 4, 5, 6, 8, 10, 12, 16), (18, 24)
+MEETING = 0.05  # cost of two codes that meet, in units of a key that is sent
+HOT = 4096  # codes of a key that one task compares with others
 TARGET, LEAST = 0.99, 50  # recall asked for; links of the sample from which their own recall counts
 BLOCK, SLICE = 4096, 512  # vectors of a block where all pairs are compared; rows compared at once
 BALL = 256  # members of a ball at most; further ones open another ball
@@ -57,7 +60,7 @@ def fit_rotation(x: np.ndarray, bits: int = BITS, rounds: int = ROUNDS, seed: in
 
 def unit_vectors(rows: DataFrame) -> DataFrame:
     """vec_id, dim and packed unit vector in doubles of usable rows."""
-    usable = "embedding is not null and size(embedding) > 0 and forall(embedding, x -> x is not null and not isnan(x) and abs(x) < double('Infinity')) and exists(embedding, x -> x <> 0)"
+    usable = "vec_id is not null and embedding is not null and size(embedding) > 0 and forall(embedding, x -> x is not null and not isnan(x) and abs(x) < double('Infinity')) and exists(embedding, x -> x <> 0)"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -109,22 +112,39 @@ def _kinds_of_pairs(x: np.ndarray, cosine: float) -> list[tuple[np.ndarray, np.n
     return [*kinds, (x[i], x[j])] if len(i) >= LEAST else kinds
 
 
-def choose(x: np.ndarray, cosine: float) -> tuple[list[tuple[np.ndarray, np.ndarray]], int]:
-    """(rotations, radius), the cheapest of LADDER that reaches TARGET for each kind of pairs; no rotations if none does."""
+def options(n: int) -> list[tuple[float, int, int, int]]:
+    """(cost, key width, rotations, radius) for n vectors, cheapest first: keys sent and pairs that meet by chance."""
+    out = []
+    for width in WIDTHS:
+        near = (1 + width + width * (width - 1) / 2) / 2.0**width  # of random keys, those within two bits
+        for count in ROTATIONS:
+            for radius in RADII:
+                out.append((count * (BITS // width) * (width + 1 + MEETING * n * near) * (1.0 + 0.1 * (radius > RADII[0])), width, count, radius))
+    return sorted(out)
+
+
+def choose(x: np.ndarray, cosine: float, n: int) -> tuple[list[tuple[np.ndarray, np.ndarray]], int, int]:
+    """(rotations, key width, radius), the cheapest of the options that reaches TARGET for each kind of pairs; no rotations if none does."""
     kinds = _kinds_of_pairs(x, cosine)
     fits: list[tuple[np.ndarray, np.ndarray]] = []
-    apart: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in kinds]  # bits that differ: in all, and in the nearest part
-    width = np.uint64(BITS // TABLES)
-    for count, radius in LADDER:
+    apart: list[list[np.ndarray]] = [[] for _ in kinds]  # the bits that differ, by rotation
+    hit: dict[tuple[int, int, int, int], np.ndarray] = {}  # by kind, rotation, width and radius
+
+    def found(kind: int, rotation: int, width: int, radius: int) -> np.ndarray:
+        if (key := (kind, rotation, width, radius)) not in hit:
+            d = apart[kind][rotation]
+            parts = [np.bitwise_count((d >> np.uint64(t * width)) & np.uint64((1 << width) - 1)) for t in range(BITS // width)]
+            hit[key] = (np.bitwise_count(d) <= radius) & (np.min(parts, 0) <= 2)
+        return hit[key]
+
+    for _, width, count, radius in options(n):
         while len(fits) < count:
             fits.append(fit_rotation(x, seed=5 + len(fits)))
             for seen, (a, b) in zip(apart, kinds, strict=True):
-                d = _code(a, fits[-1]) ^ _code(b, fits[-1])
-                parts = [np.bitwise_count((d >> (np.uint64(t) * width)) & np.uint64((1 << int(width)) - 1)) for t in range(TABLES)]
-                seen.append((np.bitwise_count(d), np.min(parts, 0)))
-        if all(np.any([(h <= radius) & (part <= 2) for h, part in seen[:count]], 0).mean() >= TARGET for seen in apart):
-            return fits, radius
-    return [], 0
+                seen.append(_code(a, fits[-1]) ^ _code(b, fits[-1]))
+        if all(np.any([found(k, r, width, radius) for r in range(count)], 0).mean() >= TARGET for k in range(len(kinds))):
+            return fits[:count], width, radius
+    return [], 0, 0
 
 
 def _codes(distinct: DataFrame, fits: list[tuple[np.ndarray, np.ndarray]]) -> DataFrame:
@@ -161,15 +181,24 @@ def _balls(coded: DataFrame, cosine: float) -> DataFrame:
     return coded.repartitionByRange(first, "rep").sortWithinPartitions(first, "rep").mapInArrow(run, "ball long, rep long, copies long, unit binary, codes array<long>")
 
 
-def _candidates(balls: DataFrame, radius: int) -> DataFrame:
+def _candidates(balls: DataFrame, width: int, radius: int) -> DataFrame:
     """Pairs (p, q), p < q, of balls with codes that meet in a table and lie within the Hamming radius."""
-    width = BITS // TABLES
-    probes = [0, *(1 << b for b in range(width))]
+    tables = BITS // width
+    probes = F.explode(F.array(*[F.lit(p).cast("long") for p in (0, *(1 << b for b in range(width)))]))
     part = F.expr(f"shiftrightunsigned(code, t * {width}) & {(1 << width) - 1}L")
-    probed = balls.select("ball", F.posexplode("codes").alias("c", "code")).distinct().withColumn("t", F.explode(F.array(*map(F.lit, range(TABLES))))).withColumn("part", part)
-    probed = probed.withColumn("probe", F.explode(F.array(*[F.lit(p).cast("long") for p in probes]))).select((F.col("c") * TABLES + F.col("t")).alias("t"), F.col("part").bitwiseXOR(F.col("probe")).alias("key"), "ball", "code")
-    a, b = probed.alias("a"), probed.alias("b")
-    met = a.join(b, (F.col("a.t") == F.col("b.t")) & (F.col("a.key") == F.col("b.key")) & (F.col("a.ball") < F.col("b.ball")) & (F.bit_count(F.col("a.code").bitwiseXOR(F.col("b.code"))) <= radius))
+    codes = balls.select("ball", F.posexplode("codes").alias("c", "code")).distinct().withColumn("t", F.explode(F.array(*map(F.lit, range(tables)))))
+    codes = codes.select(((F.col("c") * tables + F.col("t")).cast("long") * (1 << width) + part).alias("key"), "ball", "code")  # the table and the substring
+    probed = lambda df, *more: df.withColumn("probe", probes).select(F.col("key").bitwiseXOR(F.col("probe")).alias("key"), *more)
+    a = b = probed(codes, "ball", "code")
+    hot = codes.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > HOT)
+    salt = F.lit(True)
+    if not hot.isEmpty():  # at most one key in HOT codes; its neighbours are as full
+        shares = probed(hot, F.ceil(F.col("n") / HOT).alias("m")).groupBy("key").agg(F.max("m").alias("m"))
+        dealt = probed(codes, "ball", "code").join(shares, "key", "left").withColumn("m", F.coalesce("m", F.lit(1)).cast("int"))
+        a = dealt.withColumn("salt", F.pmod(F.xxhash64("ball"), F.col("m")).cast("int"))
+        b = dealt.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
+        salt = F.col("a.salt") == F.col("b.salt")
+    met = a.alias("a").join(b.alias("b"), (F.col("a.key") == F.col("b.key")) & salt & (F.col("a.ball") < F.col("b.ball")) & (F.bit_count(F.col("a.code").bitwiseXOR(F.col("b.code"))) <= radius))
     return met.select(F.col("a.ball").alias("p"), F.col("b.ball").alias("q")).distinct()
 
 
@@ -226,18 +255,32 @@ def _open(pairs: DataFrame, balls: DataFrame, cosine: float) -> DataFrame:
     side = lambda n: packed.select(*[F.col(c).alias(f"{n}_{c}") for c in packed.columns])
     both = pairs.join(side("p"), F.col("p") == F.col("p_ball")).join(side("q"), F.col("q") == F.col("q_ball"))
 
+    def members(batch: pa.RecordBatch, side: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Vectors, representatives and copies of one side's balls, and where each ball begins."""
+        reps, copies, units = (batch.column(f"{side}_{c}") for c in ("reps", "copies", "units"))
+        return _matrix(units.flatten()), reps.flatten().to_numpy(), copies.flatten().to_numpy(), np.concatenate([[0], np.cumsum(units.value_lengths().to_numpy())])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
             for lo in range(0, big.num_rows, 1024):
-                out: list[tuple[int, int, int]] = []
-                for row in big.slice(lo, 1024).to_pylist():
-                    x, y = (np.frombuffer(b"".join(row[f"{s}_units"])).reshape(len(row[f"{s}_reps"]), -1) for s in "pq")
-                    on = x @ y.T >= cosine
+                batch = big.slice(lo, 1024)
+                p, q = batch.column("p").to_numpy(), batch.column("q").to_numpy()
+                (x, xr, xc, xs), (y, yr, yc, ys) = members(batch, "p"), members(batch, "q")
+                single = (np.diff(xs) == 1) & (np.diff(ys) == 1)
+                i, j = xs[:-1][single], ys[:-1][single]
+                on = (x[i] * y[j]).sum(1) >= cosine
+                i, j = i[on], j[on]
+                kind = [np.repeat([1, 0, 0], len(i))]
+                one, other = [np.concatenate([p[single][on], xr[i], yr[j]])], [np.concatenate([q[single][on], yc[j], xc[i]])]
+                for k in np.flatnonzero(~single):
+                    u, v = slice(xs[k], xs[k + 1]), slice(ys[k], ys[k + 1])
+                    on = x[u] @ y[v].T >= cosine
                     if on.any():
-                        out.append((1, row["p"], row["q"]))
-                        out.extend((0, i, int(n)) for i, n in zip(row["p_reps"], on @ np.array(row["q_copies"]), strict=True) if n)
-                        out.extend((0, i, int(n)) for i, n in zip(row["q_reps"], on.T @ np.array(row["p_copies"]), strict=True) if n)
-                yield pa.RecordBatch.from_arrays([pa.array([o[j] for o in out], pa.int64()) for j in range(3)], ["kind", "id", "other"])
+                        n, m = on @ yc[v], on.T @ xc[u]
+                        kind.append(np.repeat([1, 0], [1, (n > 0).sum() + (m > 0).sum()]))
+                        one.append(np.concatenate([p[k : k + 1], xr[u][n > 0], yr[v][m > 0]]))
+                        other.append(np.concatenate([q[k : k + 1], n[n > 0], m[m > 0]]))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(z), pa.int64()) for z in (kind, one, other)], ["kind", "id", "other"])
 
     return both.select("p", "q", *[f"{s}_{c}" for s in "pq" for c in ("reps", "copies", "units")]).mapInArrow(run, "kind long, id long, other long")
 
@@ -245,7 +288,8 @@ def _open(pairs: DataFrame, balls: DataFrame, cosine: float) -> DataFrame:
 def near_duplicates(rows: DataFrame, scratch: Scratch, cosine: float = 0.9) -> DataFrame:
     """vec_id, n_links, component_id, kept of each row of ``rows`` (vec_id, embedding).
 
-    Null, empty, zero and non-finite vectors link with nothing; nor do vectors of different lengths.
+    Null, empty, zero and non-finite vectors link with nothing; nor do vectors of different lengths or
+    without an id (their component_id is null, and they are kept). One round of jobs runs per length.
     Copies of a vector are linked with one another. Rows that repeat a vec_id count each; they are
     told apart only by their vectors. An empty table gives no rows; more columns are ignored.
     """
@@ -257,10 +301,10 @@ def near_duplicates(rows: DataFrame, scratch: Scratch, cosine: float = 0.9) -> D
     dims = {r["dim"]: r["count"] for r in distinct.groupBy("dim").count().orderBy("dim").collect()}  # a row a vector length
     for dim, n in dims.items():
         alike = distinct.where(F.col("dim") == dim)
-        fits, radius = choose(_matrix(alike.orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE).select("unit").toArrow()["unit"]), cosine)
+        fits, width, radius = choose(_matrix(alike.orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE).select("unit").toArrow()["unit"]), cosine, n)
         if fits:
             balls = scratch.put(_balls(_codes(alike, fits), cosine), f"balls_{dim}")
-            pairs = scratch.put(_candidates(balls, radius), f"pairs_{dim}")
+            pairs = scratch.put(_candidates(balls, width, radius), f"pairs_{dim}")
             opened = scratch.put(_open(pairs, balls, cosine), f"opened_{dim}")
         else:
             balls = alike.select(F.col("rep").alias("ball"), "rep", "copies", "unit")
@@ -273,11 +317,12 @@ def near_duplicates(rows: DataFrame, scratch: Scratch, cosine: float = 0.9) -> D
     merged_links, merged_edges = links[0], edges[0]
     for x, y in zip(links[1:], edges[1:], strict=True):
         merged_links, merged_edges = merged_links.union(x), merged_edges.union(y)
-    roots = components(merged_edges, scratch, "roots")
-    totals = merged_links.groupBy("rep").agg(F.sum("n").alias("n_links"))
+    roots = scratch.put(components(merged_edges, scratch, "roots"), "roots")
+    totals = scratch.put(merged_links.groupBy("rep").agg(F.sum("n").alias("n_links")), "totals")
+    scratch.drop(*(f"{t}_{dim}" for t in ("balls", "pairs", "opened") for dim in dims))
     known = distinct.join(totals, "rep", "left").join(roots, F.col("rep") == F.col("node"), "left").select("dim", "h", "s", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("root", "rep").alias("component_id"))
     salted = known.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(15))))  # a vector copied millions of times is joined in 16 parts
     found = keyed.select("vec_id", "dim", "h", "s", F.pmod(F.xxhash64("vec_id"), F.lit(16)).cast("int").alias("salt")).join(salted, ["dim", "h", "s", "salt"]).select("vec_id", "n_links", "component_id")
-    unusable = "embedding is null or size(embedding) = 0 or exists(embedding, x -> x is null or isnan(x) or abs(x) = double('Infinity')) or forall(embedding, x -> x = 0)"
+    unusable = "vec_id is null or embedding is null or size(embedding) = 0 or exists(embedding, x -> x is null or isnan(x) or abs(x) = double('Infinity')) or forall(embedding, x -> x = 0)"
     rest = rows.where(f"coalesce({unusable}, true)").select(F.col("vec_id").cast("long").alias("vec_id"), F.lit(0).cast("long").alias("n_links"), F.col("vec_id").cast("long").alias("component_id"))
     return found.unionByName(rest).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

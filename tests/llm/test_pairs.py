@@ -2,11 +2,12 @@
 
 import math
 from fractions import Fraction
+from pathlib import Path
 
 import numpy as np
 import pytest
 
-from nocturne.llm import topk
+from nocturne.llm import embedding_dedup, topk
 from nocturne.llm.embedding_dedup import near_duplicates
 from nocturne.llm.jaccard_join import similar_groups
 from nocturne.llm.shared import Scratch, components
@@ -140,6 +141,67 @@ def test_top_k_equals_brute_force(spark, blocks):
     assert topk.exact_top_k(df.limit(0), asked.limit(0), Scratch(spark)).count() == 0
 
 
+@pytest.mark.parametrize("sf", ["sf0.1", "check_s"])
+def test_links_of_a_table_against_brute_force(spark, sf):
+    """Recall and precision over a whole table, links and components."""
+    path = f"/root/testdata/{sf}/embeddings.parquet"
+    if not Path(path).exists():
+        pytest.skip("no such table here")
+    rows = spark.read.parquet(path)
+    data = rows.select("vec_id", "embedding").toPandas()
+    x = np.stack(data["embedding"]).astype(float)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    ids = data["vec_id"].to_numpy()
+    parent = np.arange(len(ids))
+    n = np.zeros(len(ids), int)
+    for lo in range(0, len(ids), 1000):
+        on = x[lo : lo + 1000] @ x.T >= 0.9
+        n[lo : lo + 1000] = on.sum(1) - 1
+        parent[lo : lo + 1000] = on.argmax(1)  # the first row linked with it
+    got = near_duplicates(rows, Scratch(spark)).toPandas().set_index("vec_id").loc[ids]
+    found = got["n_links"].to_numpy()
+    assert (found <= n).all() and found.sum() >= 0.99 * n.sum()
+    assert (got["component_id"].to_numpy()[parent] == got["component_id"].to_numpy()).mean() > 0.99
+
+
+def test_links_of_planted_pairs_by_cosine(spark):
+    """Of pairs planted at each cosine from the threshold up, 97% at least are found, none below it."""
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(12000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    u = rng.normal(size=(3000, 64))
+    u -= (u * x[:3000]).sum(1, keepdims=True) * x[:3000]
+    c = np.repeat([0.88, 0.9001, 0.905, 0.92, 0.95, 0.99], 500)[:, None]
+    y = c * x[:3000] + np.sqrt(1 - c * c) * u / np.linalg.norm(u, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(np.concatenate([x, y]))], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in near_duplicates(df, Scratch(spark)).collect()}
+    share = [np.mean([got[12000 + i] for i in range(k, k + 500)]) for k in range(0, 3000, 500)]
+    assert share[0] == 0 and min(share[1:]) >= 0.97 and max(share) <= 1
+
+
+def test_keys_that_many_codes_share_are_dealt(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "HOT", 8)
+    rng = np.random.default_rng(13)
+    rows = vectors(rng, 400, 4, 0.25) + vectors(rng, 200, 100, 0.1) + [[1.0, 0.0]] * 3
+    data = [*enumerate(rows), (None, rows[0]), (None, rows[1]), (None, None)]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>").repartition(4)
+    got = near_duplicates(df, Scratch(spark)).collect()
+    assert len(got) == len(data)
+    assert [(r.n_links, r.component_id, r.kept) for r in got if r.vec_id is None] == [(0, None, True)] * 3
+    x = np.array(rows[:600])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    links = [(int(a), int(b)) for a, b in zip(*np.nonzero(np.triu(x @ x.T >= 0.9, 1)), strict=True)]
+    by = {r.vec_id: r for r in got}
+    found = sum(by[i].n_links for i in range(600)) // 2
+    assert 0.98 * len(links) <= found <= len(links) and len(links) > 1000
+    assert [by[i].n_links for i in range(600, 603)] == [2, 2, 2]
+
+
+def test_keys_grow_with_the_rows():
+    width = lambda n: next(w for _, w, count, radius in embedding_dedup.options(n) if count * (64 // w) >= 6)
+    assert width(1_000) <= width(1_000_000) < width(10**9) and width(10**9) >= 26
+
+
 @pytest.mark.parametrize("block", [(4, 4), (4096, 4096)])
 def test_top_k_of_any_finite_vector(spark, block):
     """Small and huge components, scores beyond 2^53 and beyond 64 bits, null ids and ids beyond 2^53."""
