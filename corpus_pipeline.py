@@ -14,6 +14,14 @@ from nocturne.llm.queries import tokenizer_file
 from nocturne.llm.shared import Scratch
 
 
+_scratches: list[Scratch] = []  # of stages whose results nobody has stored yet
+
+
+def _scratch(spark: SparkSession) -> Scratch:
+    _scratches.append(Scratch(spark))
+    return _scratches[-1]
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents whose language can be told; those without a letter (or text) go.
 
@@ -26,7 +34,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document of least id of each group of Jaccard 0.8 on five-word shingles."""
-    scratch = Scratch(spark)
+    scratch = _scratch(spark)
     groups = jaccard_join.similar_groups(docs, scratch, k=5, percent=80)
     lost = groups.where("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(lost, "doc_id", "left_anti").select(*docs.columns)
@@ -40,7 +48,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per drawn copy, dealt to shards and shuffled inside each by a hash."""
-    mix = mixing.mix(docs, Scratch(spark))
+    mix = mixing.mix(docs, _scratch(spark))
     drawn = mix.drawn()
     if mix.shards > 1:
         drawn = drawn.repartition("shard", F.pmod("place", F.lit(16)))
@@ -65,11 +73,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; each result is written to the shared folder and read again."""
+    """All stages over documents; each result is written to the shared folder and read again, and what its stage stored goes."""
     scratch = Scratch(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for i, (_, stage) in enumerate(STAGES):
         docs = scratch.put(stage(spark, docs, sf_dir), f"stage_{i}")
+        while _scratches:
+            _scratches.pop().clear()
         if i:
             scratch.drop(f"stage_{i - 1}")
     return docs
