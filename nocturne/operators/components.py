@@ -1,9 +1,11 @@
-"""Intermediate tables in the shared folder, and connected components by star contraction."""
+"""Intermediate tables in the shared folder, and connected components by forests and star contraction."""
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,9 +35,11 @@ class Workspace:
         self.spark = spark
         self.root = f"{shared_folder(spark)}/nocturne-{uuid.uuid4().hex}"
 
-    def put(self, df: DataFrame, name: str) -> DataFrame:
+    def put(self, df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+        """Stores ``df``, with a folder for each value of column ``by``, and reads it again."""
         path = f"{self.root}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        writer = df.repartition(by).write.partitionBy(by) if by else df.write
+        writer.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:
@@ -50,14 +54,58 @@ class Workspace:
         path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
-def connected_components(edges: DataFrame, work: Workspace | None = None, name: str = "cc") -> DataFrame:
-    """node, root (the least node reachable) of undirected edges (u, v) of any ordered type.
+def spread(rows: DataFrame, key: str, small: int = 1 << 30) -> DataFrame:
+    """Deals out rows of a small table, whose file may be one block, over all cores; a large one has blocks enough."""
+    if int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) > small:
+        return rows
+    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism, key)
 
-    Alternating large-star and small-star contraction until a round changes nothing. Each round is a
-    grouped minimum (combined before the shuffle, so a hub with millions of neighbours costs one row
-    per task) and a join on the node; rounds grow with the logarithm of the graph, however long its
-    paths. Self-loops and repeated edges are ignored; an edge with a null end is dropped. An empty
-    input gives no rows. The last round's table stays in ``work``, as the result reads it.
+
+FOREST = 1_000_000  # nodes of a forest in memory; further edges of a partition begin another one
+
+
+def _forests(edges: DataFrame) -> DataFrame:
+    """Edges (node, least) of each partition's own components: fewer edges, the same components overall."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parent: dict = {}
+
+        def root(x):
+            while (up := parent.setdefault(x, x)) != x:
+                parent[x] = parent[up]
+                x = parent[x]
+            return x
+
+        def found(schema: pa.Schema) -> pa.RecordBatch:
+            rows = [(n, r) for n in list(parent) if (r := root(n)) != n]
+            parent.clear()
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], schema.field(i).type) for i in (0, 1)], ["u", "v"])
+
+        schema = None
+        for batch in batches:
+            schema = batch.schema
+            for u, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                a, b = root(u), root(v)
+                if a != b:
+                    parent[max(a, b)] = min(a, b)
+            if len(parent) > FOREST:
+                yield found(schema)
+        if parent:
+            yield found(schema)
+
+    return edges.mapInArrow(run, edges.schema)
+
+
+def connected_components(edges: DataFrame, work: Workspace | None = None, name: str = "cc", native: bool = False) -> DataFrame:
+    """node, root (the least node reachable) of undirected edges (u, v) of one integer or string type.
+
+    Every partition first joins what its own edges join (left out if ``native``, which keeps to
+    DataFrame functions); then large-star and small-star contraction alternate until only stars about
+    their least node are left. Each round is a grouped minimum (combined before the shuffle, so a hub
+    with millions of neighbours costs one row per task) and a join on the node; rounds grow with the
+    logarithm of the graph, however long its paths. Self-loops and repeated edges are ignored; an edge
+    with a null end is dropped. An empty input gives no rows. The last round's table stays in
+    ``work``, as the result reads it.
     """
     work = work or Workspace(edges.sparkSession)
 
@@ -71,14 +119,15 @@ def connected_components(edges: DataFrame, work: Workspace | None = None, name:
             out = moved.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         return out.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
 
-    now = work.put(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), f"{name}_0")
-    digest = lambda e: tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-    seen, i = digest(now), 0
-    while seen[0]:
+    def done(e: DataFrame) -> bool:
+        """Whether every node has one edge to a least node, which has none itself."""
+        ends = e.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(e.select("v", F.lit(0), F.lit(1)))
+        return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or (up = 1 and down = 1)").isEmpty()
+
+    now = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    now, i = work.put(now.distinct() if native else _forests(now).distinct(), f"{name}_0"), 0
+    while not done(now):
         i += 1
         now = work.put(star(star(now, False), True), f"{name}_{i}")
         work.drop(f"{name}_{i - 1}")
-        last, seen = seen, digest(now)
-        if last == seen:
-            break
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

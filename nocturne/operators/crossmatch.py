@@ -1,9 +1,10 @@
 """Spatial joins on the sphere through three-dimensional cells.
 
-A position's unit vector falls in a cubic cell of at least the chord of the match radius, so all
-partners lie in its own or the 26 neighbouring cells: the theta join becomes an equi-join on the
-cell with the exact separation as a residual, without special cases at RA 0 or the poles. Catalyst
-picks a broadcast or a shuffled join by the sizes it knows; nothing is hinted.
+A position's unit vector falls in a cubic cell of twice the chord of the match radius, so that all its
+partners lie in the cells that the cube of the radius about it touches, two along an axis at most: the
+theta join becomes an equi-join on the cell with the exact separation as a residual, without special
+cases at RA 0 or the poles. Catalyst picks a broadcast or a shuffled join by the sizes it knows;
+nothing is hinted.
 """
 
 from __future__ import annotations
@@ -16,25 +17,36 @@ from pyspark.sql import functions as F
 from ..functions.sky import separation_arcsec, unit_vector
 
 
-def cell_size(radius_arcsec: float) -> float:
-    return max(2.0 * math.sin(math.radians(radius_arcsec / 3600.0) / 2.0) * 1.000001, 1e-9)
+def chord(radius_arcsec: float) -> float:
+    """Straight distance of points a radius apart on the unit sphere, with a margin for rounding."""
+    return max(2.0 * math.sin(math.radians(min(radius_arcsec / 3600.0, 180.0)) / 2.0) * 1.000001, 1e-9)
 
 
-def _cell(ra: Column, dec: Column, size: float) -> list[Column]:
-    return [F.floor(v / F.lit(size)).cast("long") for v in unit_vector(ra, dec)]
+def in_cell(df: DataFrame, ra: str, dec: str, reach: Column) -> DataFrame:
+    """Adds cx, cy, cz for cells of twice ``reach`` (a chord); rows without a position are left out."""
+    placed = df.where(F.col(ra).isNotNull() & F.col(dec).isNotNull())
+    return placed.withColumns({n: F.floor(v / (reach * 2.0)).cast("long") for n, v in zip(("cx", "cy", "cz"), unit_vector(F.col(ra), F.col(dec)), strict=True)})
+
+
+def in_cells_around(df: DataFrame, ra: str, dec: str, reach: Column) -> DataFrame:
+    """One row for each cell that may hold a partner: those within ``reach`` along each axis that meet the sphere."""
+    out = df.where(F.col(ra).isNotNull() & F.col(dec).isNotNull()).withColumns(dict(zip(("_x", "_y", "_z"), unit_vector(F.col(ra), F.col(dec)), strict=True)))
+    size, near, far = reach * 2.0, F.lit(0.0), F.lit(0.0)
+    for n in "xyz":
+        touched = F.sequence(F.floor((F.col(f"_{n}") - reach) / size).cast("long"), F.floor((F.col(f"_{n}") + reach) / size).cast("long"))
+        out = out.withColumn(f"c{n}", F.explode(touched))
+        middle = F.abs((F.col(f"c{n}") + 0.5) * size)
+        near += F.pow(F.greatest(middle - reach, F.lit(0.0)), F.lit(2.0))
+        far += F.pow(middle + reach, F.lit(2.0))
+    return out.where((near <= 1.000001) & (far >= 0.999999)).drop("_x", "_y", "_z")
 
 
 def with_cell(df: DataFrame, ra: str, dec: str, radius_arcsec: float) -> DataFrame:
-    """Adds cx, cy, cz; rows without a position are left out."""
-    cx, cy, cz = _cell(F.col(ra), F.col(dec), cell_size(radius_arcsec))
-    return df.where(F.col(ra).isNotNull() & F.col(dec).isNotNull()).withColumns({"cx": cx, "cy": cy, "cz": cz})
+    return in_cell(df, ra, dec, F.lit(chord(radius_arcsec)))
 
 
 def with_neighbour_cells(df: DataFrame, ra: str, dec: str, radius_arcsec: float) -> DataFrame:
-    """One row for each of the 27 cells around a position."""
-    steps = F.array(*[F.struct(*[F.lit(v).cast("long").alias(n) for n, v in zip("xyz", (x, y, z), strict=True)]) for x in (-1, 0, 1) for y in (-1, 0, 1) for z in (-1, 0, 1)])
-    spread = with_cell(df, ra, dec, radius_arcsec).withColumn("step", F.explode(steps))
-    return spread.withColumns({"cx": F.col("cx") + F.col("step.x"), "cy": F.col("cy") + F.col("step.y"), "cz": F.col("cz") + F.col("step.z")}).drop("step")
+    return in_cells_around(df, ra, dec, F.lit(chord(radius_arcsec)))
 
 
 def pairs_within(left: DataFrame, right: DataFrame, radius_arcsec: float) -> DataFrame:

@@ -7,6 +7,7 @@ time, so their groups are bounded by the density of the sky and not by the night
 
 from __future__ import annotations
 
+import math
 import uuid
 from dataclasses import dataclass
 
@@ -17,8 +18,8 @@ from pyspark.sql import functions as F
 
 from ..functions.photometric import lightcurve_err
 from ..functions.sky import position_angle_deg, separation_arcsec, wrap_deg
-from .components import Workspace, connected_components
-from .crossmatch import flag_matched, radius_pairs, with_cell, with_neighbour_cells
+from .components import Workspace, connected_components, spread
+from .crossmatch import chord, flag_matched, in_cell, in_cells_around, radius_pairs, with_cell, with_neighbour_cells
 
 
 #: Base rank of each kind, its default, and the texts of notes.
@@ -125,19 +126,33 @@ def constrained_clusters(detections: DataFrame, radius_arcsec: float) -> DataFra
 # ---- tracklets -------------------------------------------------------------------------------
 
 
+def _gap_levels(orphans: DataFrame) -> list[float]:
+    """The powers of two u for which frames lie d apart with u / 2 < d <= u."""
+    times = np.sort([r["t"] for r in orphans.select(F.col("time_min").alias("t")).where("t is not null").distinct().collect()])  # a number a frame
+    if len(times) < 2:
+        return []
+    level = lambda d: math.frexp(d)[1] - (math.frexp(d)[0] == 0.5)  # noqa: E731  a power of two is a level of its own
+    every = [2.0**k for k in range(level(float(np.diff(times).min())), level(float(times[-1] - times[0])) + 1)]
+    apart = lambda d: np.searchsorted(times, times + d * (1 + 1e-12), "right")
+    return [u for u in every if (np.searchsorted(times, times + u / 2.0 * (1 - 1e-12), "right") < apart(u)).any()]
+
+
 def seed_pairs(orphans: DataFrame, max_speed: float) -> DataFrame:
     """a, b and the velocity of every pair of a later frame with 0 < speed <= max_speed.
 
-    Partners lie within max_speed times the longest gap: positions meet in cells of that size, a
-    bound taken from the data by one aggregate.
+    Pairs are sought by their time gap: for each power of two that gaps fall under, partners lie within
+    max_speed times it, so positions meet in cells of that size, and in buckets of half that time, of
+    which partners lie one or two apart. A short gap has small cells however long the night; reaches of
+    half the sphere and more are one cell.
     """
-    span = orphans.agg((F.max("time_min") - F.min("time_min")).alias("s")).first()["s"] or 0.0
-    reach = min(max(max_speed * span, 1.0), 3600.0 * 60.0)
-    side = orphans.select("det_idx", "frame_index", "time_min", "ra", "dec")
-    a = with_cell(side.select(*[F.col(c).alias(f"a_{c}") for c in side.columns]), "a_ra", "a_dec", reach)
-    b = with_neighbour_cells(side.select(*[F.col(c).alias(f"b_{c}") for c in side.columns]), "b_ra", "b_dec", reach)
+    levels = F.array(*[F.struct(F.lit(u).alias("u"), F.lit(chord(max_speed * u)).alias("reach")) for u in _gap_levels(orphans)] or [F.struct(F.lit(1.0).alias("u"), F.lit(1.0).alias("reach"))])
+    side = spread(orphans.select("det_idx", "frame_index", "time_min", "ra", "dec"), "det_idx").withColumn("g", F.explode(levels)).select("*", "g.u", "g.reach").drop("g")
+    bucket = F.floor(F.col("time_min") / (F.col("u") / 2.0)).cast("long")
+    a = side.withColumn("tb", F.explode(F.array(bucket + 1, bucket + 2)))
+    a = in_cells_around(a, "ra", "dec", F.col("reach")).select("u", "tb", "cx", "cy", "cz", *[F.col(c).alias(f"a_{c}") for c in ("det_idx", "frame_index", "time_min", "ra", "dec")])
+    b = in_cell(side.withColumn("tb", bucket), "ra", "dec", F.col("reach")).select("u", "tb", "cx", "cy", "cz", *[F.col(c).alias(f"b_{c}") for c in ("det_idx", "frame_index", "time_min", "ra", "dec")])
     dt = F.col("b_time_min") - F.col("a_time_min")
-    met = a.join(b, ["cx", "cy", "cz"]).where((F.col("b_frame_index") > F.col("a_frame_index")) & (dt > 0))
+    met = a.join(b, ["u", "tb", "cx", "cy", "cz"]).where((F.col("b_frame_index") > F.col("a_frame_index")) & (dt > F.col("u") / 2.0) & (dt <= F.col("u")))
     speed = F.try_divide(separation_arcsec(F.col("a_ra"), F.col("a_dec"), F.col("b_ra"), F.col("b_dec")), dt)  # conditions may be evaluated in any order
     return (
         met.withColumn("speed", speed)

@@ -1,15 +1,21 @@
-"""TF-IDF passage retrieval as sparse postings: chunk, weigh, search, answer."""
+"""TF-IDF passage retrieval as sparse postings: chunk, weigh, search, answer.
+
+An index is stored tables: passages (cut once), term counts (tokenised once, where a chunk's words lie
+together, so that grouping them moves nothing), inverse frequencies and postings by bucket of their
+term. A question reads the buckets of its terms and the passages it returns.
+"""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import passages, stem, tokens
-from .components import Workspace
+from .components import Workspace, spread
 
 
 def chunk_documents(docs: DataFrame, key: str, source: str, text: str = "text", words: int = 220, overlap: int = 40) -> DataFrame:
@@ -19,10 +25,10 @@ def chunk_documents(docs: DataFrame, key: str, source: str, text: str = "text",
 
 
 def term_counts(chunks: DataFrame) -> DataFrame:
-    """key, pos, term, c. Stems are computed once a distinct token, not once an occurrence."""
-    words = chunks.select("key", "pos", F.explode(tokens(F.col("passage"))).alias("token")).groupBy("key", "pos", "token").agg(F.count("*").alias("c"))
-    stems = words.select("token").distinct().withColumn("term", stem(F.col("token")))
-    return words.join(stems, "token").groupBy("key", "pos", "term").agg(F.sum("c").alias("c"))
+    """key, pos, term, c. Chunks are dealt out once; their tokens, stems and counts stay where they lie."""
+    words = chunks.select("key", "pos", "passage").repartition("key", "pos").select("key", "pos", F.explode(tokens(F.col("passage"))).alias("token"))
+    words = words.groupBy("key", "pos", "token").agg(F.count("*").alias("c"))  # each token of a chunk is stemmed once
+    return words.groupBy("key", "pos", stem(F.col("token")).alias("term")).agg(F.sum("c").alias("c"))
 
 
 def document_frequency(counts: DataFrame) -> DataFrame:
@@ -42,27 +48,46 @@ def weights(counts: DataFrame, idf: DataFrame) -> DataFrame:
     return raw.select("key", "pos", "term", (F.col("x") / norm).alias("w"))
 
 
+BUCKETS = 64
+
+
+def _bucket(term: Column) -> Column:
+    return F.pmod(F.xxhash64(term), F.lit(BUCKETS)).cast("int")
+
+
 @dataclass
 class PassageIndex:
-    """A built index; any new text means building another one."""
+    """A built index; any new text means building another one. ``work`` holds its tables until it is cleared."""
 
     chunks: DataFrame
     idf: DataFrame
     postings: DataFrame
+    work: Workspace
 
     @classmethod
-    def build(cls, chunks: DataFrame) -> PassageIndex:
-        counts = Workspace(chunks.sparkSession).put(term_counts(chunks), "counts")  # read twice: for frequencies and for weights
-        idf = inverse_frequency(counts, chunks)
-        return cls(chunks, idf, weights(counts, idf))
+    def build(cls, chunks: DataFrame, work: Workspace | None = None) -> PassageIndex:
+        """From key, source, pos, passage. Each table is written once and read by what follows."""
+        work = work or Workspace(chunks.sparkSession)
+        chunks = work.put(chunks, "chunks")
+        counts = work.put(term_counts(chunks), "counts")
+        idf = work.put(inverse_frequency(counts, chunks), "idf")
+        postings = work.put(weights(counts, idf).withColumn("bucket", _bucket(F.col("term"))), "postings", by="bucket")
+        work.drop("counts")
+        return cls(chunks, idf, postings, work)
 
     def search(self, question: str, k: int = 4, least: float = 0.03) -> DataFrame:
         """key, pos, source, passage, score: the k best chunks, then those above ``least``."""
         spark = self.chunks.sparkSession
         asked = spark.range(1).select(F.explode(tokens(F.lit(question))).alias("token")).withColumn("term", stem(F.col("token"))).groupBy("term").agg(F.count("*").alias("c"))
-        q = asked.join(self.idf, "term").withColumn("x", F.col("c") * F.col("idf"))
-        q = q.crossJoin(F.broadcast(q.agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("len")))).select("term", (F.col("x") / F.col("len")).alias("q"))
-        hits = self.postings.join(F.broadcast(q), "term").groupBy("key", "pos").agg(F.sum(F.col("w") * F.col("q")).alias("score"))
+        wanted = [r["term"] for r in asked.collect()]  # the words of the question
+        found = asked.join(self.idf.where(F.col("term").isin(wanted)), "term").withColumn("x", F.col("c") * F.col("idf")).select("term", "x").collect()
+        length = math.sqrt(sum(r["x"] ** 2 for r in found))
+        if not found:
+            return self.chunks.limit(0).select("key", "pos", "source", "passage", F.lit(0.0).alias("score"))
+        weight = F.coalesce(*[F.when(F.col("term") == r["term"], F.lit(r["x"] / length)) for r in found])
+        terms = [r["term"] for r in found]
+        buckets = [r["b"] for r in spark.createDataFrame([(t,) for t in terms], "term string").select(_bucket(F.col("term")).alias("b")).distinct().collect()]
+        hits = self.postings.where(F.col("bucket").isin(buckets) & F.col("term").isin(terms)).groupBy("key", "pos").agg(F.sum(F.col("w") * weight).alias("score"))
         top = hits.orderBy(F.desc("score"), "key", "pos").limit(k).where(F.col("score") > least)
         return self.chunks.join(F.broadcast(top), ["key", "pos"]).select("key", "pos", "source", "passage", "score")
 

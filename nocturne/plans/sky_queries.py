@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -13,9 +12,8 @@ from ..operators import calibration, crossmatch, discovery, motion, pointings
 from ..operators.components import connected_components
 from . import views
 from .registry import ORACLE_SQL, QUERIES, query
-from .views import ALL_TRACKS_SQL, FLAGGED_SQL, FRAMES_SQL, LIGHTCURVES_SQL, SKY_SQL, SOURCES_SQL, TRACKS_SQL, load, pa_sql, sep_sql, wrap_sql
+from .views import FLAGGED_SQL, FRAMES_SQL, LIGHTCURVES_SQL, SKY_SQL, SOURCES_SQL, TRACKS_SQL, load, pa_sql, sep_sql, wrap_sql
 
-View = Callable[[SparkSession, str], DataFrame]
 R = 120.0  # match radius in arcseconds that suits the views
 
 
@@ -243,24 +241,19 @@ def cone_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH s AS ({SKY_SQL}), l AS (SELECT id, ra, dec, floor(dec * 20) AS z FROM s WHERE frame_index = 1), r AS (SELECT id, ra, dec, floor(dec * 20) AS z FROM s WHERE frame_index = 2),
+    f"""WITH s AS ({SKY_SQL}), l AS (SELECT id, ra, dec, floor(dec * 20) AS z FROM s WHERE frame_index % 2 = 1), r AS (SELECT id, ra, dec, floor(dec * 20) AS z FROM s WHERE frame_index % 2 = 0),
  n AS (SELECT id, ra, dec, z + k AS z FROM r, unnest([-1, 0, 1]) AS t(k)), p AS (SELECT l.id AS left_id, n.id AS right_id, {sep_sql('l.ra', 'l.dec', 'n.ra', 'n.dec')} AS sep FROM l JOIN n ON l.z = n.z AND {sep_sql('l.ra', 'l.dec', 'n.ra', 'n.dec')} <= 60)
  SELECT left_id, right_id, round(sep, 5) AS sep_arcsec FROM (SELECT *, row_number() OVER (PARTITION BY left_id ORDER BY round(sep, 7), right_id) AS k FROM p) WHERE k = 1"""
 )
-def sky_crossmatch(spark: SparkSession, sf_dir: str, left: str = "frame_index = 1", right: str = "frame_index = 2") -> DataFrame:
+def sky_crossmatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Odd frames against even ones: every line item takes part."""
     s = views.sky(spark, sf_dir)
-    a, b = s.where(left).withColumnRenamed("id", "left_id"), s.where(right).withColumnRenamed("id", "right_id")
+    a, b = s.where("frame_index % 2 = 1").withColumnRenamed("id", "left_id"), s.where("frame_index % 2 = 0").withColumnRenamed("id", "right_id")
     pairs = crossmatch.pairs_within(a.select("left_id", "ra", "dec"), b.select("right_id", "ra", "dec"), 60.0).select("l.left_id", "r.right_id", "sep_arcsec")
     rank = F.row_number().over(Window.partitionBy("left_id").orderBy(F.round("sep_arcsec", 7), "right_id"))
     return pairs.withColumn("k", rank).where("k = 1").select("left_id", "right_id", F.round("sep_arcsec", 5).alias("sep_arcsec"))
 
 
-@query(ORACLE_SQL["sky_crossmatch"].replace("WHERE frame_index = 1)", "WHERE frame_index % 2 = 1)").replace("WHERE frame_index = 2)", "WHERE frame_index % 2 = 0)"))
-def sky_crossmatch_all_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Odd frames against even ones: every line item takes part."""
-    return sky_crossmatch(spark, sf_dir, "frame_index % 2 = 1", "frame_index % 2 = 0")
-
-
 ISOLATED_SQL = f"""SELECT s.*, NOT EXISTS (SELECT 1 FROM f o WHERE o.frame_index = s.frame_index AND o.id <> s.id AND sqrt(pow(o.x - s.x, 2) + pow(o.y - s.y, 2)) <= t.reach) AS isolated
  FROM f s JOIN (SELECT frame_index, greatest(10, 3 * CASE WHEN median(fwhm) > 0 THEN median(fwhm) ELSE 4 END) AS reach FROM f GROUP BY 1) t ON t.frame_index = s.frame_index"""
 
@@ -460,14 +453,14 @@ SEEDS_SQL = f"""trk AS ({TRACKS_SQL}), sd AS (SELECT a.det_idx AS a, b.det_idx A
  {sep_sql('a.ra', 'a.dec', 'b.ra', 'b.dec')} / (b.time_min - a.time_min) AS speed, {wrap_sql('b.ra - a.ra')} / (b.time_min - a.time_min) AS v_ra, (b.dec - a.dec) / (b.time_min - a.time_min) AS v_dec FROM trk a JOIN trk b ON {SEED_COND})"""
 
 
-def seeds_of(spark: SparkSession, sf_dir: str, tracks: View) -> tuple[DataFrame, DataFrame]:
-    t = tracks(spark, sf_dir)
+def seeds_of(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    t = views.tracks(spark, sf_dir)
     return t, discovery.seed_pairs(t, MAX_SPEED)
 
 
 @query(f"WITH {SEEDS_SQL} SELECT a, b, round(speed, 6) AS speed, round(v_ra, 9) AS v_ra, round(v_dec, 9) AS v_dec FROM sd")
-def seed_pairs(spark: SparkSession, sf_dir: str, tracks: View = views.tracks) -> DataFrame:
-    return seeds_of(spark, sf_dir, tracks)[1].select("a", "b", r6("speed"), F.round("v_ra", 9).alias("v_ra"), F.round("v_dec", 9).alias("v_dec"))
+def seed_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return seeds_of(spark, sf_dir)[1].select("a", "b", r6("speed"), F.round("v_ra", 9).alias("v_ra"), F.round("v_dec", 9).alias("v_dec"))
 
 
 EXTEND_SQL = f"""ex AS (SELECT sd.a, sd.b, c.frame_index AS frame_c, min(c.det_idx) AS c FROM sd JOIN trk c ON c.frame_index <> frame_a AND c.frame_index <> frame_b
@@ -475,20 +468,20 @@ EXTEND_SQL = f"""ex AS (SELECT sd.a, sd.b, c.frame_index AS frame_c, min(c.det_i
 
 
 @query(f"WITH {SEEDS_SQL}, {EXTEND_SQL} SELECT a, b, frame_c, c FROM ex")
-def first_match(spark: SparkSession, sf_dir: str, tracks: View = views.tracks) -> DataFrame:
-    t, s = seeds_of(spark, sf_dir, tracks)
+def first_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t, s = seeds_of(spark, sf_dir)
     return discovery.predicted_matches(s, t, TOL)
 
 
 @query(f"WITH {SEEDS_SQL}, {EXTEND_SQL} SELECT a, b, CAST(count(*) + 2 AS BIGINT) AS points FROM ex GROUP BY 1, 2 HAVING count(*) + 2 >= 3")
-def tracklet_extend(spark: SparkSession, sf_dir: str, tracks: View = views.tracks) -> DataFrame:
-    t, s = seeds_of(spark, sf_dir, tracks)
+def tracklet_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t, s = seeds_of(spark, sf_dir)
     return discovery.predicted_matches(s, t, TOL).groupBy("a", "b").agg((F.count("*") + 2).alias("points")).where("points >= 3")
 
 
 @query()
 def link_movers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = views.all_tracks(spark, sf_dir)
+    t = views.tracks(spark, sf_dir)
     return discovery.link_movers(t, discovery.Settings(max_motion_arcsec_per_min=MAX_SPEED))
 
 
@@ -497,22 +490,22 @@ FIT_SQL = f"""trk AS ({TRACKS_SQL}), pt AS (SELECT *, time_min - min(time_min) O
 
 
 @query(f"WITH {FIT_SQL} SELECT user_id, n, round(sqrt(pow(v_ra * cos(radians(md)), 2) + pow(v_dec, 2)) * 3600, 5) AS speed, round(degrees(atan2(v_ra * cos(radians(md)), v_dec)), 4) AS pa_deg, round(arc, 6) AS arc_minutes FROM ft")
-def motion_fit(spark: SparkSession, sf_dir: str, tracks: View = views.tracks) -> DataFrame:
-    return motion.fit_motion(tracks(spark, sf_dir), "user_id").select("user_id", "n", F.round("speed_arcsec_min", 5).alias("speed"), F.round("pa_deg", 4).alias("pa_deg"), r6("arc_minutes"))
+def motion_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return motion.fit_motion(views.tracks(spark, sf_dir), "user_id").select("user_id", "n", F.round("speed_arcsec_min", 5).alias("speed"), F.round("pa_deg", 4).alias("pa_deg"), r6("arc_minutes"))
 
 
 @query(f"WITH {FIT_SQL} SELECT user_id, round(ra0 + v_ra * (arc + 60), 6) AS ra_1h, round(dec0 + v_dec * (arc + 60), 6) AS dec_1h, round(ra0 + v_ra * (arc + 1440), 6) AS ra_24h, round(dec0 + v_dec * (arc + 1440), 6) AS dec_24h FROM ft")
-def motion_predict(spark: SparkSession, sf_dir: str, tracks: View = views.tracks) -> DataFrame:
-    return motion.fit_motion(tracks(spark, sf_dir), "user_id").select("user_id", r6("ra_1h"), r6("dec_1h"), r6("ra_24h"), r6("dec_24h"))
+def motion_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return motion.fit_motion(views.tracks(spark, sf_dir), "user_id").select("user_id", r6("ra_1h"), r6("dec_1h"), r6("ra_24h"), r6("dec_24h"))
 
 
 CIRCLE_SQL = f"SELECT det_idx, user_id, time_min, (user_id * 7 + time_min * 5) - 360 * floor((user_id * 7 + time_min * 5) / 360) AS ra FROM ({TRACKS_SQL})"
 
 
 @query(f"WITH c AS ({CIRCLE_SQL}), s AS (SELECT *, ra - lag(ra) OVER (PARTITION BY user_id ORDER BY time_min, det_idx) AS d FROM c) SELECT det_idx, round(ra + sum(coalesce({wrap_sql('d')} - d, 0)) OVER (PARTITION BY user_id ORDER BY time_min, det_idx), 6) AS ra_u FROM s")
-def ra_unwrap(spark: SparkSession, sf_dir: str, tracks: View = views.tracks) -> DataFrame:
+def ra_unwrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     turn = F.col("user_id") * 7 + F.col("time_min") * 5
-    t = tracks(spark, sf_dir).withColumn("ra", turn - F.lit(360.0) * F.floor(turn / 360.0))
+    t = views.tracks(spark, sf_dir).withColumn("ra", turn - F.lit(360.0) * F.floor(turn / 360.0))
     return motion.unwrap_ra(t, "user_id", ["time_min", "det_idx"]).select("det_idx", r6("ra_u"))
 
 
@@ -520,30 +513,15 @@ PICK_BASE = f"SELECT *, count(*) OVER (PARTITION BY user_id) AS n, row_number()
 
 
 @query(f"SELECT user_id, det_idx FROM ({PICK_BASE}) WHERE CASE WHEN user_id % 2 = 0 THEN i = 1 OR i = n // 2 + 1 OR i = n ELSE s = 1 END")
-def mover_picks(spark: SparkSession, sf_dir: str, tracks: View = views.tracks) -> DataFrame:
-    t = tracks(spark, sf_dir)
+def mover_picks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = views.tracks(spark, sf_dir)
     kinds = t.select("user_id").distinct().withColumn("kind", F.when(F.col("user_id") % 2 == 0, "mover").otherwise("transient"))
     return motion.picks(t, kinds, "user_id").select("user_id", "det_idx")
 
 
 @query(f"SELECT user_id, det_idx, time_min FROM ({PICK_BASE}) WHERE i = n // 2 + 1")
-def mid_epoch(spark: SparkSession, sf_dir: str, tracks: View = views.tracks) -> DataFrame:
-    return motion.middle_epoch(tracks(spark, sf_dir), "user_id", ["frame_index", "det_idx"]).select("user_id", "det_idx", "time_min")
-
-
-def over_all_days(name: str) -> None:
-    """Registers NAME_all_days: the query and its SQL over every day instead of the first six."""
-    f = QUERIES[name]
-
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return f(spark, sf_dir, views.all_tracks)
-
-    run.__name__ = f"{name}_all_days"
-    query(ORACLE_SQL[name].replace(TRACKS_SQL, ALL_TRACKS_SQL))(run)
-
-
-for _name in ("seed_pairs", "first_match", "tracklet_extend", "motion_fit", "motion_predict", "ra_unwrap", "mover_picks", "mid_epoch"):
-    over_all_days(_name)
+def mid_epoch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return motion.middle_epoch(views.tracks(spark, sf_dir), "user_id", ["frame_index", "det_idx"]).select("user_id", "det_idx", "time_min")
 
 
 # ---- objects and candidates ------------------------------------------------------------------
@@ -614,23 +592,16 @@ def frames_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.agg(F.array_join(F.transform(F.array_sort(F.collect_set("frame_index")), lambda x: x.cast("string")), ",").alias("frames"))
 
 
-@query(f"SELECT id, CAST(row_number() OVER (ORDER BY frame_index, id) - 1 AS BIGINT) AS det_idx FROM ({SOURCES_SQL})")
+@query(f"SELECT id, CAST(row_number() OVER (ORDER BY frame_index, id) - 1 AS BIGINT) AS det_idx FROM ({SKY_SQL})")
 def obj_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return discovery.numbered(views.sources(spark, sf_dir).select("id", "frame_index"), "frame_index", "id").select("id", "det_idx")
+    return discovery.numbered(views.sky(spark, sf_dir).select("id", "frame_index"), "frame_index", "id").select("id", "det_idx")
 
 
 # ---- set operators, products -----------------------------------------------------------------
 
 
-@query(f"SELECT frame_index, id, round(snr, 6) AS snr, round(mag, 6) AS mag_calib FROM ({SOURCES_SQL}) WHERE frame_index < 2 UNION ALL SELECT frame_index, id, round(snr, 6), NULL FROM ({SOURCES_SQL}) WHERE frame_index = 2")
-def night_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = views.sources(spark, sf_dir)
-    a = s.where("frame_index < 2").select("frame_index", "id", r6("snr"), F.round("mag", 6).alias("mag_calib"))
-    return a.unionByName(s.where("frame_index = 2").select("frame_index", "id", r6("snr")), allowMissingColumns=True)
-
-
 @query(f"SELECT frame_index, id, round(snr, 6) AS snr, CASE WHEN frame_index % 3 <> 2 THEN round(mag, 6) END AS mag_calib FROM ({SOURCES_SQL})")
-def night_union_all_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+def night_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table of each frame, every third without calibrated magnitudes, in one: every source takes part."""
     s = views.sources(spark, sf_dir)
     frames = [r["frame_index"] for r in s.select("frame_index").distinct().orderBy("frame_index").collect()]  # a row a frame
@@ -693,11 +664,16 @@ def json_props(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "events").groupBy("event_type").agg(F.count("*").alias("n"), F.sum(F.when(k > 50, 1).otherwise(0)).cast("long").alias("flagged"))
 
 
-@query("SELECT conv_id, CAST(2 AS INTEGER) AS n_all, CAST(1 AS INTEGER) AS n_hazardous FROM conversations")
+@query("SELECT o_custkey, CAST(count(*) AS INTEGER) AS n_all, CAST(sum(CASE WHEN o_totalprice > 150000 THEN 1 ELSE 0 END) AS INTEGER) AS n_hazardous FROM orders GROUP BY 1")
 def neo_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    feed = F.lit('{"near_earth_objects": {"2024-01-01": [{"is_potentially_hazardous_asteroid": true}], "2024-01-02": [{"is_potentially_hazardous_asteroid": false}]}}')
-    a, h = motion.neo_counts(feed)
-    return load(spark, sf_dir, "conversations").select("conv_id", a.alias("n_all"), h.alias("n_hazardous"))
+    """Each customer's orders written as a feed of objects by day, every tenth body cut short beside a whole one."""
+    each = F.struct((F.col("o_totalprice") > 150000).alias("is_potentially_hazardous_asteroid"), F.col("o_orderkey").cast("string").alias("name"))
+    days = load(spark, sf_dir, "orders").groupBy("o_custkey", F.col("o_orderdate").cast("string").alias("day")).agg(F.collect_list(each).alias("found"))
+    feeds = days.groupBy("o_custkey").agg(F.to_json(F.struct(F.map_from_entries(F.collect_list(F.struct("day", "found"))).alias("near_earth_objects"))).alias("body"))
+    cut = feeds.where("o_custkey % 10 = 0").withColumn("body", F.expr("left(body, length(body) - 2)"))
+    a, h = motion.neo_counts(F.col("body"))
+    counted = feeds.unionByName(cut).select("o_custkey", a.alias("n_all"), h.alias("n_hazardous"))
+    return counted.where("n_all is not null")  # a body that can't be read has no counts
 
 
 @query(

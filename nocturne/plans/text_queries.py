@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..operators import retrieval
+from ..operators.components import spread
 from ..sources.knowledge import html_to_text
 from .registry import query
 from .views import load
@@ -29,7 +30,7 @@ SEARCH_SQL = f"""{WEIGHTS_SQL}, qt AS ({QTOKENS}), qs(token, t, n) AS (SELECT DI
 
 
 def chunks_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return retrieval.chunk_documents(load(spark, sf_dir, "documents"), "doc_id", "source")
+    return retrieval.chunk_documents(spread(load(spark, sf_dir, "documents").select("doc_id", "source", "text"), "doc_id"), "doc_id", "source")
 
 
 @query(f"WITH ch AS ({CHUNKS_SQL}) SELECT key, pos, source, length(passage) AS n_chars, md5(passage) AS digest FROM ch")
@@ -84,10 +85,15 @@ def safe_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "pages").select("page_id", text.safe_name(F.col("url")).alias("name"))
 
 
-@query("SELECT conv_id, turn, role || ' says' AS message FROM conversations")
+@query("SELECT event_id, CASE event_id % 4 WHEN 3 THEN event_type || ' 2026-01-02' ELSE event_type || ' ' || props END AS message FROM events")
 def log_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    line = F.concat(F.lit("2026-01-02 03:04:05,678 INFO engine.run: "), F.col("role"), F.lit(" says"))
-    return load(spark, sf_dir, "conversations").select("conv_id", "turn", text.log_message(line).alias("message"))
+    """Events as log lines of three forms, and lines without a prefix, which stay as they are."""
+    e, k = load(spark, sf_dir, "events"), F.col("event_id") % 4
+    stamp = F.date_format("ts", "yyyy-MM-dd HH:mm:ss,SSS")
+    level = F.element_at(F.array(*map(F.lit, ("INFO", "WARNING", "ERROR"))), (F.col("event_id") % 3 + 1).cast("int"))
+    message = F.concat("event_type", F.lit(" "), "props")
+    line = F.when(k == 0, F.concat(stamp, F.lit(" "), level, F.lit(" engine.run: "), message)).when(k == 1, F.concat(stamp, F.lit(" ["), level, F.lit("] engine.run: "), message)).when(k == 2, F.concat(F.replace(stamp, F.lit(" "), F.lit("T")), F.lit("  "), level, F.lit("  engine: "), message)).otherwise(F.concat("event_type", F.lit(" 2026-01-02")))
+    return e.select("event_id", text.log_message(line).alias("message"))
 
 
 @query()

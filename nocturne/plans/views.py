@@ -116,35 +116,22 @@ def sky(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "lineitem").select((F.col("l_orderkey") * 8 + n).alias("id"), n.cast("long").alias("frame_index"), (a - F.lit(360.0) * F.floor(a / F.lit(360.0))).alias("ra"), (F.lit(-60.0) + F.lit(120.0) * (d - F.floor(d))).alias("dec"))
 
 
-TRACKS_SQL = """SELECT row_number() OVER (ORDER BY day, user_id) - 1 AS det_idx, user_id, CAST(day AS BIGINT) AS frame_index, 8.0::DOUBLE * day AS time_min,
- 130 + (user_id * 137.508::DOUBLE - 20 * floor(user_id * 137.508::DOUBLE / 20)) + 0.005::DOUBLE * day AS ra, 10 + 0.003::DOUBLE * day AS dec, snr
- FROM (SELECT user_id, date_diff('day', CAST((SELECT min(ts) FROM events) AS DATE), CAST(ts AS DATE)) AS day, max(10 + value) AS snr FROM events GROUP BY 1, 2) WHERE day BETWEEN 0 AND 5"""
-
-
-#: The same over all days.
-ALL_TRACKS_SQL = TRACKS_SQL.removesuffix(" WHERE day BETWEEN 0 AND 5")
+TRACKS_SQL = """SELECT row_number() OVER (ORDER BY day, u) - 1 AS det_idx, u * 100 + day // 6 AS user_id, CAST(day AS BIGINT) AS frame_index, 1440.0::DOUBLE * (day // 6) + 8.0::DOUBLE * (day % 6) AS time_min,
+ 100 + 25 * (day // 6) + (u * 137.508::DOUBLE - 20 * floor(u * 137.508::DOUBLE / 20)) + 0.005::DOUBLE * (day % 6) AS ra, 10 + 0.003::DOUBLE * (day % 6) AS dec, snr
+ FROM (SELECT user_id AS u, date_diff('day', CAST((SELECT min(ts) FROM events) AS DATE), CAST(ts AS DATE)) AS day, max(10 + value) AS snr FROM events GROUP BY 1, 2)"""
 
 
 def tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Movers: one detection a user and day of the first six that exists, along straight lines."""
-    return _tracks(spark, sf_dir, "day between 0 and 5")
-
-
-def all_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Movers: one detection a user and day that exists, along straight lines."""
-    return _tracks(spark, sf_dir, "true")
-
-
-def _tracks(spark: SparkSession, sf_dir: str, days: str) -> DataFrame:
+    """Movers: a detection for each user and day that exists; six days make a night of six frames, each night has its own part of the sky."""
     from ..operators.discovery import numbered
 
     events = load(spark, sf_dir, "events")
     first = F.broadcast(events.agg(F.to_date(F.min("ts")).alias("d0")))
-    day = F.date_diff(F.to_date("ts"), F.col("d0"))
-    rows = events.crossJoin(first).groupBy("user_id", day.alias("day")).agg(F.max(F.lit(10.0) + F.col("value")).alias("snr")).where(days)
-    u = F.col("user_id") * F.lit(137.508)
-    placed = rows.select("user_id", F.col("day").cast("long").alias("frame_index"), (F.lit(8.0) * F.col("day")).alias("time_min"), (F.lit(130.0) + (u - F.lit(20.0) * F.floor(u / F.lit(20.0))) + F.lit(0.005) * F.col("day")).alias("ra"), (F.lit(10.0) + F.lit(0.003) * F.col("day")).alias("dec"), "snr")
-    return numbered(placed, "frame_index", "user_id")
+    rows = events.crossJoin(first).groupBy(F.col("user_id").alias("u"), F.date_diff(F.to_date("ts"), F.col("d0")).alias("day")).agg(F.max(F.lit(10.0) + F.col("value")).alias("snr"))
+    turn, night, step = F.col("u") * F.lit(137.508), F.expr("day div 6"), F.col("day") % 6
+    ra = F.lit(100) + night * 25 + (turn - F.lit(20.0) * F.floor(turn / F.lit(20.0))) + F.lit(0.005) * step
+    placed = rows.select("u", (F.col("u") * 100 + night).alias("user_id"), F.col("day").cast("long").alias("frame_index"), (F.lit(1440.0) * night + F.lit(8.0) * step).alias("time_min"), ra.alias("ra"), (F.lit(10.0) + F.lit(0.003) * step).alias("dec"), "snr")
+    return numbered(placed, "frame_index", "u").drop("u")
 
 
 def wrap_sql(d: str) -> str:

@@ -17,7 +17,9 @@ SRC = "frame_index long, id long, time_min double, ra double, dec double, snr do
 
 def test_components(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(30)] + [(50, 51), (52, 51), (60, 60), (70, None)], "u long, v long")
-    assert {r.node: r.root for r in connected_components(edges).collect()} == {**dict.fromkeys(range(31), 0), 50: 50, 51: 50, 52: 50}
+    for native in (False, True):
+        assert {r.node: r.root for r in connected_components(edges, native=native).collect()} == {**dict.fromkeys(range(31), 0), 50: 50, 51: 50, 52: 50}
+        assert connected_components(edges.limit(0), native=native).count() == 0
 
 
 def test_components_of_a_long_path(spark):

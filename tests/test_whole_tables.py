@@ -27,16 +27,16 @@ def same_as_sql(spark, sf_dir, db, name):
 
 
 def test_tracks_hold_every_user_and_day(spark, sf_dir, db):
-    assert views.all_tracks(spark, sf_dir).count() == db.sql("SELECT count(*) FROM (SELECT DISTINCT user_id, CAST(ts AS DATE) FROM events)").fetchall()[0][0]
+    assert views.tracks(spark, sf_dir).count() == db.sql("SELECT count(*) FROM (SELECT DISTINCT user_id, CAST(ts AS DATE) FROM events)").fetchall()[0][0]
 
 
 @pytest.mark.parametrize("name", MOTION)
 def test_motion_over_all_days(spark, sf_dir, db, name):
-    same_as_sql(spark, sf_dir, db, f"{name}_all_days")
+    same_as_sql(spark, sf_dir, db, name)
 
 
 def test_movers_are_linked_over_all_days(spark, sf_dir):
-    rows = [tuple(r) for r in views.all_tracks(spark, sf_dir).select("det_idx", "frame_index", "time_min", "ra", "dec").collect()]
+    rows = [tuple(r) for r in views.tracks(spark, sf_dir).select("det_idx", "frame_index", "time_min", "ra", "dec").collect()]
     got = {}
     for r in driver.queries()["link_movers"](spark, sf_dir).collect():
         got.setdefault(r.track, []).append(r.det_idx)
@@ -46,12 +46,12 @@ def test_movers_are_linked_over_all_days(spark, sf_dir):
 
 
 def test_every_frame_is_matched(spark, sf_dir, db):
-    same_as_sql(spark, sf_dir, db, "sky_crossmatch_all_frames")
-    left = {r.left_id % 8 for r in driver.queries()["sky_crossmatch_all_frames"](spark, sf_dir).select("left_id").collect()}
+    same_as_sql(spark, sf_dir, db, "sky_crossmatch")
+    left = {r.left_id % 8 for r in driver.queries()["sky_crossmatch"](spark, sf_dir).select("left_id").collect()}
     assert left == {1, 3, 5, 7}
 
 
 def test_every_frame_is_united(spark, sf_dir, db):
-    same_as_sql(spark, sf_dir, db, "night_union_all_frames")
-    n = driver.queries()["night_union_all_frames"](spark, sf_dir).count()
+    same_as_sql(spark, sf_dir, db, "night_union")
+    n = driver.queries()["night_union"](spark, sf_dir).count()
     assert n == db.sql("SELECT count(*) FROM embeddings").fetchall()[0][0]
