@@ -144,7 +144,7 @@ def judge(pages: DataFrame, rules: list[Rule], scratch: Scratch, edges: DataFram
     """
     found = alias_edges(pages, scratch)
     found = found if edges is None else found.unionByName(edges.select("u", "v"))
-    classes = components(found, scratch, "aliases")
+    classes = components(found, scratch, "aliases", native=True)
     as_url = F.concat(F.lit("x://"), F.col("node"))
     own = rule_of(host_of(as_url), path_of(as_url), rules)["verdict"]
     decided = (
