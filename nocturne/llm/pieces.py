@@ -7,8 +7,10 @@ falls into chunks, each with an agenda of its own. Short chunks are merged many
 of pair scores is the agenda of each row); long ones with a heap. The ids of short chunks are kept
 in a store of bounded size. Characters without a piece fall back to bytes, else to the unknown id.
 
-In every Arrow batch every whole text's ids are held against the sentencepiece library before they
-are used; any difference raises. Models whose pieces or normalisation would not allow chunks (other
+In every Arrow batch the sentencepiece library is asked about every chunk that the store doesn't hold
+(joined to texts again, as each begins with a space) before its ids are used, and about every
+WHOLE-th whole text; any difference raises. As texts are nothing but chunks, every id stands under
+that check. Models whose pieces or normalisation would not allow chunks (other
 than spaces to marks with a mark in front) are refused when they are loaded.
 """
 
@@ -29,9 +31,10 @@ from .textbytes import slices
 
 MARK = "▁"
 SHORT = 48  # characters of a chunk that the matrix form takes and the store keeps
-CACHE = 500_000  # chunks kept at most: a string of SHORT characters, a place and its ids, under 200 MB a worker at the worst
+CACHE = 800_000  # chunks kept at most: a string of SHORT characters, a place and its ids, about 130 MB a worker, 250 MB at the worst
 PROBES = ("a b", " a  b ", "\ufb01 \u2460 e\u0301 \u00e9 \uff21\t\u3000x")  # what other normalisations change
-SLICE = 2 << 20  # bytes of text encoded together
+SLICE = 4 << 20  # bytes of text encoded together
+WHOLE, JOINED = 4, 500  # of so many texts one is asked about as a whole; chunks joined to one text
 
 
 class PieceModel:
@@ -58,6 +61,7 @@ class PieceModel:
         for s, i in number.items():
             if len(s) == 1:
                 self.of_char[ord(s)] = i
+        self.of_char[ord(" ")] = self.of_char[ord(MARK)]
         self.score = np.array([sp.get_score(self.piece_id[s]) if s in self.piece_id else -np.inf for s in self.symbols])
         left, right, whole = [], [], []
         for s, i in number.items():
@@ -217,13 +221,15 @@ class PieceModel:
     def encode(self, texts: list[str]) -> list[list[int]]:
         """The ids of each whole text, as the library gives them without options."""
         kept = self.kept
-        split = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+").findall
-        chunks = [split(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
+        split = re.compile(" *[^ ]+| +").findall  # spaces stand for marks: most chunks are plain ASCII
+        chunks = [split(" " + (t.replace(MARK, " ") if MARK in t else t)) if t else [] for t in texts]
         counts = np.array([len(c) for c in chunks], np.int64)
         at = np.fromiter(map(kept.__getitem__, chain.from_iterable(chunks)), np.int64, int(counts.sum()))
         for names, n, ids in self._matrix(kept.new):
+            self._check_chunks(names, n, ids)
             kept.store(names, n, ids)
         long_ids = [self._ids(c, self._heap(c)) for c in kept.long]
+        self._check_chunks(list(kept.long), np.array([len(x) for x in long_ids], np.int64), np.array(list(chain.from_iterable(long_ids)), np.int32))
         n_long = np.array([len(x) for x in long_ids], np.int64)
         flat = np.concatenate([kept.flat[: kept.used], np.array(list(chain.from_iterable(long_ids)), np.int32)])
         start = np.concatenate([kept.start[: len(kept)], kept.used + np.cumsum(n_long) - n_long])
@@ -236,6 +242,19 @@ class PieceModel:
         kept.trim(at)
         return [ids[lo:hi] for lo, hi in zip(bounds[:-1], bounds[1:], strict=True)]
 
+    def _check_chunks(self, chunks: list[str], n: np.ndarray, ids: np.ndarray) -> None:
+        """Asks the library about the chunks in texts made of them; one of spaces alone ends its text."""
+        texts, bounds, ends = [], [0], np.cumsum(n)
+        part: list[str] = []
+        for i, c in enumerate(chunks):
+            part.append(c)
+            if len(part) == JOINED or i + 1 == len(chunks) or not c.strip(" "):
+                texts.append("".join(part)[1:])  # the library puts the first mark itself
+                bounds.append(int(ends[i]))
+                part = []
+        flat = ids.tolist()  # the first mark alone has no text
+        self.check([t for t in texts if t], [flat[lo:hi] for t, lo, hi in zip(texts, bounds[:-1], bounds[1:], strict=True) if t])
+
     def decode(self, ids: list[list[int]]) -> list[str]:
         return self.library.decode(ids, num_threads=1)
 
@@ -324,7 +343,7 @@ def encode_documents(docs: DataFrame, model_file: str, keep: tuple[str, ...] = (
                 for lo, hi in slices(texts, SLICE):
                     part = texts.slice(lo, hi - lo).to_pylist()
                     ids = m.encode(part)
-                    m.check(part, ids)
+                    m.check(part[::WHOLE], ids[::WHOLE])
                     text = m.decode(ids)
                     columns = [batch.column(i).slice(lo, hi - lo) for i in range(len(keep))]
                     columns.append(pa.array([len(x) for x in ids], pa.int64()))

@@ -2,6 +2,7 @@ import gc
 import hashlib
 import random
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -57,6 +58,17 @@ def test_collections_go_on_after_a_task(docs, monkeypatch):
     assert gc.isenabled()
 
 
+def test_a_wrong_chunk_raises(monkeypatch):
+    wrong = PieceModel(tokenizer_file())
+    wrong.score = wrong.score.copy()
+    wrong.score[: len(wrong.piece_id)] *= -1.0  # the agenda's order turned round
+    with pytest.raises(AssertionError, match="differ"):
+        wrong.encode(["international understanding of words"])
+    wrong.kept.trim(np.zeros(0, np.int64))
+    with pytest.raises(AssertionError, match="differ"):
+        wrong.encode(["x" + "international" * 20])
+
+
 def test_a_wrong_id_in_a_batch_raises(model, monkeypatch):
     texts = ["first text", "second text"]
     ids = model.encode(texts)
