@@ -13,7 +13,7 @@ from .plans.config import INSTRUMENTS, NightConfig
 
 def _paths(config: NightConfig, base: str) -> NightConfig:
     root = Path(base)
-    for name in ("raw", "reduced", "catalogs", "reports"):
+    for name in ("raw", "master", "reduced", "catalogs", "reports"):
         setattr(config.paths, name, str(root / name))
     return config
 

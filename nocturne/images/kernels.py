@@ -184,10 +184,10 @@ def _box_level(values: np.ndarray, estimator: str) -> tuple[float, float]:
     return (2.5 * med - 1.5 * mean if std > 0 and abs(mean - med) / std < 0.3 else med), std
 
 
-def _smooth_mesh(mesh: np.ndarray, shape: tuple[int, int], box: int) -> np.ndarray:
-    """3 x 3 median, then Catmull-Rom interpolation from box centres to pixels."""
+def _smooth_mesh(mesh: np.ndarray, shape: tuple[int, int], box: int, size: int = 3) -> np.ndarray:
+    """Median of size x size boxes, then Catmull-Rom interpolation from box centres to pixels."""
     filled = np.where(np.isnan(mesh), np.nanmedian(mesh) if not np.isnan(mesh).all() else 0.0, mesh)
-    mesh = median_filter(filled, 3) if min(mesh.shape) > 1 else filled
+    mesh = median_filter(filled, size) if min(mesh.shape) > 1 and size > 1 else filled
     for axis, n in enumerate(shape):
         at = (np.arange(n) + 0.5) / box - 0.5
         i, t = np.floor(at).astype(int), at - np.floor(at)
@@ -198,7 +198,7 @@ def _smooth_mesh(mesh: np.ndarray, shape: tuple[int, int], box: int) -> np.ndarr
     return mesh
 
 
-def background(image: np.ndarray, box: int = 64, estimator: str = "sextractor", nsigma: float = 3.0, npixels: int = 5, passes: int = 2) -> dict:
+def background(image: np.ndarray, box: int = 64, estimator: str = "sextractor", nsigma: float = 3.0, npixels: int = 5, passes: int = 2, filter_size: int = 3) -> dict:
     """Sky mesh with source masking: level, rms, sub (sky-subtracted), source_mask, median, median_rms."""
     mask = np.zeros(image.shape, bool)
     box = min(box, *image.shape)
@@ -211,7 +211,7 @@ def background(image: np.ndarray, box: int = 64, estimator: str = "sextractor",
                 free = image[part][~mask[part]]
                 if len(free) >= 0.1 * image[part].size:
                     level[r, c], rms[r, c] = _box_level(free.astype(np.float64), estimator)
-        sky, noise = _smooth_mesh(level, image.shape, box), np.maximum(_smooth_mesh(rms, image.shape, box), 1e-6)
+        sky, noise = _smooth_mesh(level, image.shape, box, filter_size), np.maximum(_smooth_mesh(rms, image.shape, box, filter_size), 1e-6)
         found = detect(convolve(image - sky, gaussian_kernel()), nsigma * noise, npixels)
         if not found.any():
             break

@@ -114,7 +114,9 @@ def verdict(kind: Column, checks: Column, speed: Column) -> tuple[Column, Column
     asked = F.exists(F.filter(checks, lambda c: c["service"] != "local_reference"), lambda c: c["status"] == "no_match")
     told = F.when((kind == "mover") & any_match, "known moving object").when((kind == "mover") & asked, F.format_string("uncatalogued moving object (%.2f arcsec/min)", speed)).when(kind == "mover", F.format_string("moving object, identity unchecked (%.2f arcsec/min)", speed)).when((kind == "transient") & any_match, "catalogued object missing from the reference").when((kind == "transient") & asked, "new stationary source").when(kind == "transient", "stationary source, identity unchecked").when(kind == "variable", "variable star candidate").otherwise("no follow-up")
     action = F.when((kind == "mover") & any_match, "report astrometry").when(kind == "mover", "check services, then report as new").when((kind == "transient") & any_match, "inspect by eye").when(kind == "transient", "take another image soon").when(kind == "variable", "extend the light curve").otherwise("none")
-    return told, action
+    away = F.array_join(F.transform(F.filter(checks, lambda c: c["status"] == "unavailable"), lambda c: c["service"]), ", ")
+    caveat = F.when((away != "") & kind.isin("mover", "transient"), F.concat(F.lit(" ("), away, F.lit(" could not be reached: re-check online)"))).otherwise("")
+    return F.concat(told, caveat), action
 
 
 def neo_counts(body: Column) -> tuple[Column, Column]:

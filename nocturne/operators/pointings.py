@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -38,12 +38,12 @@ def pointing_clusters(frames: DataFrame, fov_arcmin: float | None) -> DataFrame:
     return frames.withColumn("night_", night).groupBy("night_").applyInPandas(lambda pdf: group(pdf), "frame_index long, field_id long")
 
 
-def merge_fields(parts: list[DataFrame]) -> DataFrame:
+def merge_fields(parts: dict[int, DataFrame]) -> DataFrame:
     """One ranked table of several fields' objects: obj_id is offset by the objects of the fields before."""
-    out, offset = None, F.lit(0)
-    for i, part in enumerate(parts):
-        tagged = part.withColumn("field_id", F.lit(i))
+    out = None
+    for field, part in parts.items():
+        tagged = part.withColumn("field_id", F.lit(field))
         out = tagged if out is None else out.unionByName(tagged, allowMissingColumns=True)
-    sizes = out.groupBy("field_id").agg(F.count("*").alias("n")).withColumnRenamed("field_id", "f_")
-    before = out.select("field_id").distinct().join(F.broadcast(sizes), F.col("f_") < F.col("field_id"), "left").groupBy("field_id").agg(F.coalesce(F.sum("n"), offset).alias("offset"))
+    sizes = out.groupBy("field_id").agg(F.count("*").alias("n"))
+    before = sizes.select("field_id", (F.sum("n").over(Window.orderBy("field_id")) - F.col("n")).alias("offset"))  # a row a field
     return out.join(F.broadcast(before), "field_id").withColumn("obj_id", F.col("obj_id") + F.col("offset")).drop("offset")

@@ -14,7 +14,7 @@ from pathlib import Path
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import headers, photometric, sky
@@ -27,6 +27,8 @@ from .config import Instrument, NightConfig
 
 log = logging.getLogger("nocturne.night")
 
+MATCH_ARCSEC = 3.0  # of the astrometric refinement
+
 SOURCE_SCHEMA = (
     "frame string, frame_index long, id long, x double, y double, flux double, flux_err double, snr double, kron_flux double, fwhm double, ellipticity double, elongation double, peak double, area double, "
     "local_bkg double, flux_aper double, flux_aper_err double, snr_aper double, sky_adu double, bkg_rms_adu double, n_cosmic_rays long, ok boolean, error string"
@@ -78,12 +80,13 @@ def _assemble(blocks: DataFrame) -> dict[str, np.ndarray]:
     return {k: np.concatenate([b for _, b in sorted(v, key=lambda p: p[0])]) for k, v in out.items()}
 
 
-def _levelled(frames: DataFrame, run) -> DataFrame:
-    """kind, ny, nx, v of frames whose pixels ``run(image, row)`` changes."""
+def _levelled(frames: DataFrame, run, held: dict) -> DataFrame:
+    """kind, ny, nx, v of frames whose pixels ``run(image, row, held)`` changes; the images in ``held`` go to a machine once."""
+    shared = frames.sparkSession.sparkContext.broadcast(held)
 
     def every(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = [{"kind": r.kind, "ny": r.ny, "nx": r.nx, "v": run(np.frombuffer(r.px, "<f4").reshape(r.ny, r.nx), r).astype("<f4").tobytes()} for r in pdf.itertuples(index=False)]
+            rows = [{"kind": r.kind, "ny": r.ny, "nx": r.nx, "v": run(np.frombuffer(r.px, "<f4").reshape(r.ny, r.nx), r, shared.value).astype("<f4").tobytes()} for r in pdf.itertuples(index=False)]
             yield pd.DataFrame(rows, columns=["kind", "ny", "nx", "v"])
 
     return frames.select("kind", "ny", "nx", "px", "exptime").mapInPandas(every, "kind string, ny int, nx int, v binary")
@@ -93,13 +96,13 @@ def build_masters(frames: DataFrame, out_dir: str | None = None) -> dict:
     """bias, dark_rate, flats by filter and the bad-pixel mask of readable calibration frames."""
     m: dict = {"bias": None, "dark_rate": None, "flats": {}, "bad": None}
     usable = frames.where("error is null and px is not null")
-    bias = _levelled(usable.where("ftype = 'bias'").withColumn("kind", F.lit("bias")), lambda im, r: im)
+    bias = _levelled(usable.where("ftype = 'bias'").withColumn("kind", F.lit("bias")), lambda im, r, held: im, {})
     m["bias"] = _assemble(combine_frames(bias, ["kind"])).get("bias")
     darks = usable.where("ftype = 'dark'").withColumn("e", F.round("exptime", 1))
     longest = darks.agg(F.max("e").alias("e")).first()["e"]
     level = m["bias"]
     if longest is not None:
-        dark = _levelled(darks.where(F.col("e") == longest).withColumn("kind", F.lit("dark")), lambda im, r: im)
+        dark = _levelled(darks.where(F.col("e") == longest).withColumn("kind", F.lit("dark")), lambda im, r, held: im, {})
         image = _assemble(combine_frames(dark, ["kind"]))["dark"].astype(np.float64)
         image = image - level if level is not None else image
         m["dark_rate"] = (image / longest if longest > 0 else image).astype(np.float32)
@@ -108,14 +111,14 @@ def build_masters(frames: DataFrame, out_dir: str | None = None) -> dict:
         log.warning("no dark frames: dark subtraction is left out")
     rate = m["dark_rate"]
 
-    def flatten(im: np.ndarray, r) -> np.ndarray:
-        im = im.astype(np.float64)
+    def flatten(im: np.ndarray, r, held: dict) -> np.ndarray:
+        im, level, rate = im.astype(np.float64), held["level"], held["rate"]
         im = im - level if level is not None else im
         im = im - rate * r.exptime if rate is not None else im
         mid = np.median(im)
         return im / mid if mid > 0 else im
 
-    flats = _levelled(usable.where("ftype = 'flat'").withColumn("kind", F.col("filt")), flatten)
+    flats = _levelled(usable.where("ftype = 'flat'").withColumn("kind", F.col("filt")), flatten, {"level": level, "rate": rate})
     for filt, image in _assemble(combine_frames(flats, ["kind"])).items():
         norm = float(np.median(image))
         if norm <= 0:
@@ -155,10 +158,11 @@ def process_frame(image: np.ndarray, row, masters: dict, inst: Instrument, confi
     if config.denoise.enabled:
         data = kernels.denoise(data, config.denoise.method, config.denoise.strength)
     d = config.detect
-    bkg = kernels.background(data, config.background.box_size, config.background.estimator, d.nsigma, d.npixels, config.background.mask_sources_iters)
+    bkg = kernels.background(data, config.background.box_size, config.background.estimator, d.nsigma, d.npixels, config.background.mask_sources_iters, config.background.filter_size)
     smooth = kernels.convolve(bkg["sub"], kernels.gaussian_kernel(d.kernel_fwhm))
     seg = kernels.detect(smooth, d.nsigma * bkg["rms"], d.npixels)
-    seg = kernels.deblend(smooth, seg, d.deblend_levels, d.deblend_contrast, d.npixels)
+    if d.deblend:
+        seg = kernels.deblend(smooth, seg, d.deblend_nlevels, d.deblend_contrast, d.npixels)
     error = np.sqrt(np.clip(variance, 0, None))
     t = pd.DataFrame(kernels.measure(bkg["sub"], smooth, error, seg))
     if reduced:
@@ -201,12 +205,10 @@ def extract(lights: DataFrame, masters: dict, inst: Instrument, config: NightCon
 
 def timed(lights: DataFrame) -> DataFrame:
     """Adds frame_index and time_min: parsed times from the first frame, or plain order if any fails."""
-    every, order = Window.partitionBy(F.lit(1)), Window.partitionBy(F.lit(1)).orderBy("dateobs", "frame")  # a night's listing
-    t = lights.withColumn("m", headers.time_minutes(F.col("dateobs")))
-    t = t.withColumns({"all": F.bool_and(F.col("m").isNotNull()).over(every), "i": F.row_number().over(order) - 1})
-    t = t.withColumn("key", F.when(F.col("all"), F.col("m")).otherwise(F.col("i").cast("double")))
-    by_time = Window.partitionBy(F.lit(1)).orderBy("key", "frame")
-    return t.withColumns({"frame_index": (F.row_number().over(by_time) - 1).cast("long"), "time_min": F.col("key") - F.min("key").over(every)}).drop("m", "all", "i", "key")
+    t = discovery.numbered(lights.withColumn("m", headers.time_minutes(F.col("dateobs"))), "dateobs", "frame")
+    whole = F.broadcast(t.agg(F.bool_and(F.col("m").isNotNull()).alias("all"), F.min("m").alias("first")))  # one row
+    keyed = t.crossJoin(whole).withColumn("time_min", F.when(F.col("all"), F.col("m") - F.col("first")).otherwise(F.col("det_idx").cast("double"))).drop("m", "all", "first", "det_idx")
+    return discovery.numbered(keyed, "time_min", "frame").withColumnRenamed("det_idx", "frame_index")
 
 
 def with_positions(sources: DataFrame, lights: DataFrame, inst: Instrument) -> DataFrame:
@@ -229,36 +231,43 @@ def run_night(spark: SparkSession, config: NightConfig, write: bool = True) -> N
     lights = work.put(timed(meta.where("ftype = 'light'")), "lights")
     if lights.isEmpty():
         raise RuntimeError(f"no science frames in {config.paths.raw}")
-    masters = build_masters(meta, config.paths.reduced if write else None)
+    masters = build_masters(meta, config.paths.master if write else None)
     raw_sources = work.put(extract(lights, masters, inst, config, config.paths.reduced if write else None), "extracted")
     if raw_sources.where("ok").isEmpty():
         raise RuntimeError("every science frame failed")
-    reference = acquire_reference(spark, config, lights, inst)
-    placed = work.put(with_positions(raw_sources.where("ok and id is not null"), lights, inst), "placed")
+    fields = work.put(pointings.pointing_clusters(lights.select("frame_index", *_pointing(lights)), inst.fov_arcmin), "fields")
+    anchors = lights.select("frame_index", *_pointing(lights)).join(fields, "frame_index").where("ra is not null and dec is not null").groupBy("field_id").agg(F.min_by("ra", "frame_index").alias("ra"), F.min_by("dec", "frame_index").alias("dec"))
+    reference = acquire_reference(spark, config, anchors, inst)
+    placed = with_positions(raw_sources.where("ok and id is not null"), lights, inst)
+    if not config.astrometry.use_header_wcs:  # and there is no plate solver
+        log.warning("header coordinates are not used: sources have no positions")
+        placed = placed.withColumns({c: F.lit(None).cast("double") for c in ("ra", "dec")})
+    placed = work.put(placed, "placed")
     astrometry = None
     if reference is not None:
         reference = work.put(reference, "reference")
-        astrometry = work.put(calibration.refine_astrometry(placed.where("ra is not null").select("frame_index", "id", "ra", "dec"), reference, "id", "frame_index", config.astrometry.match_radius_arcsec), "astrometry")
+    if reference is not None and config.astrometry.enabled:
+        astrometry = work.put(calibration.refine_astrometry(placed.where("ra is not null").select("frame_index", "id", "ra", "dec"), reference, "id", "frame_index", MATCH_ARCSEC), "astrometry")
         shift = F.broadcast(astrometry.select("frame_index", "shift_ra", "shift_dec"))
         placed = placed.join(shift, "frame_index", "left").withColumns({"ra": F.pmod(F.col("ra") + F.coalesce("shift_ra", F.lit(0.0)), F.lit(360.0)), "dec": F.col("dec") + F.coalesce("shift_dec", F.lit(0.0))}).drop("shift_ra", "shift_dec")
     measured = placed.withColumn("seg_flux", F.col("flux")).withColumn("flux", F.col("flux_aper")).withColumn("seg_snr", F.col("snr")).withColumn("snr", F.col("snr_aper"))
-    calibrated = calibration.calibrate(measured, reference, F.col("exptime"), F.col("filt"), config.photometry.match_radius_arcsec, config.photometry.min_ref_stars, "id", "frame_index")
+    calibrated = calibration.calibrate(measured, reference if config.photometry.enabled else None, F.col("exptime"), F.col("filt"), config.photometry.match_radius_arcsec, config.photometry.min_ref_stars, "id", "frame_index")
     sources = calibrated.withColumns({"flux": F.col("seg_flux"), "snr": F.col("seg_snr"), "mag_err": photometric.instrumental_mag_err(F.col("snr_aper"))}).drop("seg_flux", "seg_snr")
     sources = work.put(sources, "sources")
     qa = work.put(frame_qa(sources, raw_sources, lights, astrometry, inst), "qa")
     d = config.discovery
     settings = discovery.Settings(d.enabled, d.catalog_match_radius_arcsec, d.flag_unmatched, d.moving_object_link, d.max_motion_arcsec_per_min, d.min_tracklet_points, d.variability, d.min_snr, d.top_n)
-    fields = pointings.pointing_clusters(lights.select("frame_index", *_pointing(lights)), inst.fov_arcmin)
     tagged = work.put(sources.join(F.broadcast(fields), "frame_index"), "tagged")
-    parts = []
+    parts = {}
     for row in tagged.select("field_id").distinct().orderBy("field_id").collect():  # a row a field
-        part = tagged.where(F.col("field_id") == row["field_id"])
-        try:
-            parts.append(discovery.discover(part, reference, settings))
+        field = row["field_id"]
+        try:  # stored here, so that a failure shows here
+            parts[field] = work.put(discovery.discover(tagged.where(F.col("field_id") == field), reference, settings), f"objects_{field}")
         except Exception:  # noqa: BLE001  one field must not end the night
-            log.exception("discovery of field %s failed", row["field_id"])
-    objects = parts[0].withColumn("field_id", F.lit(0)) if len(parts) == 1 else pointings.merge_fields(parts)
-    objects = work.put(objects, "all_objects")
+            log.exception("discovery of field %s failed", field)
+    if not parts:
+        raise RuntimeError("discovery failed in every field")
+    objects = work.put(pointings.merge_fields(parts), "all_objects")
     result = NightResult(meta, sources, qa, objects, discovery.candidates(objects, d.top_n), reference, inst)
     if write:
         from .products import write_products

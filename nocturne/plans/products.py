@@ -9,8 +9,10 @@ import base64
 import html
 import json
 import math
+import shutil
 from pathlib import Path
 from typing import Any
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -105,13 +107,25 @@ def _page(title: str, body: str) -> str:
     return f"<!DOCTYPE html><html><head><meta charset='utf-8'><title>{html.escape(title)}</title><style>{style}</style></head><body><h1>{html.escape(title)}</h1>{body}</body></html>"
 
 
+def _trend(frames: list[dict], width: int = 480, height: int = 90) -> str:
+    """Seeing, zero point and limiting magnitude over the frames as small line drawings."""
+    out = []
+    for name in ("fwhm_arcsec", "zeropoint", "limiting_mag"):
+        points = [(i, f[name]) for i, f in enumerate(frames) if isinstance(f.get(name), float) and math.isfinite(f[name])]
+        if len(points) > 1:
+            lo, hi = min(v for _, v in points), max(v for _, v in points)
+            at = " ".join(f"{10 + i * (width - 20) / max(1, len(frames) - 1):.1f},{height - 10 - (v - lo) / ((hi - lo) or 1.0) * (height - 20):.1f}" for i, v in points)
+            out.append(f"<figure><svg width='{width}' height='{height}'><polyline fill='none' stroke='black' points='{at}'/></svg><figcaption>{name}: {lo:.3f} to {hi:.3f}</figcaption></figure>")
+    return "<h2>Trends</h2>" + "".join(out) if out else ""
+
+
 def html_report(result, summary: str, records: list[dict]) -> str:
     """Summary, the best twelve candidates and the frame figures."""
     best = [r.asDict() for r in result.candidates.limit(12).collect()]
     frames = [r.asDict() for r in result.qa.collect()]  # a row a frame
     links = "".join(f"<li><a href='{html.escape(d['html_name'])}'>{html.escape(d['verdict'])}</a></li>" for d in records)
     shown = ["name", "n_sources", "n_cosmic_rays", "fwhm_arcsec", "sky_adu", "zeropoint", "zp_scatter", "limiting_mag", "astrom_rms_arcsec", "ok", "error"]
-    return _page("Night report", f"<pre>{html.escape(summary)}</pre><h2>Candidates</h2>{_table(CANDIDATE_COLUMNS, best)}<ul>{links}</ul><h2>Frames</h2>{_table(shown, frames)}")
+    return _page("Night report", f"<pre>{html.escape(summary)}</pre><h2>Candidates</h2>{_table(CANDIDATE_COLUMNS, best)}<ul>{links}</ul><h2>Frames</h2>{_table(shown, frames)}{_trend(frames)}")
 
 
 def stamps(points: DataFrame, reduced: str, size: int = 31, most: int = 8) -> list[bytes]:
@@ -130,10 +144,22 @@ def stamps(points: DataFrame, reduced: str, size: int = 31, most: int = 8) -> li
     return out
 
 
+REPORT_HEAD = ("COD XXX", "OBS nocturne (automated astrometry)", "NET reference catalogue of the night", "ACK draft, to be checked before it is sent")
+
+
+def _forecast(found: dict) -> str:
+    """The fitted motion of a mover and where it will be."""
+    if not found:
+        return ""
+    head = f"{found['speed_arcsec_min']:.3f} arcsec/min at PA {found['pa_deg']:.1f}, fit rms {found['fit_rms_arcsec']:.2f} arcsec over {found['n_epochs']} epochs and {found['arc_minutes']:.1f} min"
+    ahead = [{"after": k, "ra": f"{v['ra']:.5f}", "dec": f"{v['dec']:+.5f}"} for k, v in found["predictions"].items()]
+    return f"<h2>Motion</h2><p>{html.escape(head)}.</p>{_table(['after', 'ra', 'dec'], ahead)}"
+
+
 def dossier_page(d: dict, report: str, images: list[bytes] = ()) -> str:
     shown = "".join(f"<img width='93' src='data:image/png;base64,{base64.b64encode(i).decode()}'> " for i in images)
     checks = _table(["service", "status", "detail"], d["checks"])
-    return _page(f"Object {d['obj_id']}: {d['kind']}", f"<p>{html.escape(d['verdict'])}. {html.escape(d['action'])}.</p><p>{html.escape(d['notes'] or '')}</p>{shown}{checks}<pre>{html.escape(report)}</pre>")
+    return _page(f"Object {d['obj_id']}: {d['kind']}", f"<p>{html.escape(d['verdict'])}. {html.escape(d['action'])}.</p><p>{html.escape(d['notes'] or '')}</p>{shown}{checks}{_forecast(d.get('motion') or {})}<h2>Astrometric report (draft)</h2><p>{'<br>'.join(map(html.escape, REPORT_HEAD))}</p><pre>{html.escape(report)}</pre>")
 
 
 def report_lines(points: DataFrame, lights: DataFrame, designation: str) -> list[str]:
@@ -143,14 +169,25 @@ def report_lines(points: DataFrame, lights: DataFrame, designation: str) -> list
     return [r["line"] for r in found.select("time_min", "det_idx", line.alias("line")).where("line is not null").orderBy("time_min", "det_idx").collect()]  # a row a frame
 
 
+def frame_catalogs(sources: DataFrame, catalogs: Path) -> None:
+    """A CSV a frame, written by one task each, as STEM_catalog.csv."""
+    folder = catalogs / "_frames"
+    flat = sources.select("*", F.col("frame").alias("_frame"))
+    flat.repartition("_frame").sortWithinPartitions("_frame", "id").write.mode("overwrite").partitionBy("_frame").csv(str(folder), header=True)
+    for part in folder.glob("_frame=*/*.csv"):
+        part.replace(catalogs / f"{Path(unquote(part.parent.name.removeprefix('_frame='))).stem}_catalog.csv")
+    shutil.rmtree(folder)
+
+
 def write_products(result, config: NightConfig) -> dict[str, str]:
     """Writes catalogues, candidates, QA, dossiers, brief and report; returns their paths."""
     catalogs, reports = Path(config.paths.catalogs), Path(config.paths.reports)
     reports.mkdir(parents=True, exist_ok=True)
     result.sources.write.mode("overwrite").partitionBy("frame").parquet(str(catalogs / "all_sources"))
-    candidates = result.candidates.select(*CANDIDATE_COLUMNS)
-    if not candidates.isEmpty():
-        candidates.coalesce(1).write.mode("overwrite").csv(str(catalogs / "candidates"), header=True)
+    frame_catalogs(result.sources, catalogs)
+    candidates = result.candidates.select(*CANDIDATE_COLUMNS).toPandas()  # top_n rows
+    if len(candidates):
+        candidates.to_csv(catalogs / "candidates.csv", index=False)
     frames = [r.asDict() for r in result.qa.collect()]  # a row a frame
     n_ref = result.reference.count() if result.reference is not None else 0
     write_json(reports / "qa_summary.json", {"instrument": result.instrument.name, "telescope": result.instrument.telescope, "frames": frames, "reference_size": n_ref})

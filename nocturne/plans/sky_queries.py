@@ -619,7 +619,7 @@ def union_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"{RANKED_SQL}, p AS (SELECT obj % 3 AS field_id, obj, rank_score, row_number() OVER (PARTITION BY obj % 3 ORDER BY obj) - 1 AS own FROM rk), z AS (SELECT field_id, count(*) AS n FROM p GROUP BY 1) SELECT p.field_id, obj, CAST(own + coalesce((SELECT sum(n) FROM z WHERE z.field_id < p.field_id), 0) AS BIGINT) AS obj_id, round(rank_score, 6) AS rank_score FROM p")
 def merge_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = ranked(spark, sf_dir).select("obj", "rank_score")
-    parts = [discovery.numbered(r.where(F.col("obj") % 3 == i), "obj").withColumnRenamed("det_idx", "obj_id") for i in range(3)]
+    parts = {i: discovery.numbered(r.where(F.col("obj") % 3 == i), "obj").withColumnRenamed("det_idx", "obj_id") for i in range(3)}
     return pointings.merge_fields(parts).select(F.col("field_id").cast("long").alias("field_id"), "obj", F.col("obj_id").cast("long").alias("obj_id"), r6("rank_score"))
 
 
@@ -630,7 +630,7 @@ def identity_offline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("obj", "kind", F.array_join(F.transform("checks", lambda x: x["service"]), ",").alias("services"), F.element_at("checks", -1)["status"].alias("local_status"))
 
 
-VERDICT_SQL = "CASE kind WHEN 'mover' THEN 'moving object, identity unchecked (' || printf('%.2f', obj / 10.0::DOUBLE) || ' arcsec/min)' WHEN 'transient' THEN 'stationary source, identity unchecked' WHEN 'variable' THEN 'variable star candidate' ELSE 'no follow-up' END"
+VERDICT_SQL = "CASE kind WHEN 'mover' THEN 'moving object, identity unchecked (' || printf('%.2f', obj / 10.0::DOUBLE) || ' arcsec/min) (skybot, jpl_sbident, neows could not be reached: re-check online)' WHEN 'transient' THEN 'stationary source, identity unchecked (simbad could not be reached: re-check online)' WHEN 'variable' THEN 'variable star candidate' ELSE 'no follow-up' END"
 ACTION_SQL = "CASE kind WHEN 'mover' THEN 'check services, then report as new' WHEN 'transient' THEN 'take another image soon' WHEN 'variable' THEN 'extend the light curve' ELSE 'none' END"
 
 

@@ -101,10 +101,10 @@ def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_to_text(load(spark, sf_dir, "pages"), "page_id", "html")
 
 
-@query("SELECT count(*) AS files, coalesce(sum(n_chars), 0)::BIGINT AS chars FROM (SELECT n_chars, row_number() OVER (ORDER BY source, doc_id) AS k, sum(n_chars) OVER (ORDER BY source, doc_id) AS total FROM documents) WHERE k <= 400 AND total <= 8000000")
+@query("SELECT count(*) AS files, coalesce(sum(n_chars), 0)::BIGINT AS chars FROM (SELECT n_chars, row_number() OVER (ORDER BY source, doc_id) AS k, sum(n_chars) OVER (ORDER BY source, doc_id) AS total FROM documents) WHERE k <= 400 AND total - n_chars < 8000000")
 def kb_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..sources.knowledge import within_caps
 
     d = load(spark, sf_dir, "documents").select(F.concat_ws("/", "source", F.lpad(F.col("doc_id").cast("string"), 12, "0")).alias("path"), F.col("n_chars").alias("length"), "source", "doc_id")
-    kept = within_caps(d.orderBy("source", "doc_id"), 400, 8_000_000, order=("source", "doc_id"))
+    kept = within_caps(d, 400, 8_000_000, order=("source", "doc_id"))
     return kept.agg(F.count("*").alias("files"), F.coalesce(F.sum("length"), F.lit(0)).cast("long").alias("chars"))

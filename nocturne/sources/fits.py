@@ -1,7 +1,9 @@
 """FITS frames as a Spark source and sink: headers by the block, pixels only on demand.
 
 ``spark.read.format("fits")`` after :func:`register` gives path, header and, unless the option
-``pixels`` is false, ny, nx and px (little-endian float32). Header-only reads stop at the END card.
+``pixels`` is false, ny, nx and px (little-endian float32). Header-only reads stop at the END card of
+the first image, wherever that is, and skip data units. Tables are no images: a compressed image (a
+table with ZIMAGE) is an error of its file.
 :func:`read_frames` offers the same rows through the binaryFile source, for stores that only Spark
 reads; a file that can't be parsed becomes a row with an error, not a failure.
 """
@@ -9,6 +11,7 @@ reads; a file that can't be parsed becomes a row with an error, not a failure.
 from __future__ import annotations
 
 import gzip
+import io
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -54,37 +57,57 @@ def parse_cards(raw: bytes) -> tuple[dict[str, str], int]:
     raise ValueError("no END card")
 
 
-def units(raw: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(header, data bytes) of each unit."""
-    at = 0
-    while at < len(raw):
-        header, length = parse_cards(raw[at:])
-        axes = [int(header[f"NAXIS{i}"]) for i in range(1, int(header.get("NAXIS", 0)) + 1)]
-        size = abs(int(header.get("BITPIX", 8))) // 8 * (int(np.prod(axes)) + int(header.get("PCOUNT", 0))) * int(header.get("GCOUNT", 1)) if axes else 0
-        yield header, raw[at + length : at + length + size]
-        at += length + -(-size // BLOCK) * BLOCK
+def _header(stream) -> tuple[dict[str, str], int] | None:
+    """The next unit's (header, bytes of its data), read by the block; None at the end of the file."""
+    raw = b""
+    while block := stream.read(BLOCK):
+        raw += block
+        if any(block[at : at + 8] == b"END     " for at in range(0, len(block), CARD)):
+            header, _ = parse_cards(raw)
+            axes = [int(header[f"NAXIS{i}"]) for i in range(1, int(header.get("NAXIS", 0)) + 1)]
+            size = abs(int(header.get("BITPIX", 8))) // 8 * (int(np.prod(axes)) + int(header.get("PCOUNT", 0))) * int(header.get("GCOUNT", 1)) if axes else 0
+            return header, size
+    if raw.strip(b"\0 "):
+        raise ValueError("no END card")
+    return None
 
 
-def read_fits(raw: bytes, pixels: bool = True) -> tuple[dict[str, str], np.ndarray | None]:
-    """(merged header, image): the primary header overlaid by that of the first unit of two axes or more."""
-    if raw[:2] == b"\x1f\x8b":
-        raw = gzip.decompress(raw)
+def read_stream(stream, pixels: bool = True) -> tuple[dict[str, str], np.ndarray | None]:
+    """(merged header, image): the primary header overlaid by that of the first image of two axes or more."""
     primary: dict[str, str] | None = None
-    for header, data in units(raw):
+    while (unit := _header(stream)) is not None:
+        header, size = unit
         primary = header if primary is None else primary
-        if int(header.get("NAXIS", 0)) >= 2:
+        kind = header.get("XTENSION", "IMAGE").strip()
+        if kind == "BINTABLE" and header.get("ZIMAGE") == "True":
+            raise ValueError("a compressed image: tile compression is not read")
+        if kind == "IMAGE" and int(header.get("NAXIS", 0)) >= 2:
             merged = primary | {k: v for k, v in header.items() if k not in LEFT_OUT}
             if not pixels:
                 return merged, None
-            kind = np.dtype(TYPES[int(header["BITPIX"])])
             nx, ny = int(header["NAXIS1"]), int(header["NAXIS2"])
-            image = np.frombuffer(data, kind, nx * ny).reshape(ny, nx).astype(np.float64)
+            image = np.frombuffer(stream.read(size), np.dtype(TYPES[int(header["BITPIX"])]), nx * ny).reshape(ny, nx).astype(np.float64)
             return merged, (image * float(header.get("BSCALE", 1)) + float(header.get("BZERO", 0))).astype(np.float32)
+        stream.seek(-(-size // BLOCK) * BLOCK, io.SEEK_CUR)
     if primary is None:
         raise ValueError("empty file")
     return primary, None
 
 
+def read_fits(raw: bytes, pixels: bool = True) -> tuple[dict[str, str], np.ndarray | None]:
+    """As ``read_stream``, of a file's bytes, plain or gzipped."""
+    stream = io.BytesIO(raw)
+    return read_stream(gzip.GzipFile(fileobj=stream) if raw[:2] == b"\x1f\x8b" else stream, pixels)
+
+
+def read_path(path: str, pixels: bool = True) -> tuple[dict[str, str], np.ndarray | None]:
+    """As ``read_stream``, of a file: without pixels no more is read than up to the image's header."""
+    with open(path, "rb") as f:
+        packed = f.read(2) == b"\x1f\x8b"
+        f.seek(0)
+        return read_stream(gzip.GzipFile(fileobj=f) if packed else f, pixels)
+
+
 def format_card(key: str, value) -> bytes:
     if key in ("HISTORY", "COMMENT"):
         return f"{key:<8}{value}"[:CARD].ljust(CARD).encode("ascii", "replace")
@@ -157,12 +180,7 @@ class _Reader(DataSourceReader):
 
     def read(self, part: InputPartition) -> Iterator[tuple]:
         try:
-            if self.pixels:
-                raw = Path(part.path).read_bytes()
-            else:  # blocks up to the first image's END card, as far as headers go
-                with open(part.path, "rb") as f:
-                    raw = f.read(BLOCK * 8)
-            header, image = read_fits(raw, self.pixels)
+            header, image = read_path(part.path, self.pixels)
             yield (part.path, header, *((image.shape[0], image.shape[1], image.astype("<f4").tobytes()) if image is not None else (None, None, None)), None)
         except Exception as e:  # noqa: BLE001  an unreadable frame is a row of its own
             yield (part.path, {}, None, None, None, f"{type(e).__name__}: {e}")

@@ -4,15 +4,19 @@ from __future__ import annotations
 
 import ipaddress
 import json
+import re
 import socket
 from collections.abc import Iterator
 from html.parser import HTMLParser
-from urllib.parse import urljoin, urlparse
+from pathlib import Path
+from urllib.parse import unquote, urljoin, urlparse
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.discovery import numbered
+
 TEXT_SUFFIXES = (".md", ".txt", ".py", ".yaml", ".yml", ".rst", ".log")
 SKIPPED = frozenset(("script", "style", "nav", "footer", "header"))
 JSON_CHARS, CSV_ROWS, URL_CHARS, URL_BYTES, REDIRECTS = 60_000, 399, 120_000, 2_000_000, 3
@@ -66,39 +70,69 @@ def read_file(name: str, raw: bytes) -> str:
         except ValueError:
             return text[:JSON_CHARS]
     if low.endswith(".csv"):
-        return "\n".join(text.splitlines()[: CSV_ROWS + 1])
+        head, *rows = text.splitlines() or [""]
+        return "\n".join([f"CSV {name}", f"columns: {head}", *rows[:CSV_ROWS]])
     if low.endswith((".html", ".htm")):
         return page_text(text)
     return text if low.endswith(TEXT_SUFFIXES) else ""
 
 
-def read_files(spark: SparkSession, *paths: str, recursive: bool = False) -> DataFrame:
-    """source, text of knowledge-base files; names that hold key or secret are left out."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).load(list(paths)).select("path", "length", "content")
-    name = F.regexp_replace("path", "^.*/", "")
-    files = files.where(~F.lower(name).contains("key") & ~F.lower(name).contains("secret")).withColumn("source", name)
+def credential_file(name: str) -> bool:
+    """Whether a configuration file's name says that it holds credentials."""
+    return "key" in name.lower() or "secret" in name.lower()
+
+
+def read_files(spark: SparkSession, *paths: str, below: str | None = None) -> DataFrame:
+    """source, text of knowledge-base files; the source is the name, or with ``below`` its folder's name and the path in it.
+
+    Credentials among configuration files (.yaml, .yml) are left out; notes of any name are read.
+    """
+    files = spark.read.format("binaryFile").load(list(paths)).select("path", "content")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pd.DataFrame({"source": pdf["source"], "text": [read_file(n, c) for n, c in zip(pdf["source"], pdf["content"], strict=True)]})
+            names = [unquote(p.rsplit("/", 1)[-1]) for p in pdf["path"]]
+            kept = [not (n.lower().endswith((".yaml", ".yml")) and credential_file(n)) for n in names]
+            inside = [_inside(p, below) if below else n for p, n in zip(pdf["path"], names, strict=True)]
+            rows = [(i, read_file(n, c)) for i, n, c, on in zip(inside, names, pdf["content"], kept, strict=True) if on]
+            yield pd.DataFrame(rows, columns=["source", "text"])
+
+    return files.mapInPandas(run, "source string, text string").where("text <> ''")
 
-    return files.select("source", "content").mapInPandas(run, "source string, text string").where("text <> ''")
+
+def _inside(path: str, folder: str) -> str:
+    """FOLDER's name and the path of a file below it."""
+    where = unquote(urlparse(path).path) if "://" in path or path.startswith("file:") else path
+    return f"{folder.rsplit('/', 1)[-1]}/{where[len(folder) + 1 :]}"
 
 
 def within_caps(files: DataFrame, max_files: int, max_bytes: int, order: tuple[str, ...] = ("path",)) -> DataFrame:
-    """The first files in order up to a count and a running size: a listing, so one ordered window."""
-    w = Window.orderBy(*order)
-    ranked = files.withColumns({"_k": F.row_number().over(w), "_t": F.sum("length").over(w)})
-    return ranked.where((F.col("_k") <= max_files) & (F.col("_t") <= max_bytes)).drop("_k", "_t")
+    """The first files in order up to a count, and up to the one that reaches a running size.
+
+    Rows are numbered without a single-task window; the sum of a bounded number of first rows is one.
+    """
+    first = numbered(files, *order).where(F.col("det_idx") < max_files)
+    before = F.sum("length").over(Window.orderBy("det_idx")) - F.col("length")  # max_files rows at most
+    return first.withColumn("_before", before).where(F.col("_before") < max_bytes).drop("_before", "det_idx")
 
 
 def read_vault(spark: SparkSession, folder: str, max_files: int = 400, max_bytes: int = 8_000_000) -> DataFrame:
-    """Notes (.md, .txt) of a folder tree; dot-folders inside it are skipped, those above it are not."""
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-    inside = F.element_at(F.split(F.col("path"), F.lit(folder.rstrip("/").split("/")[-1] + "/"), 2), -1)
-    notes = listed.where(F.lower("path").rlike(r"\.(md|txt)$")).where(~inside.rlike(r"(^|/)\.[^/]*/"))
-    kept = within_caps(notes.select("path", "length"), max_files, max_bytes)
-    return read_files(spark, *[r["path"] for r in kept.collect()]) if not kept.isEmpty() else read_files_schema(spark)
+    """Notes (.md, .txt) of a folder tree as FOLDER/path; dot-folders and dot-files inside it are skipped, folders above it don't matter."""
+    root = str(Path(folder).expanduser().resolve())
+    notes = []
+    for path in sorted(Path(root).rglob("*")):
+        inside = path.relative_to(root).parts
+        if path.suffix.lower() in (".md", ".txt") and path.is_file() and not any(part.startswith(".") for part in inside):
+            notes.append((str(path), path.stat().st_size))
+    if not notes:
+        return read_files_schema(spark)
+    kept = within_caps(spark.createDataFrame(notes, "path string, length long"), max_files, max_bytes)
+    return read_files(spark, *[_escaped(r["path"]) for r in kept.orderBy("path").collect()], below=root)  # max_files at most
+
+
+def _escaped(path: str) -> str:
+    """A path without characters that file listings take for patterns."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
 
 
 def read_files_schema(spark: SparkSession) -> DataFrame:
@@ -151,12 +185,10 @@ def default_base(spark: SparkSession, root: str, data_dirs: tuple[str, ...] = ()
     products, the files of kb/, and the pages and folders that kb/urls.txt and kb/sources.txt list.
     Pages need ``get``; one that can't be fetched is left out.
     """
-    from pathlib import Path
-
     base = Path(root)
-    files = [base / "README.md", *sorted((base / "docs").glob("*.md")), *sorted((base / "config").glob("*.yaml"))]
+    files = [base / "README.md", *sorted((base / "docs").glob("*.md")), *(f for f in sorted((base / "config").glob("*.yaml")) if not credential_file(f.name))]
     for d in data_dirs:
-        files += [Path(d) / n for n in ("reports/run_summary.txt", "reports/night_brief.md", "reports/qa_summary.json")] + sorted((Path(d) / "catalogs" / "candidates").glob("*.csv"))
+        files += [Path(d) / n for n in ("reports/run_summary.txt", "reports/night_brief.md", "reports/qa_summary.json")] + [Path(d) / "catalogs" / "candidates.csv"]
     kb = base / "kb"
     files += [p for p in sorted(kb.iterdir()) if p.is_file() and p.name not in ("urls.txt", "sources.txt")] if kb.is_dir() else []
     there = [str(p) for p in files if p.is_file()]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable
+from functools import reduce
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -57,15 +58,13 @@ def reference_catalog(spark: SparkSession, source: str, ra: float, dec: float, r
     return None
 
 
-def acquire_reference(spark: SparkSession, config: NightConfig, lights: DataFrame, inst: Instrument) -> DataFrame | None:
-    """The raw folder's reference_catalog.csv, else a cone about the first usable pointing."""
+def acquire_reference(spark: SparkSession, config: NightConfig, anchors: DataFrame, inst: Instrument) -> DataFrame | None:
+    """The raw folder's reference_catalog.csv, else a cone about each field's anchor (field_id, ra, dec), in one table."""
     local = load_local_reference(spark, str(Path(config.paths.raw) / "reference_catalog.csv"))
     if local is not None:
         return local
-    h = F.col("header")
-    ra = F.coalesce("ra", F.try_element_at(h, F.lit("CRVAL1")).try_cast("double"))
-    dec = F.coalesce("dec", F.try_element_at(h, F.lit("CRVAL2")).try_cast("double"))
-    first = lights.select(ra.alias("ra"), dec.alias("dec"), "frame_index").where("ra is not null and dec is not null").orderBy("frame_index").first()
-    if first is None:
+    cones = [reference_catalog(spark, config.photometry.ref_catalog, r["ra"], r["dec"], 0.9 * (inst.fov_arcmin or 15.0) / 60.0) for r in anchors.orderBy("field_id").collect()]  # a row a field
+    found = [c for c in cones if c is not None]
+    if not found:
         return None
-    return reference_catalog(spark, config.photometry.ref_catalog, first["ra"], first["dec"], 0.9 * (inst.fov_arcmin or 15.0) / 60.0)
+    return reduce(DataFrame.unionByName, found).dropDuplicates(["ref_id"])

@@ -12,7 +12,10 @@ import logging
 import shutil
 import threading
 import time
+import urllib.error
+import urllib.request
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
 from pathlib import Path
@@ -30,6 +33,20 @@ TYPES = {".html": "text/html; charset=utf-8", ".json": "application/json", ".txt
 PAGE = "<!DOCTYPE html><title>Nocturne</title><h1>Nocturne</h1><p>POST /api/demo starts a synthetic night; see /api/status/&lt;id&gt; and /runs/&lt;id&gt;/reports/report.html.</p>"
 
 
+def get_page(url: str, timeout: float = 20.0) -> tuple[int, dict[str, str], bytes]:
+    """(status, headers, body) of one request; redirects are left to the caller."""
+
+    class Stay(urllib.request.HTTPRedirectHandler):
+        def redirect_request(self, *_):
+            return None
+
+    try:
+        with urllib.request.build_opener(Stay).open(url, timeout=timeout) as r:
+            return r.status, {k.lower(): v for k, v in r.headers.items()}, r.read(knowledge.URL_BYTES)
+    except urllib.error.HTTPError as e:
+        return e.code, {k.lower(): v for k, v in e.headers.items()}, b""
+
+
 @dataclass
 class Console:
     """State of the server: runs, their lock and the knowledge base."""
@@ -40,6 +57,8 @@ class Console:
     lock: threading.Lock = field(default_factory=threading.Lock)
     notes: list[tuple[str, str]] = field(default_factory=list)
     index: PassageIndex | None = None
+    get: Callable[[str], tuple[int, dict[str, str], bytes]] = field(default_factory=lambda: get_page)
+    resolve: Callable[[str], list[str]] | None = None
 
     def prune(self, keep: int = KEPT_RUNS) -> None:
         """Keeps the newest finished runs; running ones are never touched."""
@@ -66,7 +85,7 @@ class Console:
         with self.lock:  # one night at a time
             try:
                 config = NightConfig(instrument=instrument)
-                for name in ("raw", "reduced", "catalogs", "reports"):
+                for name in ("raw", "master", "reduced", "catalogs", "reports"):
                     setattr(config.paths, name, str(base / name))
                 if demo:
                     state["message"] = "making a synthetic night"
@@ -90,6 +109,10 @@ class Console:
             self.index = PassageIndex.build(chunk_documents(docs, "source", "source"))
         return self.index.answer(question)
 
+    def fetch(self, url: str) -> str:
+        """The text of a public page; every hop is checked before it is asked."""
+        return knowledge.fetch_page(url, self.get, self.resolve)
+
     def add(self, source: str, text: str) -> int:
         self.notes.append((source, text[:TEXT_BYTES]))
         self.index = None
@@ -169,8 +192,14 @@ def handler(console: Console) -> type[BaseHTTPRequestHandler]:
                 question = str(data.get("question", "")).strip()
                 self.send(console.ask(question) if question else {"error": "empty question"}, 200 if question else 400)
             elif url.path == "/api/kb/add":
-                text = str(data.get("text", "")).strip()
-                self.send({"notes": console.add(str(data.get("source", "note")), text)} if text else {"error": "no text"}, 200 if text else 400)
+                text, link = str(data.get("text", "")).strip(), str(data.get("url", "")).strip()
+                if link and not text:
+                    try:
+                        text = console.fetch(link)
+                    except (ValueError, OSError) as e:
+                        self.send({"error": str(e)}, 400)
+                        return
+                self.send({"notes": console.add(str(data.get("source") or link or "note"), text)} if text else {"error": "no text"}, 200 if text else 400)
             else:
                 self.send({"error": "no such page"}, 404)
 

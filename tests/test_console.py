@@ -61,7 +61,7 @@ def test_default_base(tmp_path, spark):
     (tmp_path / "kb" / "urls.txt").write_bytes(b"\xef\xbb\xbfhttp://a.org/\nhttp://b.org/\n")
     get = lambda u: (200, {"content-type": "text/html"}, b"<p>page</p>")
     rows = {r.source for r in knowledge.default_base(spark, str(tmp_path), get=get, resolve=lambda h: ["8.8.8.8"] if h == "a.org" else ["127.0.0.1"]).collect()}
-    assert rows == {"README.md", "a.yaml", "n.md", "v.md", "http://a.org/"}
+    assert rows == {"README.md", "a.yaml", "n.md", "vault/v.md", "http://a.org/"}
 
 
 @pytest.mark.parametrize("method", ["tv", "bilateral", "wavelet", "unknown"])
@@ -95,6 +95,10 @@ def test_console(tmp_path, spark):
         assert call("/api/ask", {"question": " "})[0] == 400 and call("/api/ask", b"not json")[0] == 400
         assert call("/api/kb/add", {"source": "n", "text": "quasars flicker in the blue band over many nights of observation, " * 4})[0] == 200
         assert json.loads(call("/api/ask", {"question": "why do quasars flicker"})[1])["passages"][0]["source"] == "n"
+        server.console.get = lambda u: (200, {"content-type": "text/html"}, b"<p>" + b"pulsars tick with the steadiness of clocks in the radio band, " * 4 + b"</p>")
+        server.console.resolve = lambda h: ["8.8.8.8"] if h == "a.org" else ["10.0.0.1"]
+        assert call("/api/kb/add", {"url": "http://a.org/p"})[0] == 200 and call("/api/kb/add", {"url": "http://b.org/p"})[0] == 400 and call("/api/kb/add", {})[0] == 400
+        assert json.loads(call("/api/ask", {"question": "how do pulsars tick"})[1])["passages"][0]["source"] == "http://a.org/p"
         status, body = call("/api/upload?name=f.fits", b"abc")
         run = json.loads(body)["run_id"]
         assert status == 200 and call(f"/runs/{run}/raw/f.fits") == (200, b"abc")

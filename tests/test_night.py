@@ -1,5 +1,6 @@
 """Files, images, nights, products, configuration and retrieval."""
 
+import gzip
 import json
 import zipfile  # noqa: F401  (kept out of Spark: uploads are plain files)
 from pathlib import Path
@@ -91,7 +92,7 @@ def test_cosmic_rays_go_and_stars_stay():
 
 
 def test_config(tmp_path, caplog):
-    c = NightConfig.from_dict({"instrument": "st_1m", "discovery": {"min_snr": 7, "nope": 1}, "detect": 3, "what": 1, "instrument_override": {"gain": 3.0, "header": {"gain": ["MYGAIN"]}}})
+    c = NightConfig.from_dict({"instrument": "st_1m", "discovery": {"min_snr": 7, "nope": 1}, "detect": 3, "what": 1, "instrument_overrides": {"gain": 3.0, "header": {"gain": ["MYGAIN"]}}})
     assert c.discovery.min_snr == 7 and c.detect.npixels == 5 and "nope" in caplog.text and "what" in caplog.text
     inst = c.resolve_instrument()
     assert inst.gain == 3.0 and inst.header.gain == ("MYGAIN",) and inst.header.exptime[0] == "EXPTIME" and get_instrument("st_1m").gain == 10.0
@@ -116,7 +117,7 @@ def test_json_is_strict():
 def night(spark, tmp_path_factory):
     root = tmp_path_factory.mktemp("night")
     config = NightConfig(instrument="dfot_2kx2k")
-    for name in ("raw", "reduced", "catalogs", "reports"):
+    for name in ("raw", "master", "reduced", "catalogs", "reports"):
         setattr(config.paths, name, str(root / name))
     generate_night(spark, config.paths.raw, sky=Sky(nx=300, ny=300, stars=60, science=6, bias=3, dark=3, flat=3, cosmics=30))
     broken = Path(config.paths.raw) / "science_005.fits"
@@ -151,7 +152,14 @@ def test_products(night):
     mover = next(d for d in dossiers if d["kind"] == "mover")
     assert {c["status"] for c in mover["checks"][:3]} == {"unavailable"} and (reports / mover["html_name"]).exists()
     assert "Median seeing" in (reports / "run_summary.txt").read_text() and "<table>" in (reports / "report.html").read_text()
-    assert list(Path(config.paths.reduced).glob("*_reduced.fits")) and list(Path(config.paths.catalogs).glob("candidates/*.csv"))
+    assert list(Path(config.paths.reduced).glob("*_reduced.fits")) and (Path(config.paths.master) / "master_bias.fits").exists()
+    catalogs = Path(config.paths.catalogs)
+    assert (catalogs / "candidates.csv").read_text().splitlines()[0].startswith("obj_id,kind,rank_score")
+    made = {p.name: len(p.read_text().splitlines()) - 1 for p in catalogs.glob("*_catalog.csv")}
+    assert len(made) == 5 and made["science_000_catalog.csv"] == result.sources.where("frame = 'science_000.fits'").count()
+    page = (reports / mover["html_name"]).read_text()
+    assert "COD XXX" in page and "+24h" in page and "+1h" in page and "fit rms" in page and "re-check online" in mover["verdict"]
+    assert "<polyline" in (reports / "report.html").read_text()
 
 
 def test_dossiers_hold_every_detection(night):
@@ -182,22 +190,48 @@ def test_no_science_frames(spark, tmp_path):
 def test_knowledge_files(tmp_path, spark):
     (tmp_path / "a.md").write_bytes("﻿Hello moving objects ".encode() * 10)
     (tmp_path / "my_keys.yaml").write_text("secret: 1")
+    (tmp_path / "monkey.md").write_text("a note")
+    (tmp_path / "keyboard_notes.txt").write_text("another")
     (tmp_path / "b.json").write_text('{"k": [1, 2]}')
     (tmp_path / "c.csv").write_text("h\n" + "\n".join(map(str, range(500))))
     (tmp_path / "d.html").write_text("<nav>no</nav><p>yes &amp; so</p><script>x</script>")
     rows = {r.source: r.text for r in knowledge.read_files(spark, str(tmp_path)).collect()}
-    assert set(rows) == {"a.md", "b.json", "c.csv", "d.html"} and rows["d.html"] == "yes & so"
-    assert rows["a.md"].startswith("Hello") and len(rows["c.csv"].splitlines()) == 400
+    assert set(rows) == {"a.md", "b.json", "c.csv", "d.html", "monkey.md", "keyboard_notes.txt"} and rows["d.html"] == "yes & so"
+    assert rows["a.md"].startswith("Hello") and rows["c.csv"].splitlines()[:3] == ["CSV c.csv", "columns: h", "0"] and len(rows["c.csv"].splitlines()) == 401
 
 
-def test_vault_skips_dot_folders(tmp_path, spark):
-    vault = tmp_path / ".hidden" / "vault"
+@pytest.mark.parametrize("name", ["vault", "notes/.x/notes", "a [b] c"])
+def test_vault_skips_dot_folders(tmp_path, spark, name):
+    vault = tmp_path / ".hidden" / name
     (vault / ".git").mkdir(parents=True)
     (vault / "sub").mkdir()
     (vault / "n.md").write_text("note one")
     (vault / "sub" / "m.txt").write_text("note two")
     (vault / ".git" / "x.md").write_text("no")
-    assert {r.source for r in knowledge.read_vault(spark, str(vault)).collect()} == {"n.md", "m.txt"}
+    assert {r.source for r in knowledge.read_vault(spark, str(vault)).collect()} == {f"{vault.name}/n.md", f"{vault.name}/sub/m.txt"}
+
+
+def test_caps_take_the_file_that_reaches_them(spark):
+    files = spark.createDataFrame([(f"{i:03d}", 10) for i in range(50)], "path string, length long")
+    assert knowledge.within_caps(files, 400, 95).count() == 10 and knowledge.within_caps(files, 400, 100).count() == 10 and knowledge.within_caps(files, 7, 1000).count() == 7
+
+
+def test_fits_units_of_other_kinds(tmp_path, spark):
+    image = np.arange(12, dtype=np.float32).reshape(3, 4)
+    card = lambda *c: b"".join(f"{x:<80}".encode() for x in (*c, "END")).ljust(2880)
+    table = card("XTENSION= 'BINTABLE'", "BITPIX  = 8", "NAXIS   = 2", "NAXIS1  = 16", "NAXIS2  = 10", "PCOUNT  = 0", "GCOUNT  = 1", "TFIELDS = 0") + b"\1" * 160 + b"\0" * 2720
+    reduced = fits.write_reduced(tmp_path / "r.fits", image, image, np.zeros((3, 4), np.uint8), {"OBJECT": "x"}).read_bytes()
+    (tmp_path / "t.fits").write_bytes(reduced[:2880] + table + reduced[2880:])
+    header, back = fits.read_path(str(tmp_path / "t.fits"))
+    assert (back == image).all() and header["EXTNAME"] == "SCI"
+    (tmp_path / "z.fits.fz").write_bytes(reduced[:2880] + table.replace(b"TFIELDS = 0".ljust(80), b"ZIMAGE  = T".ljust(80)))
+    fits.write_fits(tmp_path / "long.fits", image, {"N": 5}, [f"step {i}" for i in range(900)])
+    (tmp_path / "g.fits.gz").write_bytes(gzip.compress((tmp_path / "long.fits").read_bytes()))
+    fits.register(spark)
+    for pixels in ("true", "false"):
+        rows = {Path(r.path).name: r for r in spark.read.format("fits").option("path", str(tmp_path)).option("pixels", pixels).load().collect()}
+        assert rows["long.fits"].header["N"] == rows["g.fits.gz"].header["N"] == "5" and rows["t.fits"].error is None and "compressed" in rows["z.fits.fz"].error
+        assert (rows["g.fits.gz"].px is None) == (pixels == "false")
 
 
 def test_url_checks():
