@@ -8,9 +8,8 @@ of pair scores is the agenda of each row); long ones with a heap. The ids of sho
 in a store of bounded size. Characters without a piece fall back to bytes, else to the unknown id.
 
 In every Arrow batch the sentencepiece library is asked about every chunk that the store doesn't hold
-(joined to texts again, as each begins with a space) before its ids are used, and about every
-WHOLE-th whole text; any difference raises. As texts are nothing but chunks, every id stands under
-that check. Models whose pieces or normalisation would not allow chunks (other
+(joined to texts again, as each begins with a space) before its ids are used, and about every whole
+text; any difference raises. Models whose pieces or normalisation would not allow chunks (other
 than spaces to marks with a mark in front) are refused when they are loaded.
 """
 
@@ -34,7 +33,7 @@ SHORT = 48  # characters of a chunk that the matrix form takes and the store kee
 CACHE = 800_000  # chunks kept at most: a string of SHORT characters, a place and its ids, about 130 MB a worker, 250 MB at the worst
 PROBES = ("a b", " a  b ", "\ufb01 \u2460 e\u0301 \u00e9 \uff21\t\u3000x")  # what other normalisations change
 SLICE = 4 << 20  # bytes of text encoded together
-WHOLE, JOINED = 4, 500  # of so many texts one is asked about as a whole; chunks joined to one text
+JOINED = 500  # chunks joined to one text when the library is asked about them
 
 
 class PieceModel:
@@ -343,7 +342,7 @@ def encode_documents(docs: DataFrame, model_file: str, keep: tuple[str, ...] = (
                 for lo, hi in slices(texts, SLICE):
                     part = texts.slice(lo, hi - lo).to_pylist()
                     ids = m.encode(part)
-                    m.check(part[::WHOLE], ids[::WHOLE])
+                    m.check(part, ids)
                     text = m.decode(ids)
                     columns = [batch.column(i).slice(lo, hi - lo) for i in range(len(keep))]
                     columns.append(pa.array([len(x) for x in ids], pa.int64()))
