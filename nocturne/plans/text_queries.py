@@ -20,11 +20,11 @@ CHUNKS_SQL = rf"""SELECT doc_id AS key, source, CAST((i - 1) // 180 AS INTEGER)
  WHERE length(array_to_string(words[i:i + 219], ' ')) > 80"""
 TOKENS_SQL = f"SELECT key, pos, unnest(list_filter(regexp_extract_all(lower(passage), '[a-z0-9][a-z0-9_.\\-]{{1,}}'), lambda t: t NOT IN ({STOPS}))) AS token FROM ch"
 STEM_ONCE = "CASE WHEN regexp_replace(t, '^(.{3,}?)(ing|ers|ies|ed|es|er|s)$', '\\1') <> t THEN regexp_replace(t, '^(.{3,}?)(ing|ers|ies|ed|es|er|s)$', '\\1') ELSE regexp_replace(t, '^(.{4,})[ey]$', '\\1') END"
-STEMS_SQL = f"""st(token, t, n) AS (SELECT DISTINCT token, token, 0 FROM tk UNION ALL SELECT token, {STEM_ONCE}, n + 1 FROM st WHERE n < 16 AND {STEM_ONCE} <> t), sm AS (SELECT token, arg_max(t, n) AS term FROM st GROUP BY 1)"""
+STEMS_SQL = f"""st(token, t, n) AS (SELECT DISTINCT token, token, 0 FROM tk UNION ALL SELECT token, {STEM_ONCE}, n + 1 FROM st WHERE {STEM_ONCE} <> t), sm AS (SELECT token, arg_max(t, n) AS term FROM st GROUP BY 1)"""
 COUNTS_SQL = f"ch AS ({CHUNKS_SQL}), tk AS ({TOKENS_SQL}), {STEMS_SQL}, ct AS (SELECT key, pos, term, count(*) AS c FROM tk JOIN sm USING (token) GROUP BY 1, 2, 3)"
 WEIGHTS_SQL = f"{COUNTS_SQL}, nn AS (SELECT count(*) AS n FROM ch), idf AS (SELECT term, count(*) AS df, ln((1 + max(n)) / (1 + count(*))::DOUBLE) + 1 AS idf FROM ct, nn GROUP BY 1), x AS (SELECT key, pos, term, (1 + ln(c)) * idf AS x FROM ct JOIN idf USING (term)), w AS (SELECT key, pos, term, x / sqrt(sum(x * x) OVER (PARTITION BY key, pos)) AS w FROM x)"
 QTOKENS = f"SELECT unnest(list_filter(regexp_extract_all('{QUESTION}', '[a-z0-9][a-z0-9_.\\-]{{1,}}'), lambda t: t NOT IN ({STOPS}))) AS token"
-SEARCH_SQL = f"""{WEIGHTS_SQL}, qt AS ({QTOKENS}), qs(token, t, n) AS (SELECT DISTINCT token, token, 0 FROM qt UNION ALL SELECT token, {STEM_ONCE}, n + 1 FROM qs WHERE n < 16 AND {STEM_ONCE} <> t),
+SEARCH_SQL = f"""{WEIGHTS_SQL}, qt AS ({QTOKENS}), qs(token, t, n) AS (SELECT DISTINCT token, token, 0 FROM qt UNION ALL SELECT token, {STEM_ONCE}, n + 1 FROM qs WHERE {STEM_ONCE} <> t),
  qm AS (SELECT arg_max(t, n) AS term, token FROM qs GROUP BY token), qc AS (SELECT term, count(*) * max(idf) AS x FROM qt JOIN qm USING (token) JOIN idf USING (term) GROUP BY 1), qv AS (SELECT term, x / sqrt(sum(x * x) OVER ()) AS q FROM qc),
  hits AS (SELECT key, pos, sum(w * q) AS score FROM w JOIN qv USING (term) GROUP BY 1, 2 ORDER BY round(sum(w * q), 9) DESC, key, pos LIMIT 6)"""
 
