@@ -1,4 +1,4 @@
-"""DuckDB SQL of the corpus queries that SQL expresses: URL filters, vector links, n-gram groups, top-k."""
+"""DuckDB SQL of the corpus queries that SQL expresses: URL filters, vector links, n-gram groups, top-k, archives, clusters."""
 
 from __future__ import annotations
 
@@ -88,3 +88,25 @@ def groups_sql(k: int, percent: int) -> str:
  reach(id, root) AS (SELECT doc_id, doc_id FROM w UNION SELECT l.v, r.root FROM reach r JOIN links l ON l.u = r.id WHERE r.root < l.v),
  roots AS (SELECT id, min(root) AS root FROM reach GROUP BY id)
 SELECT w.doc_id, coalesce(n, 0) AS n_shingles, root AS component_id FROM w JOIN roots ON id = w.doc_id LEFT JOIN n ON n.doc_id = w.doc_id"""
+
+
+WARC_SQL = """WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+ f AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN first <> page_id THEN first END AS refers_to FROM f"""
+
+
+def centroids_sql(k: int, rounds: int) -> str:
+    """Full search, one table a round."""
+    parts = [
+        "v AS MATERIALIZED (SELECT vec_id, row_number() OVER () AS r, list_transform(embedding, lambda x: CAST(floor(256 * x::DOUBLE) AS BIGINT)) AS e FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)",
+        f"c0 AS MATERIALIZED (SELECT CAST(row_number() OVER (ORDER BY h, e) - 1 AS INTEGER) AS c, e FROM (SELECT e, sha256('2:' || vec_id) AS h FROM v ORDER BY h, e LIMIT {k}))",
+    ]
+    for i in range(rounds + 1):
+        parts.append(f"d{i} AS (SELECT r, c, CAST(list_sum(list_transform(list_zip(v.e, c{i}.e), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) AS d FROM v, c{i}), a{i} AS MATERIALIZED (SELECT r, arg_min(c, (d, c)) AS c, min(d) AS d FROM d{i} GROUP BY r)")
+        if i < rounds:
+            parts.append(
+                f"s{i} AS (SELECT c, i, sum(x)::BIGINT AS s, count(*) AS n FROM (SELECT c, unnest(e) AS x, unnest(range(1, 65)) AS i FROM v JOIN a{i} USING (r)) GROUP BY c, i), "
+                f"m{i} AS (SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY i) AS e FROM s{i} GROUP BY c), c{i + 1} AS MATERIALIZED (SELECT c{i}.c, coalesce(m{i}.e, c{i}.e) AS e FROM c{i} LEFT JOIN m{i} ON m{i}.c = c{i}.c)"
+            )
+    return f"""WITH {', '.join(parts)}
+SELECT vec_id, a{rounds}.c AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY a{rounds}.c) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c{rounds}.e, ',')) AS centroid_sha256 FROM v JOIN a{rounds} USING (r) JOIN c{rounds} ON c{rounds}.c = a{rounds}.c"""

@@ -1,4 +1,4 @@
-"""The thin queries op1 to op10, and SQL where it can express them."""
+"""The thin queries op1 to op12, and SQL where it can express them."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding_dedup, html_main, jaccard_join, linear_models, mixing, oracle, pieces, pii, topk, url_filter
+from . import centroids, embedding_dedup, html_main, jaccard_join, linear_models, mixing, oracle, pieces, pii, topk, url_filter, warc
 from .shared import Scratch, table
 
 RULES = [
@@ -73,8 +73,17 @@ def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_top_k(rows, rows.where("vec_id % 100 = 0"), Scratch(spark))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(table(spark, sf_dir, "pages"), Scratch(spark))
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"), Scratch(spark)).drop("computed")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sentencepiece, op2_url_filter, op3_quality, op4_embedding_dedup, op5_mixing, op6_jaccard_join, op7_html_extraction, op8_language_id, op9_pii, op10_exact_topk)
+    f.__name__: f
+    for f in (op1_sentencepiece, op2_url_filter, op3_quality, op4_embedding_dedup, op5_mixing, op6_jaccard_join, op7_html_extraction, op8_language_id, op9_pii, op10_exact_topk, op11_warc, op12_centroids)
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -82,4 +91,6 @@ ORACLE_SQL: dict[str, str] = {
     "op4_embedding_dedup": oracle.VECTORS_SQL,
     "op6_jaccard_join": oracle.groups_sql(4, 85),
     "op10_exact_topk": oracle.TOP_K_SQL,
+    "op11_warc": oracle.WARC_SQL,
+    "op12_centroids": oracle.centroids_sql(40, 5),
 }
