@@ -277,19 +277,27 @@ def lightcurve_stats(epochs: DataFrame, key: str) -> DataFrame:
     )
 
 
-def noise_floor(stats: DataFrame) -> DataFrame:
-    """One row sys_floor: the median scatter of the ensemble held between 0.005 and 0.03."""
-    return stats.agg(F.least(F.greatest(F.median("mag_rms"), F.lit(0.005)), F.lit(0.03)).alias("sys_floor"))
+def noise_floor(stats: DataFrame, *ensemble: Column) -> DataFrame:
+    """sys_floor, the median scatter of the ensemble held between 0.005 and 0.03: one row, or one for each of several ensembles."""
+    return stats.groupBy(*ensemble).agg(F.least(F.greatest(F.median("mag_rms"), F.lit(0.005)), F.lit(0.03)).alias("sys_floor"))
 
 
-def ensemble_variability(epochs: DataFrame, stats: DataFrame, key: str) -> DataFrame:
-    """Deviation statistics and the decision of each candidate object (three detections and finite scatter)."""
+def ensemble_variability(epochs: DataFrame, stats: DataFrame, key: str, ensemble: Column | None = None) -> DataFrame:
+    """Deviation statistics and the decision of each candidate object (three detections and finite scatter).
+
+    ``ensemble``, an expression of the key, names the group of objects whose scatter an object is held
+    against; by default that is all of them.
+    """
     dets = epochs.groupBy(key).agg(F.first("n_det").alias("n_det"))
     cands = stats.join(dets, key).where("n_det >= 3 and mean_mag is not null and mag_rms is not null")
-    floor = F.broadcast(noise_floor(cands))
     med = epochs.groupBy(key).agg(F.median("mag").alias("med"))
     dev = F.abs(F.col("mag") - F.col("med")) / F.sqrt(F.col("err") * F.col("err") + F.col("sys_floor") * F.col("sys_floor"))
-    per = epochs.drop("n_det").join(med, key).crossJoin(floor).withColumn("dev", dev).groupBy(key).agg(F.sum(F.when(F.col("dev") > 4.0, 1).otherwise(0)).cast("long").alias("n_sig"), F.avg(F.col("dev") * F.col("dev")).alias("red_chi2"), F.first("sys_floor").alias("sys_floor"))
+    held = epochs.drop("n_det").join(med, key)
+    if ensemble is None:
+        held = held.crossJoin(F.broadcast(noise_floor(cands)))
+    else:
+        held = held.withColumn("ensemble_", ensemble).join(noise_floor(cands, ensemble.alias("ensemble_")), "ensemble_")
+    per = held.withColumn("dev", dev).groupBy(key).agg(F.sum(F.when(F.col("dev") > 4.0, 1).otherwise(0)).cast("long").alias("n_sig"), F.avg(F.col("dev") * F.col("dev")).alias("red_chi2"), F.first("sys_floor").alias("sys_floor"))
     decided = (F.col("n_sig") >= F.greatest(F.lit(2), F.expr("n_det div 2"))) & (F.col("red_chi2") > 10.0) & (F.col("amplitude") > 0.1) & (F.col("mag_rms") > F.lit(2.5) * F.col("sys_floor"))
     return cands.join(per, key).withColumn("significance", F.sqrt(F.greatest("red_chi2", F.lit(0.0)))).withColumn("is_variable", decided)
 

@@ -1,21 +1,38 @@
-"""TF-IDF passage retrieval as sparse postings: chunk, weigh, search, answer.
+"""TF-IDF passage retrieval over an index of segments: chunk, count, add, search, answer.
 
-An index is stored tables: passages (cut once), term counts (tokenised once, where a chunk's words lie
-together, so that grouping them moves nothing), inverse frequencies and postings by bucket of their
-term. A question reads the buckets of its terms and the passages it returns.
+An index is a folder of four tables, each partitioned by ``segment``:
+
+* ``passages``: key, source, pos, passage
+* ``vectors``: key, pos and the terms of the passage with their counts
+* ``postings``: term, key, pos, c, range-partitioned and sorted by all of them. A question reads the
+  row groups whose statistics hold its terms; a term of very many passages spans as many files as
+  its postings need
+* ``terms``: term, df (passages of the segment that hold it)
+
+New notes are a segment of their own, whose cost is their size; nothing that is there is read or
+written. What depends on the whole corpus (frequencies, lengths of vectors) is put together on
+reading: a question asks for the frequencies of the terms of the passages it hits and no others.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import passages, stem, tokens
-from .components import Workspace, spread
+from .components import Workspace
+
+ID = ["segment", "key", "pos"]
+TABLES = {
+    "passages": "key {key}, source string, pos int, passage string, segment long",
+    "vectors": "key {key}, pos int, counts array<struct<term: string, c: bigint>>, segment long",
+    "postings": "term string, key {key}, pos int, c long, segment long",
+    "terms": "term string, df long, segment long",
+}
 
 
 def chunk_documents(docs: DataFrame, key: str, source: str, text: str = "text", words: int = 220, overlap: int = 40) -> DataFrame:
@@ -35,65 +52,88 @@ def document_frequency(counts: DataFrame) -> DataFrame:
     return counts.groupBy("term").agg(F.count("*").alias("df"))
 
 
-def inverse_frequency(counts: DataFrame, chunks: DataFrame) -> DataFrame:
-    """term, df, idf = ln((1 + N) / (1 + df)) + 1 over N chunks."""
-    n = F.broadcast(chunks.agg(F.count("*").alias("n")))
-    return document_frequency(counts).crossJoin(n).select("term", "df", (F.log((1.0 + F.col("n")) / (1.0 + F.col("df"))) + 1.0).alias("idf"))
-
-
-def weights(counts: DataFrame, idf: DataFrame) -> DataFrame:
-    """key, pos, term, w: (1 + ln c) idf, scaled to length 1 per chunk."""
-    raw = counts.join(idf.select("term", "idf"), "term").withColumn("x", (1.0 + F.log("c")) * F.col("idf"))
-    norm = F.sqrt(F.sum(F.col("x") * F.col("x")).over(Window.partitionBy("key", "pos")))
-    return raw.select("key", "pos", "term", (F.col("x") / norm).alias("w"))
-
-
-BUCKETS = 64
-
-
-def _bucket(term: Column) -> Column:
-    return F.pmod(F.xxhash64(term), F.lit(BUCKETS)).cast("int")
-
-
 @dataclass
 class PassageIndex:
-    """A built index; any new text means building another one. ``work`` holds its tables until it is cleared."""
+    """An index in ``folder``; ``key_type`` is the Spark type of its keys."""
 
-    chunks: DataFrame
-    idf: DataFrame
-    postings: DataFrame
-    work: Workspace
+    spark: SparkSession
+    folder: str
+    key_type: str = "string"
+    work: Workspace | None = field(default=None, repr=False)
 
     @classmethod
     def build(cls, chunks: DataFrame, work: Workspace | None = None) -> PassageIndex:
-        """From key, source, pos, passage. Each table is written once and read by what follows."""
+        """A new index of one segment in ``work``, which holds it until it is cleared."""
         work = work or Workspace(chunks.sparkSession)
-        chunks = work.put(chunks, "chunks")
-        counts = work.put(term_counts(chunks), "counts")
-        idf = work.put(inverse_frequency(counts, chunks), "idf")
-        postings = work.put(weights(counts, idf).withColumn("bucket", _bucket(F.col("term"))), "postings", by="bucket")
-        work.drop("counts")
-        return cls(chunks, idf, postings, work)
+        index = cls(chunks.sparkSession, f"{work.root}/index", chunks.schema["key"].dataType.simpleString(), work)
+        index.add(chunks, 0)
+        return index
+
+    def add(self, chunks: DataFrame, segment: int | None = None) -> int:
+        """Writes key, source, pos, passage as a segment (by default the next one) and returns its number.
+
+        A segment that is there is replaced, so that what failed half way can be done again. Passages
+        of a key that is in another segment stand beside the older ones. No passages, no segment.
+        ``chunks`` is read once.
+        """
+        self.create()
+        if segment is None:
+            last = self.table("passages").agg(F.max("segment")).head()[0]
+            segment = 0 if last is None else last + 1
+        self._put(chunks.select(*[F.col(c).cast(t) for c, t in (("key", self.key_type), ("source", "string"), ("pos", "int"), ("passage", "string"))]), "passages", segment)
+        counted = term_counts(self.table("passages").where(F.col("segment") == segment)).groupBy("key", "pos").agg(F.collect_list(F.struct("term", "c")).alias("counts"))
+        self._put(counted, "vectors", segment)
+        flat = self.table("vectors").where(F.col("segment") == segment).select("key", "pos", F.explode("counts").alias("x")).select("x.term", "key", "pos", "x.c")
+        order = ["term", "key", "pos"]
+        self._put(flat.repartitionByRange(*order).sortWithinPartitions(*order), "postings", segment)
+        self._put(document_frequency(self.table("postings").where(F.col("segment") == segment)), "terms", segment)
+        return segment
+
+    def create(self) -> None:
+        """Makes the empty tables if they aren't there; leaves others alone."""
+        for name, schema in TABLES.items():
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
+            if not path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).exists(path):
+                self.spark.createDataFrame([], schema.format(key=self.key_type)).write.mode("append").partitionBy("segment").parquet(f"{self.folder}/{name}")
+
+    def table(self, name: str) -> DataFrame:
+        return self.spark.read.schema(TABLES[name].format(key=self.key_type)).parquet(f"{self.folder}/{name}")
+
+    def _put(self, rows: DataFrame, name: str, segment: int) -> None:
+        rows.withColumn("segment", F.lit(segment).cast("long")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("segment").parquet(f"{self.folder}/{name}")
+
+    @property
+    def idf(self) -> DataFrame:
+        """term, df, idf = ln((1 + N) / (1 + df)) + 1 over N passages, all segments together."""
+        n = self.table("passages").count()
+        return self.table("terms").groupBy("term").agg(F.sum("df").alias("df")).select("term", "df", (F.log((1.0 + F.lit(n)) / (1.0 + F.col("df"))) + 1.0).alias("idf"))
+
+    def weights(self) -> DataFrame:
+        """segment, key, pos, term, w: (1 + ln c) idf, scaled to length 1 per passage."""
+        flat = self.table("vectors").select(*ID, F.explode("counts").alias("x")).select(*ID, "x.term", "x.c")
+        raw = flat.join(self.idf.select("term", "idf"), "term").withColumn("x", (1.0 + F.log("c")) * F.col("idf"))
+        norm = F.sqrt(F.sum(F.col("x") * F.col("x")).over(Window.partitionBy(*ID)))
+        return raw.select(*ID, "term", (F.col("x") / norm).alias("w"))
 
     def search(self, question: str, k: int = 4, least: float = 0.03) -> DataFrame:
-        """key, pos, source, passage, score: the k best chunks, then those above ``least``."""
-        spark = self.chunks.sparkSession
-        asked = spark.range(1).select(F.explode(tokens(F.lit(question))).alias("token")).withColumn("term", stem(F.col("token"))).groupBy("term").agg(F.count("*").alias("c"))
-        wanted = [r["term"] for r in asked.collect()]  # the words of the question
-        found = asked.join(self.idf.where(F.col("term").isin(wanted)), "term").withColumn("x", F.col("c") * F.col("idf")).select("term", "x").collect()
-        length = math.sqrt(sum(r["x"] ** 2 for r in found))
+        """segment, key, pos, source, passage, score: the k best passages, then those above ``least``. Scores that agree to nine digits are tied; ties go by key, pos and segment."""
+        asked = self.spark.range(1).select(F.explode(tokens(F.lit(question))).alias("token")).groupBy(stem(F.col("token")).alias("term")).agg(F.count("*").alias("c"))
+        wanted = {r["term"]: r["c"] for r in asked.collect()}  # the words of the question
+        idf = self.idf
+        found = {r["term"]: r["idf"] for r in idf.where(F.col("term").isin(list(wanted))).collect()}
+        length = math.sqrt(sum((wanted[t] * x) ** 2 for t, x in found.items()))
         if not found:
-            return self.chunks.limit(0).select("key", "pos", "source", "passage", F.lit(0.0).alias("score"))
-        weight = F.coalesce(*[F.when(F.col("term") == r["term"], F.lit(r["x"] / length)) for r in found])
-        terms = [r["term"] for r in found]
-        buckets = [r["b"] for r in spark.createDataFrame([(t,) for t in terms], "term string").select(_bucket(F.col("term")).alias("b")).distinct().collect()]
-        hits = self.postings.where(F.col("bucket").isin(buckets) & F.col("term").isin(terms)).groupBy("key", "pos").agg(F.sum(F.col("w") * weight).alias("score"))
-        top = hits.orderBy(F.desc("score"), "key", "pos").limit(k).where(F.col("score") > least)
-        return self.chunks.join(F.broadcast(top), ["key", "pos"]).select("key", "pos", "source", "passage", "score")
+            return self.table("passages").limit(0).select(*ID, "source", "passage", F.lit(0.0).alias("score"))
+        weight = F.coalesce(*[F.when(F.col("term") == t, F.lit(wanted[t] * x * x / length)) for t, x in found.items()])
+        hits = self.table("postings").where(F.col("term").isin(list(found))).groupBy(*ID).agg(F.sum((1.0 + F.log("c")) * weight).alias("dot"))
+        spread = self.table("vectors").join(hits, ID).select(*ID, "dot", F.explode("counts").alias("x")).select(*ID, "dot", F.col("x.term").alias("term"), (1.0 + F.log("x.c")).alias("f"))
+        scored = spread.join(idf.select("term", "idf"), "term").groupBy(*ID).agg((F.first("dot") / F.sqrt(F.sum(F.pow(F.col("f") * F.col("idf"), F.lit(2.0))))).alias("score"))
+        top = scored.orderBy(F.desc(F.round("score", 9)), "key", "pos", "segment").limit(k).where(F.col("score") > least)
+        return self.table("passages").join(F.broadcast(top), ID).select(*ID, "source", "passage", "score")  # k rows
 
     def answer(self, question: str, k: int = 6, generate: Callable[[str, list[dict]], str | None] | None = None) -> dict:
         """question, answer, passages; with a generator its text, else the best three passages."""
-        rows = self.search(question, k).orderBy(F.desc("score"), "key", "pos").collect()  # k rows at most
+        rows = self.search(question, k).orderBy(F.desc(F.round("score", 9)), "key", "pos", "segment").collect()  # k rows at most
         found = [{"source": r["source"], "text": r["passage"][:900], "score": round(r["score"], 3)} for r in rows]
         if not found:
             return {"question": question, "answer": "Nothing in the knowledge base matches this question.", "passages": []}

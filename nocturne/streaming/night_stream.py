@@ -7,6 +7,7 @@ append mode with the same watermark and write to a table.
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,11 +16,16 @@ from pyspark.sql import functions as F
 from ..operators.components import shared_folder
 
 
+def exactly(path: str) -> str:
+    """A pattern that ``path`` alone matches: file streams take a folder as it is, but a single file only by a pattern."""
+    path = re.sub(r"([\[\]{}*?\\])", r"\\\1", path.rstrip("/"))
+    return f"{path[:-1]}[{path[-1]}]"
+
+
 def events_stream(spark: SparkSession, path: str, watermark: str = "1 hour") -> DataFrame:
     """Events as they arrive, late rows dropped beyond the watermark in append mode."""
     schema = spark.read.parquet(path).schema
-    folder, _, name = path.rpartition("/")
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", name).parquet(folder) if path.endswith(".parquet") else spark.readStream.schema(schema).parquet(path)
+    stream = spark.readStream.schema(schema).parquet(exactly(path))
     return stream.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", watermark)
 
 

@@ -114,8 +114,12 @@ class Console:
         return knowledge.fetch_page(url, self.get, self.resolve)
 
     def add(self, source: str, text: str) -> int:
+        """Keeps a note for later indexes; one that stands takes it as a segment of its own."""
+        if len(text) > TEXT_BYTES:
+            log.warning("note %s is cut to %d of %d characters", source, TEXT_BYTES, len(text))
         self.notes.append((source, text[:TEXT_BYTES]))
-        self.index = None
+        if self.index is not None:
+            self.index.add(chunk_documents(self.spark.createDataFrame(self.notes[-1:], "source string, text string"), "source", "source"))
         return len(self.notes)
 
     def receive(self, run: str, name: str, stream, length: int) -> str:

@@ -39,7 +39,7 @@ def test_oracle(spark, sf_dir, name):
 
 
 def test_without_the_corpus_operators(tmp_path):
-    for item in ("nocturne", "__spark_entry__.py"):
+    for item in ("nocturne", "jobs", "__spark_entry__.py"):
         subprocess.run(["cp", "-r", str(ROOT / item), str(tmp_path)], check=True)
     subprocess.run(["rm", "-rf", str(tmp_path / "nocturne" / "llm")], check=True)
     code = "import __spark_entry__ as e; q = e.queries(); assert len(q) > 80 and not [n for n in q if n.startswith('op') and n[2].isdigit()] and 'pipeline' not in q; assert set(e.oracle_sql()) <= set(q)"
