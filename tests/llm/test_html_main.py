@@ -130,3 +130,61 @@ def test_query_over_a_table(spark, sf_dir):
     assert len(rows) == spark.read.parquet(f"{sf_dir}/pages.parquet").count()
     assert all(r.n_chars == len(r.text) and r.host_path == "html>body>article" for r in rows)
     assert not any("track(" in r.text or "<" in r.text and "</" in r.text for r in rows)
+
+
+SENTENCES = [f"This is sentence number {i} of the article and it has some words." for i in range(20)]
+
+
+def paras(a, b):
+    return "".join(f"<p>{x}</p>" for x in SENTENCES[a:b])
+
+
+def told(a, b):
+    return "\n".join(SENTENCES[a:b])
+
+
+def varied(layout):
+    """Twenty pages of a host, in whose text every @ is the page's number."""
+    return [(i, f"http://h.example.com/{i}", layout.replace("article and", f"article {i} and")) for i in range(20)]
+
+
+LAYOUTS = {
+    "intro and details": (f"<body><div id=wrap><div class=intro>{paras(0, 6)}</div><div class=details>{paras(6, 20)}</div></div></body>", told(0, 20)),
+    "lead, more, end": (f"<body><nav><a href=/>Home</a></nav><div class=lead>{paras(0, 4)}</div><div class=more>{paras(4, 13)}</div><div class=end>{paras(13, 16)}</div><footer>Us</footer></body>", told(0, 16)),
+    "heading between parts": (f"<body><div class=one>{paras(0, 8)}</div><h2>More of it</h2><div class=two>{paras(8, 16)}</div></body>", told(0, 8) + "\nMore of it\n" + told(8, 16)),
+    "advert by size": (f"<body><article>{paras(0, 5)}<div class=ad-300x250>Buy this now</div>{paras(5, 9)}</article></body>", told(0, 9)),
+    "cookie notice": (f"<body><article>{paras(0, 9)}<div class=cookie-law-info><p>We use cookies to make this site work.</p></div></article></body>", told(0, 9)),
+    "comments": (f"<body><article>{paras(0, 9)}<div class=comment-thread><p>I think article and author are wrong about it.</p></div></article></body>", told(0, 9)),
+    "dialog": (f"<body><dialog open>{paras(0, 9)}</dialog></body>", told(0, 9)),
+    "box of one text": (f"<body><article>{paras(0, 9)}<div class=x1><p>Our letter comes each week, leave us your address.</p></div></article></body>", told(0, 9)),
+    "list of links beside": (f"<body><div class=col1>{paras(0, 9)}</div><div class=col2>{''.join(f'<p><a href=/{i}>Another article and its long name {i}</a></p>' for i in range(9))}</div></body>", told(0, 9)),
+    "sections": (f"<body><main><section class=a>{paras(0, 3)}</section><section class=b>{paras(3, 9)}</section></main></body>", told(0, 9)),
+    "links inside": (f"<body><article>{paras(0, 4)}<ul><li><a href=/x>A source of the article and more</a></li></ul>{paras(4, 9)}</article></body>", told(0, 4) + "\nA source of the article and more\n" + told(4, 9)),
+    "wrapper named as layout": (f"<body><div class='page-banner-off sidebar-right-layout'><div class=text>{paras(0, 9)}</div></div></body>", told(0, 9)),
+}
+
+
+def test_layouts_by_hand(spark, scratch):
+    rows, want = [], {}
+    for k, (layout, text) in enumerate(LAYOUTS.values()):
+        for i, url, page in varied(layout):
+            rows.append((100 * k + i, url.replace("//h", f"//h{k}"), page))
+            want[100 * k + i] = text.replace("article and", f"article {i} and")
+    got = {r.page_id: r.text for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string"), scratch).collect()}
+    for k, name in enumerate(LAYOUTS):
+        for i in range(20):
+            assert got[100 * k + i] == want[100 * k + i], (name, i)
+
+
+def test_layouts_of_single_pages():
+    for name, (layout, text) in LAYOUTS.items():
+        if name != "box of one text":  # only its repetition tells it
+            assert choose(parse(layout), [], 0.0) == text, name
+
+
+def test_copies_are_no_furniture(spark, scratch):
+    page = f"<body><div class=a><div class=b>{paras(0, 9)}</div><div class=c>{paras(9, 12)}</div></div></body>"
+    other = f"<body><div class=a><div class=b>{paras(2, 12)}</div></div></body>"
+    rows = [(i, "http://h.example.com/", page if i % 2 else other) for i in range(12)] + [(20 + i, "http://g.example.com/", page) for i in range(12)]
+    got = {r.page_id: r.text for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string"), scratch).collect()}
+    assert all(t == (told(0, 12) if i >= 20 or i % 2 else told(2, 12)) for i, t in got.items())
