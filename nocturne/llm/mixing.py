@@ -1,14 +1,14 @@
 """Mixing sources to target weights: exact block quotas dealt by a multivariate-hypergeometric tree.
 
-1. A permutation hash of id and text puts each document of a source into one of its blocks (bounded
-   in number over all sources). Sizes are summed per source and per block, with partial sums before
-   the shuffle.
-2. A source's target is met by whole passes over its blocks and one partial pass over the first
-   blocks in permuted order; the pass ends inside one block, whose end is found by sub-blocks and
-   then by the documents of one sub-block, never beyond the target. Rows that repeat one document
-   share a place: if the pass ends among them, as many of them are taken as fit. Then the further
-   document whose size comes nearest to what is left is added, if that leaves less, and others while
-   more than a small share of the target is left (a matter of sources with few documents).
+1. A permutation hash of id, text and source puts each document of a source into one of its blocks
+   (bounded in number over all sources). Sizes are summed per source and per block, with partial sums
+   before the shuffle.
+2. A source's target is met by whole passes over its blocks and one partial pass in permuted order.
+   The pass goes on to the first document that no longer fits, found by block, by sub-block and then
+   among the documents of one sub-block; it continues behind it with the documents that still fit, and so
+   on until next to nothing is left or the source ends. Rows that repeat one document share a place:
+   where the pass ends among them, as many are taken as fit. At last the document whose size
+   comes nearest to what is left is added, if that leaves less.
 3. The drawn (block, pass) units of all sources are split among output shards: a tree over shard
    ranges draws each left half's share of every source from the multivariate hypergeometric
    distribution, with a seed per node. Leaves hold exact unit quotas; each source's permuted units
@@ -37,7 +37,9 @@ SUB_BLOCKS = 1024
 BROADCAST_SOURCES = 100_000  # sources whose few rows each are broadcast; more are joined by salted keys
 MAX_SHARDS = MAX_BLOCKS // 8  # unless the caller asks for more: a shard should hold several units
 SALTS = 16
-FURTHER, NEAR = 8, 0.005  # further documents at most, and the share of a target below which no other is looked for
+EVERY = 1 << 62  # more words than any document has
+RULES = T.ArrayType(T.StructType([T.StructField(n, T.LongType()) for n in ("lo", "hi", "most")]))
+NEAR = 0.005  # the share of a target below which the pass needn't go on
 PLACES = 1 << 37  # values of the permutation hash; times MAX_BLOCKS they are exact in doubles
 WEIGHTS, SHARE, CEILING = (3.0, 1.0, 2.0), 1.5, 2.0
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -95,20 +97,15 @@ def deal(quotas: np.ndarray, shards: int, seed: int) -> np.ndarray:
     return np.repeat(shard[order], n[order])
 
 
-def _partial() -> Column:
-    """Whether a document lies before the end of its source's partial pass."""
-    inside = (F.col("s_") < F.col("m_sub")) | ((F.col("s_") == F.col("m_sub")) & (F.col("place_") <= F.col("m_end")))
-    return (F.col("b_") < F.col("m_edge")) | ((F.col("b_") == F.col("m_edge")) & inside)
+def _taken() -> Column:
+    """Whether a document lies in its source's partial pass, by the rules (lo, hi, most words); places with numbered rows aside."""
+    return F.exists("m_rules", lambda r: (F.col("place_") > r["lo"]) & (F.col("place_") <= r["hi"]) & (F.col("size") <= r["most"]))
 
 
-def _further() -> Column:
-    return F.coalesce(F.array_contains("m_extra", F.col("place_")), F.lit(False))
-
-
-def _drawn(edge: int, blocks: int, extra: list[int]) -> list[int]:
-    """Blocks of the partial pass: up to its edge block, and those of the further documents."""
-    own = {int(np.floor(x * blocks / PLACES)) for x in extra}
-    return [*range(min(edge + 1, blocks)), *sorted(b for b in own if b > edge)]
+def _drawn(rules: list[tuple[int, int, int]], places: list[int], blocks: int) -> list[int]:
+    """Blocks of the partial pass: those that its rules reach over and those of the given places."""
+    at = lambda x: min(int(np.floor(x * blocks / PLACES)), blocks - 1)
+    return sorted({b for lo, hi, _ in rules if hi > lo for b in range(at(lo + 1), at(hi) + 1)} | {at(p) for p in places})
 
 
 @dataclass
@@ -129,12 +126,12 @@ def mix(docs: DataFrame, scratch: Scratch, shards: int | None = None, seed: int
 
     A null text has size 0; a document of size 0 is taken as often as its block is, and counts
     nothing. A null source is a source of its own, last in order. Rows that repeat an id are rows of
-    their own: those with different texts have different places, and of those with one text any number
-    may be taken, so that targets are met however often a row repeats. An empty table gives no rows.
+    their own: those with different texts or sources have different places, and of those with one text any number
+    may be taken, the first by all their columns, so that targets are met however often a row repeats. An empty table gives no rows.
     All columns of docs stay in ``doc`` under their own names. No row has more than two copies.
     """
     spark = docs.sparkSession
-    place = F.pmod(F.xxhash64("doc_id", F.xxhash64("text"), F.lit(seed)), F.lit(PLACES))  # uniform
+    place = F.pmod(F.xxhash64("doc_id", F.xxhash64("text"), F.xxhash64("source"), F.lit(seed)), F.lit(PLACES))  # uniform
     sized = scratch.put(docs.select("source", size_of(F.col("text")).alias("size"), place.alias("place")), "sized")
     listed = sized.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).orderBy(F.col("source").asc_nulls_last()).collect()  # a row a source
     sizes = [int(r["size"]) for r in listed]
@@ -163,60 +160,78 @@ def mix(docs: DataFrame, scratch: Scratch, shards: int | None = None, seed: int
     sub = F.floor((F.col("place") * F.col("m_blocks") / F.lit(PLACES) - block) * SUB_BLOCKS)
     placed = meet(sized, "source", known).select("source", "place", "size", block.alias("block"), sub.alias("sub"))
 
-    sums = [np.zeros(b, np.int64) for b in blocks]
-    for r in placed.groupBy("source", "block").agg(F.sum("size").alias("size")).collect():  # at most MAX_BLOCKS and a row a source
-        sums[at[r["source"]]][r["block"]] = r["size"]
-    passes, edge, rest = [], [], []
-    for s, t, per in zip(sizes, wanted, sums, strict=True):
-        whole = int(t // s) if s else 1
-        left = t - whole * s
-        before = np.concatenate([[0], np.cumsum(per)])
-        e = -1 if whole >= CEILING or not s else int(np.searchsorted(before, left, "right")) - 1  # -1: no partial pass
-        passes.append(whole), edge.append(e), rest.append(float(left - before[e]) if e >= 0 else 0.0)
-
-    # the edge block of each source: to a sub-block, then to a place, then among the rows of one place
-    cut = a_row_each([(i, edge[i], rest[i]) for i in range(len(listed))], e_block=long, e_rest=double)
-    inside = meet(placed, "source", cut, F.col("block") == F.col("e_block")).groupBy("source", "sub", "e_rest").agg(F.sum("size").alias("size"))
-    upto = F.sum("size").over(Window.partitionBy("source").orderBy("sub"))  # SUB_BLOCKS rows a source
-    held = inside.withColumn("upto", upto).groupBy("source").agg(F.min(F.when(F.col("upto") > F.col("e_rest"), F.col("sub"))).alias("sub"), F.max(F.when(F.col("upto") <= F.col("e_rest"), F.col("upto"))).alias("held"))
-    edge_sub, final = [SUB_BLOCKS] * len(listed), list(rest)
-    for r in held.collect():  # a row a source
-        i = at[r["source"]]
-        edge_sub[i], final[i] = SUB_BLOCKS if r["sub"] is None else r["sub"], rest[i] - (r["held"] or 0)
-    fine = a_row_each([(i, edge[i], edge_sub[i], final[i]) for i in range(len(listed))], e_block=long, e_sub=long, e_rest=double)
-    last = meet(placed, "source", fine, F.col("block") == F.col("e_block"), F.col("sub") == F.col("e_sub")).groupBy("source", "place", "e_rest").agg(F.sum("size").alias("size"), F.max("size").alias("most"), F.count("*").alias("n"))
-    upto = F.sum("size").over(Window.partitionBy("source").orderBy("place"))  # the places of one sub-block a source
-    fits = F.col("upto") <= F.col("e_rest")
-    first_over = F.min(F.when(~fits, F.struct("place", "size", "most", "n")))
-    held = last.withColumn("upto", upto).groupBy("source").agg(F.max(F.when(fits, F.col("place"))).alias("end"), F.max(F.when(fits, F.col("upto"))).alias("held"), first_over.alias("over"))
-    ends, among = [-1] * len(listed), {}
-    for r in held.collect():  # a row a source
-        i, over = at[r["source"]], r["over"]
-        ends[i], final[i] = -1 if r["end"] is None else r["end"], final[i] - (r["held"] or 0)
-        if over and over["n"] > 1 and (take := int(final[i] // over["most"])):  # rows of one document share the place
-            among[i] = (over["place"], take)
-            final[i] -= take * over["size"] / over["n"]
-    # further documents, each the one that comes nearest to what is left
-    gap = [float(x) if e >= 0 else 0.0 for x, e in zip(final, edge, strict=True)]
-    extra: list[list[int]] = [[] for _ in listed]
-    open_ = [i for i, x in enumerate(gap) if x > 0]
-    for _ in range(FURTHER):
-        if not open_:
-            break
-        few = a_row_each([(i, edge[i], edge_sub[i], ends[i], gap[i], extra[i]) for i in open_], m_edge=long, m_sub=long, m_end=long, gap=double, m_extra=T.ArrayType(long))
-        after = meet(placed, "source", few).withColumnsRenamed({"block": "b_", "sub": "s_", "place": "place_"})
-        single = after.where(~_partial() & ~_further()).groupBy("source", "place_", "gap").agg(F.sum("size").alias("size"), F.count("*").alias("n")).where("n = 1 and size > 0 and size < 2 * gap")
-        nearest = single.groupBy("source").agg(F.min(F.struct(F.abs(F.col("gap") - F.col("size")), "place_", "size")).alias("x"))
-        open_ = []
-        for r in nearest.collect():  # a row a source
-            i = at[r["source"]]
-            extra[i].append(r["x"]["place_"])
-            gap[i] -= r["x"]["size"]
-            if gap[i] > NEAR * wanted[i]:
-                open_.append(i)
-
-    # units: (source, block, pass); the partial pass includes its edge block
-    units = [(i, b, p) for i in range(len(listed)) for p in range(passes[i] + 1) for b in (range(blocks[i]) if p < passes[i] else _drawn(edge[i], blocks[i], extra[i]))]
+    def _first_over(open_: dict[int, tuple[int, int]], rest: list[float]) -> dict[int, tuple[int, int | None, int, int]]:
+        """Of each open source: words before the first place that doesn't fit any more, that place (null: all fit), words of a row and rows there."""
+        few = a_row_each([(i, lo, most) for i, (lo, most) in open_.items()], o_lo=long, o_most=long)
+        eligible = meet(placed, "source", few, F.col("place") > F.col("o_lo"), F.col("size") <= F.col("o_most"))
+        by_block: dict[int, list[tuple[int, int]]] = {i: [] for i in open_}
+        for r in eligible.groupBy("source", "block").agg(F.sum("size").alias("size")).collect():  # at most MAX_BLOCKS and a row a source
+            by_block[at[r["source"]]].append((r["block"], r["size"]))
+        out, found = {i: (sum(s for _, s in by), None, 0, 0) for i, by in by_block.items()}, []
+        for i, by in by_block.items():
+            held = 0
+            for b, s in sorted(by):
+                if held + s > rest[i]:
+                    found.append((i, b, rest[i] - held))
+                    out[i] = (held, None, 0, 0)
+                    break
+                held += s
+        for key in ("sub", "place"):
+            if not found:
+                return out
+            if key == "sub":
+                cut = a_row_each(found, e_block=long, e_rest=double)
+                inside = meet(eligible, "source", cut, F.col("block") == F.col("e_block"))
+            else:
+                cut = a_row_each(found, e_block=long, e_sub=long, e_rest=double)
+                inside = meet(eligible, "source", cut, F.col("block") == F.col("e_block"), F.col("sub") == F.col("e_sub"))
+            sums = inside.groupBy("source", key, "e_rest").agg(F.sum("size").alias("size"), F.max("size").alias("most"), F.count("*").alias("n"))
+            upto = F.sum("size").over(Window.partitionBy("source").orderBy(key))  # SUB_BLOCKS rows a source, then the places of one sub-block
+            first = sums.withColumn("upto", upto).where(F.col("upto") > F.col("e_rest")).groupBy("source").agg(F.min(F.struct(key, "upto", "size", "most", "n")).alias("x"))
+            blocks_of, found = {f[0]: f for f in found}, []
+            for r in first.collect():  # a row a source
+                i, x = at[r["source"]], r["x"]
+                before = x["upto"] - x["size"]
+                held = out[i][0] + before
+                out[i] = (held, None, 0, 0)
+                if key == "sub":
+                    found.append((i, blocks_of[i][1], x["sub"], blocks_of[i][2] - before))
+                else:
+                    out[i] = (held, x["place"], x["most"], x["n"])
+        return out
+
+    passes = [int(t // s) if s else 1 for s, t in zip(sizes, wanted, strict=True)]
+    rest = [float(t - p * s) for s, t, p in zip(sizes, wanted, passes, strict=True)]
+    rules: list[list[tuple[int, int, int]]] = [[] for _ in listed]
+    among: list[dict[int, int]] = [{} for _ in listed]  # rows taken of a place
+    partial = [i for i, s in enumerate(sizes) if s and passes[i] < CEILING]
+    open_ = {i: (-1, EVERY) for i in partial}  # where the pass goes on, and the most words that a document may have
+    while open_:
+        over = _first_over(open_, rest)
+        after = {}
+        for i, (lo, most) in open_.items():
+            held, stop, one, n = over[i]
+            rest[i] -= held
+            rules[i].append((lo, PLACES if stop is None else stop - 1, most))
+            if stop is None:
+                continue
+            if n > 1 and (take := int(rest[i] // one)):
+                among[i][stop] = take
+                rest[i] -= take * one
+            if rest[i] > max(NEAR * wanted[i], 1):
+                after[i] = (stop, int(rest[i]))
+        open_ = after
+    few = a_row_each([(i, rest[i], [*rules[i]], among[i]) for i in partial if rest[i] > 0], gap=double, m_rules=RULES, m_among=T.MapType(long, long))
+    left = meet(placed.withColumn("place_", F.col("place")), "source", few).where((F.col("size") > 0) & (F.col("size") < 2 * F.col("gap")))
+    left = left.where(F.coalesce(F.element_at("m_among", F.col("place_")), F.when(_taken(), EVERY).otherwise(0)) < EVERY)
+    left = left.groupBy("source", "place_", "gap", F.coalesce(F.element_at("m_among", F.col("place_")), F.lit(0)).alias("took")).agg(F.max("size").alias("size"), F.count("*").alias("n")).where("took < n")
+    nearest = left.groupBy("source").agg(F.min(F.struct(F.abs(F.col("gap") - F.col("size")), "place_")).alias("x"))
+    for r in nearest.collect():  # a row a source
+        own = among[at[r["source"]]]
+        own[r["x"]["place_"]] = own.get(r["x"]["place_"], 0) + 1
+
+    # units: (source, block, pass); the partial pass has the blocks that it draws from
+    units = [(i, b, p) for i in range(len(listed)) for p in range(passes[i] + 1) for b in (range(blocks[i]) if p < passes[i] else _drawn(rules[i], list(among[i]), blocks[i]))]
     shards = shards or max(1, min(-(-round(SHARE * total) // shard_words), MAX_SHARDS))
     quotas = np.bincount([u[0] for u in units], minlength=len(listed)) if units else np.zeros(len(listed), np.int64)
     dealt = deal(quotas, shards, seed)
@@ -228,24 +243,23 @@ def mix(docs: DataFrame, scratch: Scratch, shards: int | None = None, seed: int
             _, b, p = units[start + u]
             home.setdefault((i, b), [0] * 3)[p] = shard + 1
         start += q
-    table = [(i, b, sizes[i], wanted[i], passes[i], edge[i], edge_sub[i], ends[i], extra[i], among.get(i, (-1, 0))[0], [x - 1 for x in home.get((i, b), [0] * 3)]) for i in range(len(listed)) for b in range(blocks[i])]
-    plan = a_row_each(table, m_block=long, source_size=long, target=double, m_passes=long, m_edge=long, m_sub=long, m_end=long, m_extra=T.ArrayType(long), m_among=long, m_home=T.ArrayType(long))
+    table = [(i, b, sizes[i], wanted[i], passes[i], rules[i], among[i], [x - 1 for x in home.get((i, b), [0] * 3)]) for i in range(len(listed)) for b in range(blocks[i])]
+    plan = a_row_each(table, m_block=long, source_size=long, target=double, m_passes=long, m_rules=RULES, m_among=T.MapType(long, long), m_home=T.ArrayType(long))
 
     rows = docs.select(F.struct(*docs.columns).alias("doc"), F.col("source").alias("source_"), size_of(F.col("text")).alias("size"), place.alias("place"))
     rows = meet(rows, "source_", known)
-    rows = rows.withColumns({"b_": block, "s_": sub, "place_": F.col("place")})
+    rows = rows.withColumns({"b_": block, "place_": F.col("place")})
     rows = meet(rows, "source_", plan, F.col("b_") == F.col("m_block"))
-    more = _partial() | _further()
-    if among:  # the rows of each such place are numbered, and the first ones taken
-        shared = F.col("place_") == F.col("m_among")
-        few = a_row_each([(i, p, n) for i, (p, n) in among.items()], a_place=long, a_take=long)
-        every = numbered(rows.where(shared).withColumn("place", F.col("place_")), "place", work=scratch)
-        first = every.groupBy("place").agg(F.min("det_idx").alias("first")).withColumnRenamed("place", "f_place")  # a row a source
-        every = meet(every.join(F.broadcast(first), F.col("place") == F.col("f_place")), "source_", few, F.col("place") == F.col("a_place"))
+    if any(among):  # the rows of each such place are numbered, and the first ones taken
+        shared = F.map_contains_key("m_among", F.col("place_"))
+        few = a_row_each([(i, p, n) for i, own in enumerate(among) for p, n in own.items()], a_place=long, a_take=long)
+        every = numbered(rows.where(shared).withColumns({"place": F.col("place_"), "like": F.xxhash64(F.to_json("doc"))}), "source_", "place", "like", work=scratch)
+        first = every.groupBy(F.col("source_").alias("f_source"), F.col("place").alias("f_place")).agg(F.min("det_idx").alias("first"))  # a row for each row of few
+        every = meet(every, "source_", few, F.col("place") == F.col("a_place")).join(first, F.col("source_").eqNullSafe(F.col("f_source")) & (F.col("place") == F.col("f_place")))
         taken = every.withColumn("more", F.col("det_idx") - F.col("first") < F.col("a_take"))
-        rows = rows.where(~shared).withColumn("more", more).select(*(keep := ["doc", "size", "source_size", "target", "m_passes", "m_home", "more"])).union(taken.select(*keep))
+        rows = rows.where(~shared).withColumn("more", _taken()).select(*(keep := ["doc", "size", "source_size", "target", "m_passes", "m_home", "more"])).union(taken.select(*keep))
     else:
-        rows = rows.withColumn("more", more)
+        rows = rows.withColumn("more", _taken())
     rows = rows.withColumn("copies", (F.col("m_passes") + F.col("more").cast("int")).cast("int"))
     scratch.drop("sized")
     return Mix(rows.select("doc", "size", "source_size", "target", "copies", F.slice("m_home", 1, F.col("copies")).alias("shards")), shards)

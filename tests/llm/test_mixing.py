@@ -93,3 +93,33 @@ def test_sources_without_number(spark, monkeypatch):
     monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 50)
     docs = spark.createDataFrame([(i, "w " * (1 + i % 9), f"s{i % 700:03d}") for i in range(3000)], "doc_id long, text string, source string")
     near_targets(mix(docs, Scratch(spark), shards=5).rows.collect())
+
+
+def test_one_document_in_several_sources(spark):
+    docs = spark.createDataFrame([(1, "word", s) for s in "abc" for _ in range(1000)], "doc_id long, text string, source string")
+    got = mix(docs.repartition(4), Scratch(spark)).rows.collect()
+    near_targets(got)
+    taken = {s: sum(r["size"] * r.copies for r in got if r.doc.source == s) for s in "abc"}
+    assert taken == {"a": 2000, "b": 833, "c": 1667 if taken["c"] == 1667 else 1666}
+
+
+def test_documents_repeated_over_sources(spark):
+    docs = spark.createDataFrame([(i, "w " * (1 + i % 50), s) for s in "abcde" for i in range(40) for _ in range(25)], "doc_id long, text string, source string")
+    near_targets(mix(docs, Scratch(spark)).rows.collect())
+
+
+def test_a_source_of_many_small_and_few_huge_documents(spark):
+    rows = [(i, "w " * 3, "a") for i in range(600)] + [(1000 + i, "w " * 9000, "a") for i in range(3)] + [(2000 + i, "w " * 40, "b") for i in range(800)]
+    got = mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), Scratch(spark)).rows.collect()
+    by = defaultdict(list)
+    for r in got:
+        by[r.doc.source].append(r)
+    for s, own in by.items():
+        assert abs(sum(r["size"] * r.copies for r in own) - own[0].target) <= 0.005 * own[0].target + 40, s
+
+
+def test_rows_alike_but_for_other_columns(spark):
+    rows = [(1, "five words in this text", "a", f"l{i}") for i in range(300)] + [(2, "w " * 700, "b", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    copies = [sorted((r.doc.lang or "", r.copies) for r in mix(docs.repartition(n), Scratch(spark)).rows.collect()) for n in (2, 7)]
+    assert copies[0] == copies[1] and len({c for _, c in copies[0]}) == 2
