@@ -96,7 +96,7 @@ def _forests(edges: DataFrame) -> DataFrame:
     return edges.mapInArrow(run, edges.schema)
 
 
-def connected_components(edges: DataFrame, work: Workspace | None = None, name: str = "cc", native: bool = False) -> DataFrame:
+def connected_components(edges: DataFrame, work: Workspace | None = None, name: str = "cc", native: bool = False, finish: int = 0) -> DataFrame:
     """node, root (the least node reachable) of undirected edges (u, v) of one integer or string type.
 
     Every partition first joins what its own edges join (left out if ``native``, which keeps to
@@ -105,7 +105,8 @@ def connected_components(edges: DataFrame, work: Workspace | None = None, name:
     with millions of neighbours costs one row per task) and a join on the node; rounds grow with the
     logarithm of the graph, however long its paths. Self-loops and repeated edges are ignored; an edge
     with a null end is dropped. An empty input gives no rows. The last round's table stays in
-    ``work``, as the result reads it.
+    ``work``, as the result reads it. As soon as no more than ``finish`` edges are left, a number
+    whose forest fits a task, one task ends the work.
     """
     work = work or Workspace(edges.sparkSession)
 
@@ -126,7 +127,12 @@ def connected_components(edges: DataFrame, work: Workspace | None = None, name:
 
     now = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     now, i = work.put(now.distinct() if native else _forests(now).distinct(), f"{name}_0"), 0
-    while not done(now):
+    while True:
+        if few := finish and now.count() <= min(finish, FOREST // 2):
+            now = work.put(_forests(now.coalesce(1)), f"{name}_{i + 1}")
+            work.drop(f"{name}_{i}")
+        if few or done(now):
+            break
         i += 1
         now = work.put(star(star(now, False), True), f"{name}_{i}")
         work.drop(f"{name}_{i - 1}")

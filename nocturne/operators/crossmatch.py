@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.sky import separation_arcsec, unit_vector
+from .components import Workspace
 
 
 def chord(radius_arcsec: float) -> float:
@@ -72,27 +73,78 @@ def nearest_match(left: DataFrame, right: DataFrame, radius_arcsec: float, left_
     return pairs.withColumn("rank", rank).where("rank = 1").select(F.col(f"l.{left_id}").alias(left_id), F.col(f"r.{right_id}").alias(right_id), "sep_arcsec")
 
 
-def crossmatch(left: DataFrame, right: DataFrame, radius_arcsec: float, left_id: str, right_id: str, reach_arcsec: float = 6.48e5) -> DataFrame:
+def _mindist(size: Column) -> Column:
+    """Chord from the row (x, y, z) to the nearest point of the cell (cx, cy, cz)."""
+    total = F.lit(0.0)
+    for n in "xyz":
+        lo = F.col(f"c{n}") * size - 2.0
+        total += F.pow(F.greatest(lo - F.col(n), F.col(n) - (lo + size), F.lit(0.0)), F.lit(2.0))
+    return F.sqrt(total)
+
+
+def nearest_anywhere(left: DataFrame, right: DataFrame, left_id: str, right_id: str, finest_arcsec: float, work: Workspace) -> DataFrame:
+    """left_id, right_id, sep_arcsec: the nearest right row at any distance, ties to the smaller right id.
+
+    Right rows are counted out into cells of several sizes, each four times the next finer one, and every
+    occupied cell keeps one of its rows. A left row knows from the cells that it lies in itself how far a
+    neighbour is at most. From the finest size at which its own cell is occupied it goes down, size by
+    size: occupied cells beyond the least distance known to any kept row are left out, so that a row
+    carries the few cells that the nearest one may be in, and meets single rows at the finest size only.
+    """
+    finest = max(chord(finest_arcsec), 1e-6)
+    top = max(1, math.ceil(math.log(4.0 / finest, 4)))
+    size = lambda level: F.lit(finest) * F.pow(F.lit(4.0), level)
+    unit = lambda df: df.withColumns(dict(zip("xyz", unit_vector(F.col("ra"), F.col("dec")), strict=True)))
+    cells = ["cx", "cy", "cz"]
+    usable = "ra is not null and dec is not null"
+    placed = unit(right.select(right_id, "ra", "dec").where(usable)).withColumns({f"c{n}": F.floor((F.col(n) + 2.0) / finest).cast("long") for n in "xyz"})
+    points = work.put(placed, "points")
+    if points.isEmpty():
+        return points.select(F.col(right_id).alias(left_id), right_id, F.lit(0.0).alias("sep_arcsec"))
+    each = points.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(top))))
+    up = lambda c: F.expr(f"shiftright({c}, 2 * level)")
+    kept = each.select("level", *[up(c).alias(c) for c in cells], F.struct("x", "y", "z").alias("at")).groupBy("level", *cells).agg(F.min("at").alias("at"))
+    kept = work.put(kept.select("level", *cells, F.col("at.x").alias("px"), F.col("at.y").alias("py"), F.col("at.z").alias("pz")), "cells")
+    far = F.sqrt(sum((F.pow(F.col(n) - F.col(f"p{n}"), F.lit(2.0)) for n in "xyz"), F.lit(0.0))) * (1 + 1e-9) + 1e-12
+
+    rows = unit(left.select(F.col(left_id).alias("row"), "ra", "dec").where(usable)).select("row", "ra", "dec", "x", "y", "z")
+    own = rows.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(top)))).withColumns({f"c{n}": F.expr(f"shiftright(cast(floor(({n} + 2D) / {finest!r}) as bigint), 2 * level)") for n in "xyz"})
+    starts = own.join(kept, ["level", *cells]).withColumn("far", far).groupBy("row", "ra", "dec", "x", "y", "z").agg(F.min("level").alias("level"), F.min("far").alias("u"))
+    around = starts
+    for n in "xyz":
+        s = size(F.col("level"))
+        around = around.withColumn(f"c{n}", F.explode(F.sequence(F.floor((F.col(n) + 2.0 - F.col("u")) / s).cast("long"), F.floor((F.col(n) + 2.0 + F.col("u")) / s).cast("long"))))
+    starts = work.put(around.where(_mindist(size(F.col("level"))) <= F.col("u")).join(kept.select("level", *cells), ["level", *cells], "left_semi"), "starts")
+    highest = starts.agg(F.max("level")).head()[0]
+    highest = 0 if highest is None else highest
+    open_ = starts.where(F.col("level") == highest)
+    for level in range(highest, 0, -1):
+        here = kept.where(F.col("level") == level).drop("level")
+        met = open_.drop("level").join(here, cells).withColumn("far", far)
+        bound = met.groupBy("row").agg(F.min("far").alias("u_"))
+        near = met.join(bound, "row").withColumn("u", F.least("u", "u_")).where(_mindist(size(F.lit(level))) <= F.col("u")).select("row", "ra", "dec", "x", "y", "z", "u", *[F.col(c).alias(f"p_{c}") for c in cells])
+        below = kept.where(F.col("level") == level - 1).select(*cells, *[F.shiftright(c, 2).alias(f"p_{c}") for c in cells])
+        down = near.join(below, [f"p_{c}" for c in cells]).where(_mindist(size(F.lit(level - 1))) <= F.col("u"))
+        down = down.withColumn("level", F.lit(level - 1)).select(*starts.columns)
+        open_ = work.put(down.union(starts.where(F.col("level") == level - 1)), f"open_{level - 1}")
+        work.drop(f"open_{level}")
+    last = points.select(*cells, F.col(right_id).alias("other"), F.col("ra").alias("ra_"), F.col("dec").alias("dec_"))
+    met = open_.join(last, cells).select("row", "other", separation_arcsec(F.col("ra"), F.col("dec"), F.col("ra_"), F.col("dec_")).alias("sep_arcsec"))
+    best = met.groupBy("row").agg(F.min(F.struct("sep_arcsec", "other")).alias("b"))
+    return best.select(F.col("row").alias(left_id), F.col("b.other").alias(right_id), F.col("b.sep_arcsec").alias("sep_arcsec"))
+
+
+def crossmatch(left: DataFrame, right: DataFrame, radius_arcsec: float, left_id: str, right_id: str, work: Workspace | None = None) -> DataFrame:
     """The full contract: every left row with idx (right id or -1), sep_arcsec (null is no neighbour) and matched.
 
-    Neighbours beyond the radius are still reported: unmatched rows search on with a radius grown
-    four-fold each round up to ``reach_arcsec`` (the whole sphere), each round over only the rows that
-    are left.
+    Neighbours beyond the radius are still reported, at any distance: the rows without a partner
+    search once more by cells of growing size.
     """
-    from .components import Workspace
-
-    work, radius, parts = Workspace(left.sparkSession), float(radius_arcsec), []
-    rest = left.select(left_id, "ra", "dec").where("ra is not null and dec is not null")
-    while True:
-        hits = work.put(nearest_match(rest, right, radius, left_id, right_id), f"hits_{len(parts)}")
-        parts.append(hits)
-        rest = work.put(rest.join(hits.select(left_id), left_id, "left_anti"), f"rest_{len(parts)}")
-        if radius >= reach_arcsec or rest.isEmpty():
-            break
-        radius = min(radius * 4.0, reach_arcsec)
-    found = parts[0]
-    for p in parts[1:]:
-        found = found.unionByName(p)
+    work = work or Workspace(left.sparkSession)
+    usable = left.select(left_id, "ra", "dec").where("ra is not null and dec is not null")
+    hits = work.put(nearest_match(usable, right, radius_arcsec, left_id, right_id), "hits")
+    rest = work.put(usable.join(hits.select(left_id), left_id, "left_anti"), "rest")
+    found = hits.unionByName(nearest_anywhere(rest, right, left_id, right_id, radius_arcsec, work))
     out = left.select(left_id).join(found, left_id, "left")
     return out.select(left_id, F.coalesce(F.col(right_id), F.lit(-1)).alias("idx"), "sep_arcsec", F.coalesce(F.col("sep_arcsec") <= radius_arcsec, F.lit(False)).alias("matched"))
 

@@ -68,26 +68,30 @@ def numbered(detections: DataFrame, *order: str, work: Workspace | None = None)
     """
     work = work or Workspace(detections.sparkSession)
     ranged = detections.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions(*order)
-    stored = work.put(ranged.withColumn("_at", F.monotonically_increasing_id()), f"numbered_{uuid.uuid4().hex}")
+    stored = work.put(ranged.withColumn("_at", F.monotonically_increasing_id()), f"numbered_{uuid.uuid4().hex[:8]}")
     part, place = F.shiftrightunsigned("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))  # the layout of that id
     counts = stored.groupBy(part.alias("_part")).agg(F.count("*").alias("n"))
     before = counts.select("_part", (F.sum("n").over(Window.orderBy("_part")) - F.col("n")).alias("_before"))
     return stored.withColumn("_part", part).join(F.broadcast(before), "_part").withColumn("det_idx", F.col("_before") + place).drop("_part", "_at", "_before")
 
 
-def as_detections(sources: DataFrame, reference: DataFrame | None, settings: Settings, order: tuple[str, ...] = ("frame_index", "id")) -> DataFrame:
+def as_detections(sources: DataFrame, reference: DataFrame | None, settings: Settings, order: tuple[str, ...] = ("frame_index", "id"), work: Workspace | None = None) -> DataFrame:
     """Significant sources with det_idx in catalogue order and matched_ref."""
-    kept = numbered(significant(sources, settings.min_snr), *order)
-    return flag_matched(kept, reference, settings.match_radius_arcsec)
+    kept = significant(sources, settings.min_snr).withColumn("key_", F.struct(*order))
+    return numbered(flag_matched(kept, reference, settings.match_radius_arcsec, "key_").drop("key_"), *order, work=work)
 
 
 # ---- constrained clusters --------------------------------------------------------------------
 
 
-def merge_nearest_first(nodes: np.ndarray, frames: np.ndarray, a: np.ndarray, b: np.ndarray, sep: np.ndarray) -> dict[int, int]:
-    """Cluster (its least node) of each node: nearest pairs first, never two nodes of one frame together."""
-    parent = {int(n): int(n) for n in nodes}
-    epochs = {int(n): {int(f)} for n, f in zip(nodes, frames, strict=True)}
+PAIRS_A_GROUP = 20_000  # pairs of a component that one Python group takes
+ROUNDS = 6  # of locally least pairs before the components are looked at again
+FINISH = 200_000  # edges whose components one task may end
+
+
+def merge_nearest_first(frames: dict[int, set[int]], links: list[tuple[float, int, int, int, int]]) -> dict[int, int]:
+    """Cluster of each start cluster: links (sep, a, b, x, y) between clusters x and y in order, never two detections of one frame together."""
+    parent, epochs = {n: n for n in frames}, {n: set(f) for n, f in frames.items()}
 
     def root(n: int) -> int:
         while parent[n] != n:
@@ -95,32 +99,85 @@ def merge_nearest_first(nodes: np.ndarray, frames: np.ndarray, a: np.ndarray, b:
             n = parent[n]
         return n
 
-    for k in np.lexsort((b, a, sep)):
-        x, y = root(int(a[k])), root(int(b[k]))
+    for _, _, _, x, y in sorted(links):
+        x, y = root(x), root(y)
         if x != y and epochs[x].isdisjoint(epochs[y]):
             lo, hi = min(x, y), max(x, y)
             parent[hi] = lo
             epochs[lo] |= epochs.pop(hi)
-    return {int(n): root(int(n)) for n in nodes}
+    return {n: root(n) for n in frames}
 
 
-def constrained_clusters(detections: DataFrame, radius_arcsec: float) -> DataFrame:
-    """det_idx, cluster (the least det_idx of it). Only components of the radius graph reach Python."""
-    edges = Workspace(detections.sparkSession).put(radius_pairs(detections.select("det_idx", "ra", "dec"), radius_arcsec, "det_idx"), "edges")
-    labels = connected_components(edges.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    frames = detections.select(F.col("det_idx").alias("node"), "frame_index")
-    members = labels.join(frames, "node").select("root", "node", "frame_index", F.lit(None).cast("long").alias("b"), F.lit(None).cast("double").alias("sep"))
-    pairs = edges.join(labels, F.col("a") == F.col("node")).select("root", F.col("a").alias("node"), F.lit(None).cast("int").alias("frame_index"), "b", F.col("sep_arcsec").alias("sep"))
+def _merged_in_groups(links: DataFrame, clusters: DataFrame, labels: DataFrame) -> DataFrame:
+    """cluster, final of the clusters that links join, a Python group for each component (root of labels)."""
+    none = lambda *names: [F.lit(None).cast("double" if n == "sep" else "long").alias(n) for n in names]
+    held = labels.join(clusters, F.col("node") == F.col("cluster")).select("root", F.col("cluster").alias("x"), "frames", *none("y", "a", "b", "sep"))
+    pairs = links.join(labels, F.col("x") == F.col("node")).select("root", "x", F.lit(None).cast("array<long>").alias("frames"), "y", "a", "b", "sep")
 
     def solve(group: pd.DataFrame) -> pd.DataFrame:
-        is_pair = group["b"].notna()
-        nodes, links = group[~is_pair], group[is_pair]
-        found = merge_nearest_first(nodes["node"].to_numpy(), nodes["frame_index"].to_numpy(), links["node"].to_numpy(), links["b"].to_numpy().astype(np.int64), links["sep"].to_numpy())
-        return pd.DataFrame({"det_idx": list(found), "cluster": list(found.values())})
+        is_pair = group["y"].notna()
+        own, pairs = group[~is_pair], group[is_pair]
+        found = merge_nearest_first({int(x): {int(f) for f in fs} for x, fs in zip(own["x"], own["frames"], strict=True)}, [(s, int(a), int(b), int(x), int(y)) for s, a, b, x, y in zip(pairs["sep"], pairs["a"], pairs["b"], pairs["x"], pairs["y"], strict=True)])
+        return pd.DataFrame({"cluster": list(found), "final": list(found.values())})
+
+    return held.unionByName(pairs).groupBy("root").applyInPandas(solve, "cluster long, final long")
+
+
+def _least_pairs(links: DataFrame, clusters: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(links that may still merge, hi and lo of those that are the least of both their clusters).
+
+    Such a link comes before every other one that touches its clusters, so nothing that the greedy
+    order does earlier can change them: merging all of them at once gives what the order gives. A
+    link whose clusters share a frame never merges later either.
+    """
+    of = lambda c: clusters.select(F.col("cluster").alias(c), F.col("frames").alias(f"f{c}"))
+    live = links.where("x <> y").join(of("x"), "x").join(of("y"), "y").where(~F.arrays_overlap("fx", "fy")).select("a", "b", "sep", "x", "y")
+    key = F.struct("sep", "a", "b")
+    least = live.select(F.col("x").alias("c"), key.alias("k")).union(live.select("y", key)).groupBy("c").agg(F.min("k").alias("k"))
+    first = lambda c: live.select("a", "b", "sep", "x", "y", key.alias("k")).join(least.select(F.col("c").alias(c), "k"), [c, "k"])
+    picked = first("x").select("a", "b", "x", "y").join(first("y").select("a", "b"), ["a", "b"])
+    return live, picked.select(F.greatest("x", "y").alias("hi"), F.least("x", "y").alias("lo"))
 
-    both = members.withColumn("frame_index", F.col("frame_index").cast("int")).unionByName(pairs)
-    solved = both.groupBy("root").applyInPandas(solve, "det_idx long, cluster long")
-    return detections.select("det_idx").join(solved, "det_idx", "left").select("det_idx", F.coalesce("cluster", "det_idx").alias("cluster"))
+
+def constrained_clusters(detections: DataFrame, radius_arcsec: float, pairs_a_group: int = PAIRS_A_GROUP, work: Workspace | None = None) -> DataFrame:
+    """det_idx, cluster (the least det_idx of it): pairs merge nearest first, never two detections of one frame.
+
+    Components of the radius graph with at most ``pairs_a_group`` pairs are merged in a Python group
+    each. Larger ones, as in a crowded field, go through rounds that merge all locally least pairs at
+    once, until what can still merge has fallen into small components.
+    """
+    work = work or Workspace(detections.sparkSession)
+    links = work.put(radius_pairs(detections.select("det_idx", "ra", "dec"), radius_arcsec, "det_idx").select("a", "b", F.col("sep_arcsec").alias("sep"), F.col("a").alias("x"), F.col("b").alias("y")), "edges")
+    clusters = detections.select(F.col("det_idx").alias("cluster"), F.array(F.col("frame_index").cast("long")).alias("frames"))
+    moved, step = [], 0  # node, final: what each look or round has merged
+    while True:
+        labels = connected_components(links.select(F.col("x").alias("u"), F.col("y").alias("v")), work, f"cc_{step}", finish=FINISH)
+        rooted = links.join(labels, F.col("x") == F.col("node")).select("root")
+        crowded = work.put(rooted.groupBy("root").agg(F.count("*").alias("n")).where(F.col("n") > pairs_a_group).select("root"), f"crowded_{step}")
+        some = not crowded.isEmpty()
+        small = labels.join(crowded, "root", "left_anti") if some else labels
+        solved = _merged_in_groups(links.join(small.select("node"), F.col("x") == F.col("node"), "left_semi") if some else links, clusters, small)
+        moved.append(work.put(solved.where("cluster <> final"), f"solved_{step}"))
+        if not some:
+            break
+        links = links.join(labels.join(crowded, "root", "left_semi"), F.col("x") == F.col("node"), "left_semi")
+        for k in range(ROUNDS):
+            live, picked = _least_pairs(links, clusters)
+            live, picked = work.put(live, f"live_{step}_{k}"), work.put(picked, f"picked_{step}_{k}")
+            if picked.isEmpty():
+                links = live
+                break
+            to = lambda c, picked=picked: picked.select(F.col("hi").alias(c), F.col("lo").alias(f"{c}_"))
+            links = work.put(live.join(to("x"), "x", "left").join(to("y"), "y", "left").select("a", "b", "sep", F.coalesce("x_", "x").alias("x"), F.coalesce("y_", "y").alias("y")), f"links_{step}_{k}")
+            both = clusters.join(to("cluster"), "cluster", "left").groupBy(F.coalesce("cluster_", "cluster").alias("cluster"))
+            clusters = work.put(both.agg(F.flatten(F.collect_list("frames")).alias("frames")), f"clusters_{step}_{k}")
+            moved.append(picked.select(F.col("hi").alias("cluster"), F.col("lo").alias("final")))
+        links = work.put(_least_pairs(links, clusters)[0], f"links_{step}")
+        step += 1
+    out = detections.select("det_idx", F.col("det_idx").alias("cluster"))
+    for to in moved:
+        out = out.join(to, "cluster", "left").select("det_idx", F.coalesce("final", "cluster").alias("cluster"))
+    return out
 
 
 # ---- tracklets -------------------------------------------------------------------------------
@@ -217,17 +274,17 @@ def _resolve_tracks(group: pd.DataFrame, tol_deg: float, least: int) -> list[lis
     return out
 
 
-def link_movers(orphans: DataFrame, settings: Settings) -> DataFrame:
+def link_movers(orphans: DataFrame, settings: Settings, work: Workspace | None = None) -> DataFrame:
     """track (its seed's order), pos, det_idx. Components of shared seeds and matches are resolved apart."""
     tol = settings.match_radius_arcsec * 2.5 / 3600.0
-    work = Workspace(orphans.sparkSession)
+    work = work or Workspace(orphans.sparkSession)
     seeds = work.put(seed_pairs(orphans, settings.max_motion_arcsec_per_min), "seeds")
     found = predicted_matches(seeds, orphans, tol)
     # a seed matters only if some third frame has a match
     found = work.put(found, "found")
     triples = found.select(F.col("a").alias("u"), F.col("b").alias("v")).union(found.select(F.col("a").alias("u"), F.col("c").alias("v")))
     links = triples if settings.min_tracklet_points > 2 else seeds.select(F.col("a").alias("u"), F.col("b").alias("v"))
-    labels = connected_components(links)
+    labels = connected_components(links, work, "linked", finish=FINISH)
     spot = ["frame_index", "time_min", "ra", "dec"]
     members = orphans.join(labels, F.col("det_idx") == F.col("node")).select("root", "det_idx", *spot, F.lit(None).cast("long").alias("other"))
     viable = (found if settings.min_tracklet_points > 2 else seeds).select("a", F.col("b").alias("other")).distinct()
@@ -341,10 +398,10 @@ def discover(sources: DataFrame, reference: DataFrame | None, settings: Settings
     if not settings.enabled:
         sources = sources.limit(0)
     work = Workspace(sources.sparkSession)
-    dets = work.put(as_detections(sources, reference, settings), "detections")
+    dets = as_detections(sources, reference, settings, work=work)
     per_frame = frame_fwhm if frame_fwhm is not None else sources.groupBy("frame_index").agg(F.median("fwhm").alias("median_fwhm"))
     typical = F.broadcast(per_frame.agg(F.median("median_fwhm").alias("typical_fwhm")))
-    dets = dets.join(constrained_clusters(dets, settings.match_radius_arcsec), "det_idx").crossJoin(typical)
+    dets = dets.join(constrained_clusters(dets, settings.match_radius_arcsec, work=work), "det_idx").crossJoin(typical)
     size = Window.partitionBy("cluster")
     dets = work.put(dets.withColumn("orphan", (F.count("*").over(size) == 1) & ~F.col("matched_ref") & F.lit(settings.moving_object_link)), "clustered")
     fixed = work.put(_scored(dets.where("not orphan"), "cluster", False), "fixed")
@@ -370,7 +427,7 @@ def discover(sources: DataFrame, reference: DataFrame | None, settings: Settings
     parts = [fixed]
     if settings.moving_object_link:
         orphans = dets.where("orphan")
-        tracks = work.put(link_movers(orphans, settings), "tracks")
+        tracks = work.put(link_movers(orphans, settings, work), "tracks")
         linked = orphans.join(tracks, "det_idx")
         ends = linked.groupBy("track").agg(*[f(c, "pos").alias(f"{n}_{c}") for n, f in (("a", F.min_by), ("z", F.max_by)) for c in ("ra", "dec", "time_min")])
         movers = _scored(linked, "track", True).join(ends, "track")
@@ -386,6 +443,7 @@ def discover(sources: DataFrame, reference: DataFrame | None, settings: Settings
         merged = merged.unionByName(p, allowMissingColumns=True)
     rank = composite_rank(F.col("kind"), F.col("mean_snr"), F.col("n_det"), F.col("rb_score"), F.when(F.col("kind") == "variable", F.col("significance")))
     ordered = numbered(work.put(merged.withColumn("rank_score", rank), "objects"), "class", "first_det").withColumnRenamed("det_idx", "obj_id")
+    work.clear()  # the numbered objects are stored
     return ordered.drop("class", "is_variable", "red_chi2", "n_sig")
 
 

@@ -436,12 +436,27 @@ def detections(spark: SparkSession, sf_dir: str, radius: float = R) -> DataFrame
     return discovery.as_detections(f.where("frame_index < 5"), ref, discovery.Settings(match_radius_arcsec=radius))
 
 
-@query()
+DET_SQL = f"d AS (SELECT *, row_number() OVER (ORDER BY frame_index, id) - 1 AS det_idx FROM ({FLAGGED_SQL}) WHERE frame_index < 5 AND snr >= 5 AND NOT flag_saturated)"
+#: Pairs one after the other, with the cluster of every detection as the state.
+CLUSTERS_SQL = f"""{DET_SQL}, pr AS (SELECT *, row_number() OVER (ORDER BY sep, a, b) AS k FROM (SELECT p.det_idx AS a, q.det_idx AS b, {sep_sql('p.ra', 'p.dec', 'q.ra', 'q.dec')} AS sep FROM d p JOIN d q ON p.det_idx < q.det_idx) WHERE sep <= {R}),
+ al AS (SELECT list(frame_index ORDER BY det_idx) AS fr, list(det_idx ORDER BY det_idx) AS lab FROM d),
+ mg(k, lab) AS (SELECT 0::BIGINT, lab FROM al UNION ALL SELECT pr.k, CASE WHEN mg.lab[a + 1] <> mg.lab[b + 1] AND len(list_intersect(list_filter(fr, lambda f, i: mg.lab[i] = mg.lab[a + 1]), list_filter(fr, lambda f, i: mg.lab[i] = mg.lab[b + 1]))) = 0
+  THEN list_transform(mg.lab, lambda x: CASE WHEN x = greatest(mg.lab[a + 1], mg.lab[b + 1]) THEN least(mg.lab[a + 1], mg.lab[b + 1]) ELSE x END) ELSE mg.lab END FROM mg JOIN pr ON pr.k = mg.k + 1, al),
+ cl AS (SELECT det_idx, lab[det_idx + 1] AS cluster FROM d, (SELECT lab FROM mg ORDER BY k DESC LIMIT 1))"""
+
+
+@query(f"WITH RECURSIVE {CLUSTERS_SQL} SELECT det_idx, cluster FROM cl")
 def cluster_constrained(spark: SparkSession, sf_dir: str) -> DataFrame:
     return discovery.constrained_clusters(detections(spark, sf_dir), R)
 
 
-@query()
+POINTINGS_SQL = f"""fr AS (SELECT frame_index AS night, id AS frame_index, ra, dec, row_number() OVER (PARTITION BY frame_index ORDER BY id) AS k FROM ({SOURCES_SQL})),
+ an(night, k, frame_index, field_id, anchors) AS (SELECT DISTINCT night, 0::BIGINT, NULL::BIGINT, NULL::BIGINT, []::STRUCT(ra DOUBLE, "dec" DOUBLE)[] FROM fr UNION ALL
+  SELECT night, k, frame_index, CASE WHEN hit > 0 THEN hit - 1 ELSE len(anchors) END, CASE WHEN hit > 0 THEN anchors ELSE list_append(anchors, {{'ra': ra, 'dec': dec}}) END FROM (
+   SELECT fr.night, fr.k, fr.frame_index, ra, dec, anchors, coalesce(list_position(list_transform(anchors, lambda a: sqrt(pow({wrap_sql('fr.ra - a.ra')} * cos(radians(a.dec)), 2) + pow(fr.dec - a.dec, 2)) <= 0.25), true), 0) AS hit FROM an JOIN fr ON fr.night = an.night AND fr.k = an.k + 1))"""
+
+
+@query(f"WITH RECURSIVE {POINTINGS_SQL} SELECT frame_index, field_id FROM an WHERE k > 0")
 def pointing_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     one = views.sources(spark, sf_dir).withColumn("night", F.col("frame_index")).select("night", F.col("id").alias("frame_index"), "ra", "dec")
     return pointings.pointing_clusters(one, 30.0)

@@ -59,6 +59,41 @@ def test_no_cluster_holds_two_detections_of_a_frame(spark):
     assert sorted(got) == [0, 1, 2, 3, 4]
 
 
+def brute_clusters(rows, radius):
+    """Pairs by distance and indices, merged if they share no frame."""
+    n = len(rows)
+    ra, dec = (np.radians(np.array([r[k] for r in rows])) for k in (3, 4))
+    y = np.hypot(np.cos(dec) * np.sin(ra - ra[:, None]), np.cos(dec)[:, None] * np.sin(dec) - np.sin(dec)[:, None] * np.cos(dec) * np.cos(ra - ra[:, None]))
+    sep = np.degrees(np.arctan2(y, np.sin(dec)[:, None] * np.sin(dec) + np.cos(dec)[:, None] * np.cos(dec) * np.cos(ra - ra[:, None]))) * 3600
+    at, frames = list(range(n)), {i: {rows[i][1]} for i in range(n)}
+    for _, i, j in sorted((sep[i, j], i, j) for i in range(n) for j in range(i + 1, n) if sep[i, j] <= radius):
+        x, z = sorted((at[i], at[j]))
+        if x != z and not frames[x] & frames[z]:
+            frames[x] |= frames.pop(z)
+            at = [x if c == z else c for c in at]
+    return dict(enumerate(at))
+
+
+@pytest.mark.parametrize(("seed", "width", "most"), [(0, 60, 20_000), (2, 15, 5), (4, 12, 0)])
+def test_clusters_equal_the_greedy_order(spark, seed, width, most):
+    """Scattered fields, and ones so crowded that all detections hang together, with and without rounds of least pairs."""
+    rng = np.random.default_rng(seed)
+    rows = [(i, int(rng.integers(0, 6)), 0.0, (359.999 + float(rng.uniform(0, width)) / 3600) % 360, 1 + float(rng.uniform(0, width)) / 3600) for i in range(120)]
+    rows += [(120, 7, 0.0, 10.0, 1.0), (121, 7, 0.0, 10.0, 1.0), (122, 8, 0.0, 10.0, 1.0)]
+    got = {r.det_idx: r.cluster for r in discovery.constrained_clusters(spark.createDataFrame(rows, DET), 2.5, pairs_a_group=most).collect()}
+    assert got == brute_clusters(rows, 2.5)
+
+
+def test_a_chain_of_falling_distances(spark):
+    """The worst order for rounds: each pair waits for the next one."""
+    rows, at = [], 20.0
+    for i in range(14):
+        rows.append((i, i % 40, 0.0, at, 0.0))
+        at += (2.0 - 0.1 * i) / 3600
+    got = {r.det_idx: r.cluster for r in discovery.constrained_clusters(spark.createDataFrame(rows, DET), 2.5, pairs_a_group=0).collect()}
+    assert got == brute_clusters(rows, 2.5)
+
+
 def brute_tracks(rows, max_speed, tol, least):
     """Seeds in order of frames and rows; other frames give their first match; members are used once."""
     wrap = lambda d: (d + 180) % 360 - 180

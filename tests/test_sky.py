@@ -175,3 +175,32 @@ def test_mag_functions(spark):
     assert one(spark, photometric.instrumental_mag(F.lit(-1.0), F.lit(1.0))) is None
     assert one(spark, photometric.instrumental_mag(F.lit(100.0), F.lit(1.0))) == pytest.approx(-5.0)
     assert one(spark, photometric.lightcurve_err(F.lit(None).cast("double"), F.lit(1e6))) == pytest.approx(0.005)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_nearest_at_any_distance_equals_brute_force(spark, seed):
+    rng = np.random.default_rng(seed)
+
+    def sphere(n):
+        return np.degrees(np.arctan2(*rng.normal(size=(2, n)))) % 360, np.degrees(np.arcsin(rng.uniform(-1, 1, n)))
+
+    ra, dec = sphere(300)
+    if seed == 1:  # a dense patch far from most rows, and repeated positions
+        ra, dec = 40 + rng.uniform(0, 0.01, 300).round(4), -30 + rng.uniform(0, 0.01, 300).round(4)
+    if seed == 2:  # about the pole and RA 0
+        ra, dec = rng.uniform(-1, 1, 300) % 360, np.where(rng.random(300) < 0.5, 90 - rng.uniform(0, 1e-3, 300), rng.uniform(-1, 1, 300))
+    la, ld = sphere(200)
+    la[:60], ld[:60] = ra[:60], dec[:60]
+    left = spark.createDataFrame([(i, float(a), float(d)) for i, (a, d) in enumerate(zip(la, ld, strict=True))] + [(900, None, 1.0)], "l long, ra double, dec double")
+    right = spark.createDataFrame([(i, float(a), float(d)) for i, (a, d) in enumerate(zip(ra, dec, strict=True))] + [(901, 1.0, None)], "r long, ra double, dec double")
+    got = {r.l: r for r in crossmatch.crossmatch(left, right, 1.0, "l", "r").collect()}
+    a1, d1, a2, d2 = (np.radians(x) for x in (la[:, None], ld[:, None], ra[None], dec[None]))
+    y = np.hypot(np.cos(d2) * np.sin(a2 - a1), np.cos(d1) * np.sin(d2) - np.sin(d1) * np.cos(d2) * np.cos(a2 - a1))
+    sep = np.degrees(np.arctan2(y, np.sin(d1) * np.sin(d2) + np.cos(d1) * np.cos(d2) * np.cos(a2 - a1))) * 3600
+    for i in range(200):
+        assert got[i].sep_arcsec == pytest.approx(sep[i].min(), rel=1e-6, abs=1e-6) and sep[i, got[i].idx] == pytest.approx(sep[i].min(), rel=1e-6, abs=1e-6)
+        assert got[i].matched == (got[i].sep_arcsec <= 1.0)
+        if seed == 1:
+            ties = np.flatnonzero((ra == ra[got[i].idx]) & (dec == dec[got[i].idx]))
+            assert got[i].idx == ties.min()
+    assert got[900].idx == -1 and got[900].sep_arcsec is None and len(got) == 201
