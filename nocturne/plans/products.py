@@ -119,31 +119,101 @@ def _trend(frames: list[dict], width: int = 480, height: int = 90) -> str:
     return "<h2>Trends</h2>" + "".join(out) if out else ""
 
 
-def html_report(result, summary: str, records: list[dict]) -> str:
-    """Summary, the best twelve candidates and the frame figures."""
+def _placed(points: list[tuple[float, float]], box: tuple[float, float, float, float], width: int, height: int, turned: tuple[bool, bool]) -> list[tuple[float, float]]:
+    """Pixels of data points in a drawing; ``box`` is (x0, x1, y0, y1), ``turned`` the axes that grow the other way."""
+    out = []
+    for x, y in points:
+        f, g = (x - box[0]) / ((box[1] - box[0]) or 1.0), (y - box[2]) / ((box[3] - box[2]) or 1.0)
+        f, g = (1 - f if turned[0] else f), (g if turned[1] else 1 - g)
+        out.append((round(34 + f * (width - 48), 1), round(12 + g * (height - 40), 1)))
+    return out
+
+
+def _ticks(box: tuple[float, float, float, float], width: int, height: int, turned: tuple[bool, bool], digits: tuple[int, int]) -> str:
+    x0, x1 = (box[1], box[0]) if turned[0] else box[:2]
+    top, bottom = (box[2], box[3]) if turned[1] else (box[3], box[2])
+    text = lambda x, y, v, n, a="start": f"<text x='{x}' y='{y}' font-size='9' text-anchor='{a}'>{v:.{n}f}</text>"
+    return text(34, height - 12, x0, digits[0]) + text(width - 14, height - 12, x1, digits[0], "end") + text(2, 20, top, digits[1]) + text(2, height - 30, bottom, digits[1])
+
+
+def light_curve(points: list[dict], width: int = 420, height: int = 200) -> str:
+    """Magnitude over time with error bars, bright at the top; calibrated magnitudes if every epoch has one, else instrumental ones."""
+    rows = sorted((p for p in points if p["time_min"] is not None), key=lambda p: p["time_min"])
+    name = "mag_calib" if all(_finite(p["mag_calib"]) for p in rows) else "mag_inst"
+    rows = [p for p in rows if _finite(p[name])]
+    if len(rows) < 2:
+        return ""
+    err = [max(1.0857 / max(p["snr"] or 0.0, 1e-3), 0.005) for p in rows]
+    box = (rows[0]["time_min"], rows[-1]["time_min"], min(p[name] - e for p, e in zip(rows, err, strict=True)), max(p[name] + e for p, e in zip(rows, err, strict=True)))
+    turned = (False, True)
+    at = _placed([(p["time_min"], p[name]) for p in rows], box, width, height, turned)
+    bars = [(a[0], a[1], b[1]) for a, b in zip(_placed([(p["time_min"], p[name] - e) for p, e in zip(rows, err, strict=True)], box, width, height, turned), _placed([(p["time_min"], p[name] + e) for p, e in zip(rows, err, strict=True)], box, width, height, turned), strict=True)]
+    drawn = "".join(f"<line x1='{x}' x2='{x}' y1='{a}' y2='{b}' stroke='gray'/>" for x, a, b in bars) + f"<polyline fill='none' stroke='#2563eb' points='{' '.join(f'{x},{y}' for x, y in at)}'/>" + "".join(f"<circle cx='{x}' cy='{y}' r='3' fill='#2563eb'/>" for x, y in at)
+    system = "calibrated" if name == "mag_calib" else "instrumental"
+    return f"<figure class='light-curve'><svg width='{width}' height='{height}'>{drawn}{_ticks(box, width, height, turned, (1, 2))}</svg><figcaption>{system} magnitude over minutes since the first frame, {len(rows)} epochs</figcaption></figure>"
+
+
+def track_figure(points: list[dict], fitted: dict, width: int = 320, height: int = 280) -> str:
+    """Positions in time order with their frame numbers and where the fitted motion leads in an hour; right ascension grows to the left, without a jump at 0."""
+    rows = sorted((p for p in points if _finite(p["ra"]) and _finite(p["dec"]) and p["time_min"] is not None), key=lambda p: p["time_min"])
+    if len(rows) < 2:
+        return ""
+    ra = [rows[0]["ra"]]
+    beside = lambda x: ra[-1] + (x - ra[-1] + 180.0) % 360.0 - 180.0
+    for p in rows[1:]:
+        ra.append(beside(p["ra"]))
+    ahead = (fitted.get("predictions") or {}).get("+1h")
+    spots = list(zip(ra, (p["dec"] for p in rows), strict=True)) + ([(beside(ahead["ra"]), ahead["dec"])] if ahead else [])
+    box = (min(x for x, _ in spots), max(x for x, _ in spots), min(y for _, y in spots), max(y for _, y in spots))
+    turned = (True, False)
+    at = _placed(spots, box, width, height, turned)
+    own = at[: len(rows)]
+    drawn = f"<polyline fill='none' stroke='#b45309' points='{' '.join(f'{x},{y}' for x, y in own)}'/>" + "".join(f"<circle cx='{x}' cy='{y}' r='3' fill='#b45309'/><text x='{x + 5}' y='{y - 4}' font-size='9'>{int(p['frame_index'])}</text>" for (x, y), p in zip(own, rows, strict=True))
+    if ahead:
+        x, y = at[-1]
+        drawn += f"<path d='M{x - 4} {y - 4}L{x + 4} {y + 4}M{x - 4} {y + 4}L{x + 4} {y - 4}' stroke='#b91c1c'/><text x='{x + 5}' y='{y + 10}' font-size='9' fill='#b91c1c'>+1h</text>"
+    return f"<figure class='track'><svg width='{width}' height='{height}'>{drawn}{_ticks((box[0] % 360.0, box[1] % 360.0, *box[2:]), width, height, turned, (4, 4))}</svg><figcaption>right ascension and declination in degrees, by frame</figcaption></figure>"
+
+
+def _finite(v: Any) -> bool:
+    return v is not None and math.isfinite(v)
+
+
+def html_report(result, summary: str, records: list[dict], images: dict[int, bytes] | None = None) -> str:
+    """Summary, the best twelve candidates with their cutouts (``images`` by obj_id) and the frame figures."""
     best = [r.asDict() for r in result.candidates.limit(12).collect()]
     frames = [r.asDict() for r in result.qa.collect()]  # a row a frame
     links = "".join(f"<li><a href='{html.escape(d['html_name'])}'>{html.escape(d['verdict'])}</a></li>" for d in records)
+    cut = "".join(f"<figure class='stamp'><img width='93' src='data:image/png;base64,{base64.b64encode(images[r['obj_id']]).decode()}'><figcaption>#{r['obj_id']} {html.escape(r['kind'])}</figcaption></figure>" for r in best if r["obj_id"] in (images or {}))
     shown = ["name", "n_sources", "n_cosmic_rays", "fwhm_arcsec", "sky_adu", "zeropoint", "zp_scatter", "limiting_mag", "astrom_rms_arcsec", "ok", "error"]
-    return _page("Night report", f"<pre>{html.escape(summary)}</pre><h2>Candidates</h2>{_table(CANDIDATE_COLUMNS, best)}<ul>{links}</ul><h2>Frames</h2>{_table(shown, frames)}{_trend(frames)}")
+    return _page("Night report", f"<pre>{html.escape(summary)}</pre><h2>Candidates</h2>{_table(CANDIDATE_COLUMNS, best)}{cut}<ul>{links}</ul><h2>Frames</h2>{_table(shown, frames)}{_trend(frames)}")
 
 
-def stamps(points: DataFrame, reduced: str, size: int = 31, most: int = 8) -> list[bytes]:
-    """PNG cutouts about an object's first detections from the reduced frames."""
+def stamps(spots: list[dict], reduced: str, size: int = 31) -> list[bytes]:
+    """PNG cutouts about (frame, x, y) from the reduced frames; spots off a frame or without one are left out."""
     from ..images.kernels import cutout, stamp_png
     from ..sources.fits import read_fits
 
-    near = points.select("frame", "frame_index", "det_idx", "x", "y").orderBy("frame_index", "det_idx").limit(most).collect()
+    opened: dict[Path, Any] = {}
     out = []
-    for r in near:
+    for r in spots:
         path = Path(reduced) / f"{Path(r['frame']).stem}_reduced.fits"
-        if path.exists():
-            part = cutout(read_fits(path.read_bytes())[1], r["x"], r["y"], size)
+        if path not in opened:
+            opened = {path: read_fits(path.read_bytes())[1] if path.exists() else None}  # one frame at a time
+        if opened[path] is not None:
+            part = cutout(opened[path], r["x"], r["y"], size)
             if min(part.shape) >= 4:
                 out.append(stamp_png(part))
     return out
 
 
+def candidate_spots(result, top: int = 12) -> DataFrame:
+    """obj_id, frame, x, y of the brightest detection of each of the best candidates."""
+    best = result.objects.orderBy(F.desc("rank_score"), "obj_id").limit(top).select("obj_id", F.explode("members").alias("m")).select("obj_id", "m.*")
+    found = result.sources.join(best, ["frame_index", "id"])
+    return found.groupBy("obj_id").agg(F.max_by(F.struct("frame", "x", "y"), F.struct("snr", "det_idx")).alias("s")).select("obj_id", "s.*")
+
+
 REPORT_HEAD = ("COD XXX", "OBS nocturne (automated astrometry)", "NET reference catalogue of the night", "ACK draft, to be checked before it is sent")
 
 
@@ -156,17 +226,18 @@ def _forecast(found: dict) -> str:
     return f"<h2>Motion</h2><p>{html.escape(head)}.</p>{_table(['after', 'ra', 'dec'], ahead)}"
 
 
-def dossier_page(d: dict, report: str, images: list[bytes] = ()) -> str:
+def dossier_page(d: dict, report: str, images: list[bytes] = (), figures: str = "") -> str:
     shown = "".join(f"<img width='93' src='data:image/png;base64,{base64.b64encode(i).decode()}'> " for i in images)
     checks = _table(["service", "status", "detail"], d["checks"])
-    return _page(f"Object {d['obj_id']}: {d['kind']}", f"<p>{html.escape(d['verdict'])}. {html.escape(d['action'])}.</p><p>{html.escape(d['notes'] or '')}</p>{shown}{checks}{_forecast(d.get('motion') or {})}<h2>Astrometric report (draft)</h2><p>{'<br>'.join(map(html.escape, REPORT_HEAD))}</p><pre>{html.escape(report)}</pre>")
+    return _page(f"Object {d['obj_id']}: {d['kind']}", f"<p>{html.escape(d['verdict'])}. {html.escape(d['action'])}.</p><p>{html.escape(d['notes'] or '')}</p>{shown}{figures}{checks}{_forecast(d.get('motion') or {})}<h2>Astrometric report (draft)</h2><p>{'<br>'.join(map(html.escape, REPORT_HEAD))}</p><pre>{html.escape(report)}</pre>")
 
 
-def report_lines(points: DataFrame, lights: DataFrame, designation: str) -> list[str]:
-    """80-column lines of all detections of an object, with mid-exposure times."""
-    found = points.join(F.broadcast(lights.select("frame", "dateobs")), "frame")
-    line = motion.report_line(F.lit(designation), F.col("ra"), F.col("dec"), headers.time_minutes(F.col("dateobs")), F.col("exptime"), F.col("mag_calib"))
-    return [r["line"] for r in found.select("time_min", "det_idx", line.alias("line")).where("line is not null").orderBy("time_min", "det_idx").collect()]  # a row a frame
+def report_lines(points: DataFrame, lights: DataFrame) -> DataFrame:
+    """obj_id, time_min, det_idx, line: 80-column lines of all detections, with mid-exposure times; the line is null without a time."""
+    found = points.join(lights.select("frame", "dateobs"), "frame")
+    name = F.format_string("OBJ%04d", "obj_id")
+    line = motion.report_line(name, F.col("ra"), F.col("dec"), headers.time_minutes(F.col("dateobs")), F.col("exptime"), F.col("mag_calib"))
+    return found.select("obj_id", "time_min", "det_idx", line.alias("line"))
 
 
 def frame_catalogs(sources: DataFrame, catalogs: Path) -> None:
@@ -198,9 +269,14 @@ def write_products(result, config: NightConfig) -> dict[str, str]:
     write_json(reports / "dossiers.json", records)
     (reports / "night_brief.md").write_text(night_brief(records))
     lights = result.frames.where("ftype = 'light'")
+    shown = ["obj_id", "frame", "frame_index", "det_idx", "time_min", "x", "y", "ra", "dec", "snr", "mag_inst", "mag_calib"]
+    rows = [r.asDict() for r in points.select(*shown).orderBy("obj_id", "frame_index", "det_idx").collect()] if records else []  # a row a frame of each dossier
+    lines = report_lines(points, lights).where("line is not null").orderBy("obj_id", "time_min", "det_idx").collect() if records else []
     for d in records:
-        own = points.where(F.col("obj_id") == d["obj_id"])
-        text = "\n".join(report_lines(own, lights, f"OBJ{d['obj_id']:04d}"))
-        (reports / d["html_name"]).write_text(dossier_page(d, text, stamps(own, config.paths.reduced)))
-    (reports / "report.html").write_text(html_report(result, summary, records))
+        own = [r for r in rows if r["obj_id"] == d["obj_id"]]
+        text = "\n".join(r["line"] for r in lines if r["obj_id"] == d["obj_id"])
+        figures = (track_figure(own, d["motion"]) if d["kind"] == "mover" else "") + light_curve(own)
+        (reports / d["html_name"]).write_text(dossier_page(d, text, stamps(own[:8], config.paths.reduced), figures))
+    images = {r["obj_id"]: i[0] for r in candidate_spots(result).collect() if (i := stamps([r.asDict()], config.paths.reduced))}  # twelve rows
+    (reports / "report.html").write_text(html_report(result, summary, records, images))
     return {"report": str(reports / "report.html"), "qa": str(reports / "qa_summary.json"), "summary": str(reports / "run_summary.txt"), "dossiers": str(reports / "dossiers.json"), "catalogs": str(catalogs)}

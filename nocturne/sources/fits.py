@@ -2,8 +2,8 @@
 
 ``spark.read.format("fits")`` after :func:`register` gives path, header and, unless the option
 ``pixels`` is false, ny, nx and px (little-endian float32). Header-only reads stop at the END card of
-the first image, wherever that is, and skip data units. Tables are no images: a compressed image (a
-table with ZIMAGE) is an error of its file.
+the first image, wherever that is, and skip data units. Tables are no images, but for a compressed
+image (a table with ZIMAGE), which is opened tile by tile.
 :func:`read_frames` offers the same rows through the binaryFile source, for stores that only Spark
 reads; a file that can't be parsed becomes a row with an error, not a failure.
 """
@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import gzip
 import io
+import re
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -23,10 +24,12 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..functions import headers, sky
 from ..plans.config import Instrument
+from . import tiles
 
 SUFFIXES = (".fits", ".fit", ".fts", ".fits.gz", ".fits.fz", ".fz")
 BLOCK, CARD = 2880, 80
 LEFT_OUT = ("XTENSION", "PCOUNT", "GCOUNT")
+TABLE_CARD = re.compile(r"T(TYPE|FORM|UNIT|NULL|SCAL|ZERO|DISP|DIM)\d+|TFIELDS|THEAP|NAXIS\d*|BITPIX|CHECKSUM|DATASUM|Z(IMAGE|CMPTYPE|BITPIX|NAXIS\d*|TILE\d+|NAME\d+|VAL\d+|QUANTIZ|DITHER0|SIMPLE|EXTEND|TENSION|PCOUNT|GCOUNT|SCALE|ZERO|BLANK|HECKSUM|DATASUM)")
 TYPES = {8: ">u1", 16: ">i2", 32: ">i4", 64: ">i8", -32: ">f4", -64: ">f8"}
 
 
@@ -80,7 +83,12 @@ def read_stream(stream, pixels: bool = True) -> tuple[dict[str, str], np.ndarray
         primary = header if primary is None else primary
         kind = header.get("XTENSION", "IMAGE").strip()
         if kind == "BINTABLE" and header.get("ZIMAGE") == "True":
-            raise ValueError("a compressed image: tile compression is not read")
+            own = {k: v for k, v in header.items() if k not in LEFT_OUT and not TABLE_CARD.fullmatch(k)}
+            merged = primary | own | {f"NAXIS{i}": header[f"ZNAXIS{i}"] for i in (1, 2) if f"ZNAXIS{i}" in header}
+            if not pixels:
+                return merged, None
+            image = tiles.image(header, stream.read(size))
+            return merged, (image * float(header.get("BSCALE", 1)) + float(header.get("BZERO", 0))).astype(np.float32)
         if kind == "IMAGE" and int(header.get("NAXIS", 0)) >= 2:
             merged = primary | {k: v for k, v in header.items() if k not in LEFT_OUT}
             if not pixels:

@@ -2,6 +2,7 @@
 
 import gzip
 import json
+import re
 import zipfile  # noqa: F401  (kept out of Spark: uploads are plain files)
 from pathlib import Path
 
@@ -10,6 +11,7 @@ import pytest
 
 from nocturne.images import kernels
 from nocturne.operators.retrieval import PassageIndex, chunk_documents
+from nocturne.plans import products
 from nocturne.plans.config import NightConfig, get_instrument
 from nocturne.plans.night import run_night
 from nocturne.plans.products import sanitise
@@ -17,6 +19,8 @@ from nocturne.plans.synth import Sky, generate_night
 from nocturne.sources import fits, knowledge
 from nocturne.sources.reference import load_local_reference
 
+from .test_tiles import compressed
+
 
 def test_fits_round_trip(tmp_path, spark):
     image = np.arange(12, dtype=np.float32).reshape(3, 4)
@@ -123,6 +127,10 @@ def night(spark, tmp_path_factory):
     broken = Path(config.paths.raw) / "science_005.fits"
     header, _ = fits.read_fits(broken.read_bytes())
     fits.write_fits(broken, np.zeros((16, 16), np.float32), {k: v for k, v in header.items() if k not in ("SIMPLE", "BITPIX", "NAXIS", "NAXIS1", "NAXIS2", "CREATOR")})
+    packed = Path(config.paths.raw) / "science_004.fits"
+    header, image = fits.read_fits(packed.read_bytes())
+    Path(f"{packed}.fz").write_bytes(compressed(image, "GZIP_2", -32, {k: v for k, v in header.items() if k not in ("SIMPLE", "BITPIX", "NAXIS", "NAXIS1", "NAXIS2")}))
+    packed.unlink()
     return run_night(spark, config), config
 
 
@@ -135,6 +143,13 @@ def test_planted_sources_are_recovered(night):
     assert rows[0].kind not in ("known", "single")
 
 
+def test_compressed_frame_takes_part(night):
+    result, _ = night
+    qa = {r["name"]: r for r in result.qa.collect()}
+    assert qa["science_004.fits.fz"]["ok"] and qa["science_004.fits.fz"]["n_sources"] > 30
+    assert any("4" in r.frames.split(",") for r in result.candidates.where("kind = 'mover'").collect())
+
+
 def test_frame_figures_and_fault_isolation(night):
     qa = {r["name"]: r for r in night[0].qa.collect()}
     assert not qa["science_005.fits"]["ok"] and qa["science_005.fits"]["error"]
@@ -158,6 +173,11 @@ def test_products(night):
     made = {p.name: len(p.read_text().splitlines()) - 1 for p in catalogs.glob("*_catalog.csv")}
     assert len(made) == 5 and made["science_000_catalog.csv"] == result.sources.where("frame = 'science_000.fits'").count()
     page = (reports / mover["html_name"]).read_text()
+    assert "class='track'" in page and page.count("class='light-curve'") == 1 and ">+1h</text>" in page
+    report = (reports / "report.html").read_text()
+    assert 0 < report.count("class='stamp'") == report.count("data:image/png") <= 12
+    other = next(d for d in dossiers if d["kind"] == "transient")
+    assert "class='track'" not in (reports / other["html_name"]).read_text() and "class='light-curve'" in (reports / other["html_name"]).read_text()
     assert "COD XXX" in page and "+24h" in page and "+1h" in page and "fit rms" in page and "re-check online" in mover["verdict"]
     assert "<polyline" in (reports / "report.html").read_text()
 
@@ -230,7 +250,7 @@ def test_fits_units_of_other_kinds(tmp_path, spark):
     fits.register(spark)
     for pixels in ("true", "false"):
         rows = {Path(r.path).name: r for r in spark.read.format("fits").option("path", str(tmp_path)).option("pixels", pixels).load().collect()}
-        assert rows["long.fits"].header["N"] == rows["g.fits.gz"].header["N"] == "5" and rows["t.fits"].error is None and "compressed" in rows["z.fits.fz"].error
+        assert rows["long.fits"].header["N"] == rows["g.fits.gz"].header["N"] == "5" and rows["t.fits"].error is None and (rows["z.fits.fz"].error is not None) == (pixels == "true")
         assert (rows["g.fits.gz"].px is None) == (pixels == "false")
 
 
@@ -252,3 +272,15 @@ def test_retrieval(spark):
     assert index.answer("flat response")["passages"][0]["source"] == "flats"
     assert index.answer("zzzz qqqq")["passages"] == []
     assert index.answer("flat response", generate=lambda q, p: "told")["answer"] == "told"
+
+
+def test_figures_of_odd_points():
+    point = lambda t, ra, mag, inst=18.0: {"time_min": t, "ra": ra, "dec": 1.0, "frame_index": t, "snr": 20.0, "mag_calib": mag, "mag_inst": inst}
+    assert products.light_curve([point(0, 1.0, 17.0)]) == "" and products.track_figure([point(0, 1.0, 17.0)], {}) == ""
+    mixed = products.light_curve([point(0, 1.0, 17.0), point(1, 1.0, None), point(2, 1.0, 17.2)])
+    assert "instrumental" in mixed and mixed.count("<circle") == 3
+    assert "calibrated" in products.light_curve([point(0, 1.0, 17.0), point(1, 1.0, 17.0)])
+    over = products.track_figure([point(0, 359.999, 17.0), point(1, 0.001, 17.0)], {"predictions": {"+1h": {"ra": 0.003, "dec": 1.0}}})
+    xs = [float(x) for x in re.findall(r"<circle cx='([0-9.]+)'", over)]
+    assert 100 < xs[0] - xs[1] < 200 and "+1h" in over
+    assert products.light_curve([point(None, 1.0, 17.0)] * 3) == ""
