@@ -92,27 +92,42 @@ def picks(points: DataFrame, objects: DataFrame, key: str) -> DataFrame:
     return ranked.where(F.when(F.col("kind") == "mover", mover).otherwise(F.col("_s") == 1)).drop("_n", "_i", "_s")
 
 
-def identity_checks(objects: DataFrame, local: DataFrame | None = None) -> DataFrame:
-    """key rows of service, status and detail for each interesting object, offline.
+def identity_checks(objects: DataFrame, services: DataFrame | None = None, key: str = "obj_id") -> DataFrame:
+    """Adds checks, rows of service, status and detail, to each interesting object.
 
-    Movers ask the two small-body services and the near-earth context, others the object service;
-    everything is ``unavailable`` without a network, never ``no_match``. The local catalogue closes
-    the list.
+    ``services`` (key, services) holds what the services answered (``sources.services``). Of an object without an
+    entry, as of all without a network, the two small-body services and the near-earth context, or the object
+    service, are ``unavailable``, never ``no_match``. The local catalogue closes the list.
     """
     row = lambda s, st, d: F.struct(F.lit(s).alias("service"), st.alias("status"), d.alias("detail"))
     away, why = F.lit("unavailable"), F.lit("offline mode")
     mover = F.array(*[row(s, away, why) for s in ("skybot", "jpl_sbident", "neows")])
     other = F.array(row("simbad", away, why))
+    offline = F.when(F.col("kind") == "mover", mover).otherwise(other)
     matched = F.coalesce(F.col("matched_reference"), F.lit(False))
     own = F.array(row("local_reference", F.when(matched, "match").otherwise("no_match"), F.when(matched, "in the reference catalogue").otherwise("not in the reference catalogue")))
-    return objects.withColumn("checks", F.concat(F.when(F.col("kind") == "mover", mover).otherwise(other), own))
+    if services is None:
+        return objects.withColumn("checks", F.concat(offline, own))
+    return objects.join(services.select(key, "services"), key, "left").withColumn("checks", F.concat(F.coalesce("services", offline), own)).drop("services")
 
 
 def verdict(kind: Column, checks: Column, speed: Column) -> tuple[Column, Column]:
-    """(verdict, action) of an object from its kind and the states of its checks."""
-    any_match = F.exists(F.filter(checks, lambda c: c["service"] != "local_reference"), lambda c: c["status"] == "match")
-    asked = F.exists(F.filter(checks, lambda c: c["service"] != "local_reference"), lambda c: c["status"] == "no_match")
-    told = F.when((kind == "mover") & any_match, "known moving object").when((kind == "mover") & asked, F.format_string("uncatalogued moving object (%.2f arcsec/min)", speed)).when(kind == "mover", F.format_string("moving object, identity unchecked (%.2f arcsec/min)", speed)).when((kind == "transient") & any_match, "catalogued object missing from the reference").when((kind == "transient") & asked, "new stationary source").when(kind == "transient", "stationary source, identity unchecked").when(kind == "variable", "variable star candidate").otherwise("no follow-up")
+    """(verdict, action) of an object from its kind and the states of its checks; the near-earth context identifies nothing."""
+    telling = F.filter(checks, lambda c: ~c["service"].isin("local_reference", "neows"))
+    found = F.get(F.filter(telling, lambda c: c["status"] == "match"), F.lit(0))["detail"]
+    any_match = found.isNotNull()
+    asked = F.exists(telling, lambda c: c["status"] == "no_match")
+    told = (
+        F.when((kind == "mover") & any_match, F.concat(F.lit("known moving object: "), found))
+        .when((kind == "mover") & asked, F.format_string("uncatalogued moving object (%.2f arcsec/min)", speed))
+        .when(kind == "mover", F.format_string("moving object, identity unchecked (%.2f arcsec/min)", speed))
+        .when((kind == "transient") & any_match, F.concat(F.lit("catalogued object missing from the reference: "), found))
+        .when((kind == "transient") & asked, "new stationary source")
+        .when(kind == "transient", "stationary source, identity unchecked")
+        .when((kind == "variable") & any_match, F.concat(F.lit("variable star: "), found))
+        .when(kind == "variable", "variable star candidate")
+        .otherwise("no follow-up")
+    )
     action = F.when((kind == "mover") & any_match, "report astrometry").when(kind == "mover", "check services, then report as new").when((kind == "transient") & any_match, "inspect by eye").when(kind == "transient", "take another image soon").when(kind == "variable", "extend the light curve").otherwise("none")
     away = F.array_join(F.transform(F.filter(checks, lambda c: c["status"] == "unavailable"), lambda c: c["service"]), ", ")
     caveat = F.when((away != "") & kind.isin("mover", "transient"), F.concat(F.lit(" ("), away, F.lit(" could not be reached: re-check online)"))).otherwise("")

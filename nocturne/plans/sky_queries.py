@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import headers, photometric, sky
 from ..operators import calibration, crossmatch, discovery, motion, pointings
 from ..operators.components import connected_components
+from ..sources import services
 from . import views
 from .registry import ORACLE_SQL, QUERIES, query
 from .views import FLAGGED_SQL, FRAMES_SQL, LIGHTCURVES_SQL, SKY_SQL, SOURCES_SQL, TRACKS_SQL, load, pa_sql, sep_sql, wrap_sql
@@ -645,15 +646,41 @@ def identity_offline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("obj", "kind", F.array_join(F.transform("checks", lambda x: x["service"]), ",").alias("services"), F.element_at("checks", -1)["status"].alias("local_status"))
 
 
-VERDICT_SQL = "CASE kind WHEN 'mover' THEN 'moving object, identity unchecked (' || printf('%.2f', obj / 10.0::DOUBLE) || ' arcsec/min) (skybot, jpl_sbident, neows could not be reached: re-check online)' WHEN 'transient' THEN 'stationary source, identity unchecked (simbad could not be reached: re-check online)' WHEN 'variable' THEN 'variable star candidate' ELSE 'no follow-up' END"
 ACTION_SQL = "CASE kind WHEN 'mover' THEN 'check services, then report as new' WHEN 'transient' THEN 'take another image soon' WHEN 'variable' THEN 'extend the light curve' ELSE 'none' END"
-
-
-@query(f"{RANKED_SQL} SELECT obj, {VERDICT_SQL} AS verdict, {ACTION_SQL} AS action FROM rk")
+OFFLINE_SQL = "CASE kind WHEN 'mover' THEN 'moving object, identity unchecked (' || printf('%.2f', obj / 10.0::DOUBLE) || ' arcsec/min) (skybot, jpl_sbident, neows could not be reached: re-check online)' WHEN 'transient' THEN 'stationary source, identity unchecked (simbad could not be reached: re-check online)' WHEN 'variable' THEN 'variable star candidate' ELSE 'no follow-up' END"
+#: With replies that match, name nothing, name something far or don't come, by the object's number.
+ANSWERED_SQL = """SELECT obj, kind, CASE WHEN kind = 'mover' THEN CASE WHEN b = 0 OR (b = 3 AND j = 0) THEN 'known moving object: known object ' || CASE b WHEN 0 THEN '7 Far' ELSE 'Near' END || ' at 12.0 arcsec' WHEN b < 3 OR j = 1 THEN 'uncatalogued moving object (' || printf('%.2f', obj / 10.0::DOUBLE) || ' arcsec/min)' ELSE 'moving object, identity unchecked (' || printf('%.2f', obj / 10.0::DOUBLE) || ' arcsec/min)' END
+  || CASE WHEN b < 3 THEN '' WHEN j = 2 THEN ' (skybot, jpl_sbident could not be reached: re-check online)' ELSE ' (skybot could not be reached: re-check online)' END
+ WHEN kind = 'transient' THEN CASE b WHEN 0 THEN 'catalogued object missing from the reference: known object S' || obj WHEN 3 THEN 'stationary source, identity unchecked (simbad could not be reached: re-check online)' ELSE 'new stationary source' END
+ WHEN kind = 'variable' THEN CASE b WHEN 0 THEN 'variable star: known object S' || obj ELSE 'variable star candidate' END ELSE 'no follow-up' END AS verdict,
+ CASE WHEN kind = 'mover' AND (b = 0 OR (b = 3 AND j = 0)) THEN 'report astrometry' WHEN kind = 'transient' AND b = 0 THEN 'inspect by eye' ELSE {action} END AS action FROM (SELECT obj, kind, (obj // 5) % 4 AS b, (obj // 20) % 3 AS j FROM rk)""".format(action=ACTION_SQL)
+
+
+def replies(objects: DataFrame) -> DataFrame:
+    """Bodies as services would send them, of each kind of answer."""
+    b, j = F.expr("(obj_id div 5) % 4"), F.expr("(obj_id div 20) % 3")
+    line = lambda name, d: F.concat(F.lit(name), F.lit(" | "), F.format_string("%.8f | %.8f | 18.0", F.col("ra") / 15.0, F.col("dec") + d))
+    table = F.concat_ws("\n", F.lit("# Num | Name | RA(h) | DE(deg) | Mv"), F.lit("-----"), line("12 | Off", 0.5), F.when(b == 0, line("7 | Far", 12 / 3600.0)), F.lit("| broken |"))
+    skybot = F.when(b == 2, F.lit("# No solar system object was found in the cone")).when(b < 2, table)
+    rows = lambda d: F.format_string('[["Near", "x", "%.8f", "%.8f"]]', F.col("ra") / 15.0, F.col("dec") + d)
+    jpl = F.concat(F.lit('{"fields_second": ["Object name", "Code", "Astrometric RA (hh:mm:ss)", "Astrometric Dec (dd mm\\u0027ss)"], "data_second_pass": '), F.when(j == 0, rows(12 / 3600.0)).otherwise(rows(0.2)), F.lit("}"))
+    simbad = F.concat(F.lit('{"metadata": [{"name": "ra"}, {"name": "main_id"}], "data": ['), F.when(b == 0, F.format_string('["1.0", "S%d"]', "obj_id")).otherwise(""), F.lit("]}"))
+    neows = F.lit('{"near_earth_objects": {"2024-01-01": [{"is_potentially_hazardous_asteroid": true}, {"is_potentially_hazardous_asteroid": false}]}}')
+    row = lambda name, body: F.struct(F.lit(name).alias("service"), body.cast("string").alias("body"))
+    movers = F.array(row("skybot", skybot), row("jpl_sbident", F.when(j == 2, '{"count": 3}').otherwise(jpl)), row("neows", neows))
+    sent = F.when(F.col("kind") == "mover", movers).otherwise(F.array(row("simbad", F.when(b == 3, "<html>busy</html>").otherwise(simbad))))
+    return objects.select("obj_id", F.explode(sent).alias("s")).select("obj_id", F.col("s.service").alias("service"), F.col("s.body").alias("body"), F.lit(None).cast("string").alias("error"))
+
+
+@query(f"{RANKED_SQL}, aw AS ({ANSWERED_SQL}) SELECT obj, {OFFLINE_SQL} AS offline, aw.verdict, aw.action FROM rk JOIN aw USING (obj, kind)")
 def verdict_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = motion.identity_checks(ranked(spark, sf_dir).withColumn("matched_reference", F.lit(False)))
-    v, a = motion.verdict(F.col("kind"), F.col("checks"), F.col("obj") / 10.0)
-    return o.select("obj", v.alias("verdict"), a.alias("action"))
+    """Verdicts without a network, and with replies of every kind."""
+    o = ranked(spark, sf_dir).select(F.col("obj").alias("obj_id"), "kind", F.lit(False).alias("matched_reference"), (F.col("obj") * 3.5).alias("ra"), (F.col("obj") * 0.5 - 20.0).alias("dec"))
+    offline, _ = motion.verdict(F.col("kind"), F.col("checks"), F.col("obj_id") / 10.0)
+    away = motion.identity_checks(o).select("obj_id", offline.alias("offline"))
+    answered = motion.identity_checks(o, services.read_replies(replies(o), o))
+    v, a = motion.verdict(F.col("kind"), F.col("checks"), F.col("obj_id") / 10.0)
+    return answered.select("obj_id", v.alias("verdict"), a.alias("action")).join(away, "obj_id").withColumnRenamed("obj_id", "obj")
 
 
 QA_SQL = f"SELECT frame_index, count(*) AS n_sources, round(median(fwhm), 6) AS fwhm_pix, round(median(fwhm) * 0.535::DOUBLE, 6) AS fwhm_arcsec, round(median(local_bkg), 6) AS sky_adu, round(quantile_cont(mag, 0.95), 6) AS limiting_mag FROM ({FLAGGED_SQL}) GROUP BY 1"
