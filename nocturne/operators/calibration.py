@@ -177,3 +177,9 @@ def flat_for(frames: DataFrame, flats: DataFrame) -> DataFrame:
 
 def separation_column(a: str, b: str) -> Column:
     return separation_arcsec(F.col(f"{a}_ra"), F.col(f"{a}_dec"), F.col(f"{b}_ra"), F.col(f"{b}_dec"))
+
+
+def brightest(sources: DataFrame, most: int, group: str = "frame_index", flux: str = "flux", key: str = "id") -> DataFrame:
+    """Each frame's ``most`` sources of greatest flux with their order (from 1); equal fluxes go by key, a missing one comes last."""
+    order = F.row_number().over(Window.partitionBy(group).orderBy(F.desc_nulls_last(flux), key))
+    return sources.withColumn("order", order).where(F.col("order") <= most)

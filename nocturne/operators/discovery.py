@@ -219,11 +219,29 @@ def seed_pairs(orphans: DataFrame, max_speed: float) -> DataFrame:
 
 
 def predicted_matches(seeds: DataFrame, orphans: DataFrame, tol_deg: float) -> DataFrame:
-    """a, b, frame_c, c: for each seed and other frame the first detection inside the predicted box."""
+    """a, b, frame_c, c: for each seed and other frame the first detection inside the predicted box.
+
+    Frames are taken in blocks of time, about the root of their number. A seed is followed through a block
+    only if some detection of it lies as near to the position predicted for its middle as a match could;
+    a few seeds so fast that the cells of this look are too small for them are followed in any case.
+    """
     start = orphans.select(F.col("det_idx").alias("a"), F.col("time_min").alias("t0"), F.col("ra").alias("ra0"), F.col("dec").alias("dec0"))
     other = orphans.select(F.col("det_idx").alias("c"), F.col("frame_index").alias("frame_c"), F.col("time_min").alias("tc"), F.col("ra").alias("rac"), F.col("dec").alias("decc"))
-    times = orphans.select(F.col("frame_index").alias("frame_c"), F.col("time_min").alias("tf")).distinct()
-    ahead = seeds.join(start, "a").join(F.broadcast(times), (F.col("frame_c") != F.col("frame_a")) & (F.col("frame_c") != F.col("frame_b")))
+    times = orphans.select(F.col("frame_index").alias("frame_c"), F.col("time_min").alias("tf")).where("time_min is not null").distinct()
+    first, last, n = times.agg(F.min("tf"), F.max("tf"), F.count("*")).head()
+    length = (last - first) / math.sqrt(n) if n > 1 and last > first else 1.0
+    block = lambda t: F.floor((F.col(t) - F.lit(first or 0.0)) / length)
+    times = times.withColumn("block", block("tf"))
+    off = F.hypot("v_ra", "v_dec") * (length / 2.0) + 1.5 * tol_deg  # degrees that a match may lie away from the middle's position
+    typical = seeds.agg(F.percentile_approx(off, 0.9)).head()[0] or 1.0
+    reach = min(typical * 1.01, 180.0) * 3600.0
+    occupied = with_neighbour_cells(other.withColumn("block", block("tc")), "rac", "decc", reach).select("block", "cx", "cy", "cz").distinct()
+    middle = times.select("block", (F.lit(first or 0.0) + (F.col("block") + 0.5) * length).alias("tm")).distinct()
+    through = seeds.join(start, "a").crossJoin(middle)
+    through = through.withColumns({"off": off, "m_ra": F.col("ra0") + F.col("v_ra") * (F.col("tm") - F.col("t0")), "m_dec": F.col("dec0") + F.col("v_dec") * (F.col("tm") - F.col("t0"))})
+    slow = with_cell(through.where(F.col("off") * 3600.0 <= reach), "m_ra", "m_dec", reach).join(occupied, ["block", "cx", "cy", "cz"], "left_semi").drop("cx", "cy", "cz")
+    followed = slow.select(*through.columns).union(through.where(F.col("off") * 3600.0 > reach))
+    ahead = followed.join(times, "block").where((F.col("frame_c") != F.col("frame_a")) & (F.col("frame_c") != F.col("frame_b")))
     dt = F.col("tf") - F.col("t0")
     placed = ahead.withColumns({"p_ra": F.col("ra0") + F.col("v_ra") * dt, "p_dec": F.col("dec0") + F.col("v_dec") * dt})
     # a box of half side tol lies within tol * sqrt(2); detections are fewer than predictions and take the 27 cells

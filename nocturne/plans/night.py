@@ -216,7 +216,7 @@ def with_positions(sources: DataFrame, lights: DataFrame, inst: Instrument) -> D
     h = F.col("header")
     num = lambda k: F.try_element_at(h, F.lit(k)).try_cast("double")
     wcs = lights.select("frame_index", "time_min", "exptime", "filt", "airmass", "naxis1", "naxis2", *[num(k).alias(k.lower()) for k in ("CRPIX1", "CRPIX2", "CRVAL1", "CRVAL2", "CD1_1", "CD1_2", "CD2_1", "CD2_2")])
-    s = sources.join(F.broadcast(wcs), "frame_index")
+    s = sources.join(wcs, "frame_index")
     terms = [F.col(k) for k in ("crpix1", "crpix2", "crval1", "crval2", "cd1_1", "cd1_2", "cd2_1", "cd2_2")]
     ra, dec = sky.tan_pix2sky(F.col("x"), F.col("y"), *terms)
     flags = {"flag_edge": calibration.edge_flag(F.col("x"), F.col("y"), F.col("naxis1"), F.col("naxis2")), "flag_saturated": calibration.saturation_flag(F.col("peak"), F.col("local_bkg"), inst.saturation, 0.0)}
@@ -226,6 +226,7 @@ def with_positions(sources: DataFrame, lights: DataFrame, inst: Instrument) -> D
 def run_night(spark: SparkSession, config: NightConfig, write: bool = True) -> NightResult:
     """Reduces the raw folder of ``config`` and ranks its candidates; products are written on demand."""
     inst, work = config.resolve_instrument(), Workspace(spark)
+    fits.must_be_folder(spark, config.paths.raw)
     raw = fits.read_frames(spark, config.paths.raw)
     meta = work.put(fits.frame_meta(raw, inst).withColumn("frame", F.regexp_replace("path", "^.*/", "")), "frames")
     lights = work.put(timed(meta.where("ftype = 'light'")), "lights")
@@ -248,7 +249,7 @@ def run_night(spark: SparkSession, config: NightConfig, write: bool = True) -> N
         reference = work.put(reference, "reference")
     if reference is not None and config.astrometry.enabled:
         astrometry = work.put(calibration.refine_astrometry(placed.where("ra is not null").select("frame_index", "id", "ra", "dec"), reference, "id", "frame_index", MATCH_ARCSEC), "astrometry")
-        shift = F.broadcast(astrometry.select("frame_index", "shift_ra", "shift_dec"))
+        shift = astrometry.select("frame_index", "shift_ra", "shift_dec")
         placed = placed.join(shift, "frame_index", "left").withColumns({"ra": F.pmod(F.col("ra") + F.coalesce("shift_ra", F.lit(0.0)), F.lit(360.0)), "dec": F.col("dec") + F.coalesce("shift_dec", F.lit(0.0))}).drop("shift_ra", "shift_dec")
     measured = placed.withColumn("seg_flux", F.col("flux")).withColumn("flux", F.col("flux_aper")).withColumn("seg_snr", F.col("snr")).withColumn("snr", F.col("snr_aper"))
     calibrated = calibration.calibrate(measured, reference if config.photometry.enabled else None, F.col("exptime"), F.col("filt"), config.photometry.match_radius_arcsec, config.photometry.min_ref_stars, "id", "frame_index")
@@ -257,7 +258,7 @@ def run_night(spark: SparkSession, config: NightConfig, write: bool = True) -> N
     qa = work.put(frame_qa(sources, raw_sources, lights, astrometry, inst), "qa")
     d = config.discovery
     settings = discovery.Settings(d.enabled, d.catalog_match_radius_arcsec, d.flag_unmatched, d.moving_object_link, d.max_motion_arcsec_per_min, d.min_tracklet_points, d.variability, d.min_snr, d.top_n)
-    tagged = work.put(sources.join(F.broadcast(fields), "frame_index"), "tagged")
+    tagged = work.put(sources.join(fields, "frame_index"), "tagged")
     parts = {}
     for row in tagged.select("field_id").distinct().orderBy("field_id").collect():  # a row a field
         field = row["field_id"]

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions import headers
 from ..operators import motion
+from ..sources import services
 from .config import NightConfig
 
 INTERESTING = ("mover", "transient", "variable")
@@ -62,7 +63,7 @@ def run_summary(result, n_frames: int) -> str:
 def member_points(result, top: int = 8) -> DataFrame:
     """obj_id, kind, det_idx and the source row of every detection of the interesting objects."""
     members = interesting(result.objects, top).select("obj_id", "kind", F.explode("members").alias("m")).select("obj_id", "kind", "m.*")
-    return result.sources.join(F.broadcast(members), ["frame_index", "id"])
+    return result.sources.join(members, ["frame_index", "id"])
 
 
 def _motions(points: DataFrame) -> dict[int, dict]:
@@ -72,9 +73,17 @@ def _motions(points: DataFrame) -> dict[int, dict]:
     return {r["obj_id"]: {**{k: r[k] for k in ("speed_arcsec_min", "pa_deg", "fit_rms_arcsec")}, "predictions": ahead(r), "arc_minutes": r["arc_minutes"], "n_epochs": r["n"]} for r in rows}
 
 
-def dossiers(result, points: DataFrame, top: int = 8) -> list[dict]:
-    """A record for each interesting object: verdict, checks and the motion fitted to its ``points``."""
-    chosen = motion.identity_checks(interesting(result.objects, top))
+def answers(chosen: DataFrame, points: DataFrame, lights: DataFrame, fetch) -> DataFrame:
+    """obj_id and what the services answer about each chosen object at the epoch of its middle detection."""
+    middle = motion.middle_epoch(points, "obj_id", ["frame_index", "det_idx"]).select("obj_id", "frame").join(lights.select("frame", F.col("dateobs").alias("epoch")), "frame")
+    asked = chosen.select("obj_id", "kind", "ra", "dec").join(middle.select("obj_id", "epoch"), "obj_id", "left")
+    return services.read_replies(services.ask(asked, fetch), asked)
+
+
+def dossiers(result, points: DataFrame, top: int = 8, fetch=None) -> list[dict]:
+    """A record for each interesting object: verdict, checks and the motion fitted to its ``points``; ``fetch`` reaches the services."""
+    chosen = interesting(result.objects, top)
+    chosen = motion.identity_checks(chosen, answers(chosen, points, result.frames.where("ftype = 'light'"), fetch) if fetch else None)
     fitted = _motions(points)
     verdict, action = motion.verdict(F.col("kind"), F.col("checks"), F.col("speed"))
     rows = chosen.select("obj_id", "kind", "ra", "dec", F.round("rank_score", 4).alias("rank"), "notes", verdict.alias("verdict"), action.alias("action"), F.to_json("checks").alias("checks"), "n_det", "frames").collect()
@@ -250,8 +259,12 @@ def frame_catalogs(sources: DataFrame, catalogs: Path) -> None:
     shutil.rmtree(folder)
 
 
-def write_products(result, config: NightConfig) -> dict[str, str]:
-    """Writes catalogues, candidates, QA, dossiers, brief and report; returns their paths."""
+def write_products(result, config: NightConfig, fetch=None) -> dict[str, str]:
+    """Writes catalogues, candidates, QA, dossiers, brief and report; returns their paths.
+
+    ``fetch(service, ra, dec, epoch)`` gives the body of a service's reply; without it, or with
+    dossiers_online off, the services are unavailable.
+    """
     catalogs, reports = Path(config.paths.catalogs), Path(config.paths.reports)
     reports.mkdir(parents=True, exist_ok=True)
     result.sources.write.mode("overwrite").partitionBy("frame").parquet(str(catalogs / "all_sources"))
@@ -265,7 +278,7 @@ def write_products(result, config: NightConfig) -> dict[str, str]:
     summary = run_summary(result, len(frames))
     (reports / "run_summary.txt").write_text(summary)
     points = member_points(result)
-    records = dossiers(result, points) if config.discovery.dossiers else []
+    records = dossiers(result, points, fetch=fetch if config.discovery.dossiers_online else None) if config.discovery.dossiers else []
     write_json(reports / "dossiers.json", records)
     (reports / "night_brief.md").write_text(night_brief(records))
     lights = result.frames.where("ftype = 'light'")

@@ -602,6 +602,12 @@ def rank_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked(spark, sf_dir).orderBy(F.desc(F.round("rank_score", 9)), "obj").limit(10).select("obj", "kind", F.round("rank_score", 4).alias("rank_score"))
 
 
+@query(f'SELECT frame_index, id, "order" FROM (SELECT frame_index, id, CAST(row_number() OVER (PARTITION BY frame_index ORDER BY peak DESC, id) AS INTEGER) AS "order" FROM ({SOURCES_SQL})) WHERE "order" <= 50')
+def flux_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The brightest sources of each frame, as a plate solver takes them."""
+    return calibration.brightest(views.sources(spark, sf_dir), 50, flux="peak").select("frame_index", "id", "order")
+
+
 @query(f"SELECT id % 100 AS obj, string_agg(CAST(frame_index AS VARCHAR), ',' ORDER BY frame_index) AS frames FROM (SELECT DISTINCT id, id % 100, frame_index FROM ({SOURCES_SQL})) GROUP BY 1".replace("SELECT DISTINCT id, id % 100, frame_index", "SELECT DISTINCT id % 100 AS id, frame_index"))
 def frames_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = views.sources(spark, sf_dir).groupBy((F.col("id") % 100).alias("obj"))

@@ -213,6 +213,14 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(FitsDataSource)
 
 
+def must_be_folder(spark: SparkSession, folder: str) -> None:
+    """Raises NotADirectoryError unless ``folder`` is one, wherever it is."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not system.exists(path) or not system.getFileStatus(path).isDirectory():
+        raise NotADirectoryError(folder)
+
+
 def read_frames(spark: SparkSession, folder: str, pixels: bool = True) -> DataFrame:
     """path, header, ny, nx, px and error of a folder's frames, through Spark's own file listing."""
     files = spark.read.format("binaryFile").load(folder).where(F.lower("path").rlike(r"\.(fits|fit|fts|fits\.gz|fits\.fz|fz)$")).select("path", "content")

@@ -1,8 +1,8 @@
 """A night as a stream: windowed quality figures, sessions and incremental ingestion.
 
-Queries run with ``availableNow`` over a folder of files. Oracle-checked ones use complete mode,
-which keeps sessions that are still open behind the last watermark; production jobs should use
-append mode with the same watermark and write to a table.
+Queries run with ``availableNow`` over a folder of files and write tables in the shared folder. Oracle-checked ones use
+complete mode, which keeps sessions that are still open behind the last watermark; production jobs should
+use append mode, which drops the state of windows behind the watermark.
 """
 
 from __future__ import annotations
@@ -30,12 +30,23 @@ def events_stream(spark: SparkSession, path: str, watermark: str = "1 hour") ->
 
 
 def run_available(spark: SparkSession, df: DataFrame, mode: str = "complete") -> DataFrame:
-    """Runs a streaming query over what there is and returns the sink's rows."""
-    name = f"night_{uuid.uuid4().hex}"
-    checkpoint = f"{shared_folder(spark)}/{name}"
-    q = df.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    """Runs a streaming query over what there is into a table of the shared folder and reads it.
+
+    In complete mode each batch replaces the table, in append mode it adds its own rows as a partition of its
+    number, which a batch that is taken again replaces.
+    """
+    folder = f"{shared_folder(spark)}/night_{uuid.uuid4().hex}"
+    spark.createDataFrame([], df.schema).write.parquet(f"{folder}/rows")  # stands if no batch comes
+
+    def put(batch: DataFrame, number: int) -> None:
+        if mode == "complete":
+            batch.write.mode("overwrite").parquet(f"{folder}/rows")
+        else:
+            batch.withColumn("batch", F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(f"{folder}/rows")
+
+    q = df.writeStream.foreachBatch(put).outputMode(mode).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
     q.awaitTermination()
-    return spark.table(name)
+    return spark.read.schema(df.schema).parquet(f"{folder}/rows")
 
 
 def windowed_qa(spark: SparkSession, path: str) -> DataFrame:

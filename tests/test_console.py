@@ -110,3 +110,26 @@ def test_console(tmp_path, spark):
         assert list(server.console.runs) == ["r2"]
     finally:
         server.shutdown()
+
+
+def test_log_file(tmp_path):
+    import logging
+
+    from nocturne.cli import set_up_logging
+
+    root = logging.getLogger()
+    before, level = list(root.handlers), root.level
+    try:
+        set_up_logging("INFO", str(tmp_path / "reports" / "night.log"))
+        logging.getLogger("nocturne.test").info("frame %d done", 3)
+        logging.getLogger("nocturne.test").debug("not shown")
+        for h in root.handlers:
+            h.flush()
+        line = (tmp_path / "reports" / "night.log").read_text()
+        assert "INFO nocturne.test: frame 3 done" in line and "not shown" not in line
+    finally:
+        for h in list(root.handlers):
+            if h not in before:
+                h.close()
+        root.handlers[:] = before
+        root.setLevel(level)

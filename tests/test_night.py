@@ -143,6 +143,16 @@ def test_planted_sources_are_recovered(night):
     assert rows[0].kind not in ("known", "single")
 
 
+def test_a_missing_folder_is_told(spark, tmp_path):
+    config = NightConfig()
+    for path in (tmp_path / "none", tmp_path / "file.fits"):
+        config.paths.raw = str(path)
+        if path.suffix:
+            path.write_bytes(b"")
+        with pytest.raises(NotADirectoryError):
+            run_night(spark, config)
+
+
 def test_compressed_frame_takes_part(night):
     result, _ = night
     qa = {r["name"]: r for r in result.qa.collect()}
@@ -274,6 +284,20 @@ def test_retrieval(spark):
     assert index.answer("flat response", generate=lambda q, p: "told")["answer"] == "told"
 
 
+def test_dossiers_with_services(night):
+    result, config = night
+
+    def fetch(service, ra, dec, epoch):
+        if service == "skybot":
+            return f"1 | Planted | {ra / 15:.8f} | {dec:.8f} | 18"
+        raise OSError("refused")
+
+    records = products.dossiers(result, products.member_points(result), fetch=fetch)
+    mover = next(d for d in records if d["kind"] == "mover")
+    assert mover["verdict"].startswith("known moving object: known object 1 Planted at 0.0 arcsec") and [c["status"] for c in mover["checks"]] == ["match", "unavailable", "no_match"]
+    assert all("refused" in d["checks"][0]["detail"] for d in records if d["kind"] != "mover")
+
+
 def test_figures_of_odd_points():
     point = lambda t, ra, mag, inst=18.0: {"time_min": t, "ra": ra, "dec": 1.0, "frame_index": t, "snr": 20.0, "mag_calib": mag, "mag_inst": inst}
     assert products.light_curve([point(0, 1.0, 17.0)]) == "" and products.track_figure([point(0, 1.0, 17.0)], {}) == ""
