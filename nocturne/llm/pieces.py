@@ -26,13 +26,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .shared import give_back, worker_stores
 from .textbytes import slices
 
 MARK = "▁"
 SHORT = 48  # characters of a chunk that the matrix form takes and the store keeps
-CACHE = 800_000  # chunks kept at most: a string of SHORT characters, a place and its ids, about 130 MB a worker, 250 MB at the worst
+CACHE = 500_000  # chunks kept at most: a string of SHORT characters, a place and its ids, about 80 MB a worker, 160 MB at the worst
 PROBES = ("a b", " a  b ", "\ufb01 \u2460 e\u0301 \u00e9 \uff21\t\u3000x")  # what other normalisations change
-SLICE = 4 << 20  # bytes of text encoded together
+SLICE = 2 << 20  # bytes of text encoded together
 JOINED = 500  # chunks joined to one text when the library is asked about them
 
 
@@ -230,13 +231,20 @@ class PieceModel:
         long_ids = [self._ids(c, self._heap(c)) for c in kept.long]
         self._check_chunks(list(kept.long), np.array([len(x) for x in long_ids], np.int64), np.array(list(chain.from_iterable(long_ids)), np.int32))
         n_long = np.array([len(x) for x in long_ids], np.int64)
-        flat = np.concatenate([kept.flat[: kept.used], np.array(list(chain.from_iterable(long_ids)), np.int32)])
-        start = np.concatenate([kept.start[: len(kept)], kept.used + np.cumsum(n_long) - n_long])
-        n = np.concatenate([kept.n[: len(kept)], n_long])
-        at[at < 0] = len(kept) - 1 - at[at < 0]
-        n_at = n[at]
+        short = at >= 0
+        n_at, start = kept.n[np.where(short, at, 0)], kept.start[np.where(short, at, 0)]
+        if len(long_ids):  # ids of long chunks lie apart, the store is never copied
+            n_at[~short], start[~short] = n_long[-1 - at[~short]], (np.cumsum(n_long) - n_long)[-1 - at[~short]]
         ends = np.concatenate([[0], np.cumsum(n_at)])
-        ids = flat[np.repeat(start[at] - ends[:-1], n_at) + np.arange(ends[-1])].tolist()
+        places = np.repeat(start - ends[:-1], n_at) + np.arange(ends[-1])
+        if len(long_ids):
+            held = np.repeat(short, n_at)
+            found = np.empty(len(places), np.int32)
+            found[held], found[~held] = kept.flat[places[held]], np.array(list(chain.from_iterable(long_ids)), np.int32)[places[~held]]
+            ids = found.tolist()
+        else:
+            ids = kept.flat[places].tolist()
+        at = at[short]
         bounds = ends[np.concatenate([[0], np.cumsum(counts)])].tolist()
         kept.trim(at)
         return [ids[lo:hi] for lo, hi in zip(bounds[:-1], bounds[1:], strict=True)]
@@ -311,6 +319,7 @@ class _Kept(dict):
 
 
 _models: dict[str, PieceModel] = {}
+worker_stores["pieces"] = _models.clear
 
 
 def model(path: str) -> PieceModel:
@@ -356,5 +365,6 @@ def encode_documents(docs: DataFrame, model_file: str, keep: tuple[str, ...] = (
         finally:
             gc.enable()
             gc.unfreeze()
+            give_back()
 
     return docs.select(*keep, "text").mapInArrow(run, out)
