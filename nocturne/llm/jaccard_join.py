@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import Scratch, components
+from .shared import Scratch, components, make_room
 from .textbytes import mix, shingle_sets, slices
 
 SKETCH_BITS = (16, 26)  # least and most; the bitmap of crowded buckets has at most 8 MB
@@ -73,12 +73,13 @@ def crowded(docs: DataFrame, k: int) -> tuple[int, bytes]:
         return pa.RecordBatch.from_arrays([pa.array(chunks.astype(np.int32)), pa.array([x.tobytes() for x in np.split(low, starts[1:])] if len(chunks) else [], pa.binary())], ["chunk", "offsets"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make_room()
         held, n = [], 0
         for batch in batches:
             text = batch.column(0)
             for lo, hi in slices(text):
                 for s in shingle_sets(text.slice(lo, hi - lo), k):
-                    held.append(s[: np.searchsorted(s, limit)])
+                    held.append(s[: np.searchsorted(s, limit)].copy())  # a view would keep the whole set
                     n += len(held[-1])
                 if n > 4_000_000:
                     yield flush(held)
@@ -113,7 +114,8 @@ def profiles(docs: DataFrame, k: int, percent: int, bits: int, bitmap: bytes) ->
     shared = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        late = np.unpackbits(np.frombuffer(shared.value, np.uint8)).astype(bool)
+        make_room()
+        late = np.unpackbits(np.frombuffer(shared.value, np.uint8)).view(bool)
         for batch in batches:
             text = batch.column(1)
             for lo, hi in slices(text):

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import make_room
 from .textbytes import buffers, ngram_codes, slices, word_hashes
 
 QUALITY_BITS, QUALITY_ORDERS, QUALITY_SAMPLE = 18, (1, 2, 3, 4), 6000
@@ -251,6 +252,7 @@ def predict_language(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] =
         return ["und" if x else model["names"][b] for x, b in zip(none, best, strict=True)], np.where(none, 0.0, top)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make_room()
         for batch in batches:
             for lo in range(0, len(batch), 256):
                 part = batch.slice(lo, 256)
