@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions import headers, photometric, sky
 from ..images import kernels
-from ..operators import calibration, discovery, pointings
+from ..operators import calibration, discovery, plate, pointings
 from ..operators.components import Workspace
 from ..sources import fits
 from ..sources.reference import acquire_reference
@@ -211,16 +211,30 @@ def timed(lights: DataFrame) -> DataFrame:
     return discovery.numbered(keyed, "time_min", "frame").withColumnRenamed("det_idx", "frame_index")
 
 
-def with_positions(sources: DataFrame, lights: DataFrame, inst: Instrument) -> DataFrame:
+def planes(lights: DataFrame, sources: DataFrame, reference: DataFrame | None, inst: Instrument, config: NightConfig, work: Workspace) -> DataFrame:
+    """Each frame's tangent plane: its header's, else the one that its stars have on the reference; nulls where neither is known."""
+    a = config.astrometry
+    num = lambda k: F.try_element_at(F.col("header"), F.lit(k.upper())).try_cast("double")
+    known = lights.select("frame_index", "naxis1", "naxis2", *[(num(t) if a.use_header_wcs else F.lit(None).cast("double")).alias(t) for t in plate.TERMS])
+    lost = known.where(" or ".join(f"{t} is null" for t in plate.TERMS)).select(F.col("frame_index").alias("frame"), F.col("naxis1").alias("nx"), F.col("naxis2").alias("ny"))
+    if not a.enabled or a.solver == "none" or reference is None or lost.isEmpty():
+        return known.drop("naxis1", "naxis2")
+    stars = sources.where("ok and id is not null").withColumnRenamed("frame", "name").withColumnRenamed("frame_index", "frame").join(lost, "frame", "left_semi")
+    scale = (a.scale_low or 0.8 * inst.pixel_scale, a.scale_high or 1.2 * inst.pixel_scale)
+    found = work.put(plate.solve(stars, lost, reference, scale, work, radius_arcsec=max(MATCH_ARCSEC, 2 * inst.pixel_scale)), "planes")
+    for r in found.groupBy("solved").count().collect():
+        (log.info if r["solved"] else log.warning)("%d frames without a usable header: %s by their stars", r["count"], "placed" if r["solved"] else "not placed")
+    won = found.where("solved").select(F.col("frame").alias("frame_index"), *[F.col(t).alias(f"{t}_") for t in plate.TERMS])
+    both = known.join(won, "frame_index", "left")
+    return both.select("frame_index", *[F.when(F.col("crval1_").isNotNull(), F.col(f"{t}_")).otherwise(F.col(t)).alias(t) for t in plate.TERMS])
+
+
+def with_positions(sources: DataFrame, lights: DataFrame, wcs: DataFrame, inst: Instrument) -> DataFrame:
     """Adds ra, dec by each frame's tangent plane (null without one), quality flags and frame columns."""
-    h = F.col("header")
-    num = lambda k: F.try_element_at(h, F.lit(k)).try_cast("double")
-    wcs = lights.select("frame_index", "time_min", "exptime", "filt", "airmass", "naxis1", "naxis2", *[num(k).alias(k.lower()) for k in ("CRPIX1", "CRPIX2", "CRVAL1", "CRVAL2", "CD1_1", "CD1_2", "CD2_1", "CD2_2")])
-    s = sources.join(wcs, "frame_index")
-    terms = [F.col(k) for k in ("crpix1", "crpix2", "crval1", "crval2", "cd1_1", "cd1_2", "cd2_1", "cd2_2")]
-    ra, dec = sky.tan_pix2sky(F.col("x"), F.col("y"), *terms)
+    s = sources.join(lights.select("frame_index", "time_min", "exptime", "filt", "airmass", "naxis1", "naxis2"), "frame_index").join(wcs, "frame_index")
+    ra, dec = sky.tan_pix2sky(F.col("x"), F.col("y"), *[F.col(t) for t in plate.TERMS])
     flags = {"flag_edge": calibration.edge_flag(F.col("x"), F.col("y"), F.col("naxis1"), F.col("naxis2")), "flag_saturated": calibration.saturation_flag(F.col("peak"), F.col("local_bkg"), inst.saturation, 0.0)}
-    return s.withColumns({"ra": ra, "dec": dec, **flags}).drop("crpix1", "crpix2", "crval1", "crval2", "cd1_1", "cd1_2", "cd2_1", "cd2_2")
+    return s.withColumns({"ra": ra, "dec": dec, **flags}).drop(*plate.TERMS)
 
 
 def run_night(spark: SparkSession, config: NightConfig, write: bool = True) -> NightResult:
@@ -239,14 +253,11 @@ def run_night(spark: SparkSession, config: NightConfig, write: bool = True) -> N
     fields = work.put(pointings.pointing_clusters(lights.select("frame_index", *_pointing(lights)), inst.fov_arcmin), "fields")
     anchors = lights.select("frame_index", *_pointing(lights)).join(fields, "frame_index").where("ra is not null and dec is not null").groupBy("field_id").agg(F.min_by("ra", "frame_index").alias("ra"), F.min_by("dec", "frame_index").alias("dec"))
     reference = acquire_reference(spark, config, anchors, inst)
-    placed = with_positions(raw_sources.where("ok and id is not null"), lights, inst)
-    if not config.astrometry.use_header_wcs:  # and there is no plate solver
-        log.warning("header coordinates are not used: sources have no positions")
-        placed = placed.withColumns({c: F.lit(None).cast("double") for c in ("ra", "dec")})
-    placed = work.put(placed, "placed")
-    astrometry = None
     if reference is not None:
         reference = work.put(reference, "reference")
+    wcs = planes(lights, raw_sources, reference, inst, config, work)
+    placed = work.put(with_positions(raw_sources.where("ok and id is not null"), lights, wcs, inst), "placed")
+    astrometry = None
     if reference is not None and config.astrometry.enabled:
         astrometry = work.put(calibration.refine_astrometry(placed.where("ra is not null").select("frame_index", "id", "ra", "dec"), reference, "id", "frame_index", MATCH_ARCSEC), "astrometry")
         shift = astrometry.select("frame_index", "shift_ra", "shift_dec")

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import headers, photometric, sky
-from ..operators import calibration, crossmatch, discovery, motion, pointings
-from ..operators.components import connected_components
+from ..operators import calibration, crossmatch, discovery, motion, plate, pointings
+from ..operators.components import Workspace, connected_components
 from ..sources import services
 from . import views
 from .registry import ORACLE_SQL, QUERIES, query
@@ -608,6 +608,36 @@ def flux_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return calibration.brightest(views.sources(spark, sf_dir), 50, flux="peak").select("frame_index", "id", "order")
 
 
+#: Planted planes by supplier, in words that Spark and DuckDB both read.
+PLATES = {
+    "frame": "s_suppkey", "nx": "1024", "ny": "1024", "crpix1": "512.5e0", "crpix2": "512.5e0",
+    "crval1": "151 + 8 * (s_suppkey * 0.41421356e0 - floor(s_suppkey * 0.41421356e0))",
+    "crval2": "21 + 8 * (s_suppkey * 0.73205081e0 - floor(s_suppkey * 0.73205081e0))",
+    "cd1_1": "(1 - 2 * (s_suppkey % 2)) * cos(radians(14.4e0 * s_suppkey + 3.3e0)) * 1.21e0 / 1024", "cd1_2": "-sin(radians(14.4e0 * s_suppkey + 3.3e0)) * 1.21e0 / 1024",
+    "cd2_1": "(1 - 2 * (s_suppkey % 2)) * sin(radians(14.4e0 * s_suppkey + 3.3e0)) * 1.21e0 / 1024", "cd2_2": "cos(radians(14.4e0 * s_suppkey + 3.3e0)) * 1.21e0 / 1024",
+}
+PLATES_SQL = f"SELECT {', '.join(f'{e} AS {n}' for n, e in PLATES.items())} FROM supplier"
+
+
+def plates(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """A catalogue of one star an order over ten degrees, and a frame a supplier of 1.21 degrees somewhere in it, turned, every other one mirrored."""
+    part = lambda c, k: F.col(c) * F.lit(k) - F.floor(F.col(c) * F.lit(k))
+    stars = load(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("ref_id"), (150 + 10 * part("o_totalprice", 0.618034)).alias("ra"), (20 + 10 * part("o_orderkey", 0.7548776662)).alias("dec"), (12 + 8 * part("o_orderkey", 0.569840291)).alias("mag"))
+    return stars, load(spark, sf_dir, "supplier").selectExpr(*[f"{e} AS {n}" for n, e in PLATES.items()])
+
+
+@query(f"SELECT frame, true AS solved, round(crval1, 4) AS crval1, round(crval2, 4) AS crval2, round(cd1_1 * 3600, 4) AS cd1_1, round(cd1_2 * 3600, 4) AS cd1_2, round(cd2_1 * 3600, 4) AS cd2_1, round(cd2_2 * 3600, 4) AS cd2_2 FROM ({PLATES_SQL})")
+def plate_solve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frames that know nothing but their pixels are placed by their stars; the SQL has the planes that they were made with."""
+    stars, frames = plates(spark, sf_dir)
+    met = crossmatch.pairs_within(stars, frames.withColumns({"ra": F.col("crval1"), "dec": F.col("crval2")}), 0.86 * 3600).select("l.*", *[f"r.{c}" for c in frames.columns])
+    x, y = sky.tan_sky2pix(F.col("ra"), F.col("dec"), *[F.col(t) for t in plate.TERMS])
+    seen = met.withColumns({"x": x, "y": y}).where("x between 0 and nx - 1 and y between 0 and ny - 1").select("frame", F.col("ref_id").alias("id"), "x", "y", F.pow(F.lit(10.0), F.col("mag") * -0.4).alias("flux"))
+    work = Workspace(spark)
+    found = plate.solve(work.put(seen, "seen"), frames.select("frame", "nx", "ny"), stars, (3.4, 5.1), work)
+    return found.select("frame", "solved", F.round("crval1", 4).alias("crval1"), F.round("crval2", 4).alias("crval2"), *[F.round(F.col(c) * 3600, 4).alias(c) for c in plate.TERMS[4:]])
+
+
 @query(f"SELECT id % 100 AS obj, string_agg(CAST(frame_index AS VARCHAR), ',' ORDER BY frame_index) AS frames FROM (SELECT DISTINCT id, id % 100, frame_index FROM ({SOURCES_SQL})) GROUP BY 1".replace("SELECT DISTINCT id, id % 100, frame_index", "SELECT DISTINCT id % 100 AS id, frame_index"))
 def frames_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = views.sources(spark, sf_dir).groupBy((F.col("id") % 100).alias("obj"))
