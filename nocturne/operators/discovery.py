@@ -209,7 +209,8 @@ def seed_pairs(orphans: DataFrame, max_speed: float) -> DataFrame:
     a = in_cells_around(a, "ra", "dec", F.col("reach")).select("u", "tb", "cx", "cy", "cz", *[F.col(c).alias(f"a_{c}") for c in ("det_idx", "frame_index", "time_min", "ra", "dec")])
     b = in_cell(side.withColumn("tb", bucket), "ra", "dec", F.col("reach")).select("u", "tb", "cx", "cy", "cz", *[F.col(c).alias(f"b_{c}") for c in ("det_idx", "frame_index", "time_min", "ra", "dec")])
     dt = F.col("b_time_min") - F.col("a_time_min")
-    met = a.join(b, ["u", "tb", "cx", "cy", "cz"]).where((F.col("b_frame_index") > F.col("a_frame_index")) & (dt > F.col("u") / 2.0) & (dt <= F.col("u")))
+    # shuffled: sizes of exploded rows are guessed from the rows before, and such a guess would send them through the driver
+    met = a.hint("merge").join(b, ["u", "tb", "cx", "cy", "cz"]).where((F.col("b_frame_index") > F.col("a_frame_index")) & (dt > F.col("u") / 2.0) & (dt <= F.col("u")))
     speed = F.try_divide(separation_arcsec(F.col("a_ra"), F.col("a_dec"), F.col("b_ra"), F.col("b_dec")), dt)  # conditions may be evaluated in any order
     return (
         met.withColumn("speed", speed)
@@ -218,13 +219,15 @@ def seed_pairs(orphans: DataFrame, max_speed: float) -> DataFrame:
     )
 
 
-def predicted_matches(seeds: DataFrame, orphans: DataFrame, tol_deg: float) -> DataFrame:
+def predicted_matches(seeds: DataFrame, orphans: DataFrame, tol_deg: float, work: Workspace | None = None) -> DataFrame:
     """a, b, frame_c, c: for each seed and other frame the first detection inside the predicted box.
 
     Frames are taken in blocks of time, about the root of their number. A seed is followed through a block
     only if some detection of it lies as near to the position predicted for its middle as a match could;
     a few seeds so fast that the cells of this look are too small for them are followed in any case.
+    ``seeds`` are read twice: give a stored table.
     """
+    work = work or Workspace(orphans.sparkSession)
     start = orphans.select(F.col("det_idx").alias("a"), F.col("time_min").alias("t0"), F.col("ra").alias("ra0"), F.col("dec").alias("dec0"))
     other = orphans.select(F.col("det_idx").alias("c"), F.col("frame_index").alias("frame_c"), F.col("time_min").alias("tc"), F.col("ra").alias("rac"), F.col("dec").alias("decc"))
     times = orphans.select(F.col("frame_index").alias("frame_c"), F.col("time_min").alias("tf")).where("time_min is not null").distinct()
@@ -236,18 +239,19 @@ def predicted_matches(seeds: DataFrame, orphans: DataFrame, tol_deg: float) -> D
     typical = seeds.agg(F.percentile_approx(off, 0.9)).head()[0] or 1.0
     reach = min(typical * 1.01, 180.0) * 3600.0
     occupied = with_neighbour_cells(other.withColumn("block", block("tc")), "rac", "decc", reach).select("block", "cx", "cy", "cz").distinct()
+    occupied = work.put(occupied, f"occupied_{uuid.uuid4().hex[:8]}").withColumn("hit", F.lit(True))  # stored: its size is known then
     middle = times.select("block", (F.lit(first or 0.0) + (F.col("block") + 0.5) * length).alias("tm")).distinct()
-    through = seeds.join(start, "a").crossJoin(middle)
+    through = seeds.join(start.hint("merge"), "a").crossJoin(F.broadcast(middle))  # a row a block
     through = through.withColumns({"off": off, "m_ra": F.col("ra0") + F.col("v_ra") * (F.col("tm") - F.col("t0")), "m_dec": F.col("dec0") + F.col("v_dec") * (F.col("tm") - F.col("t0"))})
-    slow = with_cell(through.where(F.col("off") * 3600.0 <= reach), "m_ra", "m_dec", reach).join(occupied, ["block", "cx", "cy", "cz"], "left_semi").drop("cx", "cy", "cz")
-    followed = slow.select(*through.columns).union(through.where(F.col("off") * 3600.0 > reach))
-    ahead = followed.join(times, "block").where((F.col("frame_c") != F.col("frame_a")) & (F.col("frame_c") != F.col("frame_b")))
+    looked = with_cell(through, "m_ra", "m_dec", reach).join(occupied, ["block", "cx", "cy", "cz"], "left")
+    followed = looked.where(F.col("hit") | (F.col("off") * 3600.0 > reach)).select(*through.columns)
+    ahead = followed.join(F.broadcast(times), "block").where((F.col("frame_c") != F.col("frame_a")) & (F.col("frame_c") != F.col("frame_b")))
     dt = F.col("tf") - F.col("t0")
     placed = ahead.withColumns({"p_ra": F.col("ra0") + F.col("v_ra") * dt, "p_dec": F.col("dec0") + F.col("v_dec") * dt})
     # a box of half side tol lies within tol * sqrt(2); detections are fewer than predictions and take the 27 cells
     reach = tol_deg * 3600.0 * 1.5
     cells = ["frame_c", "cx", "cy", "cz"]
-    near = with_cell(placed, "p_ra", "p_dec", reach).join(with_neighbour_cells(other, "rac", "decc", reach), cells).where(F.col("tc") == F.col("tf"))
+    near = with_cell(placed, "p_ra", "p_dec", reach).join(with_neighbour_cells(other, "rac", "decc", reach).hint("merge"), cells).where(F.col("tc") == F.col("tf"))
     inside = (F.abs(wrap_deg(F.col("rac") - F.col("p_ra"))) * F.cos(F.radians("decc")) < tol_deg) & (F.abs(F.col("decc") - F.col("p_dec")) < tol_deg)
     return near.where(inside).groupBy("a", "b", "frame_c").agg(F.min("c").alias("c"))
 
@@ -297,11 +301,11 @@ def link_movers(orphans: DataFrame, settings: Settings, work: Workspace | None =
     tol = settings.match_radius_arcsec * 2.5 / 3600.0
     work = work or Workspace(orphans.sparkSession)
     seeds = work.put(seed_pairs(orphans, settings.max_motion_arcsec_per_min), "seeds")
-    found = predicted_matches(seeds, orphans, tol)
+    found = predicted_matches(seeds, orphans, tol, work)
     # a seed matters only if some third frame has a match
     found = work.put(found, "found")
     triples = found.select(F.col("a").alias("u"), F.col("b").alias("v")).union(found.select(F.col("a").alias("u"), F.col("c").alias("v")))
-    links = triples if settings.min_tracklet_points > 2 else seeds.select(F.col("a").alias("u"), F.col("b").alias("v"))
+    links = triples.distinct() if settings.min_tracklet_points > 2 else seeds.select(F.col("a").alias("u"), F.col("b").alias("v"))
     labels = connected_components(links, work, "linked", finish=FINISH)
     spot = ["frame_index", "time_min", "ra", "dec"]
     members = orphans.join(labels, F.col("det_idx") == F.col("node")).select("root", "det_idx", *spot, F.lit(None).cast("long").alias("other"))

@@ -1,6 +1,7 @@
 """Clusters, tracks, variability and ranks against plain versions."""
 
 import itertools
+import re
 from pathlib import Path
 
 import numpy as np
@@ -148,6 +149,16 @@ def test_seeds_reach_over_the_sphere(spark):
     assert got == {(a, b) for a in range(0, 60, 2) for b in range(1, 60, 2)}
 
 
+def test_rows_of_many_cells_stay_off_the_driver(spark, tmp_path):
+    """Small files whose rows become many: their joins are shuffled."""
+    spark.createDataFrame([(i, i % 3, 8.0 * (i % 3), 100 + 0.01 * i, 10.0) for i in range(30)], DET).write.parquet(str(tmp_path / "d"))
+    dets = spark.read.parquet(str(tmp_path / "d"))
+    seeds = discovery.seed_pairs(dets, 4.0)
+    assert "BroadcastExchange" not in seeds._jdf.queryExecution().executedPlan().toString()
+    found = discovery.predicted_matches(Workspace(spark).put(seeds, "seeds"), dets, 0.002)
+    assert re.search(r"SortMergeJoin \[[^]]*frame_c#", found._jdf.queryExecution().executedPlan().toString())
+
+
 def test_rank_goldens(spark):
     one = lambda **k: spark.range(1).select(discovery.composite_rank(F.lit(k["kind"]), F.lit(k["snr"]), F.lit(k["n"]), F.lit(k["rb"]), F.lit(k.get("sig")).cast("double")).alias("v")).first().v
     assert round(one(kind="single", snr=1e4, n=1, rb=0.75), 4) == 0.1318
