@@ -7,9 +7,8 @@ falls into chunks, each with an agenda of its own. Short chunks are merged many
 of pair scores is the agenda of each row); long ones with a heap. The ids of short chunks are kept
 in a store of bounded size. Characters without a piece fall back to bytes, else to the unknown id.
 
-In every Arrow batch the sentencepiece library is asked about every chunk that the store doesn't hold
-(joined to texts again, as each begins with a space) before its ids are used, and about every whole
-text; any difference raises. Models whose pieces or normalisation would not allow chunks (other
+In every Arrow batch the sentencepiece library is asked about every whole text before its ids are handed
+out, so about every chunk of it, new or kept; any difference raises. Models whose pieces or normalisation would not allow chunks (other
 than spaces to marks with a mark in front) are refused when they are loaded.
 """
 
@@ -34,7 +33,8 @@ SHORT = 48  # characters of a chunk that the matrix form takes and the store kee
 CACHE = 500_000  # chunks kept at most: a string of SHORT characters, a place and its ids, about 80 MB a worker, 160 MB at the worst
 PROBES = ("a b", " a  b ", "\ufb01 \u2460 e\u0301 \u00e9 \uff21\t\u3000x")  # what other normalisations change
 SLICE = 2 << 20  # bytes of text encoded together
-JOINED = 500  # chunks joined to one text when the library is asked about them
+GROUP = 16_384  # short chunks merged together
+_RUNS = re.compile(" *[^ ]+| +").findall
 
 
 class PieceModel:
@@ -113,62 +113,68 @@ class PieceModel:
             open_ = open_[~hit & (found != -1)]
         return out
 
-    def _scores(self, joined: np.ndarray) -> np.ndarray:
-        return np.where(joined >= 0, self.score[joined], -np.inf)
+    def _ranks(self) -> np.ndarray:
+        """The place of each symbol's score among all, -1 if it has none; the last is for index -1."""
+        return np.append(np.where(self.score > -np.inf, np.unique(self.score, return_inverse=True)[1], -1), -1).astype(np.int32)
 
     def _matrix(self, chunks: list[str]) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
         """Agendas of many short chunks at once: (chunks, their numbers of ids, all ids) by groups of alike length."""
-        order = sorted(chunks, key=len)
-        for lo in range(0, len(order), 8192):
-            part = order[lo : lo + 8192]
-            lengths, width = np.array([len(c) for c in part]), max(2, len(part[-1]))
-            codes = np.frombuffer("".join(part).encode("utf-32-le", "surrogatepass"), np.uint32)
-            symbols = np.full((len(part), width), -1, np.int32)
-            symbols[np.arange(width) < lengths[:, None]] = self.of_char[codes]
-            flat = np.full((len(part), width - 1), -1, np.int32)
-            both = (symbols[:, :-1] >= 0) & (symbols[:, 1:] >= 0)
-            flat[both] = self.joined(symbols[:, :-1][both], symbols[:, 1:][both])
-            self._merge(symbols, flat)
+        rank = self._ranks()
+        order = sorted(chunks, key=len)  # without their first space
+        for lo in range(0, len(order), GROUP):
+            part = order[lo : lo + GROUP]
+            lengths, width = np.fromiter(map(len, part), np.int64, len(part)) + 1, max(2, len(part[-1]) + 1)
+            codes = np.frombuffer((" " + " ".join(part)).encode("utf-32-le", "surrogatepass"), np.uint32)
+            rows = np.full((len(part), width), -1, np.int32)
+            rows[np.arange(width) < lengths[:, None]] = self.of_char[codes]
+            symbols = np.ascontiguousarray(rows.T)  # a row for each place: what follows goes through whole rows
+            pairs = np.full((width - 1, len(part)), -1, np.int32)
+            both = symbols[1:] >= 0
+            pairs[both] = self.joined(symbols[:-1][both], symbols[1:][both])
+            symbols = self._merge(symbols, rank[pairs], rank).T
             plain = self.plain_id[symbols]  # -1: a free cell, -2: a character without a piece
             odd = (plain == -2).any(1)
             yield [c for c, x in zip(part, odd.tolist(), strict=True) if not x], (plain >= 0).sum(1)[~odd], plain[~odd][plain[~odd] >= 0]
             if odd.any():
-                ids = [self._ids(part[i], symbols[i].tolist()) for i in np.flatnonzero(odd).tolist()]
+                ids = [self._ids(" " + part[i], symbols[i].tolist()) for i in np.flatnonzero(odd).tolist()]
                 yield [part[i] for i in np.flatnonzero(odd).tolist()], np.array([len(x) for x in ids]), np.array(list(chain.from_iterable(ids)), np.int32)
 
-    def _merge(self, symbols: np.ndarray, joined: np.ndarray) -> None:
-        """Merges in place; a row's free cells at its end are -1."""
-        width = symbols.shape[1]
-        rows = np.arange(len(symbols))
-        s, j, w = symbols.copy(), joined, self._scores(joined)
-        columns = np.arange(width)
-        while len(rows):
-            at = w.argmax(1)
-            r = np.arange(len(rows))
-            on = w[r, at] > -np.inf
+    def _merge(self, s: np.ndarray, w: np.ndarray, rank: np.ndarray) -> np.ndarray:
+        """The symbols of each column after its merges, its free cells at the end -1.
+
+        ``w`` holds the ranks of adjacent pairs, -1 for none. Every column merges its best pair, or leaves: the
+        others have a cell less.
+        """
+        out = np.full_like(s, -1)
+        rows = np.arange(s.shape[1])
+        while len(s) > 1:
+            best, at = w[0].copy(), np.zeros(len(rows), np.int64)
+            for c in range(1, len(w)):
+                np.copyto(at, c, where=w[c] > best)  # the leftmost among equals
+                np.maximum(best, w[c], out=best)
+            on = best >= 0
             if not on.all():
-                symbols[rows[~on]] = s[~on]
-                rows, s, j, w, at = rows[on], s[on], j[on], w[on], at[on]
-                r = np.arange(len(rows))
+                off = np.flatnonzero(~on)
+                out[: len(s), rows[off]] = s[:, off]
+                on = np.flatnonzero(on)
+                rows, at, s, w = rows[on], at[on], s.take(on, 1), w.take(on, 1)
                 if not len(rows):
-                    return
-            new = j[r, at]
-            pull = columns + (columns > at[:, None])
-            closing = pull >= width
-            s = np.take_along_axis(s, np.minimum(pull, width - 1), 1)
-            s[closing] = -1
-            s[r, at] = new
-            shift = pull[:, : width - 1]
-            end = shift >= width - 1
-            shift = np.minimum(shift, width - 2)
-            j, w = np.take_along_axis(j, shift, 1), np.take_along_axis(w, shift, 1)
-            j[end], w[end] = -1, -np.inf
-            for where in (at - 1, at):
-                ok = (where >= 0) & (where < width - 1)
-                rr, cc = r[ok], where[ok]
-                a, b = s[rr, cc], s[rr, cc + 1]
-                got = np.where(b >= 0, self.joined(a, np.maximum(b, 0)), -1)
-                j[rr, cc], w[rr, cc] = got, self._scores(got)
+                    return out
+            r = np.arange(len(rows))
+            new = self.joined(s[at, r], s[at + 1, r])
+            for c in range(len(w)):
+                right = at < c
+                np.copyto(s[c], s[c + 1], where=right)
+                if c + 1 < len(w):
+                    np.copyto(w[c], w[c + 1], where=right)
+            s, w = s[:-1], w[:-1]
+            s[at, r] = new
+            left, right = np.flatnonzero(at > 0), np.flatnonzero(at < len(w))
+            column, place = np.concatenate([left, right]), np.concatenate([at[left] - 1, at[right]])
+            b = s[place + 1, column]
+            w[place, column] = np.where(b >= 0, rank[self.joined(s[place, column], np.maximum(b, 0))], -1)
+        out[: len(s), rows] = s
+        return out
 
     def _heap(self, chunk: str) -> list[int]:
         """The agenda of one long chunk as a heap over a linked list."""
@@ -218,18 +224,21 @@ class PieceModel:
                 at += len(self.symbols[x])
         return out
 
+    def _chunks(self, text: str) -> list[str]:
+        """The chunks of a text and the mark in front, each without its first mark; spaces stand for marks: most are plain ASCII."""
+        if "  " in text or text[0] == " " or text[-1] == " ":
+            return [c[1:] for c in _RUNS(" " + text)]
+        return text.split(" ")
+
     def encode(self, texts: list[str]) -> list[list[int]]:
-        """The ids of each whole text, as the library gives them without options."""
+        """The ids of each whole text, as the library gives them without options; it is asked about every one."""
         kept = self.kept
-        split = re.compile(" *[^ ]+| +").findall  # spaces stand for marks: most chunks are plain ASCII
-        chunks = [split(" " + (t.replace(MARK, " ") if MARK in t else t)) if t else [] for t in texts]
+        chunks = [self._chunks(t.replace(MARK, " ") if MARK in t else t) if t else [] for t in texts]
         counts = np.array([len(c) for c in chunks], np.int64)
         at = np.fromiter(map(kept.__getitem__, chain.from_iterable(chunks)), np.int64, int(counts.sum()))
         for names, n, ids in self._matrix(kept.new):
-            self._check_chunks(names, n, ids)
             kept.store(names, n, ids)
-        long_ids = [self._ids(c, self._heap(c)) for c in kept.long]
-        self._check_chunks(list(kept.long), np.array([len(x) for x in long_ids], np.int64), np.array(list(chain.from_iterable(long_ids)), np.int32))
+        long_ids = [self._ids(c, self._heap(c)) for c in (" " + c for c in kept.long)]
         n_long = np.array([len(x) for x in long_ids], np.int64)
         short = at >= 0
         n_at, start = kept.n[np.where(short, at, 0)], kept.start[np.where(short, at, 0)]
@@ -247,20 +256,9 @@ class PieceModel:
         at = at[short]
         bounds = ends[np.concatenate([[0], np.cumsum(counts)])].tolist()
         kept.trim(at)
-        return [ids[lo:hi] for lo, hi in zip(bounds[:-1], bounds[1:], strict=True)]
-
-    def _check_chunks(self, chunks: list[str], n: np.ndarray, ids: np.ndarray) -> None:
-        """Asks the library about the chunks in texts made of them; one of spaces alone ends its text."""
-        texts, bounds, ends = [], [0], np.cumsum(n)
-        part: list[str] = []
-        for i, c in enumerate(chunks):
-            part.append(c)
-            if len(part) == JOINED or i + 1 == len(chunks) or not c.strip(" "):
-                texts.append("".join(part)[1:])  # the library puts the first mark itself
-                bounds.append(int(ends[i]))
-                part = []
-        flat = ids.tolist()  # the first mark alone has no text
-        self.check([t for t in texts if t], [flat[lo:hi] for t, lo, hi in zip(texts, bounds[:-1], bounds[1:], strict=True) if t])
+        out = [ids[lo:hi] for lo, hi in zip(bounds[:-1], bounds[1:], strict=True)]
+        self.check(texts, out)
+        return out
 
     def decode(self, ids: list[list[int]]) -> list[str]:
         return self.library.decode(ids, num_threads=1)
@@ -351,7 +349,6 @@ def encode_documents(docs: DataFrame, model_file: str, keep: tuple[str, ...] = (
                 for lo, hi in slices(texts, SLICE):
                     part = texts.slice(lo, hi - lo).to_pylist()
                     ids = m.encode(part)
-                    m.check(part, ids)
                     text = m.decode(ids)
                     columns = [batch.column(i).slice(lo, hi - lo) for i in range(len(keep))]
                     columns.append(pa.array([len(x) for x in ids], pa.int64()))

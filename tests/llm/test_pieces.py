@@ -58,6 +58,41 @@ def test_collections_go_on_after_a_task(docs, monkeypatch):
     assert gc.isenabled()
 
 
+def test_the_library_is_asked_once_about_each_text(monkeypatch):
+    asked = PieceModel(tokenizer_file())
+    monkeypatch.setitem(pieces._models, tokenizer_file(), asked)
+    library, seen = asked.library, []
+
+    class Counting:
+        def encode(self, texts, **options):
+            seen.extend(texts)
+            return library.encode(texts, **options)
+
+        decode = staticmethod(library.decode)
+
+    class Docs:
+        schema = None
+        select = lambda self, *_: self
+        mapInArrow = lambda self, run, _: run
+
+    asked.library = Counting()
+    texts = ["new words in a text", "", "  spaces  at both ends ", " ", "\u2581 ", "word\u2581", "x" * 100 + " long", "words in a text"]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    out = pa.Table.from_batches(list(encode_documents(Docs(), tokenizer_file(), keep=(), with_ids=True)(iter([batch]))))
+    assert seen == texts and out["ids"].to_pylist() == [library.encode(t) for t in texts]
+
+
+def test_columns_merge_apart(model):
+    """Chunks of all lengths in one group: each leaves when its own agenda is empty."""
+    rng = random.Random(5)
+    chunks = ["".join(rng.choices("eainthors é.,\n漢", k=n)).replace(" ", "s") for n in range(pieces.SHORT + 1) for _ in range(40)] + ["", " ", "   x"]
+    got = {}
+    for names, n, ids in model._matrix(list(dict.fromkeys(chunks))):
+        ends = np.cumsum(n)
+        got |= {c: ids[end - k : end].tolist() for c, k, end in zip(names, n.tolist(), ends.tolist(), strict=True)}
+    assert got == {c: model._ids(" " + c, model._heap(" " + c)) for c in chunks}
+
+
 def test_a_wrong_chunk_raises(monkeypatch):
     wrong = PieceModel(tokenizer_file())
     wrong.score = wrong.score.copy()
