@@ -153,7 +153,12 @@ def flag_matched(detections: DataFrame, reference: DataFrame | None, radius_arcs
     """Adds matched_ref: whether a reference row lies within the radius (false without a reference)."""
     if reference is None:
         return detections.withColumn("matched_ref", F.lit(False))
-    hits = pairs_within(detections.select(det_id, "ra", "dec"), reference.select("ra", "dec"), radius_arcsec).select(F.col(f"l.{det_id}").alias(det_id)).distinct().withColumn("matched_ref", F.lit(True))
+    # a semi-join goes on to the next detection at its first partner; shuffled, as the size of exploded rows is guessed
+    here = with_cell(detections.select(F.col(det_id).alias("id_"), F.col("ra").alias("_ra"), F.col("dec").alias("_dec")), "_ra", "_dec", radius_arcsec)
+    other = with_neighbour_cells(reference.select(F.col("ra").alias("ra_"), F.col("dec").alias("dec_")), "ra_", "dec_", radius_arcsec)
+    near = separation_arcsec(F.col("_ra"), F.col("_dec"), F.col("ra_"), F.col("dec_")) <= radius_arcsec
+    same = [here[c] == other[c] for c in ("cx", "cy", "cz")]
+    hits = here.join(other.hint("merge"), [*same, near], "left_semi").select(F.col("id_").alias(det_id)).distinct().withColumn("matched_ref", F.lit(True))
     return detections.join(hits, det_id, "left").withColumn("matched_ref", F.coalesce("matched_ref", F.lit(False)))
 
 

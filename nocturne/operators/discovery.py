@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..functions.photometric import lightcurve_err
 from ..functions.sky import position_angle_deg, separation_arcsec, wrap_deg
 from .components import Workspace, connected_components, spread
-from .crossmatch import chord, flag_matched, in_cell, in_cells_around, radius_pairs, with_cell, with_neighbour_cells
+from .crossmatch import chord, flag_matched, in_cell, in_cells_around, with_cell, with_neighbour_cells
 
 
 #: Base rank of each kind, its default, and the texts of notes.
@@ -87,6 +87,9 @@ def as_detections(sources: DataFrame, reference: DataFrame | None, settings: Set
 PAIRS_A_GROUP = 20_000  # pairs of a component that one Python group takes
 ROUNDS = 6  # of locally least pairs before the components are looked at again
 FINISH = 200_000  # edges whose components one task may end
+PAIRS_A_ROW = 1  # pairs a detection, about, that the first band of radii may have
+PAIRS_AT_ONCE = 200_000  # pairs, about, that it may have in any case
+BANDS = 16  # radii at most, each half the one before
 
 
 def merge_nearest_first(frames: dict[int, set[int]], links: list[tuple[float, int, int, int, int]]) -> dict[int, int]:
@@ -139,45 +142,94 @@ def _least_pairs(links: DataFrame, clusters: DataFrame) -> tuple[DataFrame, Data
     return live, picked.select(F.greatest("x", "y").alias("hi"), F.least("x", "y").alias("lo"))
 
 
-def constrained_clusters(detections: DataFrame, radius_arcsec: float, pairs_a_group: int = PAIRS_A_GROUP, work: Workspace | None = None) -> DataFrame:
-    """det_idx, cluster (the least det_idx of it): pairs merge nearest first, never two detections of one frame.
+def _bands(detections: DataFrame, radius_arcsec: float) -> list[float]:
+    """Rising radii up to the whole one, each twice the one before.
 
-    Components of the radius graph with at most ``pairs_a_group`` pairs are merged in a Python group
-    each. Larger ones, as in a crowded field, go through rounds that merge all locally least pairs at
-    once, until what can still merge has fallen into small components.
+    The first is the largest with few pairs of detections of two frames, or about one a detection, or not many more
+    than the least radius has, as where frames repeat their positions. Pairs are estimated from counts in cells.
     """
-    work = work or Workspace(detections.sparkSession)
-    links = work.put(radius_pairs(detections.select("det_idx", "ra", "dec"), radius_arcsec, "det_idx").select("a", "b", F.col("sep_arcsec").alias("sep"), F.col("a").alias("x"), F.col("b").alias("y")), "edges")
-    clusters = detections.select(F.col("det_idx").alias("cluster"), F.array(F.col("frame_index").cast("long")).alias("frames"))
+    radii = [radius_arcsec / 2.0**k for k in range(BANDS)]
+    levels = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(chord(r)).alias("reach")) for k, r in enumerate(radii)])
+    each = detections.select("frame_index", "ra", "dec", F.explode(levels).alias("g")).select("frame_index", "ra", "dec", "g.k", "g.reach")
+    counts = in_cell(each, "ra", "dec", F.col("reach")).groupBy("k", "cx", "cy", "cz", "frame_index").agg(F.count("*").cast("double").alias("n"))
+    cells = counts.groupBy("k", "cx", "cy", "cz").agg(F.sum("n").alias("n"), ((F.pow(F.sum("n"), F.lit(2.0)) - F.sum(F.col("n") * F.col("n"))) / 2.0).alias("pairs"))
+    rows = cells.groupBy("k").agg(F.sum("n").alias("n"), F.sum("pairs").alias("pairs")).orderBy("k").collect()  # a row a radius
+    few = [r["k"] for r in rows if r["pairs"] <= max(PAIRS_AT_ONCE, PAIRS_A_ROW * r["n"], 2 * rows[-1]["pairs"])]
+    return radii[(few or [0])[0] :: -1]
+
+
+def _links(members: DataFrame, above: float, radius_arcsec: float) -> DataFrame:
+    """a, b, sep, x, y: the first pair, of those above one radius and within another, of clusters x and y that share no frame.
+
+    Later pairs of the same two clusters change nothing: the first merges them, or they share a frame by then.
+    Sets of frames meet before detections do, a row for each set in a cell, so that the detections of a cell whose
+    clusters all share frames are not paired.
+    """
+    cells = ["cx", "cy", "cz"]
+    side = lambda d, c: members.select(F.col("det_idx").alias(d), F.col("cluster").alias(c), F.col("frames").alias(f"f{c}"), F.col("ra").alias(f"ra_{c}"), F.col("dec").alias(f"dec_{c}"))
+    left = with_cell(side("a", "x"), "ra_x", "dec_x", radius_arcsec)
+    right = with_neighbour_cells(side("b", "y"), "ra_y", "dec_y", radius_arcsec)
+    free = left.select(*cells, "fx").distinct().hint("merge").join(right.select(*cells, "fy").distinct(), cells).where(~F.arrays_overlap("fx", "fy"))
+    # shuffled, as in seed_pairs
+    met = left.hint("merge").join(free, [*cells, "fx"]).hint("merge").join(right, [*cells, "fy"]).where("a < b")
+    met = met.withColumn("sep", separation_arcsec(F.col("ra_x"), F.col("dec_x"), F.col("ra_y"), F.col("dec_y"))).where((F.col("sep") > above) & (F.col("sep") <= radius_arcsec))
+    first = met.groupBy(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).agg(F.min(F.struct("sep", "a", "b")).alias("k"))
+    return first.select("k.a", "k.b", "k.sep", "x", "y")
+
+
+def _merged(links: DataFrame, clusters: DataFrame, pairs_a_group: int, work: Workspace, tag: str) -> list[DataFrame]:
+    """Tables of cluster, final, to be applied one after the other: what all links together merge."""
     moved, step = [], 0  # node, final: what each look or round has merged
     while True:
-        labels = connected_components(links.select(F.col("x").alias("u"), F.col("y").alias("v")), work, f"cc_{step}", finish=FINISH)
+        labels = connected_components(links.select(F.col("x").alias("u"), F.col("y").alias("v")), work, f"cc_{tag}_{step}", finish=FINISH)
         rooted = links.join(labels, F.col("x") == F.col("node")).select("root")
-        crowded = work.put(rooted.groupBy("root").agg(F.count("*").alias("n")).where(F.col("n") > pairs_a_group).select("root"), f"crowded_{step}")
+        crowded = work.put(rooted.groupBy("root").agg(F.count("*").alias("n")).where(F.col("n") > pairs_a_group).select("root"), f"crowded_{tag}_{step}")
         some = not crowded.isEmpty()
         small = labels.join(crowded, "root", "left_anti") if some else labels
         solved = _merged_in_groups(links.join(small.select("node"), F.col("x") == F.col("node"), "left_semi") if some else links, clusters, small)
-        moved.append(work.put(solved.where("cluster <> final"), f"solved_{step}"))
+        moved.append(work.put(solved.where("cluster <> final"), f"solved_{tag}_{step}"))
         if not some:
-            break
+            return moved
         links = links.join(labels.join(crowded, "root", "left_semi"), F.col("x") == F.col("node"), "left_semi")
         for k in range(ROUNDS):
             live, picked = _least_pairs(links, clusters)
-            live, picked = work.put(live, f"live_{step}_{k}"), work.put(picked, f"picked_{step}_{k}")
+            live, picked = work.put(live, f"live_{tag}_{step}_{k}"), work.put(picked, f"picked_{tag}_{step}_{k}")
             if picked.isEmpty():
                 links = live
                 break
             to = lambda c, picked=picked: picked.select(F.col("hi").alias(c), F.col("lo").alias(f"{c}_"))
-            links = work.put(live.join(to("x"), "x", "left").join(to("y"), "y", "left").select("a", "b", "sep", F.coalesce("x_", "x").alias("x"), F.coalesce("y_", "y").alias("y")), f"links_{step}_{k}")
+            links = work.put(live.join(to("x"), "x", "left").join(to("y"), "y", "left").select("a", "b", "sep", F.coalesce("x_", "x").alias("x"), F.coalesce("y_", "y").alias("y")), f"links_{tag}_{step}_{k}")
             both = clusters.join(to("cluster"), "cluster", "left").groupBy(F.coalesce("cluster_", "cluster").alias("cluster"))
-            clusters = work.put(both.agg(F.flatten(F.collect_list("frames")).alias("frames")), f"clusters_{step}_{k}")
+            clusters = work.put(both.agg(F.flatten(F.collect_list("frames")).alias("frames")), f"clusters_{tag}_{step}_{k}")
             moved.append(picked.select(F.col("hi").alias("cluster"), F.col("lo").alias("final")))
-        links = work.put(_least_pairs(links, clusters)[0], f"links_{step}")
+        links = work.put(_least_pairs(links, clusters)[0], f"links_{tag}_{step}")
         step += 1
-    out = detections.select("det_idx", F.col("det_idx").alias("cluster"))
-    for to in moved:
-        out = out.join(to, "cluster", "left").select("det_idx", F.coalesce("final", "cluster").alias("cluster"))
-    return out
+
+
+def constrained_clusters(detections: DataFrame, radius_arcsec: float, pairs_a_group: int = PAIRS_A_GROUP, work: Workspace | None = None) -> DataFrame:
+    """det_idx, cluster (the least det_idx of it): pairs merge nearest first, never two detections of one frame.
+
+    Nearer pairs come first, so a crowded field is taken in bands of rising radius: a band pairs only detections
+    whose clusters, as the bands before have left them, share no frame. All pairs within the radius, a number that
+    grows with the square of the density, never stand side by side. In a band, components of at most
+    ``pairs_a_group`` links are merged in a Python group each. Larger ones go through rounds that merge all
+    locally least pairs at once, until what can still merge has fallen into small components.
+    """
+    work = work or Workspace(detections.sparkSession)
+    placed = work.put(detections.select("det_idx", F.col("frame_index").cast("long").alias("frame_index"), "ra", "dec", F.col("det_idx").alias("cluster")), "placed")
+    members, above = placed.withColumn("frames", F.array("frame_index")), -1.0
+    for k, radius in enumerate(_bands(placed, radius_arcsec)):
+        if k:
+            frames = work.put(placed.groupBy("cluster").agg(F.array_sort(F.collect_set("frame_index")).alias("frames")), f"frames_{k}")
+            members = placed.join(frames, "cluster")
+        links = work.put(_links(members, above, radius), f"edges_{k}")
+        above = radius
+        if links.isEmpty():
+            continue
+        for to in _merged(links, members.select("cluster", "frames").distinct(), pairs_a_group, work, str(k)):
+            placed = placed.join(to, "cluster", "left").withColumn("cluster", F.coalesce("final", "cluster")).drop("final")
+        placed = work.put(placed, f"placed_{k}")
+    return placed.select("det_idx", "cluster")
 
 
 # ---- tracklets -------------------------------------------------------------------------------

@@ -85,6 +85,25 @@ def test_clusters_equal_the_greedy_order(spark, seed, width, most):
     assert got == brute_clusters(rows, 2.5)
 
 
+def test_a_crowded_field_pairs_few_detections(spark, monkeypatch):
+    """Bands of rising radius give the greedy order, with exact copies too, and never hold all pairs of the radius."""
+    monkeypatch.setattr(discovery, "PAIRS_AT_ONCE", 0, raising=False)
+    rng = np.random.default_rng(6)
+    at = [(int(rng.integers(0, 5)), 359.9999 + float(rng.uniform(0, 3)) / 3600, -1 + float(rng.uniform(0, 3)) / 3600) for _ in range(230)]
+    rows = [(i, f, 0.0, ra % 360, dec) for i, (f, ra, dec) in enumerate(at + at[:20])] + [(250, 1, 0.0, None, 1.0)]
+    seen, put = {}, Workspace.put
+
+    def counting(self, df, name, by=None):
+        stored = put(self, df, name, by)
+        seen[name] = stored.count() if name.startswith("edges") else 0
+        return stored
+
+    monkeypatch.setattr(Workspace, "put", counting)
+    got = {r.det_idx: r.cluster for r in discovery.constrained_clusters(spark.createDataFrame(rows, DET), 2.5).collect()}
+    assert got.pop(250) == 250 and got == brute_clusters(rows[:-1], 2.5)
+    assert 0 < sum(seen.values()) < 10 * len(rows)  # all pairs within the radius are more than 20,000
+
+
 def test_a_chain_of_falling_distances(spark):
     """The worst order for rounds: each pair waits for the next one."""
     rows, at = [], 20.0

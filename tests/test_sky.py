@@ -204,3 +204,11 @@ def test_nearest_at_any_distance_equals_brute_force(spark, seed):
             ties = np.flatnonzero((ra == ra[got[i].idx]) & (dec == dec[got[i].idx]))
             assert got[i].idx == ties.min()
     assert got[900].idx == -1 and got[900].sep_arcsec is None and len(got) == 201
+
+
+def test_flags_of_matches_hold_no_pairs(spark):
+    rows = [(i, 359.9999 + 0.0001 * (i % 3), 1.0) for i in range(30)] + [(30, 50.0, 1.0), (31, None, 1.0), (0, 359.9999, 1.0)]
+    t = spark.createDataFrame(rows, "i long, ra double, dec double")
+    flagged = crossmatch.flag_matched(t, t.where("i between 1 and 29"), 2.5, "i")
+    assert sorted((r.i, r.matched_ref) for r in flagged.collect()) == sorted((r[0], r[0] < 30) for r in rows)
+    assert "LeftSemi" in flagged._jdf.queryExecution().optimizedPlan().toString()
