@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 
 from ..functions.photometric import lightcurve_err
 from ..functions.sky import position_angle_deg, separation_arcsec, wrap_deg
-from .components import Workspace, connected_components, spread
-from .crossmatch import chord, flag_matched, in_cell, in_cells_around, with_cell, with_neighbour_cells
+from . import tracklets
+from .components import Workspace, connected_components
+from .crossmatch import chord, flag_matched, in_cell, with_cell, with_neighbour_cells
 
 
 #: Base rank of each kind, its default, and the texts of notes.
@@ -246,29 +247,22 @@ def _gap_levels(orphans: DataFrame) -> list[float]:
     return [u for u in every if (np.searchsorted(times, times + u / 2.0 * (1 - 1e-12), "right") < apart(u)).any()]
 
 
-def seed_pairs(orphans: DataFrame, max_speed: float) -> DataFrame:
+def seed_pairs(orphans: DataFrame, max_speed: float, work: Workspace | None = None) -> DataFrame:
     """a, b and the velocity of every pair of a later frame with 0 < speed <= max_speed.
 
-    Pairs are sought by their time gap: for each power of two that gaps fall under, partners lie within
-    max_speed times it, so positions meet in cells of that size, and in buckets of half that time, of
-    which partners lie one or two apart. A short gap has small cells however long the night; reaches of
-    half the sphere and more are one cell.
+    Only detections are shuffled, to the tiles of ``tracklets``; pairs are made there and go on as they come.
     """
-    levels = F.array(*[F.struct(F.lit(u).alias("u"), F.lit(chord(max_speed * u)).alias("reach")) for u in _gap_levels(orphans)] or [F.struct(F.lit(1.0).alias("u"), F.lit(1.0).alias("reach"))])
-    side = spread(orphans.select("det_idx", "frame_index", "time_min", "ra", "dec"), "det_idx").withColumn("g", F.explode(levels)).select("*", "g.u", "g.reach").drop("g")
-    bucket = F.floor(F.col("time_min") / (F.col("u") / 2.0)).cast("long")
-    a = side.withColumn("tb", F.explode(F.array(bucket + 1, bucket + 2)))
-    a = in_cells_around(a, "ra", "dec", F.col("reach")).select("u", "tb", "cx", "cy", "cz", *[F.col(c).alias(f"a_{c}") for c in ("det_idx", "frame_index", "time_min", "ra", "dec")])
-    b = in_cell(side.withColumn("tb", bucket), "ra", "dec", F.col("reach")).select("u", "tb", "cx", "cy", "cz", *[F.col(c).alias(f"b_{c}") for c in ("det_idx", "frame_index", "time_min", "ra", "dec")])
-    dt = F.col("b_time_min") - F.col("a_time_min")
-    # shuffled: sizes of exploded rows are guessed from the rows before, and such a guess would send them through the driver
-    met = a.hint("merge").join(b, ["u", "tb", "cx", "cy", "cz"]).where((F.col("b_frame_index") > F.col("a_frame_index")) & (dt > F.col("u") / 2.0) & (dt <= F.col("u")))
-    speed = F.try_divide(separation_arcsec(F.col("a_ra"), F.col("a_dec"), F.col("b_ra"), F.col("b_dec")), dt)  # conditions may be evaluated in any order
-    return (
-        met.withColumn("speed", speed)
-        .where((F.col("speed") > 0) & (F.col("speed") <= max_speed))
-        .select(F.col("a_det_idx").alias("a"), F.col("b_det_idx").alias("b"), F.col("a_frame_index").alias("frame_a"), F.col("b_frame_index").alias("frame_b"), "speed", F.try_divide(wrap_deg(F.col("b_ra") - F.col("a_ra")), dt).alias("v_ra"), F.try_divide(F.col("b_dec") - F.col("a_dec"), dt).alias("v_dec"))
-    )
+    return tracklets.seeds(orphans, max_speed, _gap_levels(orphans), work or Workspace(orphans.sparkSession))
+
+
+def first_matches(orphans: DataFrame, max_speed: float, tol_deg: float, work: Workspace | None = None) -> DataFrame:
+    """``predicted_matches`` of all seeds; neither seeds nor predictions are stored or shuffled."""
+    return tracklets.first_matches(orphans, max_speed, tol_deg, _gap_levels(orphans), work or Workspace(orphans.sparkSession))
+
+
+def tracklet_points(orphans: DataFrame, max_speed: float, tol_deg: float, work: Workspace | None = None) -> DataFrame:
+    """a, b, points: seeds with a match in some other frame, counted with a and b, where they are made."""
+    return tracklets.points(orphans, max_speed, tol_deg, _gap_levels(orphans), work or Workspace(orphans.sparkSession))
 
 
 def predicted_matches(seeds: DataFrame, orphans: DataFrame, tol_deg: float, work: Workspace | None = None) -> DataFrame:
