@@ -302,70 +302,25 @@ def predicted_matches(seeds: DataFrame, orphans: DataFrame, tol_deg: float, work
     return near.where(inside).groupBy("a", "b", "frame_c").agg(F.min("c").alias("c"))
 
 
-def _resolve_tracks(group: pd.DataFrame, tol_deg: float, least: int) -> list[list[int]]:
-    """Greedy tracks of one component: its seeds in order of (frame, row) pairs; members are used once.
+def link_movers(orphans: DataFrame, settings: Settings, work: Workspace | None = None) -> DataFrame:
+    """track (its seed's order), pos, det_idx. Components of what seeds and their boxes hold are resolved apart.
 
-    ``group`` holds the detections (other is null) and the seeds (det_idx, other).
+    Neither seeds nor matches are stored: a tile gives edges no more than its detections, and a component makes its
+    seeds again while it is resolved, those of detections that are still free.
     """
-    g = group[group["other"].isna()].sort_values(["frame_index", "det_idx"]).drop_duplicates("det_idx")
-    ids, frame, t = g["det_idx"].to_numpy(), g["frame_index"].to_numpy(), g["time_min"].to_numpy()
-    ra, dec = g["ra"].to_numpy(), g["dec"].to_numpy()
-    wrap = lambda d: np.mod(d + 180.0, 360.0) - 180.0
-    row = {int(d): i for i, d in enumerate(ids)}
-    pairs = group[group["other"].notna()]
-    seeds: dict[int, list[int]] = {}
-    for a, b in zip(pairs["det_idx"], pairs["other"], strict=True):
-        seeds.setdefault(row[int(a)], []).append(row[int(b)])
-    used, out = np.zeros(len(ids), bool), []
-    frames = [(f, np.flatnonzero(frame == f)) for f in np.unique(frame)]
-    for i in range(len(ids)):
-        for j in sorted(seeds.get(i, ())):  # rows stand in order of frame and index
-            if used[i]:
-                break
-            if used[j]:
-                continue
-            v_ra, v_dec = wrap(ra[j] - ra[i]) / (t[j] - t[i]), (dec[j] - dec[i]) / (t[j] - t[i])
-            track = [i, j]
-            for f, of in frames:
-                if f in (frame[i], frame[j]):
-                    continue
-                free = of[~used[of]]
-                near = free[np.abs(dec[free] - (dec[i] + v_dec * (t[free] - t[i]))) < tol_deg]
-                off = np.abs(wrap(ra[near] - (ra[i] + v_ra * (t[near] - t[i])))) * np.cos(np.radians(dec[near]))
-                hit = near[off < tol_deg]
-                if len(hit):
-                    track.append(hit[0])
-            if len(track) >= least:
-                track.sort(key=lambda k: frame[k])
-                used[track] = True
-                out.append([int(ids[k]) for k in track])
-    return out
-
-
-def link_movers(orphans: DataFrame, settings: Settings, work: Workspace | None = None) -> DataFrame:
-    """track (its seed's order), pos, det_idx. Components of shared seeds and matches are resolved apart."""
-    tol = settings.match_radius_arcsec * 2.5 / 3600.0
+    tol, speed, least = settings.match_radius_arcsec * 2.5 / 3600.0, settings.max_motion_arcsec_per_min, settings.min_tracklet_points
     work = work or Workspace(orphans.sparkSession)
-    seeds = work.put(seed_pairs(orphans, settings.max_motion_arcsec_per_min), "seeds")
-    found = predicted_matches(seeds, orphans, tol, work)
-    # a seed matters only if some third frame has a match
-    found = work.put(found, "found")
-    triples = found.select(F.col("a").alias("u"), F.col("b").alias("v")).union(found.select(F.col("a").alias("u"), F.col("c").alias("v")))
-    links = triples.distinct() if settings.min_tracklet_points > 2 else seeds.select(F.col("a").alias("u"), F.col("b").alias("v"))
-    labels = connected_components(links, work, "linked", finish=FINISH)
-    spot = ["frame_index", "time_min", "ra", "dec"]
-    members = orphans.join(labels, F.col("det_idx") == F.col("node")).select("root", "det_idx", *spot, F.lit(None).cast("long").alias("other"))
-    viable = (found if settings.min_tracklet_points > 2 else seeds).select("a", F.col("b").alias("other")).distinct()
-    none = [F.lit(None).cast(orphans.schema[c].dataType).alias(c) for c in spot]
-    starts = viable.join(labels, F.col("a") == F.col("node")).select("root", F.col("a").alias("det_idx"), *none, "other")
-    least = settings.min_tracklet_points
+    edges = work.put(tracklets.links(orphans, speed, tol, least, _gap_levels(orphans), work), "links")
+    labels = connected_components(edges, work, "linked", finish=FINISH)
+    spot = [F.col(c).cast("double").alias(c) for c in ("time_min", "ra", "dec")]
+    members = orphans.join(labels, F.col("det_idx") == F.col("node")).select("root", F.col("det_idx").cast("long").alias("det_idx"), F.col("frame_index").cast("long").alias("frame_index"), *spot)
 
     def solve(group: pd.DataFrame) -> pd.DataFrame:
-        tracks = _resolve_tracks(group, tol, least)
+        tracks = tracklets.greedy_tracks(*[group[c].to_numpy() for c in tracklets.SPOT], speed, tol, least)
         rows = [(min(t), k, d) for t in tracks for k, d in enumerate(t)]
         return pd.DataFrame(rows, columns=["track", "pos", "det_idx"]).astype("int64")
 
-    return members.unionByName(starts).groupBy("root").applyInPandas(solve, "track long, pos long, det_idx long")
+    return members.groupBy("root").applyInPandas(solve, "track long, pos long, det_idx long")
 
 
 # ---- light curves and variability ------------------------------------------------------------

@@ -9,6 +9,7 @@ matches, whose number grows with the square of the density, come into being in t
 from __future__ import annotations
 
 import math
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -114,6 +115,33 @@ def parts(rows: np.ndarray, begin: np.ndarray, end: np.ndarray) -> Iterator[tupl
         i = j
 
 
+def near_pairs(here: dict[str, np.ndarray], there: dict[str, np.ndarray], dt: float, max_speed: float, held: dict | None = None, key: object = None) -> Iterator[tuple[np.ndarray, ...]]:
+    """Rows of both sides with speed and differences of ra and dec, where 0 < speed <= max_speed; strips of ``there`` are kept in ``held`` under ``key``."""
+    a_ra, a_dec, a_sin, a_cos = (here[c] for c in ("ra", "dec", "sin", "cos"))
+    b_ra, b_dec, b_sin, b_cos = (there[c] for c in ("ra", "dec", "sin", "cos"))
+    half = min(max_speed * dt / 3600.0, 180.0) * (1 + 1e-9) + 1e-9
+    sine = math.sin(math.radians(half) / 2.0)
+    held = {} if held is None else held
+    if key not in held:
+        held[key] = Strips(b_ra, b_dec, 2.0 * half)
+    spots = held[key]
+
+    def wide(rows: np.ndarray, cos: np.ndarray) -> np.ndarray:
+        across = np.sqrt(np.maximum(a_cos[rows], 0.0) * cos)
+        return np.where(across > sine, np.degrees(2.0 * np.arcsin(sine / np.maximum(across, sine))), 180.0)
+
+    for q, begin, end, _, _ in spots.windows(a_ra, a_dec, half, wide):
+        for r, m, _, places in parts(q, begin, end):
+            a, b = np.repeat(r, m), spots.order[places]
+            near = np.flatnonzero(np.abs(b_dec[b] - a_dec[a]) <= half)
+            a, b = a[near], b[near]
+            d_ra, d_dec = b_ra[b] - a_ra[a], b_dec[b] - a_dec[a]
+            speed = separation(d_ra, a_sin[a], a_cos[a], b_sin[b], b_cos[b]) / dt
+            ok = np.flatnonzero((speed > 0) & (speed <= max_speed))
+            if len(ok):
+                yield a[ok], b[ok], speed[ok], d_ra[ok], d_dec[ok]
+
+
 class Piece:
     """The detections of a tile and those around it; ``groups`` are their frames: number, time and rows of the others."""
 
@@ -134,30 +162,13 @@ class Piece:
 
     def seeds(self, max_speed: float) -> Iterator[tuple[np.ndarray, ...]]:
         """Rows of a and b with speed, v_ra and v_dec: partners of later frames with 0 < speed <= max_speed."""
-        a_ra, a_dec, a_sin, a_cos = (self.own[c] for c in ("ra", "dec", "sin", "cos"))
         for frame, time, i, j in self.groups:
             dt = time - self.time
             if frame <= self.frame or dt <= 0:
                 continue
-            half = min(max_speed * dt / 3600.0, 180.0) * (1 + 1e-9) + 1e-9
-            b_ra, b_dec, b_sin, b_cos = (self.other[c][i:j] for c in ("ra", "dec", "sin", "cos"))
-            spots = Strips(b_ra, b_dec, 2.0 * half)
-            sine = math.sin(math.radians(half) / 2.0)
-
-            def wide(rows: np.ndarray, cos: np.ndarray, sine=sine) -> np.ndarray:
-                across = np.sqrt(np.maximum(a_cos[rows], 0.0) * cos)
-                return np.where(across > sine, np.degrees(2.0 * np.arcsin(sine / np.maximum(across, sine))), 180.0)
-
-            for q, begin, end, _, _ in spots.windows(a_ra, a_dec, half, wide):
-                for r, m, _, places in parts(q, begin, end):
-                    a, b = np.repeat(r, m), spots.order[places]
-                    near = np.flatnonzero(np.abs(b_dec[b] - a_dec[a]) <= half)
-                    a, b = a[near], b[near]
-                    d_ra, d_dec = b_ra[b] - a_ra[a], b_dec[b] - a_dec[a]
-                    speed = separation(d_ra, a_sin[a], a_cos[a], b_sin[b], b_cos[b]) / dt
-                    ok = np.flatnonzero((speed > 0) & (speed <= max_speed))
-                    if len(ok):
-                        yield a[ok], b[ok] + i, speed[ok], wrap(d_ra[ok]) / dt, d_dec[ok] / dt
+            there = {c: self.other[c][i:j] for c in ("ra", "dec", "sin", "cos")}
+            for a, b, speed, d_ra, d_dec in near_pairs(self.own, there, dt, max_speed):
+                yield a, b + i, speed, wrap(d_ra) / dt, d_dec / dt
 
     def chunks(self, max_speed: float) -> Iterator[tuple[np.ndarray, ...]]:
         """The seeds of all frames, about ``AT_ONCE`` together."""
@@ -171,10 +182,11 @@ class Piece:
         if held:
             yield tuple(np.concatenate(c) for c in zip(*held, strict=True))
 
-    def boxes(self, g: int, rows: np.ndarray, a: np.ndarray, v_ra: np.ndarray, v_dec: np.ndarray, at_once: bool = False) -> Iterator[tuple[np.ndarray, ...]]:
+    def boxes(self, g: int, rows: np.ndarray, a: np.ndarray, v_ra: np.ndarray, v_dec: np.ndarray, at_once: bool = False, runs_only: bool = False) -> Iterator[tuple[np.ndarray, ...]]:
         """Of group ``g``: rows of seeds, starts of their runs, rows of the others, whether each lies in the predicted box.
 
-        ``at_once`` gives rows of seeds and the least det_idx instead where a whole run is known to lie in the box.
+        Where a whole run is known to lie in the box, ``at_once`` gives rows of seeds and the least det_idx instead,
+        ``runs_only`` rows of seeds and the run in the order of the group's strips.
         """
         _, time, i, j = self.groups[g]
         ra, dec, cos = (self.other[c][i:j] for c in ("ra", "dec", "cos"))
@@ -187,9 +199,9 @@ class Piece:
         p_dec = self.own["dec"][a[rows]] + v_dec[rows] * dt
         wide = lambda _, least: np.where(least * 180.0 > self.tol, self.tol / np.maximum(least, self.tol / 180.0), 180.0)
         for q, begin, end, strip, middle in spots.windows(p_ra, p_dec, self.tol, wide):
-            if at_once:
+            if at_once or runs_only:
                 sure = spots.sure(p_dec[q], begin, end, strip, middle)
-                yield rows[q[sure]], spots.least(begin[sure], end[sure])
+                yield (rows[q[sure]], spots.least(begin[sure], end[sure])) if at_once else (rows[q[sure]], begin[sure], end[sure])
                 q, begin, end = q[~sure], begin[~sure], end[~sure]
             for r, m, starts, places in parts(q, begin, end):
                 c = spots.order[places]
@@ -340,3 +352,182 @@ def points(orphans: DataFrame, max_speed: float, tol_deg: float, levels: list[fl
             yield {"a": piece.own["det_idx"][s[0][hit]], "b": piece.other["det_idx"][s[1][hit]], "points": n[hit]}
 
     return in_pieces(pieces(orphans, max_speed, tol_deg, levels, work), tol_deg, run, "a long, b long, points long")
+
+
+def _joined(labels: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Labels, each that of its component's least node, after edges u, v."""
+    while True:
+        a, b = labels[u], labels[v]
+        apart = np.flatnonzero(a != b)
+        if not len(apart):
+            return labels
+        u, v, a, b = u[apart], v[apart], a[apart], b[apart]
+        np.minimum.at(labels, np.maximum(a, b), np.minimum(a, b))
+        while (labels[labels] != labels).any():
+            labels = labels[labels]
+
+
+def _linked(piece: Piece, max_speed: float, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes and roots, other than themselves, of what seeds with enough matches link: a, b and all that lies in their boxes."""
+    n = len(piece.own["det_idx"])
+    labels = np.arange(n + len(piece.other["det_idx"]))
+    for s in piece.chunks(max_speed):
+        a, b, _, v_ra, v_dec = s
+        frame_b, viable = piece.other["frame_index"][b], np.full(len(a), least <= 2)
+        for g, (frame, _, i, j) in enumerate(piece.groups):
+            if frame == piece.frame:
+                continue
+            spots, runs = None, np.zeros(j - i + 1, np.int64)  # runs that begin less those that end at a place
+            for r, *found in piece.boxes(g, np.flatnonzero(frame_b != frame), a, v_ra, v_dec, runs_only=True):
+                spots = piece.strips[g]
+                if len(found) == 2:
+                    begin, end = found
+                    np.add.at(runs, begin, 1)
+                    np.add.at(runs, end - 1, -1)
+                    hit, c = r, spots.order[begin] + i
+                else:
+                    starts, c, inside = found
+                    hit = np.repeat(r, np.diff(np.append(starts, len(c))))[inside]
+                    c = c[inside]
+                viable[hit] = True
+                labels = _joined(labels, a[hit], n + c)
+            if spots is not None:
+                at = np.flatnonzero(np.cumsum(runs)[:-1] > 0)
+                labels = _joined(labels, n + i + spots.order[at], n + i + spots.order[np.minimum(at + 1, j - i - 1)])
+        labels = _joined(labels, a[viable], n + b[viable])
+    node = np.flatnonzero(labels != np.arange(len(labels)))
+    return node, labels[node]
+
+
+def links(orphans: DataFrame, max_speed: float, tol_deg: float, least: int, levels: list[float], work: Workspace) -> DataFrame:
+    """u, v: edges that join detections of one track or of tracks that compete for one, no more than a tile has detections."""
+
+    def run(piece: Piece) -> Iterator[dict[str, np.ndarray]]:
+        ids = np.concatenate([piece.own["det_idx"], piece.other["det_idx"]])
+        node, root = _linked(piece, max_speed, least)
+        if len(node):
+            yield {"u": ids[node], "v": ids[root]}
+
+    return in_pieces(pieces(orphans, max_speed, tol_deg, levels, work), tol_deg, run, "u long, v long")
+
+
+class Boxes:
+    """Detections of a frame and time by small strips, for one position after the other."""
+
+    def __init__(self, rows: np.ndarray, ra: np.ndarray, dec: np.ndarray, cos: np.ndarray, tol_deg: float):
+        self.tol, self.height = tol_deg, max(2.0 * tol_deg, 1e-9)
+        self.strips: dict[int, tuple[list[float], list[int], float]] = {}
+        turned = ra[rows] - 360.0 * np.floor(ra[rows] / 360.0)
+        strip = np.floor(dec[rows] / self.height).astype(np.int64)
+        order = np.lexsort((turned, strip))
+        cuts = np.flatnonzero(np.diff(strip[order])) + 1
+        for part in np.split(order, cuts) if len(order) else []:
+            least = float(cos[rows[part]].min())
+            wide = tol_deg / least + 1e-9 if least * 180.0 > tol_deg else 360.0
+            self.strips[int(strip[part[0]])] = (turned[part].tolist(), rows[part].tolist(), wide)
+
+    def free(self, p_ra: float, p_dec: float, ra: list[float], dec: list[float], cos: list[float], used: bytearray, best: int) -> int:
+        """The least row below ``best`` that lies in the box and is not used, else ``best``."""
+        tol = self.tol
+        for strip in range(math.floor((p_dec - tol) / self.height - 1e-9), math.floor((p_dec + tol) / self.height + 1e-9) + 1):
+            if strip not in self.strips:
+                continue
+            at, rows, wide = self.strips[strip]
+            q = p_ra - 360.0 * math.floor(p_ra / 360.0)
+            if wide >= 180.0:
+                there = rows
+            else:
+                there = rows[bisect_left(at, q - wide) : bisect_right(at, q + wide)]
+                if q - wide < 0.0:
+                    there = there + rows[bisect_left(at, q - wide + 360.0) :]
+                elif q + wide >= 360.0:
+                    there = there + rows[: bisect_right(at, q + wide - 360.0)]
+            for r in there:
+                if r < best and not used[r] and abs(dec[r] - p_dec) < tol:
+                    turned = ra[r] - p_ra + 180.0
+                    if abs(turned - 360.0 * math.floor(turned / 360.0) - 180.0) * cos[r] < tol:
+                        best = r
+        return best
+
+
+def greedy_tracks(ids: np.ndarray, frame: np.ndarray, time: np.ndarray, ra: np.ndarray, dec: np.ndarray, max_speed: float, tol_deg: float, least: int) -> list[list[int]]:
+    """Tracks of one component: its seeds in order of (frame, det_idx) pairs, other frames give their first free match, members are used once.
+
+    Seeds are made for some detections at a time, and only of those that are still free then.
+    """
+    order = np.lexsort((ids, frame))
+    order = order[np.append(True, np.diff(ids[order]) != 0)] if len(order) else order
+    ids, frame, time, ra, dec = (x[order] for x in (ids, frame, time, ra, dec))
+    sin, cos = np.sin(np.radians(dec)), np.cos(np.radians(dec))
+    groups: list[tuple[int, float, np.ndarray, Boxes]] = []
+    by = np.lexsort((np.arange(len(ids)), time, frame))
+    cuts = np.flatnonzero((np.diff(frame[by]) != 0) | (np.diff(time[by]) != 0)) + 1
+    for rows in np.split(by, cuts):
+        groups.append((int(frame[rows[0]]), float(time[rows[0]]), rows, Boxes(rows, ra, dec, cos, tol_deg)))
+    rows_of = [(f, [(t, box) for g, t, _, box in groups if g == f]) for f in dict.fromkeys(g[0] for g in groups)]
+    used, none = bytearray(len(ids)), len(ids)
+    view = np.frombuffer(used, np.uint8)
+    l_ra, l_dec, l_cos, l_time, l_frame = (x.tolist() for x in (ra, dec, cos, time, frame))
+    out: list[list[int]] = []
+
+    def seeds(some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        found_a, found_b = [some[:0]], [some[:0]]
+        for t in np.unique(time[some]):
+            a = some[time[some] == t]
+            spots = {"det_idx": a, "ra": ra[a], "dec": dec[a], "sin": sin[a], "cos": cos[a]}
+            for g, (f, t_b, rows, _) in enumerate(groups):
+                if f <= frame[a[0]] or t_b <= t:
+                    continue
+                for p, q in pairs_of(spots, rows, g, t_b - t):
+                    found_a.append(a[p])
+                    found_b.append(rows[q])
+        return np.concatenate(found_a), np.concatenate(found_b)
+
+    held: dict[tuple[int, float], Strips] = {}
+
+    def pairs_of(spots: dict[str, np.ndarray], rows: np.ndarray, g: int, dt: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        there = {"ra": ra[rows], "dec": dec[rows], "sin": sin[rows], "cos": cos[rows]}
+        for p, q, *_ in near_pairs(spots, there, dt, max_speed, held, (g, dt)):
+            yield p, q
+
+    i, some_at_once = 0, 16
+    while i < none:
+        j = min(i + some_at_once, int(np.searchsorted(frame, frame[i], "right")))
+        a, b = seeds(i + np.flatnonzero(view[i:j] == 0))
+        some_at_once = int(min(max(some_at_once * (AT_ONCE / 4) / max(len(a), 1), 1), 4096, 8 * some_at_once))
+        free = view[b] == 0
+        a, b = a[free], b[free]
+        sort = np.lexsort((b, a))
+        a, b = a[sort], b[sort]
+        for part_a, part_b in zip(a[starts_of(a)].tolist() if len(a) else [], np.split(b, starts_of(a)[1:]) if len(a) else [], strict=True):
+            if used[part_a]:
+                continue
+            r0, d0, t0, f0 = l_ra[part_a], l_dec[part_a], l_time[part_a], l_frame[part_a]
+            for k in part_b.tolist():
+                if used[k]:
+                    continue
+                dt = l_time[k] - t0
+                turned = l_ra[k] - r0 + 180.0
+                v_ra, v_dec = (turned - 360.0 * math.floor(turned / 360.0) - 180.0) / dt, (l_dec[k] - d0) / dt
+                track = [part_a, k]
+                for f, boxes in rows_of:
+                    if f == f0 or f == l_frame[k]:
+                        continue
+                    best = none
+                    for t, box in boxes:
+                        best = box.free(r0 + v_ra * (t - t0), d0 + v_dec * (t - t0), l_ra, l_dec, l_cos, used, best)
+                    if best < none:
+                        track.append(best)
+                if len(track) >= least:
+                    track.sort(key=l_frame.__getitem__)
+                    for m in track:
+                        used[m] = 1
+                    out.append([int(ids[m]) for m in track])
+                    break
+        held = {k: v for k, v in held.items() if j < none and frame[j] == frame[i]}
+        i = j
+    return out
+
+
+def starts_of(sorted_: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.append(True, np.diff(sorted_) != 0))

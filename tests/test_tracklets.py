@@ -6,6 +6,8 @@ import pytest
 from nocturne.operators import discovery
 from nocturne.operators.components import Workspace
 
+from .test_discovery import brute_tracks
+
 DET = "det_idx long, frame_index long, time_min double, ra double, dec double"
 
 
@@ -91,3 +93,17 @@ def test_whole_runs_of_matches(spark):
     _, found = brute(rows, 3.0, 0.001)
     got = {(r.a, r.b, r.frame_c): r.c for r in discovery.first_matches(spark.createDataFrame(rows, DET), 3.0, 0.001).collect()}
     assert got == found
+
+
+def test_a_free_match_behind_a_used_one(spark):
+    """Two movers side by side: a box holds detections of both, and the second one takes what the first left."""
+    rows = [(10 * f + k, f, 8.0 * f, (359.995 + 0.004 * f + 0.0008 * k) % 360, 5 + 0.0003 * f) for f in range(4) for k in range(2)]
+    rng = np.random.default_rng(1)
+    rows += [(100 + i, i % 4, 8.0 * (i % 4), float(rng.uniform(359.97, 360.03) % 360), float(5 + rng.uniform(-0.01, 0.01))) for i in range(60)]
+    got = {}
+    for least in (2, 3, 4):
+        settings = discovery.Settings(max_motion_arcsec_per_min=3.0, min_tracklet_points=least)
+        got = {}
+        for r in discovery.link_movers(spark.createDataFrame(rows, DET), settings).collect():
+            got.setdefault(r.track, []).append(r.det_idx)
+        assert sorted(map(sorted, got.values())) == brute_tracks(rows, 3.0, 2.5 * 2.5 / 3600, least)
