@@ -65,11 +65,16 @@ def run(spark: SparkSession, documents: str, out: str, checkpoint: str, settings
 
 
 def output(spark: SparkSession, out: str, key_type: str) -> DataFrame:
-    """key, pos, source, term, c and df over all segments: the postings, with what belongs to them."""
+    """key, pos, source, term, c and df over all segments: the terms of each passage, with what belongs to them.
+
+    Passages meet their sources before their terms are written out, so that terms are not shuffled for it.
+    """
     index = PassageIndex(spark, out, key_type)
     frequency = index.table("terms").groupBy("term").agg(F.sum("df").alias("df"))
     passages = index.table("passages").select("segment", "key", "pos", "source")
-    return index.table("postings").join(passages, ["segment", "key", "pos"]).join(frequency, "term").select("key", "pos", "source", "term", "c", "df")
+    counts = index.table("vectors").join(passages, ["segment", "key", "pos"])
+    flat = counts.select("key", "pos", "source", F.explode("counts").alias("x")).select("key", "pos", "source", "x.term", "x.c")
+    return index.looked_up(flat, frequency).select("key", "pos", "source", "term", "c", "df")
 
 
 if __name__ == "__main__":

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -39,12 +42,39 @@ def stem(token: Column) -> Column:
     return F.when(token.rlike("(?:ing|ed|er|[sey])$") & (F.length(token) > 3), passes).otherwise(token)
 
 
+class Stems(dict):
+    """The stem of a token, None of a stop word: looked up in a task, reckoned when it is met for the first time. As ``stem`` and ``STOP_WORDS``."""
+
+    ENDING, LAST = re.compile("(.{3,}?)(?:ing|ers|ies|ed|es|er|s)"), re.compile("(.{4,})[ey]")
+    HELD = 1 << 20  # tokens
+
+    def __missing__(self, token: str) -> str | None:
+        if len(self) >= self.HELD:
+            self.clear()
+        now, after = token, None if token in STOP_WORDS else token
+        while after is not None:
+            now = after
+            if not (m := self.ENDING.fullmatch(now) or self.LAST.fullmatch(now)):
+                break
+            after = m[1]
+        self[token] = out = None if after is None else now
+        return out
+
+
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is reckoned once, however often it is used: as a lambda's variable."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def passages(text: Column, words: int = 220, overlap: int = 40, shortest: int = 80) -> Column:
     """Overlapping windows of words joined by spaces, those of more than ``shortest`` characters."""
     step = max(words - overlap, 50)
-    split = F.filter(F.split(text, r"[\s\x1c-\x1f\x85]+"), lambda w: w != "")
-    windows = F.when(F.size(split) > 0, F.transform(F.sequence(F.lit(1), F.greatest(F.size(split), F.lit(1)), F.lit(step)), lambda i: F.array_join(F.slice(split, i, words), " ")))
-    return F.filter(F.coalesce(windows, F.array().cast("array<string>")), lambda p: F.length(p) > shortest)
+
+    def windows(split: Column) -> Column:
+        cut = F.transform(F.sequence(F.lit(1), F.greatest(F.size(split), F.lit(1)), F.lit(step)), lambda i: F.array_join(F.slice(split, i, words), " "))
+        return F.filter(F.when(F.size(split) > 0, cut).otherwise(F.array().cast("array<string>")), lambda p: F.length(p) > shortest)
+
+    return once(F.filter(F.split(text, r"[\s\x1c-\x1f\x85]+"), lambda w: w != ""), windows)
 
 
 def html_escape(text: Column) -> Column:

@@ -56,7 +56,7 @@ def doc_freq(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH RECURSIVE {WEIGHTS_SQL} SELECT key, pos, count(*) AS terms, round(max(w), 6) AS top, round(sum(w), 5) AS total FROM w GROUP BY 1, 2")
 def tfidf_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return retrieval.PassageIndex.build(chunks_of(spark, sf_dir)).weights().groupBy("key", "pos").agg(F.count("*").alias("terms"), F.round(F.max("w"), 6).alias("top"), F.round(F.sum("w"), 5).alias("total"))
+    return retrieval.PassageIndex.build(chunks_of(spark, sf_dir), asked=False).weights().groupBy("key", "pos").agg(F.count("*").alias("terms"), F.round(F.max("w"), 6).alias("top"), F.round(F.sum("w"), 5).alias("total"))
 
 
 @query(f"WITH RECURSIVE {SEARCH_SQL} SELECT key, pos, round(score, 6) AS score FROM hits WHERE score > 0.03")

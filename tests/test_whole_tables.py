@@ -1,9 +1,14 @@
 """Queries over whole tables: nothing of the input is left out."""
 
+import math
+from collections import Counter
+
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
+from nocturne.functions import text
 from nocturne.operators import retrieval
 from nocturne.plans import views
 
@@ -76,3 +81,38 @@ def test_terms_are_counted_within_their_rows(spark):
     counts = retrieval.term_counts(chunks)
     assert sorted(map(tuple, counts.collect())) == [(1, 0, "7z", 1), (1, 0, "b2", 2), (1, 0, "link", 3)]
     assert "Exchange" not in counts._jdf.queryExecution().executedPlan().toString()
+
+
+def test_words_of_a_text_are_split_once(spark):
+    """The words are a lambda's variable: no window splits the text again."""
+    from nocturne.functions.text import passages
+
+    cut = spark.range(1).select(passages(F.repeat(F.lit("word "), F.lit(1000)), 220, 40).alias("p"))
+    assert [len(p.split(" ")) for p in cut.head().p] == [220, 220, 220, 220, 220, 100]
+    assert cut.select(F.size("p"))._jdf.queryExecution().analyzed().toString().count("split(") == 1
+
+
+def test_rare_terms_are_looked_up_like_frequent_ones(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(retrieval, "OFTEN", 2)
+    chunks = spark.createDataFrame([(i, "s", 0, f"the sky was clear linked word{i} _a. .b7- xK {'night ' * (i % 3)}") for i in range(12)], "key long, source string, pos int, passage string")
+    index = retrieval.PassageIndex.build(chunks, asked=False)
+    assert index.table("postings").isEmpty()
+    with pytest.raises(ValueError, match="without postings"):
+        index.search("night")
+    got = {}
+    for r in index.weights().collect():
+        got.setdefault(r.key, {})[r.term] = r.w
+    frequency = Counter(t for terms in got.values() for t in terms)
+    assert set(got) == set(range(12)) and {t for t, n in frequency.items() if n == 12} == {"sky", "clear", "link", "a.", "b7-", "xk"}
+    for i, weights in got.items():
+        assert set(weights) == {"sky", "clear", "link", "a.", f"word{i}", "b7-", "xk"} | ({"night"} if i % 3 else set())
+        raw = {t: (1 + math.log(i % 3 if t == "night" else 1)) * (math.log(13 / (1 + n)) + 1) for t, n in frequency.items() if t in weights}
+        length = math.sqrt(sum(x * x for x in raw.values()))
+        assert all(abs(weights[t] - x / length) < 1e-12 for t, x in raw.items())
+
+
+def test_stems_in_tasks_equal_the_expression(spark):
+    words = ["links", "linked", "linkings", "theses", "the", "ed", "ing", "eyes", "bodies", "yyyyy", "seeeers", "a.ing", "ies", "abies", "x1", "user_ers", "glasseses", "ney", "money", "pee", "singing"]
+    rows = spark.createDataFrame([(w,) for w in words], "w string").select("w", text.stem(F.col("w")).alias("s"), F.get(text.tokens(F.col("w")), F.lit(0)).alias("t")).collect()
+    stems = text.Stems()
+    assert all(stems[r.w] == (r.s if r.t is not None else None) for r in rows)
