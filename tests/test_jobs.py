@@ -250,3 +250,16 @@ def test_command_line(tmp_path, sf_dir):
 def test_jobs_don_t_need_the_corpus_parts():
     for f in [*(ROOT / "jobs").glob("*.py"), ROOT / "tests/test_jobs.py"]:
         assert not re.search(r"^\s*(from|import)\s+\S*(llm|corpus_pipeline)", f.read_text(), re.M)
+
+
+def test_terms_are_not_shuffled_for_their_sources(spark, tmp_path):
+    """Passages meet their sources before their terms are written out."""
+    chunks = spark.createDataFrame([(i, f"s{i}", 0, f"clear sky{i} night night") for i in range(4)], "key long, source string, pos int, passage string")
+    index = PassageIndex(spark, str(tmp_path / "index"), "bigint")
+    index.add(chunks)
+    rows = note_index.output(spark, str(tmp_path / "index"), "bigint")
+    assert sorted((r.key, r.source, r.term, r.c, r.df) for r in rows.collect()) == sorted((i, f"s{i}", t, c, n) for i in range(4) for t, c, n in (("clear", 1, 4), (f"sky{i}", 1, 1), ("night", 2, 4)))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    at = next(i for i, line in enumerate(plan) if "Generate explode" in line)
+    met = [i for i, line in enumerate(plan) if "Join Inner" in line and "segment#" in line]
+    assert met and min(met) > at
